@@ -60,12 +60,11 @@ def _sale_items(
         sale.select(c.sale, c.value, c.commission, c.date, c.broker),
         c.sale,
     )
-    lines = balanced_join(lines, _current_keys(dims.broker, "cor", "cor_cpf", c.broker), c.broker)
-    lines = balanced_join(lines, _current_keys(dims.item, "im", "im_id", c.item), c.item)
-    if dims.date is None:
-        return lines.withColumn("dt_sk", date_key(c.date))
-    days = dims.date.select(F.col("dt_data_completa").alias(c.date), "dt_sk")
-    return balanced_join(lines, days, c.date)
+    brokers = _current_keys(dims.broker, "cor", "cor_cpf", c.broker)
+    lines = balanced_join(lines, brokers, c.broker, keys_from=sale)
+    items = _current_keys(dims.item, "im", "im_id", c.item)
+    lines = balanced_join(lines, items, c.item, keys_from=sale_item)
+    return _with_date_key(lines, dims.date, sale, c)
 
 
 def participants(buyers: DataFrame, sellers: DataFrame, c: SaleColumns = COLUMNS) -> DataFrame:
@@ -108,9 +107,11 @@ def participant_fact(
         F.count(F.when(F.col("tv_tipo_cliente") == SELLER, 1)).cast("int").alias("tv_total_vendedores"),
     )
     lines = _sale_items(sale, sale_item, dims, c)
-    lines = balanced_join(lines, totals, c.sale, size_of=everyone)
-    rows = balanced_join(everyone, lines, c.sale, size_of=sale_item.select(c.sale))
-    rows = balanced_join(rows, _current_keys(dims.client, "cl", "cl_cpf", c.client), c.client)
+    lines = balanced_join(lines, totals, c.sale, size_of=everyone, keys_from=sale_item)
+    # a line is a sale item with eight further numbers
+    rows = balanced_join(everyone, lines, c.sale, size_of=_widened(sale_item.select(c.sale)))
+    clients = _current_keys(dims.client, "cl", "cl_cpf", c.client)
+    rows = balanced_join(rows, clients, c.client, keys_from=everyone)
 
     peers = F.when(
         F.col("tv_tipo_cliente") == BUYER, F.col("tv_total_compradores")
@@ -172,7 +173,8 @@ def bridge(
     version; with ``existing`` only pairs it does not hold."""
     keys = fact.select(F.col("tv_id").alias(c.sale), "tv_sk")
     pairs = balanced_join(link.select(c.sale, c.client), keys, c.sale)
-    pairs = balanced_join(pairs, _current_keys(client_dim, "cl", "cl_cpf", c.client), c.client)
+    clients = _current_keys(client_dim, "cl", "cl_cpf", c.client)
+    pairs = balanced_join(pairs, clients, c.client, keys_from=link)
     pairs = pairs.select("tv_sk", "cl_sk")
     if existing is None:
         return pairs
@@ -190,11 +192,9 @@ def _item_days(
     lines = balanced_join(
         sale_item.select(c.sale, c.item), sale.select(c.sale, c.commission, c.date), c.sale
     )
-    lines = balanced_join(lines, _current_keys(item_dim, "im", "im_id", c.item), c.item)
-    if date_dim is None:
-        return lines.withColumn("dt_sk", date_key(c.date))
-    days = date_dim.select(F.col("dt_data_completa").alias(c.date), "dt_sk")
-    return balanced_join(lines, days, c.date)
+    items = _current_keys(item_dim, "im", "im_id", c.item)
+    lines = balanced_join(lines, items, c.item, keys_from=sale_item)
+    return _with_date_key(lines, date_dim, sale, c)
 
 
 def aggregate_fact(
@@ -254,11 +254,11 @@ def restate_parts(
     lines = balanced_join(lines, touched, [c.item, c.date], "left_semi")
     keys = _current_keys(item_dim, "im", "im_id", c.item)
     fresh = (
-        _with_date_key(balanced_join(lines, keys, c.item), date_dim, c)
+        _with_date_key(balanced_join(lines, keys, c.item, keys_from=near_items), date_dim, near_sales, c)
         .groupBy("im_sk", "dt_sk")
         .agg(F.sum(c.commission).cast("double").alias("ra_comissao_total"))
     )
-    stale = _with_date_key(balanced_join(touched, keys, c.item), date_dim, c)
+    stale = _with_date_key(balanced_join(touched, keys, c.item), date_dim, sale, c)
     kept = balanced_join(agg, stale.select("im_sk", "dt_sk"), ["im_sk", "dt_sk"], "left_anti")
     return kept.select("im_sk", "dt_sk", "ra_comissao_total"), fresh
 
@@ -272,11 +272,18 @@ def touched_pairs(
     return lines.select(c.item, c.date).distinct()
 
 
-def _with_date_key(df: DataFrame, date_dim: DataFrame | None, c: SaleColumns) -> DataFrame:
+def _with_date_key(
+    df: DataFrame, date_dim: DataFrame | None, sale: DataFrame, c: SaleColumns
+) -> DataFrame:
+    """Date key from the dimension, or worked out where none is given."""
     if date_dim is None:
         return df.withColumn("dt_sk", date_key(c.date))
     days = date_dim.select(F.col("dt_data_completa").alias(c.date), "dt_sk")
-    return balanced_join(df, days, c.date)
+    return balanced_join(df, days, c.date, keys_from=sale)
+
+
+def _widened(keys: DataFrame) -> DataFrame:
+    return keys.select("*", *[F.lit(0.0).alias(f"_w{i}") for i in range(8)])
 
 
 def append_aggregate(agg: DataFrame, fresh: DataFrame) -> DataFrame:

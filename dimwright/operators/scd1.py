@@ -46,14 +46,15 @@ def scd1_upsert(
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(mode)
-    require_unique(stage, nk)
     incoming = stage.select(*nk, *fixed, *cols)
     stamp = F.lit(ts).cast("timestamp_ntz")
     order = [sk, *fixed, *nk, *cols, loaded_at]
     if dim is None:
         keyed = assign_surrogate_keys(incoming, sk, list(nk))
+        require_unique(keyed, nk)
         return keyed.withColumn(loaded_at, stamp).select(*order)
 
+    require_unique(stage, nk)
     added = balanced_join(incoming, dim.select(*nk), nk, "left_anti")
     added = assign_surrogate_keys(added, sk, list(nk), next_start(dim, sk))
     added = added.withColumn(loaded_at, stamp).select(*order)

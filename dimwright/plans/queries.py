@@ -32,7 +32,7 @@ from dimwright.operators.scd2 import scd2_extend, scd2_fill, scd2_initial, scd2_
 from dimwright.operators.surrogate import assign_surrogate_keys
 from dimwright.plans import star
 from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_feed, read
-from dimwright.session import fresh_path
+from dimwright.session import fresh_path, materialise
 from dimwright.sources.lake import MARKET_TABLE, land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
 from dimwright.streaming.feed import changed_keys, consume_feed, follow_feed, latest_change
@@ -64,8 +64,9 @@ def _client_dim(src: Source) -> DataFrame:
 
 
 def _item_dim(src: Source) -> DataFrame:
-    dim = scd2_initial(star.item_source(src.tables()), star.ITEM, star.ITEM_ATTRS, TS0)
-    return scd2_fill(dim, star.item_extra(src.tables()), star.ITEM, star.ITEM_EXTRA)
+    t = src.tables()
+    rows = star.item_source(t).join(star.item_extra(t), "im_id")
+    return scd2_initial(rows, star.ITEM, [*star.ITEM_ATTRS, *star.ITEM_EXTRA], TS0)
 
 
 def _date_dim(src: Source) -> DataFrame:
@@ -88,9 +89,9 @@ def _participants(src: Source, dims: SaleDims, many_items: bool = False, **more)
     )
 
 
-def _view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = Source(spark, sf_dir)
-    dims, market = _dims(src), _market_dim(src)
+def _view(src: Source, market: DataFrame | None = None) -> DataFrame:
+    dims = _dims(src)
+    market = _market_dim(src) if market is None else market
     fact = link_benchmark(
         derive_unit_price(_participants(src, dims), dims.item), dims.item, market
     )
@@ -186,8 +187,9 @@ def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def date_dim_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension after a second load, with the load that brought each date."""
-    first = _date_dim(Source(spark, sf_dir, CUT))
-    added = date_dimension(Source(spark, sf_dir).transvenda(), "transvendadata", first)
+    src = Source(spark, sf_dir)
+    first = _date_dim(src.at(CUT))
+    added = date_dimension(src.transvenda(), "transvendadata", first)
     return first.withColumn("carga", F.lit(0)).unionByName(added.withColumn("carga", F.lit(1)))
 
 
@@ -212,7 +214,7 @@ def _merged_brokers(spark: SparkSession, sf_dir: str, keys: DataFrame | None) ->
     src = Source(spark, sf_dir)
     t = {"corretor": src.corretor(), "funcionario": src.funcionario()}
     return scd2_merge(
-        _broker_dim(Source(spark, sf_dir, CUT)),
+        _broker_dim(src.at(CUT)),
         star.broker_source(t),
         star.BROKER,
         star.BROKER_ATTRS,
@@ -238,11 +240,13 @@ def scd2_merge_cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_extend_property(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties given type, rooms and area, then loaded again after some
     areas changed."""
-    before = Source(spark, sf_dir, CUT)
-    dim = _item_dim(before)
-    return scd2_extend(
-        dim, star.item_extra(Source(spark, sf_dir).tables()), star.ITEM, star.ITEM_EXTRA, TS1
+    src = Source(spark, sf_dir)
+    early = src.at(CUT)
+    dim = scd2_initial(star.item_source(early.tables()), star.ITEM, star.ITEM_ATTRS, TS0)
+    dim = materialise(
+        scd2_fill(dim, star.item_extra(early.tables()), star.ITEM, star.ITEM_EXTRA), "filled"
     )
+    return scd2_extend(dim, star.item_extra(src.tables()), star.ITEM, star.ITEM_EXTRA, TS1)
 
 
 @_query
@@ -261,16 +265,18 @@ def snowflake_property_early(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def scd1_insert_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second feed that may add months but leaves held ones alone."""
-    first = _market_dim(Source(spark, sf_dir, MID_MONTH_CUT))
-    stage = star.market_stage(wide_to_long(Source(spark, sf_dir).wide_sheet()))
+    src = Source(spark, sf_dir)
+    first = _market_dim(src.at(MID_MONTH_CUT))
+    stage = materialise(star.market_stage(wide_to_long(src.wide_sheet())), "stage")
     return star.load_market(first, stage, TS1, "insert_only")
 
 
 @_query
 def scd1_upsert_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second feed that adds months and revises the cut one."""
-    first = _market_dim(Source(spark, sf_dir, MID_MONTH_CUT))
-    stage = star.market_stage(wide_to_long(Source(spark, sf_dir).wide_sheet()))
+    src = Source(spark, sf_dir)
+    first = _market_dim(src.at(MID_MONTH_CUT))
+    stage = materialise(star.market_stage(wide_to_long(src.wide_sheet())), "stage")
     return star.load_market(first, stage, TS1, "upsert")
 
 
@@ -295,7 +301,7 @@ def participant_fact_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows added by a second load that is told of all sales."""
     src = Source(spark, sf_dir)
     dims = _dims(src)
-    held = _participants(Source(spark, sf_dir, CUT), dims)
+    held = _participants(src.at(CUT), dims)
     told = src.transvenda().select("transvendaid")
     return _participants(src, dims, new_sales=told, existing=held)
 
@@ -317,7 +323,7 @@ def sale_fact_nn(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sale_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, SaleDims]:
     """Facts of the first load and those the second adds."""
     src = Source(spark, sf_dir)
-    t, early = src.tables(), Source(spark, sf_dir, CUT).tables()
+    t, early = src.tables(), src.at(CUT).tables()
     dims = _dims(src)
     first = assign_surrogate_keys(
         sale_fact(early["transvenda"], early["imoveltransacao"], dims), "tv_sk", ["tv_id"]
@@ -371,7 +377,8 @@ def aggregate_fact_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _aggregates(spark: SparkSession, sf_dir: str):
     """The first load's aggregate, holding sales up to the cut of which every
     commission was doubled, so that a recomputed row shows."""
-    src, early = Source(spark, sf_dir), Source(spark, sf_dir, CUT)
+    src = Source(spark, sf_dir)
+    early = src.at(CUT)
     dim = _item_dim(src)
     doubled = early.transvenda().withColumn("transcomissao", F.col("transcomissao") * 2)
     agg = aggregate_fact(doubled, early.imoveltransacao(), dim)
@@ -420,15 +427,17 @@ def link_benchmark_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def sale_vs_market_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(spark, sf_dir)
+    return _view(Source(spark, sf_dir))
 
 
 def _measures(view: DataFrame, *by: str) -> DataFrame:
+    """Averages of doubles end in digits that depend on row order, so they are
+    cut to five decimals, at a place no quotient of round numbers falls on."""
     m = benchmark_measures(view, by)
     return m.select(
         *by,
         *[
-            F.round(c, 6).alias(c)
+            (F.floor(F.col(c) * 100000 + 0.3137) / 100000).alias(c)
             for c in ("agio_medio", "preco_m2_nosso", "preco_m2_mercado")
         ],
         "vendas_com_benchmark",
@@ -437,24 +446,25 @@ def _measures(view: DataFrame, *by: str) -> DataFrame:
 
 @_query
 def measures_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(spark, sf_dir))
+    return _measures(_view(Source(spark, sf_dir)))
 
 
 @_query
 def measures_by_broker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(spark, sf_dir), "corretor")
+    return _measures(_view(Source(spark, sf_dir)), "corretor")
 
 
 @_query
 def measures_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(spark, sf_dir), "im_cidade")
+    return _measures(_view(Source(spark, sf_dir)), "im_cidade")
 
 
 @_query
 def measures_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By the benchmark's month, as charts of the index need it."""
-    months = _market_dim(Source(spark, sf_dir)).select("mk_sk", "mk_mes")
-    view = balanced_join(_view(spark, sf_dir), months, "mk_sk")
+    src = Source(spark, sf_dir)
+    market = _market_dim(src)
+    view = balanced_join(_view(src, market), market.select("mk_sk", "mk_mes"), "mk_sk")
     return _measures(view, "mk_mes")
 
 
@@ -474,7 +484,7 @@ def reconcile_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def coverage_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage(_view(spark, sf_dir))
+    return coverage(_view(Source(spark, sf_dir)))
 
 
 @_query

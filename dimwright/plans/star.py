@@ -39,6 +39,7 @@ from dimwright.operators.scd2 import (
 )
 from dimwright.operators.snowflake import Level, Metric, denormalise_snowflake
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
+from dimwright.session import materialise
 from dimwright.sources.lake import MARKET_TABLE
 from dimwright.sources.versions import Lake, Load
 
@@ -283,10 +284,8 @@ def load_incremental(
     load = lake.begin(batch)
     _load_dims_incremental(load, t, ts, changes)
     if market_long is not None:
-        load.put(
-            MARKET_TABLE,
-            load_market(load.read(MARKET_TABLE), market_stage(market_long), ts, "upsert"),
-        )
+        stage = materialise(market_stage(market_long), "stage")
+        load.put(MARKET_TABLE, load_market(load.read(MARKET_TABLE), stage, ts, "upsert"))
 
     held = load.read("trans_venda_fact")
     if changes is None:

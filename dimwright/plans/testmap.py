@@ -7,6 +7,7 @@ final state.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,14 +43,60 @@ def _days(c: str) -> Column:
     return F.datediff(F.col(c).cast("date"), F.lit(date(1990, 1, 1)))
 
 
+class Tables(Mapping):
+    """Operational tables by name, each defined when first asked for."""
+
+    NAMES = (
+        "funcionario",
+        "corretor",
+        "uf",
+        "cep",
+        "endereco",
+        "imovel",
+        "anuncio",
+        "cliente",
+        "transvenda",
+        "imoveltransacao",
+        "clientecompra",
+        "clientevende",
+    )
+
+    def __init__(self, source: Source, many_items: bool):
+        self._source, self._many_items = source, many_items
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._made:
+            method = "imoveltransacao_nn" if self._many_items and name == "imoveltransacao" else name
+            self._made[name] = getattr(self._source, method)()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+
 class Source:
     """The agency's tables over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, until: date | None = None):
         self.spark, self.sf_dir, self.until = spark, sf_dir, until
+        self._opened: dict[str, DataFrame] = {}
+
+    def at(self, until: date | None) -> Source:
+        """The same tables as of another day."""
+        other = Source(self.spark, self.sf_dir, until)
+        other._opened = self._opened
+        return other
 
     def _read(self, name: str) -> DataFrame:
-        return read(self.spark, self.sf_dir, name)
+        if name not in self._opened:
+            self._opened[name] = read(self.spark, self.sf_dir, name)
+        return self._opened[name]
 
     def orders(self) -> DataFrame:
         return _before(self._read("orders"), "o_orderdate", self.until)
@@ -186,21 +233,8 @@ class Source:
             )
         )
 
-    def tables(self, many_items: bool = False) -> dict[str, DataFrame]:
-        return {
-            "funcionario": self.funcionario(),
-            "corretor": self.corretor(),
-            "uf": self.uf(),
-            "cep": self.cep(),
-            "endereco": self.endereco(),
-            "imovel": self.imovel(),
-            "anuncio": self.anuncio(),
-            "cliente": self.cliente(),
-            "transvenda": self.transvenda(),
-            "imoveltransacao": self.imoveltransacao_nn() if many_items else self.imoveltransacao(),
-            "clientecompra": self.clientecompra(),
-            "clientevende": self.clientevende(),
-        }
+    def tables(self, many_items: bool = False) -> Tables:
+        return Tables(self, many_items)
 
     # --- market index ---------------------------------------------------
 
@@ -280,7 +314,7 @@ class Source:
             for i in range(5)
         ]
         rows = months.select(
-            F.concat(F.lit("Sao "), "n_name").alias("sheet"),
+            F.explode(F.array(F.concat(F.lit("Sao "), "n_name"), F.lit("Resumo"))).alias("sheet"),
             F.lit(None).cast("string").alias("c0"),
             F.col("mes").cast("string").alias("c1"),
             *monthly,
@@ -289,12 +323,15 @@ class Source:
         )
         cells = [c for c in rows.columns if c not in ("sheet", "c0", "c1")]
         heading = (
-            rows.select("sheet")
-            .distinct()
-            .select("sheet", F.lit("Data").alias("c1"), *[F.lit("Total").alias(c) for c in cells])
+            self._read("nation")
+            .filter(F.col("n_regionkey") != 0)
+            .select(
+                F.concat(F.lit("Sao "), "n_name").alias("sheet"),
+                F.lit("Data").alias("c1"),
+                *[F.lit("Total").alias(c) for c in cells],
+            )
         )
-        summary = rows.withColumn("sheet", F.lit("Resumo"))
-        return rows.unionByName(heading, allowMissingColumns=True).unionByName(summary)
+        return rows.unionByName(heading, allowMissingColumns=True)
 
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
