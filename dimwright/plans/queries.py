@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_
 from dimwright.session import fresh_path, materialise
 from dimwright.sources.lake import MARKET_TABLE, land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
-from dimwright.streaming.feed import changed_keys, consume_feed, follow_feed, latest_change
+from dimwright.streaming.feed import changed_keys, consume_feed, follow_feed, latest_change, read_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -257,8 +258,6 @@ def snowflake_property(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def snowflake_property_early(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same before the first month's ads were all out: some have none."""
-    from datetime import date
-
     return star.item_source(Source(spark, sf_dir, date(1995, 2, 1)).tables())
 
 
@@ -518,8 +517,6 @@ def feed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     distinct keys, and the batches together name the batch run's keys."""
     feed_dir, out = fresh_path(spark, "feed"), fresh_path(spark, "feed-keys")
     event_feed(spark, sf_dir).repartitionByRange(4, "seq").write.parquet(feed_dir)
-    from dimwright.streaming.feed import read_feed
-
     def note(batch: DataFrame, batch_id: int) -> None:
         path = f"{out}/batch={batch_id}"
         changed_keys(batch).write.mode("overwrite").parquet(path)
@@ -535,12 +532,11 @@ def feed_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broker dimension kept up to date by the stream, one commit per batch;
     ends where the batch run over all changed keys ends."""
     feed_dir = fresh_path(spark, "feed")
-    event_feed(spark, sf_dir).repartitionByRange(3, "seq").write.parquet(feed_dir)
+    event_feed(spark, sf_dir).repartitionByRange(2, "seq").write.parquet(feed_dir)
     lake = Lake(spark, fresh_path(spark, "lake"))
-    first, last = Source(spark, sf_dir, CUT), Source(spark, sf_dir)
+    last = Source(spark, sf_dir)
+    first = last.at(CUT)
     star.load_initial(lake, first.tables(), wide_to_long(first.wide_sheet()), TS0)
-    from dimwright.streaming.feed import read_feed
-
     follow_feed(
         lake,
         read_feed(spark, feed_dir, files_per_batch=1),
@@ -600,7 +596,8 @@ def _natural(lake: Lake) -> dict[str, DataFrame]:
 def pipeline_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load plus an incremental one against a single load of the final
     state: rows of each current slice, and how many differ."""
-    first, last = Source(spark, sf_dir, CUT), Source(spark, sf_dir)
+    last = Source(spark, sf_dir)
+    first = last.at(CUT)
     steps = Lake(spark, fresh_path(spark, "lake"))
     star.load_initial(steps, first.tables(), wide_to_long(first.wide_sheet()), TS0)
     star.load_incremental(steps, last.tables(), wide_to_long(last.wide_sheet()), TS1)

@@ -8,6 +8,7 @@ clientecompra and clientevende.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -211,31 +212,56 @@ def _load_dims_initial(load: Load, t: Tables, ts: datetime) -> None:
     _put_dim(load, "imovel_dimension", scd2_fill(item, item_extra(t), ITEM, ITEM_EXTRA))
 
 
-def _load_dims_incremental(
-    load: Load, t: Tables, ts: datetime, changes: DataFrame | None
-) -> None:
-    days = date_dimension(t["transvenda"], "transvendadata", load.read("data_dimension"))
-    load.append("data_dimension", days)
+@dataclass(frozen=True)
+class Changes:
+    """Keys to look at; without a feed everything is compared."""
 
-    def keys(entity: str, nk: str, kind: str) -> DataFrame | None:
-        if changes is None:
+    rows: DataFrame | None  # entity, key
+    entities: frozenset[str]
+
+    ALL = frozenset({"corretor", "cliente", "imovel", "transvenda"})
+
+    @classmethod
+    def of(cls, rows: DataFrame | None) -> Changes:
+        if rows is None:
+            return cls(None, cls.ALL)
+        stored = materialise(rows.select("entity", "key").distinct(), "changes")
+        # a handful of entity names, not the keys
+        named = stored.select("entity").distinct().collect()
+        return cls(stored, frozenset(r[0] for r in named))
+
+    def keys(self, entity: str, column: str, kind: str) -> DataFrame | None:
+        if self.rows is None:
             return None
-        return changes.filter(F.col("entity") == entity).select(F.col("key").cast(kind).alias(nk))
+        return self.rows.filter(F.col("entity") == entity).select(
+            F.col("key").cast(kind).alias(column)
+        )
 
+
+def _load_dims_incremental(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
+    """Dimensions of the entities that changed; the others are carried over."""
+    if "transvenda" in changes.entities:
+        days = date_dimension(t["transvenda"], "transvendadata", load.read("data_dimension"))
+        load.append("data_dimension", days)
     for table, names, source, attrs, entity in (
-        ("corretor_dimension", BROKER, broker_source(t), BROKER_ATTRS, "corretor"),
-        ("cliente_dimension", CLIENT, client_source(t), CLIENT_ATTRS, "cliente"),
+        ("corretor_dimension", BROKER, broker_source, BROKER_ATTRS, "corretor"),
+        ("cliente_dimension", CLIENT, client_source, CLIENT_ATTRS, "cliente"),
     ):
-        merge = scd2_merge_parts(
-            load.read(table), source, names, attrs, ts, keys(entity, names.nk, "string")
-        )
-        _put_merge(load, table, merge)
+        if entity in changes.entities:
+            keys = changes.keys(entity, names.nk, "string")
+            merge = scd2_merge_parts(load.read(table), source(t), names, attrs, ts, keys)
+            _put_merge(load, table, merge)
+    if "imovel" in changes.entities:
+        _load_items(load, t, ts, changes)
 
+
+def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
+    """Address and ads first, then type, rooms and area; written once."""
     table = "imovel_dimension"
-    kind = load.read(table).schema[ITEM.nk].dataType.simpleString()
-    base = scd2_merge_parts(
-        load.read(table), item_source(t), ITEM, ITEM_ATTRS, ts, keys("imovel", ITEM.nk, kind)
-    )
+    dim = load.read(table)
+    kind = dim.schema[ITEM.nk].dataType.simpleString()
+    keys = changes.keys("imovel", ITEM.nk, kind)
+    base = scd2_merge_parts(dim, item_source(t), ITEM, ITEM_ATTRS, ts, keys)
     both = scd2_extend_parts(base.whole(), item_extra(t), ITEM, ITEM_EXTRA, ts)
     if base.changes.isEmpty() and both.changes.isEmpty():
         return
@@ -282,39 +308,45 @@ def load_incremental(
     if batch and lake.has_batch(batch):
         return lake.version()
     load = lake.begin(batch)
-    _load_dims_incremental(load, t, ts, changes)
+    seen = Changes.of(changes)
+    _load_dims_incremental(load, t, ts, seen)
     if market_long is not None:
         stage = materialise(market_stage(market_long), "stage")
         load.put(MARKET_TABLE, load_market(load.read(MARKET_TABLE), stage, ts, "upsert"))
 
-    held = load.read("trans_venda_fact")
-    if changes is None:
-        known = held.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
-        new_sales = balanced_join(
-            t["transvenda"].select(COLUMNS.sale), known, COLUMNS.sale, "left_anti"
-        )
-    else:
-        kind = t["transvenda"].schema[COLUMNS.sale].dataType.simpleString()
-        new_sales = changes.filter(F.col("entity") == "transvenda").select(
-            F.col("key").cast(kind).alias(COLUMNS.sale)
+    open_sales = load.read("trans_venda_fact", "open")
+    if "transvenda" in seen.entities:
+        held = load.read("trans_venda_fact")
+        new_sales = _new_sales(t, held, seen)
+        rows = participant_fact(
+            t["transvenda"],
+            t["imoveltransacao"],
+            t["clientecompra"],
+            t["clientevende"],
+            _sale_dims(load),
+            new_sales=new_sales,
+            existing=held,
         )
-    rows = participant_fact(
-        t["transvenda"],
-        t["imoveltransacao"],
-        t["clientecompra"],
-        t["clientevende"],
-        _sale_dims(load),
-        new_sales=new_sales,
-        existing=held,
-    )
-    rows = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
-    still_open = load.read("trans_venda_fact", "open")
-    _put_sales(load, still_open.unionByName(rows, allowMissingColumns=True))
-
-    _restate_months(load, t, new_sales)
+        rows = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
+        _put_sales(load, open_sales.unionByName(rows, allowMissingColumns=True))
+        _restate_months(load, t, new_sales)
+    elif market_long is not None or "imovel" in seen.entities:
+        _put_sales(load, open_sales)
     return load.commit()
 
 
+def _new_sales(t: Tables, held: DataFrame, changes: Changes) -> DataFrame:
+    kind = t["transvenda"].schema[COLUMNS.sale].dataType.simpleString()
+    told = changes.keys("transvenda", COLUMNS.sale, kind)
+    if told is not None:
+        return told
+    known = held.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
+    return materialise(
+        balanced_join(t["transvenda"].select(COLUMNS.sale), known, COLUMNS.sale, "left_anti"),
+        "new-sales",
+    )
+
+
 def _restate_months(load: Load, t: Tables, new_sales: DataFrame) -> None:
     """Recompute touched pairs; only the months they lie in are rewritten."""
     table = "receita_agregada_fact"
@@ -377,7 +409,7 @@ def load_bridge_initial(lake: Lake, t: Tables, ts: datetime) -> int:
 def load_bridge_incremental(lake: Lake, t: Tables, ts: datetime) -> int:
     """Full comparison; facts, bridges and aggregate rows are only appended."""
     load = lake.begin()
-    _load_dims_incremental(load, t, ts, None)
+    _load_dims_incremental(load, t, ts, Changes.of(None))
     held = load.read("trans_venda_fact")
     rows = sale_fact(t["transvenda"], t["imoveltransacao"], _sale_dims(load), existing=held)
     load.append(
