@@ -119,11 +119,13 @@ def scd2_merge_parts(
     of source and current slice, stored once together with their new
     surrogate keys, and everything else is derived from that small table.
     """
-    incoming = src.select(names.nk, *tracked)
+    incoming, known = src.select(names.nk, *tracked), current(dim, names)
     if changed_keys is not None:
+        # both sides shrink to the named keys before they meet
         keys = changed_keys.select(names.nk).distinct()
         incoming = balanced_join(incoming, keys, names.nk, "left_semi")
-    held = current(dim, names).select(
+        known = balanced_join(known, keys, names.nk, "left_semi")
+    held = known.select(
         F.col(names.nk),
         F.col(names.sk).alias("_closes"),
         *[F.col(a).alias(f"_old_{a}") for a in tracked],
@@ -184,19 +186,30 @@ def scd2_fill(
 
 
 def scd2_extend_parts(
-    dim: DataFrame, src: DataFrame, names: Versioned, new_attrs: Sequence[str], ts: datetime
+    dim: DataFrame,
+    src: DataFrame,
+    names: Versioned,
+    new_attrs: Sequence[str],
+    ts: datetime,
+    changed_keys: DataFrame | None = None,
 ) -> Merge:
     """Fill added attributes, then close current versions whose added
     attributes differ (NULL counts as a value) and open a copy with the new
     ones; a key whose versions are all closed reopens from the latest closed.
+    ``changed_keys`` limits all of it to those keys.
     """
+    if changed_keys is not None:
+        keys = changed_keys.select(names.nk).distinct()
+        src = balanced_join(src, keys, names.nk, "left_semi")
     filled = scd2_fill(dim, src, names, new_attrs)
     columns = filled.columns
     open_rows = current(filled, names)
     # normally none: a load closes and opens together
-    orphans = filled.filter(~F.col(names.is_current)).join(
-        open_rows.select(names.nk), names.nk, "left_anti"
-    )
+    past = filled.filter(~F.col(names.is_current))
+    if changed_keys is not None:
+        past = balanced_join(past, keys, names.nk, "left_semi")
+        open_rows = balanced_join(open_rows, keys, names.nk, "left_semi")
+    orphans = balanced_join(past, open_rows.select(names.nk), names.nk, "left_anti")
     rest = [c for c in columns if c != names.nk]
     newest = orphans.groupBy(names.nk).agg(
         F.max_by(F.struct(*rest), F.struct(names.valid_to, names.sk)).alias("v")
@@ -220,7 +233,12 @@ def scd2_extend_parts(
 
 
 def scd2_extend(
-    dim: DataFrame, src: DataFrame, names: Versioned, new_attrs: Sequence[str], ts: datetime
+    dim: DataFrame,
+    src: DataFrame,
+    names: Versioned,
+    new_attrs: Sequence[str],
+    ts: datetime,
+    changed_keys: DataFrame | None = None,
 ) -> DataFrame:
     """The whole dimension after :func:`scd2_extend_parts`."""
-    return scd2_extend_parts(dim, src, names, new_attrs, ts).whole()
+    return scd2_extend_parts(dim, src, names, new_attrs, ts, changed_keys).whole()

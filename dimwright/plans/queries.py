@@ -33,7 +33,7 @@ from dimwright.operators.scd2 import scd2_extend, scd2_fill, scd2_initial, scd2_
 from dimwright.operators.surrogate import assign_surrogate_keys
 from dimwright.plans import star
 from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_feed, read
-from dimwright.session import fresh_path, materialise
+from dimwright.session import fresh_path, materialise, together
 from dimwright.sources.lake import MARKET_TABLE, land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
 from dimwright.streaming.feed import changed_keys, consume_feed, follow_feed, latest_change, read_feed
@@ -80,7 +80,10 @@ def _market_dim(src: Source) -> DataFrame:
 
 
 def _dims(src: Source) -> SaleDims:
-    return SaleDims(_broker_dim(src), _item_dim(src), _client_dim(src))
+    broker, item, client = together(
+        src.spark, lambda: _broker_dim(src), lambda: _item_dim(src), lambda: _client_dim(src)
+    )
+    return SaleDims(broker, item, client)
 
 
 def _participants(src: Source, dims: SaleDims, many_items: bool = False, **more) -> DataFrame:
@@ -90,14 +93,20 @@ def _participants(src: Source, dims: SaleDims, many_items: bool = False, **more)
     )
 
 
-def _view(src: Source, market: DataFrame | None = None) -> DataFrame:
-    dims = _dims(src)
-    market = _market_dim(src) if market is None else market
+def _dims_and_market(src: Source) -> tuple[SaleDims, DataFrame]:
+    dims, market = together(src.spark, lambda: _dims(src), lambda: _market_dim(src))
+    return dims, market
+
+
+def _view(src: Source) -> tuple[DataFrame, DataFrame]:
+    """Sales against the market, and the market."""
+    dims, market = _dims_and_market(src)
     fact = link_benchmark(
         derive_unit_price(_participants(src, dims), dims.item), dims.item, market
     )
     # all rows of a sale agree here, so any order picks the same sale row
-    return sale_vs_market(fact, dims.broker, dims.item, _date_dim(src), market, first_by="cl_sk")
+    view = sale_vs_market(fact, dims.broker, dims.item, _date_dim(src), market, first_by="cl_sk")
+    return view, market
 
 
 # --- lake ------------------------------------------------------------------
@@ -139,7 +148,7 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_subset_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows of cities where properties have been sold, as exported."""
     src = Source(spark, sf_dir)
-    dim, market = _item_dim(src), _market_dim(src)
+    dim, market = together(spark, lambda: _item_dim(src), lambda: _market_dim(src))
     out = fresh_path(spark, "gold")
     publish_gold({"imovel_dimension": dim, MARKET_TABLE: market}, out, fmt="csv")
     back = read_landed(spark, f"{out}/{MARKET_TABLE}", market.schema, fmt="csv")
@@ -419,14 +428,14 @@ def unit_price_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def link_benchmark_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = Source(spark, sf_dir)
-    dims, t = _dims(src), src.tables()
+    (dims, market), t = _dims_and_market(src), src.tables()
     fact = sale_fact(t["transvenda"], t["imoveltransacao"], dims)
-    return link_benchmark(fact, dims.item, _market_dim(src)).select("tv_id", "im_sk", "mk_sk")
+    return link_benchmark(fact, dims.item, market).select("tv_id", "im_sk", "mk_sk")
 
 
 @_query
 def sale_vs_market_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _view(Source(spark, sf_dir))
+    return _view(Source(spark, sf_dir))[0]
 
 
 def _measures(view: DataFrame, *by: str) -> DataFrame:
@@ -445,25 +454,24 @@ def _measures(view: DataFrame, *by: str) -> DataFrame:
 
 @_query
 def measures_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(Source(spark, sf_dir)))
+    return _measures(_view(Source(spark, sf_dir))[0])
 
 
 @_query
 def measures_by_broker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(Source(spark, sf_dir)), "corretor")
+    return _measures(_view(Source(spark, sf_dir))[0], "corretor")
 
 
 @_query
 def measures_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _measures(_view(Source(spark, sf_dir)), "im_cidade")
+    return _measures(_view(Source(spark, sf_dir))[0], "im_cidade")
 
 
 @_query
 def measures_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By the benchmark's month, as charts of the index need it."""
-    src = Source(spark, sf_dir)
-    market = _market_dim(src)
-    view = balanced_join(_view(src, market), market.select("mk_sk", "mk_mes"), "mk_sk")
+    view, market = _view(Source(spark, sf_dir))
+    view = balanced_join(view, market.select("mk_sk", "mk_mes"), "mk_sk")
     return _measures(view, "mk_mes")
 
 
@@ -483,7 +491,7 @@ def reconcile_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def coverage_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage(_view(Source(spark, sf_dir)))
+    return coverage(_view(Source(spark, sf_dir))[0])
 
 
 @_query

@@ -7,7 +7,7 @@ clientecompra and clientevende.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -34,13 +34,12 @@ from dimwright.operators.scd2 import (
     Versioned,
     current,
     scd2_extend_parts,
-    scd2_fill,
     scd2_initial,
     scd2_merge_parts,
 )
 from dimwright.operators.snowflake import Level, Metric, denormalise_snowflake
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
-from dimwright.session import materialise
+from dimwright.session import materialise, together
 from dimwright.sources.lake import MARKET_TABLE
 from dimwright.sources.versions import Lake, Load
 
@@ -155,10 +154,6 @@ def load_market(dim: DataFrame | None, stage: DataFrame, ts: datetime, mode: str
 # --- storing -------------------------------------------------------------
 
 
-def _put_dim(load: Load, table: str, dim: DataFrame) -> None:
-    load.put(table, dim, "current")
-
-
 def _put_merge(load: Load, table: str, merge: Merge) -> None:
     """Rewrite the current slice, append the versions just closed; versions
     closed by earlier loads stay where they are."""
@@ -204,12 +199,25 @@ def _sale_dims(load: Load) -> SaleDims:
     )
 
 
-def _load_dims_initial(load: Load, t: Tables, ts: datetime) -> None:
-    load.put("data_dimension", date_dimension(t["transvenda"], "transvendadata"))
-    _put_dim(load, "corretor_dimension", scd2_initial(broker_source(t), BROKER, BROKER_ATTRS, ts))
-    _put_dim(load, "cliente_dimension", scd2_initial(client_source(t), CLIENT, CLIENT_ATTRS, ts))
-    item = scd2_initial(item_source(t), ITEM, ITEM_ATTRS, ts)
-    _put_dim(load, "imovel_dimension", scd2_fill(item, item_extra(t), ITEM, ITEM_EXTRA))
+def _load_dims_initial(load: Load, t: Tables, ts: datetime, *more: Callable[[], None]) -> None:
+    """All dimensions, side by side with whatever else needs none of them."""
+
+    def versioned(table: str, rows: DataFrame, names: Versioned, attrs: list[str]) -> None:
+        load.put(table, scd2_initial(rows, names, attrs, ts), "current")
+
+    def items() -> None:
+        # a first load knows all attributes, so there is nothing to fill later
+        rows = item_source(t).join(item_extra(t), ITEM.nk)
+        versioned("imovel_dimension", rows, ITEM, [*ITEM_ATTRS, *ITEM_EXTRA])
+
+    together(
+        load.lake.spark,
+        lambda: load.put("data_dimension", date_dimension(t["transvenda"], "transvendadata")),
+        lambda: versioned("corretor_dimension", broker_source(t), BROKER, BROKER_ATTRS),
+        lambda: versioned("cliente_dimension", client_source(t), CLIENT, CLIENT_ATTRS),
+        items,
+        *more,
+    )
 
 
 @dataclass(frozen=True)
@@ -238,21 +246,33 @@ class Changes:
         )
 
 
-def _load_dims_incremental(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
-    """Dimensions of the entities that changed; the others are carried over."""
-    if "transvenda" in changes.entities:
+def _load_dims_incremental(
+    load: Load, t: Tables, ts: datetime, changes: Changes, *more: Callable[[], None]
+) -> None:
+    """Dimensions of the entities that changed, side by side; the others are
+    carried over."""
+
+    def dates() -> None:
         days = date_dimension(t["transvenda"], "transvendadata", load.read("data_dimension"))
         load.append("data_dimension", days)
-    for table, names, source, attrs, entity in (
-        ("corretor_dimension", BROKER, broker_source, BROKER_ATTRS, "corretor"),
-        ("cliente_dimension", CLIENT, client_source, CLIENT_ATTRS, "cliente"),
-    ):
-        if entity in changes.entities:
-            keys = changes.keys(entity, names.nk, "string")
-            merge = scd2_merge_parts(load.read(table), source(t), names, attrs, ts, keys)
-            _put_merge(load, table, merge)
-    if "imovel" in changes.entities:
-        _load_items(load, t, ts, changes)
+
+    def people(table: str, names: Versioned, rows: DataFrame, attrs: list[str], entity: str) -> None:
+        keys = changes.keys(entity, names.nk, "string")
+        _put_merge(load, table, scd2_merge_parts(load.read(table), rows, names, attrs, ts, keys))
+
+    steps = {
+        "transvenda": dates,
+        "corretor": lambda: people(
+            "corretor_dimension", BROKER, broker_source(t), BROKER_ATTRS, "corretor"
+        ),
+        "cliente": lambda: people(
+            "cliente_dimension", CLIENT, client_source(t), CLIENT_ATTRS, "cliente"
+        ),
+        "imovel": lambda: _load_items(load, t, ts, changes),
+    }
+    due = [step for entity, step in steps.items() if entity in changes.entities]
+    if due or more:
+        together(load.lake.spark, *due, *more)
 
 
 def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
@@ -262,7 +282,7 @@ def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
     kind = dim.schema[ITEM.nk].dataType.simpleString()
     keys = changes.keys("imovel", ITEM.nk, kind)
     base = scd2_merge_parts(dim, item_source(t), ITEM, ITEM_ATTRS, ts, keys)
-    both = scd2_extend_parts(base.whole(), item_extra(t), ITEM, ITEM_EXTRA, ts)
+    both = scd2_extend_parts(base.whole(), item_extra(t), ITEM, ITEM_EXTRA, ts, keys)
     if base.changes.isEmpty() and both.changes.isEmpty():
         return
     columns = base.closed.columns
@@ -276,17 +296,23 @@ def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
 def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime) -> int:
     """Dimensions, facts, aggregate, market, unit prices and links, as one commit."""
     load = lake.begin()
-    _load_dims_initial(load, t, ts)
-    load.put(MARKET_TABLE, load_market(None, market_stage(market_long), ts, "insert_only"))
+
+    def market() -> None:
+        load.put(MARKET_TABLE, load_market(None, market_stage(market_long), ts, "insert_only"))
+
+    _load_dims_initial(load, t, ts, market)
     rows = participant_fact(
         t["transvenda"], t["imoveltransacao"], t["clientecompra"], t["clientevende"], _sale_dims(load)
     )
-    _put_sales(load, assign_surrogate_keys(rows, "tv_sk"))
     agg = aggregate_fact(
         t["transvenda"], t["imoveltransacao"], load.read("imovel_dimension"), load.read("data_dimension")
     )
-    load.put_split(
-        "receita_agregada_fact", _month_part(assign_surrogate_keys(agg, "ra_sk")), "_month"
+    together(
+        lake.spark,
+        lambda: _put_sales(load, assign_surrogate_keys(rows, "tv_sk")),
+        lambda: load.put_split(
+            "receita_agregada_fact", _month_part(assign_surrogate_keys(agg, "ra_sk")), "_month"
+        ),
     )
     return load.commit()
 
@@ -309,11 +335,12 @@ def load_incremental(
         return lake.version()
     load = lake.begin(batch)
     seen = Changes.of(changes)
-    _load_dims_incremental(load, t, ts, seen)
-    if market_long is not None:
+
+    def market() -> None:
         stage = materialise(market_stage(market_long), "stage")
         load.put(MARKET_TABLE, load_market(load.read(MARKET_TABLE), stage, ts, "upsert"))
 
+    _load_dims_incremental(load, t, ts, seen, *([market] if market_long is not None else []))
     open_sales = load.read("trans_venda_fact", "open")
     if "transvenda" in seen.entities:
         held = load.read("trans_venda_fact")
@@ -327,9 +354,12 @@ def load_incremental(
             new_sales=new_sales,
             existing=held,
         )
-        rows = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
-        _put_sales(load, open_sales.unionByName(rows, allowMissingColumns=True))
-        _restate_months(load, t, new_sales)
+
+        def sales() -> None:
+            keyed = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
+            _put_sales(load, open_sales.unionByName(keyed, allowMissingColumns=True))
+
+        together(lake.spark, sales, lambda: _restate_months(load, t, new_sales))
     elif market_long is not None or "imovel" in seen.entities:
         _put_sales(load, open_sales)
     return load.commit()

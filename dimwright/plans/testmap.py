@@ -7,13 +7,15 @@ final state.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from datetime import date, datetime
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.functions import band_of
+from dimwright.session import materialise
 
 # The first load sees everything before this day, the second everything.
 CUT = date(2000, 1, 1)
@@ -86,17 +88,27 @@ class Source:
     def __init__(self, spark: SparkSession, sf_dir: str, until: date | None = None):
         self.spark, self.sf_dir, self.until = spark, sf_dir, until
         self._opened: dict[str, DataFrame] = {}
+        self._lock = RLock()
 
     def at(self, until: date | None) -> Source:
         """The same tables as of another day."""
         other = Source(self.spark, self.sf_dir, until)
-        other._opened = self._opened
+        other._opened, other._lock = self._opened, self._lock
         return other
 
+    def _landed(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """Link tables are drawn from the line items once and then read from
+        where they were stored, however many joins use them."""
+        with self._lock:
+            if name not in self._opened:
+                self._opened[name] = materialise(make(), name)
+            return self._opened[name]
+
     def _read(self, name: str) -> DataFrame:
-        if name not in self._opened:
-            self._opened[name] = read(self.spark, self.sf_dir, name)
-        return self._opened[name]
+        with self._lock:
+            if name not in self._opened:
+                self._opened[name] = read(self.spark, self.sf_dir, name)
+            return self._opened[name]
 
     def orders(self) -> DataFrame:
         return _before(self._read("orders"), "o_orderdate", self.until)
@@ -113,29 +125,34 @@ class Source:
 
     def imoveltransacao(self) -> DataFrame:
         """One property per sale."""
-        return (
-            self._read("lineitem")
+        return self._landed(
+            "imoveltransacao",
+            lambda: self._read("lineitem")
             .groupBy(F.col("l_orderkey").alias("transvendaid"))
-            .agg(F.min("l_partkey").alias("imovelid"))
+            .agg(F.min("l_partkey").alias("imovelid")),
         )
 
     def imoveltransacao_nn(self) -> DataFrame:
         """All properties of a sale."""
-        return (
-            self._read("lineitem")
+        return self._landed(
+            "imoveltransacao_nn",
+            lambda: self._read("lineitem")
             .select(
                 F.col("l_orderkey").alias("transvendaid"), F.col("l_partkey").alias("imovelid")
             )
-            .distinct()
+            .distinct(),
         )
 
     def _clients(self, status: str) -> DataFrame:
-        return (
-            self._read("lineitem")
+        return self._landed(
+            f"clients-{status}",
+            lambda: self._read("lineitem")
             .filter(F.col("l_linestatus") == status)
             .select("l_orderkey", "l_suppkey")
             .distinct()
-            .select(F.col("l_orderkey").alias("transvendaid"), tax_id("l_suppkey").alias("clientecpf"))
+            .select(
+                F.col("l_orderkey").alias("transvendaid"), tax_id("l_suppkey").alias("clientecpf")
+            ),
         )
 
     def clientecompra(self) -> DataFrame:

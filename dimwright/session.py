@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -48,3 +52,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
+    """Run independent steps side by side, so that the jobs of one fill the
+    cores another leaves idle; returns their results in order."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [f.result() for f in futures]
