@@ -29,7 +29,7 @@ def _as_col(c: Column | str) -> Column:
 def fold_key(c: Column | str) -> Column:
     """Accent-free, trimmed, upper-case join key."""
     plain = F.translate(F.trim(_as_col(c)), ACCENTED + _SHARP_S, PLAIN + _PLACEHOLDER)
-    return F.translate(F.upper(plain), _PLACEHOLDER, _SHARP_S)
+    return F.replace(F.upper(plain), F.lit(_PLACEHOLDER), F.lit(_SHARP_S))
 
 
 def _latin_letters() -> tuple[str, str]:

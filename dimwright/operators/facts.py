@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from dimwright.functions import date_key, unit_price
 from dimwright.operators.joins import balanced_join
+from dimwright.session import materialise
 
 BUYER = "COMPRADOR"
 SELLER = "VENDEDOR"
@@ -97,7 +98,8 @@ def participant_fact(
     """
     everyone = participants(buyers, sellers, c)
     if new_sales is not None:
-        ids = new_sales.select(c.sale).distinct()
+        # as large as the batch, and read five times below
+        ids = materialise(new_sales.select(c.sale).distinct(), "new-sales")
         sale = balanced_join(sale, ids, c.sale, "left_semi")
         sale_item = balanced_join(sale_item, ids, c.sale, "left_semi")
         everyone = balanced_join(everyone, ids, c.sale, "left_semi")
@@ -240,7 +242,8 @@ def restate_parts(
 ) -> tuple[DataFrame, DataFrame]:
     """Kept and recomputed rows of :func:`restate_aggregate`."""
     ids = new_sales.select(c.sale).distinct()
-    touched = touched_pairs(ids, sale, sale_item, c)
+    # as large as the batch, and read four times below
+    touched = materialise(touched_pairs(ids, sale, sale_item, c), "touched")
     # only sales of touched items on touched days are read past this point
     days = touched.select(c.date).distinct()
     items = touched.select(c.item).distinct()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # file sizes below filters, projections and aggregates, the product of both
 # sides for a join. Rows multiplied by a generator are to be stored first.
 BROADCAST_BYTES_CONF = "spark.dimwright.broadcastBytes"
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 16 << 20
 # A key above this share of the rows is hot; at most 1 / share keys can be.
 HOT_SHARE_CONF = "spark.dimwright.hotShare"
 HOT_SHARE = 0.02

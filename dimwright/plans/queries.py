@@ -309,7 +309,7 @@ def participant_fact_incr(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows added by a second load that is told of all sales."""
     src = Source(spark, sf_dir)
     dims = _dims(src)
-    held = _participants(src.at(CUT), dims)
+    held = materialise(_participants(src.at(CUT), dims), "held")
     told = src.transvenda().select("transvendaid")
     return _participants(src, dims, new_sales=told, existing=held)
 
@@ -389,7 +389,7 @@ def _aggregates(spark: SparkSession, sf_dir: str):
     early = src.at(CUT)
     dim = _item_dim(src)
     doubled = early.transvenda().withColumn("transcomissao", F.col("transcomissao") * 2)
-    agg = aggregate_fact(doubled, early.imoveltransacao(), dim)
+    agg = materialise(aggregate_fact(doubled, early.imoveltransacao(), dim), "held")
     return agg, src, dim
 
 

@@ -344,7 +344,7 @@ def load_incremental(
     open_sales = load.read("trans_venda_fact", "open")
     if "transvenda" in seen.entities:
         held = load.read("trans_venda_fact")
-        new_sales = _new_sales(t, held, seen)
+        new_sales = materialise(_new_sales(t, held, seen).distinct(), "new-sales")
         rows = participant_fact(
             t["transvenda"],
             t["imoveltransacao"],
@@ -371,10 +371,7 @@ def _new_sales(t: Tables, held: DataFrame, changes: Changes) -> DataFrame:
     if told is not None:
         return told
     known = held.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
-    return materialise(
-        balanced_join(t["transvenda"].select(COLUMNS.sale), known, COLUMNS.sale, "left_anti"),
-        "new-sales",
-    )
+    return balanced_join(t["transvenda"].select(COLUMNS.sale), known, COLUMNS.sale, "left_anti")
 
 
 def _restate_months(load: Load, t: Tables, new_sales: DataFrame) -> None:
