@@ -41,7 +41,7 @@ from dimwright.operators.snowflake import Level, Metric, denormalise_snowflake
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
 from dimwright.session import materialise, together
 from dimwright.sources.lake import MARKET_TABLE
-from dimwright.sources.versions import Lake, Load
+from dimwright.sources.versions import Lake, Load, empty
 
 Tables = Mapping[str, DataFrame]
 
@@ -391,7 +391,7 @@ def _restate_months(load: Load, t: Tables, new_sales: DataFrame) -> None:
     near_agg = (
         spark.read.schema(agg.schema).parquet(*near)
         if near
-        else spark.createDataFrame([], agg.schema)
+        else empty(spark, agg.schema)
     )
     pairs, fresh = restate_parts(
         near_agg, new_sales, sale, lines, load.read("imovel_dimension"), load.read("data_dimension")

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from dimwright.session import local_session  # noqa: E402
+from dimwright.session import local_session, materialise  # noqa: E402
 
 T0 = datetime(2025, 8, 1, 9, 0)
 T1 = datetime(2025, 9, 1, 9, 0)
@@ -55,7 +55,8 @@ def agency(spark):
     """
 
     def make(data, schema):
-        return spark.createDataFrame(data, schema)
+        # stored, as operational tables are: their size is known to the planner
+        return materialise(spark.createDataFrame(data, schema).coalesce(1), "fixture")
 
     return {
         "funcionario": make(
@@ -139,7 +140,7 @@ def agency(spark):
 @pytest.fixture(scope="session")
 def index(spark):
     """Silver rows of the index: one city with the total band only."""
-    return spark.createDataFrame(
+    silver = spark.createDataFrame(
         [
             ("Vitoria", "VITORIA", date(2025, 3, 1), "Total", 13001.78, 0.01, 0.15),
             ("Rio de Janeiro", "RIO DE JANEIRO", date(2025, 4, 1), "Total", 9999.0, 0.01, 0.02),
@@ -149,3 +150,4 @@ def index(spark):
         "cidade string, cidade_norm string, mes date, dormitorios string, preco_m2 double, "
         "var_mensal double, var_12m double",
     )
+    return materialise(silver.coalesce(1), "fixture")
