@@ -63,43 +63,58 @@ def scd2_initial(
 
 @dataclass(frozen=True)
 class Merge:
-    """Outcome of a merge in the pieces a store needs to write."""
+    """Outcome of a merge, as a whole and in the pieces a store writes.
 
-    closed: DataFrame  # versions closed by this load
-    opened: DataFrame  # versions added by this load
-    kept: DataFrame  # current versions left as they were
-    past: DataFrame  # versions closed earlier, never touched
-    changes: DataFrame  # stored rows behind closed and opened; empty = no change
+    ``changes`` is stored and holds one row per version to open, with the key
+    of the version it replaces in ``_closes``. The dimension itself is only
+    read past a look-up of those few keys; while they fit a broadcast it is
+    not shuffled.
+    """
 
-    def whole(self) -> DataFrame:
-        return (
-            self.past.unionByName(self.closed).unionByName(self.kept).unionByName(self.opened)
+    dim: DataFrame
+    changes: DataFrame
+    names: Versioned
+    ts: datetime
+
+    @property
+    def _closing(self) -> DataFrame:
+        return self.changes.filter(F.col("_closes").isNotNull()).select(
+            F.col("_closes").alias(self.names.sk)
         )
 
+    @property
+    def opened(self) -> DataFrame:
+        """Versions this load adds."""
+        return _open_version(self.changes, self.names, self.ts).select(*self.dim.columns)
 
-def _apply(
-    dim: DataFrame, changes: DataFrame, names: Versioned, ts: datetime, columns: Sequence[str]
-) -> Merge:
-    """Close the versions named in ``_closes`` of the stored ``changes`` and
-    open their new ones. The dimension is only read past a look-up of the few
-    closed keys; it is not shuffled while those fit a broadcast."""
-    closing = changes.filter(F.col("_closes").isNotNull()).select(
-        F.col("_closes").alias(names.sk), F.lit(True).alias("_closing")
-    )
-    marked = balanced_join(current(dim, names), closing, names.sk, "left")
-    closed = (
-        marked.filter(F.col("_closing"))
-        .withColumn(names.valid_to, _moment(ts))
-        .withColumn(names.is_current, F.lit(False))
-    )
-    kept = marked.filter(F.col("_closing").isNull())
-    return Merge(
-        closed=closed.select(*columns),
-        opened=_open_version(changes, names, ts).select(*columns),
-        kept=kept.select(*columns),
-        past=dim.filter(~F.col(names.is_current)).select(*columns),
-        changes=changes,
-    )
+    @property
+    def closed(self) -> DataFrame:
+        """Versions this load closes."""
+        rows = balanced_join(
+            current(self.dim, self.names), self._closing, self.names.sk, "left_semi"
+        )
+        return rows.withColumn(self.names.valid_to, _moment(self.ts)).withColumn(
+            self.names.is_current, F.lit(False)
+        )
+
+    @property
+    def kept(self) -> DataFrame:
+        """Current versions left as they were."""
+        return balanced_join(
+            current(self.dim, self.names), self._closing, self.names.sk, "left_anti"
+        )
+
+    def whole(self) -> DataFrame:
+        """Every version, in one pass over the dimension."""
+        names = self.names
+        marked = balanced_join(
+            self.dim, self._closing.withColumn("_closing", F.lit(True)), names.sk, "left"
+        )
+        is_closing = F.col("_closing").isNotNull()
+        rows = marked.withColumn(
+            names.valid_to, F.when(is_closing, _moment(self.ts)).otherwise(F.col(names.valid_to))
+        ).withColumn(names.is_current, F.col(names.is_current) & ~is_closing)
+        return rows.select(*self.dim.columns).unionByName(self.opened)
 
 
 def scd2_merge_parts(
@@ -143,7 +158,7 @@ def scd2_merge_parts(
     for c in others:  # columns this load does not know start empty
         if c not in (names.valid_from, names.valid_to, names.is_current):
             keyed = keyed.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
-    return _apply(dim, keyed, names, ts, dim.columns)
+    return Merge(dim, keyed, names, ts)
 
 
 def scd2_merge(
@@ -229,7 +244,7 @@ def scd2_extend_parts(
         .select(*carried, *new_attrs, "_closes")
     )
     keyed = assign_surrogate_keys(changes, names.sk, [names.nk], next_start(dim, names.sk))
-    return _apply(filled, keyed, names, ts, columns)
+    return Merge(filled, keyed, names, ts)
 
 
 def scd2_extend(
