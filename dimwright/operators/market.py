@@ -163,10 +163,11 @@ def sale_vs_market(
     )
     days = date_dim.select("dt_sk", "dt_data_completa")
     prices = market.select("mk_sk", "mk_preco_m2", "mk_var_12m")
-    rows = balanced_join(sales, items, "im_sk")
-    rows = balanced_join(rows, days, "dt_sk")
-    rows = balanced_join(rows, brokers, "cor_sk")
-    rows = balanced_join(rows, prices, "mk_sk", "left")
+    # hot keys are looked for in the fact itself, which is stored
+    rows = balanced_join(sales, items, "im_sk", keys_from=fact)
+    rows = balanced_join(rows, days, "dt_sk", keys_from=fact)
+    rows = balanced_join(rows, brokers, "cor_sk", keys_from=fact)
+    rows = balanced_join(rows, prices, "mk_sk", "left", keys_from=fact)
     return rows.select(
         "tv_id",
         "cor_sk",
