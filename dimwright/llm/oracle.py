@@ -40,24 +40,24 @@ def license_dice(bar: float = 0.75) -> str:
     return rf"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM documents),
 words AS (
-  SELECT doc_id, at, list_filter(string_split_regex(trim(regexp_replace(
+  SELECT doc_id, pos, list_filter(string_split_regex(trim(regexp_replace(
       regexp_replace(lower(line), '[^\p{{L}}\p{{N}}.]+', ' ', 'g'), '\.+( |\.|$)', ' ', 'g')), ' +'),
     w -> w <> '') AS w
   FROM lines),
 grams AS (
-  SELECT doc_id, at, len(w) - 1 AS n,
+  SELECT doc_id, pos, len(w) - 1 AS n,
     list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g
   FROM words WHERE len(w) BETWEEN 2 AND 60),
 templates(rank, license, t) AS (VALUES {rows}),
 scored AS (
-  SELECT doc_id, at, rank, license, 2.0 * len(list_intersect(g, t)) / (n + len(t)) AS dice
+  SELECT doc_id, pos, rank, license, 2.0 * len(list_intersect(g, t)) / (n + len(t)) AS dice
   FROM grams, templates)
-SELECT doc_id, CAST(at AS BIGINT) AS line, arg_max(license, dice * 1000 - rank * 0.001) AS license,
+SELECT doc_id, CAST(pos AS BIGINT) AS line, arg_max(license, dice * 1000 - rank * 0.001) AS license,
   round(max(dice), 6) AS dice
-FROM scored GROUP BY doc_id, at HAVING max(dice) >= {bar}
+FROM scored GROUP BY doc_id, pos HAVING max(dice) >= {bar}
 """
 
 
