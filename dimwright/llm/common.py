@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     """Slices of whole rows with about ``limit`` bytes of text each; a longer
     text makes a slice of its own, so memory follows the longest text."""
     lengths = np.asarray(
-        pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64
+        pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64
     )
     block = np.cumsum(lengths) // limit
     cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
@@ -45,7 +46,7 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts one after the other, and where each begins
     (one more entry for the end); NULL reads as empty."""
-    col = pa.compute.fill_null(column, "").cast(pa.large_string())
+    col = pc.fill_null(column, "").cast(pa.large_string())
     _, offsets, data = col.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[col.offset : col.offset + len(col) + 1]
     raw = np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)

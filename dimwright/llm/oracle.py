@@ -45,11 +45,11 @@ WITH lines AS (
 words AS (
   SELECT doc_id, pos, list_filter(string_split_regex(trim(regexp_replace(
       regexp_replace(lower(line), '[^\p{{L}}\p{{N}}.]+', ' ', 'g'), '\.+( |\.|$)', ' ', 'g')), ' +'),
-    w -> w <> '') AS w
+    lambda w: w <> '') AS w
   FROM lines),
 grams AS (
   SELECT doc_id, pos, len(w) - 1 AS n,
-    list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) AS g
+    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
   FROM words WHERE len(w) BETWEEN 2 AND 60),
 templates(rank, license, t) AS (VALUES {rows}),
 scored AS (

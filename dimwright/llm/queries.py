@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.llm import licenses, quality, url_filter
+from dimwright.llm import jaccard_join, licenses, quality, sentencepiece, url_filter
 from dimwright.llm.common import table
 
 # Fixed values of the query contract.
@@ -44,5 +44,22 @@ def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "line", "license", F.round("dice", 6).alias("dice"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def public_model(name: str = "piece_bpe_32k.model") -> bytes:
+    """A vocabulary file of the public tokenizers, read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece.encode_texts(docs, "text", public_model(), digests=True)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
