@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimwright.session import materialise
+
 # Fixed values of the query contracts: what separates words, and the letters lower-cased.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -21,6 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Spark's setting that drops the shuffle files of a query once it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def store(df: DataFrame, label: str) -> DataFrame:
+    """``materialise``, after which the shuffle files of the work are given up:
+    what follows reads the stored table."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return materialise(df, label)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def lower_az(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

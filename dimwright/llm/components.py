@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.session import materialise
+from dimwright.llm.common import store
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -14,8 +14,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     label of their label, so a chain halves in each round; every round is a
     stored table, which a lost executor cannot take away."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links = materialise(both.filter("a != b").distinct(), "links")
-    labels = materialise(
+    links = store(both.filter("a != b").distinct(), "links")
+    labels = store(
         links.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")), "labels"
     )
     while True:
@@ -28,7 +28,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             "node", "root", F.least("root", "_near").alias("_next")
         )
         over = labels.select(F.col("node").alias("_next"), F.col("root").alias("_jump"))
-        step = materialise(
+        step = store(
             lower.join(over, "_next", "left").select(
                 "node", F.least("_next", "_jump").alias("root"), F.col("root").alias("_before")
             ),

@@ -36,8 +36,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm import common
+from dimwright.llm.common import store
 from dimwright.llm.components import connected_components
-from dimwright.session import materialise
 
 SHINGLE = 5
 # Similarity as a fraction, so that bars are exact in whole numbers.
@@ -303,20 +303,31 @@ def _side(name: str) -> list:
     return own + [F.col(c).alias(f"{c}_{name}") for c in ("n", "at", "matches")]
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs whose whole sets reach the similarity. A fixed-size Bloom
+    filter of their classes keeps other texts' sets out of the shuffle."""
+    spark = rows.sparkSession
+    pairs = store(pairs, "candidates")
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).coalesce(4)
+    bits = np.zeros((1 << BLOOM_BITS) // 8, dtype=np.uint8)
+    for row in keys.mapInArrow(_bloom_of, "bits binary").collect():  # four rows of fixed size
+        bits |= np.frombuffer(row["bits"], dtype=np.uint8)
+    bloom = spark.sparkContext.broadcast(bits.tobytes())
+    # a class may come from several tasks; the links are made distinct instead
+    sets = store(rows.mapInArrow(_whole_sets("text", bloom), "key bigint, n int, items array<bigint>"), "shingle-sets")
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("_x"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("_y"))
     joined = pairs.join(left, ["a", "n_a"]).join(right, ["b", "n_b"])
     shared = F.size(F.array_intersect("_x", "_y"))
     found = joined.filter(_can_reach(F.col("n_a"), F.col("n_b"), shared)).select("a", "b")
-    return materialise(found.distinct(), "links")
+    return store(found.distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    survey = materialise(
+    survey = store(
         rows.mapInArrow(
             _survey("text", "doc_id"),
             "doc_id bigint, n bigint, key bigint, part int, task int, counts binary",
@@ -339,7 +350,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     def pivot(salt: int) -> F.Column:
         return F.min(F.struct(F.xxhash64("key", F.lit(salt)).alias("h"), member.alias("m"))).over(own)["m"]
 
-    shared = materialise(
+    shared = store(
         postings.withColumn("_low", F.min("key").over(own))
         .withColumn("_high", F.max("key").over(own))
         .filter("_low != _high")
@@ -348,18 +359,6 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "shared-postings",
     )
 
-    keys = shared.select("key").distinct().coalesce(4)
-    bits = np.zeros((1 << BLOOM_BITS) // 8, dtype=np.uint8)
-    for row in keys.mapInArrow(_bloom_of, "bits binary").collect():  # four rows of fixed size
-        bits |= np.frombuffer(row["bits"], dtype=np.uint8)
-    bloom = spark.sparkContext.broadcast(bits.tobytes())
-    sets = materialise(
-        rows.mapInArrow(_whole_sets("text", bloom), "key bigint, n int, items array<bigint>").dropDuplicates(
-            ["key", "n"]
-        ),
-        "shingle-sets",
-    )
-
     # links to two pivots of each list
     hubs = shared.withColumn("_p", pivot(1)).withColumn("_q", pivot(2))
     spokes = hubs.select("key", "n", "at", "matches", F.explode(F.array("_p", "_q")).alias("_hub"))
@@ -374,7 +373,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         *(F.when(F.col("a") < F.col("b"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(f"{c}_a") for c in ("n", "at", "matches")),
         *(F.when(F.col("a") < F.col("b"), F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(f"{c}_b") for c in ("n", "at", "matches")),
     )
-    first = _verified(_candidates(ordered.filter(_sizes_fit())), sets)
+    first = _verified(_candidates(ordered.filter(_sizes_fit())), rows)
 
     # all pairs between what these links leave apart
     parts = connected_components(first)
@@ -387,20 +386,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .filter("_low != _high")
         .select("token", "key", "n", "at", "matches", "part")
     )
-    mixed = materialise(mixed, "mixed-postings")
+    mixed = store(mixed, "mixed-postings")
     left = mixed.select("token", F.col("part").alias("part_a"), *_side("a"))
     right = mixed.select("token", F.col("part").alias("part_b"), *_side("b"))
     across = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")))
-    second = _verified(_candidates(across.filter(_sizes_fit())), sets)
+    second = _verified(_candidates(across.filter(_sizes_fit())), rows)
 
     roots = connected_components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
     classes = members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("_least"))
     named = classes.join(roots, classes["key"] == roots["node"], "left").select(
         "key", "n", "_least", F.coalesce("root", "key").alias("root")
     )
-    named = materialise(named, "classes")
+    named = store(named, "classes")
     least = named.groupBy("root").agg(F.min("_least").alias("component_id"))
-    labelled = materialise(named.join(least, "root").select("key", "n", "component_id"), "class-components")
+    labelled = store(named.join(least, "root").select("key", "n", "component_id"), "class-components")
     return members.join(labelled, ["key", "n"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
