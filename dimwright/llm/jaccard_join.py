@@ -10,11 +10,11 @@ only if it shares the smaller of the two l. Candidates are then verified
 exactly on the whole sets.
 
 Equal sets are one class from the start, so copies are never paired. Within
-the list of a token, members are first paired with two pivots only; what these
+the list of a token, members are first paired with a few hubs only; what these
 links connect is contracted, and all remaining pairs are formed only between
 members of different components. A large group of near copies thus costs rows
 in proportion to its size, and no link between different components is lost:
-the second step omits only pairs that are connected already.
+the last step omits only pairs that are connected already.
 
 The sketch is a fixed table of counters (a parameter). It steers the order and
 the choice of l, that is the work, never the result.
@@ -46,6 +46,8 @@ SKETCH_BITS, SKETCH_PART = 22, 16
 MOST_MATCHES = 8
 VERIFY_COST = 4.0
 BLOOM_BITS = 24
+# Rounds in which a list is linked through hubs, and hubs of a list in a round.
+STAR_ROUNDS, HUBS = 2, 3
 
 
 def shingle_sets(part: pa.RecordBatch, text: str, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -303,6 +305,17 @@ def _side(name: str) -> list:
     return own + [F.col(c).alias(f"{c}_{name}") for c in ("n", "at", "matches")]
 
 
+def _ascending(pairs: DataFrame) -> DataFrame:
+    """Pairs with the lesser class first."""
+    swap = F.col("a") > F.col("b")
+    sides = [
+        F.when(swap, F.col(f"{c}{y}")).otherwise(F.col(f"{c}{x}")).alias(f"{c}{x}")
+        for c in ("", "n_", "at_", "matches_")
+        for x, y in (("a", "b"), ("b", "a"))
+    ]
+    return pairs.select(*sides)
+
+
 def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs whose whole sets reach the similarity. A fixed-size Bloom
     filter of their classes keeps other texts' sets out of the shuffle."""
@@ -345,54 +358,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         _postings("text", shared_levels, usual), "token bigint, key bigint, n int, at int, matches int"
     )
     own = Window.partitionBy("token")
-    member = F.struct("key", "n", "at", "matches")
-
-    def pivot(salt: int) -> F.Column:
-        return F.min(F.struct(F.xxhash64("key", F.lit(salt)).alias("h"), member.alias("m"))).over(own)["m"]
-
-    shared = store(
-        postings.withColumn("_low", F.min("key").over(own))
-        .withColumn("_high", F.max("key").over(own))
-        .filter("_low != _high")
-        .drop("_low", "_high")
-        .dropDuplicates(["token", "key"]),
-        "shared-postings",
-    )
 
-    # links to two pivots of each list
-    hubs = shared.withColumn("_p", pivot(1)).withColumn("_q", pivot(2))
-    spokes = hubs.select("key", "n", "at", "matches", F.explode(F.array("_p", "_q")).alias("_hub"))
-    star = spokes.filter("_hub.key != key").select(
-        *_side("b"),
-        F.col("_hub.key").alias("a"),
-        *(F.col(f"_hub.{c}").alias(f"{c}_a") for c in ("n", "at", "matches")),
-    )
-    ordered = star.select(
-        F.least("a", "b").alias("a"),
-        F.greatest("a", "b").alias("b"),
-        *(F.when(F.col("a") < F.col("b"), F.col(f"{c}_a")).otherwise(F.col(f"{c}_b")).alias(f"{c}_a") for c in ("n", "at", "matches")),
-        *(F.when(F.col("a") < F.col("b"), F.col(f"{c}_b")).otherwise(F.col(f"{c}_a")).alias(f"{c}_b") for c in ("n", "at", "matches")),
-    )
-    first = _verified(_candidates(ordered.filter(_sizes_fit())), rows)
-
-    # all pairs between what these links leave apart
-    parts = connected_components(first)
-    placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "part", F.coalesce("root", "key")
-    )
-    mixed = (
-        placed.withColumn("_low", F.min("part").over(own))
-        .withColumn("_high", F.max("part").over(own))
-        .filter("_low != _high")
-        .select("token", "key", "n", "at", "matches", "part")
-    )
-    mixed = store(mixed, "mixed-postings")
-    left = mixed.select("token", F.col("part").alias("part_a"), *_side("a"))
-    right = mixed.select("token", F.col("part").alias("part_b"), *_side("b"))
-    across = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")))
-    second = _verified(_candidates(across.filter(_sizes_fit())), rows)
+    def spanning(rows_: DataFrame, part: str) -> DataFrame:
+        """Lists whose members are in different components."""
+        marked = rows_.withColumn("_low", F.min(part).over(own)).withColumn("_high", F.max(part).over(own))
+        return marked.filter("_low != _high").drop("_low", "_high")
+
+    shared = store(spanning(postings, "key").dropDuplicates(["token", "key"]), "shared-postings")
+    parts = spark.createDataFrame([], "node bigint, root bigint")
+    for step in range(STAR_ROUNDS + 1):
+        placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left")
+        placed = placed.withColumn("part", F.coalesce("root", "key")).drop("root")
+        mixed = store(spanning(placed, "part"), "mixed-postings")
+        if step < STAR_ROUNDS:
+            # Edits make rare shingles, which come first: where a token stands early, the text has few
+            # of them and is a centre of its group.
+            early = Window.partitionBy("token").orderBy("at", "key")
+            mixed = mixed.withColumn("_rank", F.row_number().over(early))
+        else:
+            mixed = mixed.withColumn("_rank", F.lit(HUBS))
+        hubs = mixed.filter(F.col("_rank") <= HUBS)
+        left = hubs.select("token", F.col("part").alias("part_a"), *_side("a"))
+        right = mixed.select("token", "_rank", F.col("part").alias("part_b"), *_side("b"))
+        apart = (F.col("part_a") != F.col("part_b")) & ((F.col("a") < F.col("b")) | (F.col("_rank") > HUBS))
+        pairs = left.join(right, "token").filter(apart & _sizes_fit())
+        links = _verified(_candidates(_ascending(pairs)), rows)
+        known = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        parts = connected_components(known.union(links))
+    roots = parts
 
-    roots = connected_components(parts.select(F.col("node").alias("a"), F.col("root").alias("b")).union(second))
     classes = members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("_least"))
     named = classes.join(roots, classes["key"] == roots["node"], "left").select(
         "key", "n", "_least", F.coalesce("root", "key").alias("root")

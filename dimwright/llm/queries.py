@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.llm import jaccard_join, licenses, quality, sentencepiece, url_filter
+from dimwright.llm import decontaminate, jaccard_join, licenses, pii, quality, sentencepiece, url_filter
 from dimwright.llm.common import table
 
 # Fixed values of the query contract.
@@ -61,5 +61,25 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode_texts(docs, "text", public_model(), digests=True)
 
 
+def op5_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_spans(docs, "text")
+    counts = [
+        F.regexp_count("base_spans", F.lit(f"(^|,){kind}:")).cast("long").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2("base_spans", 256).alias("base_sha256"),
+        F.concat_ws(
+            ",", *(F.when(F.col(c) != "", F.col(c)) for c in ("base_spans", "term_spans"))
+        ).alias("spans"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
