@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimwright.llm import decontaminate, jaccard_join, licenses, pii, quality, sentencepiece, url_filter
-from dimwright.llm.common import table
+from dimwright.llm import (
+    decontaminate,
+    jaccard_join,
+    language_id,
+    licenses,
+    pii,
+    quality,
+    sentencepiece,
+    toxicity,
+    url_filter,
+)
+from dimwright.llm.common import fold, store, table
 
 # Fixed values of the query contract.
 URL_RULES = [
@@ -81,5 +91,30 @@ def op6_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(fold(F.col("doc_id"), 5) != 0).select("text", "lang"))
+    found = language_id.predict_languages(docs, model)
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, toxic) of the labelled rows that may be learnt from."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(fold(F.col("doc_id"), 4) != 2)
+    return table(spark, sf_dir, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+def op4_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = store(training_labels(spark, sf_dir), "labelled")
+    found = toxicity.score_texts(table(spark, sf_dir, "documents"), labelled)
+    return found.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.BAR, 1).otherwise(0).alias("predicted"),
+        "evidence",
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
