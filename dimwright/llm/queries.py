@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from dimwright.llm import (
     decontaminate,
+    interpolation,
     jaccard_join,
     language_id,
     licenses,
@@ -66,6 +67,15 @@ def public_model(name: str = "piece_bpe_32k.model") -> bytes:
         return f.read()
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One training text in eight is deleted while the weights are learnt."""
+    held_out = fold(F.col("doc_id"), 7) == 2
+    deleted = F.pmod(F.xxhash64("doc_id", F.lit("deleted")), F.lit(8)) == 0
+    role = F.when(held_out, 0).when(deleted, 2).otherwise(1)
+    scored = interpolation.score_texts(table(spark, sf_dir, "documents").select("doc_id", "text"), role)
+    return scored.withColumn("held_out", held_out)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece.encode_texts(docs, "text", public_model(), digests=True)
