@@ -1,9 +1,69 @@
-"""Corpus pipeline; see STAGES."""
+"""Corpus pipeline: toxic texts, near duplicates and benchmark leaks go,
+personal data is hidden, what stays is encoded.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
+and returns a table; all but the last return the columns of ``documents``.
+An empty table stays empty; NULL texts pass the filters and encode as empty.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dimwright.llm import decontaminate, jaccard_join, pii, sentencepiece, toxicity
+from dimwright.llm.common import store, table
+from dimwright.llm.queries import public_model, training_labels
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose score stays under the bar."""
+    scorer = toxicity.Scorer(docs, "text", store(training_labels(spark, sf_dir), "labelled"))
+    return scorer.rows(docs, "text").filter(F.col("score") < toxicity.BAR).select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every component."""
+    groups = jaccard_join.near_duplicates(docs)
+    copies = store(groups.filter("doc_id != component_id").select("doc_id").distinct(), "copies")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a consistent match of a benchmark item."""
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    leaks = store(found.filter("consistent").select("doc_id").distinct(), "leaks")
+    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with personal data and disclosing terms replaced, and their new length."""
+    clean = pii.sanitise(docs, "text")
+    if "n_chars" in clean.columns:
+        kind = clean.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.length("text").cast(kind))
+    return clean
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids in place of the text."""
+    return sentencepiece.encode_texts(docs, "text", public_model()).drop("decoded")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("benchmark_decontamination", drop_leaks),
+    ("pii", hide_personal_data),
+    ("sentencepiece", encode),
+]
+# Stages train, iterate and tokenise; tests compare them with brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; each result is stored and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -206,7 +206,7 @@ def disclosing_terms(docs: DataFrame, text: str) -> DataFrame:
     return store(scored.groupBy("term").agg(F.max("bits").alias("bits"), F.max("share").alias("share")), "pii-terms")
 
 
-def _base(text: str, id_: str, sieve_bits) -> Callable:
+def _base(text: str, sieve_bits) -> Callable:
     """Each row with its pattern spans and the places of words that may disclose."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,11 +247,11 @@ def find_spans(docs: DataFrame, text: str, keep_text: bool = False) -> DataFrame
     rows = docs.select(*kept, text)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     found = rows.mapInArrow(
-        _base(text, "", sieve), f"{fields}, base_spans string, _maybe array<struct<term: string, at: int>>"
+        _base(text, sieve), f"{fields}, base_spans string, _maybe array<struct<term: string, at: int>>"
     )
     if not keep_text:
         found = found.drop(text)
-    found = store(found.withColumn("_row", F.xxhash64(*kept, F.monotonically_increasing_id())), "pii-spans")
+    found = store(found.withColumn("_row", F.monotonically_increasing_id()), "pii-spans")
     suspected = found.filter(F.size("_maybe") > 0).select("_row", F.explode("_maybe").alias("m"))
     known = suspected.select("_row", "m.term", "m.at").join(terms, "term")
     # the disclosing words of one text: bounded by the text
@@ -264,8 +264,11 @@ def find_spans(docs: DataFrame, text: str, keep_text: bool = False) -> DataFrame
             ",",
         ).alias("term_spans")
     )
-    joined = found.drop("_maybe").join(listed, "_row", "left").drop("_row")
-    return joined.withColumn("term_spans", F.coalesce("term_spans", F.lit("")))
+    # only texts with suspected words are dealt out
+    clear = found.filter(F.size("_maybe") == 0).withColumn("term_spans", F.lit(""))
+    mixed = found.filter(F.size("_maybe") > 0).join(listed, "_row", "left")
+    mixed = mixed.withColumn("term_spans", F.coalesce("term_spans", F.lit("")))
+    return clear.unionByName(mixed).drop("_maybe", "_row")
 
 
 def _hide(text: str) -> Callable:

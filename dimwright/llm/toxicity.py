@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimwright.llm.common import chunks, store
 
@@ -129,7 +130,7 @@ def vector(text: str | None, terms: dict[str, tuple[int, float]]) -> Vector:
 
 
 def _vectors(terms) -> Callable:
-    """Each row's vector as text-free keys: numbers and weights."""
+    """Every column of a row, the text apart, with its vector: numbers and weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = terms.value
@@ -270,56 +271,72 @@ def _votes(rate: float, k: int) -> Callable:
     return run
 
 
+class Scorer:
+    """Judged query vectors for a table of texts."""
+
+    def __init__(self, docs: DataFrame, text: str, labelled: DataFrame, k: int = NEIGHBOURS):
+        context = docs.sparkSession.sparkContext
+        known = labelled.filter(F.col("toxic").isNotNull())
+        terms, rate, _ = choose_terms(known)
+        self.terms = context.broadcast(terms)  # at most TERMS entries
+        examples = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic"))
+        entries = store(
+            examples.mapInArrow(_vectors(self.terms), "doc_id bigint, toxic int, ids binary, weights binary")
+            .groupBy("ids", "weights")
+            .agg(
+                F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("neg"),
+                F.sum(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("pos"),
+                F.min("doc_id").alias("example"),
+            ),
+            "toxic-entries",
+        )
+        bare = entries.filter(F.length("ids") == 0).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+        self.without = (bare["p"] or 0) / max((bare["p"] or 0) + (bare["n"] or 0), 1)
+        queries = docs.select(F.col(text).alias("text")).mapInArrow(_vectors(self.terms), "ids binary, weights binary")
+        queries = store(queries.filter(F.length("ids") > 0).distinct(), "toxic-queries")
+
+        indexed = entries.filter(F.length("ids") > 0)
+        shards = max(1, -(-indexed.count() // SHARD))
+        schema = "ids binary, weights binary, near array<struct<cosine: double, pos: bigint, neg: bigint, example: bigint>>"
+        partial = None
+        for number in range(shards):
+            # hash shards: about SHARD entries each, an entry of at most a text's terms
+            own = indexed.filter(F.pmod(F.xxhash64("ids", "weights"), F.lit(shards)) == number).collect()
+            index = context.broadcast([(r["ids"], r["weights"], r["neg"], r["pos"], r["example"] or 0) for r in own])
+            found = queries.repartition("ids").mapInArrow(_search(index, k), schema)
+            found = store(found, "toxic-neighbours") if shards > 1 else found
+            partial = found if partial is None else partial.unionByName(found)
+        gathered = partial.groupBy("ids", "weights").agg(F.collect_list("near").alias("near"))  # one list per shard
+        judged = gathered.select(F.concat("ids", "weights").alias("ids"), "near").mapInArrow(
+            _votes(rate, k), "ids binary, score double, evidence array<bigint>"
+        )
+        self.judged = store(judged, "toxic-scores").withColumnRenamed("ids", "_key")
+
+    def rows(self, docs: DataFrame, text: str) -> DataFrame:
+        """(row, score, evidence) for the rows of ``docs`` as structs. Rows
+        without any term, the bulk, are not shuffled."""
+        schema = T.StructType(
+            [T.StructField("row", docs.schema), T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType())]
+        )
+        packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(text).alias("text"))
+        vectors = packed.mapInArrow(_vectors(self.terms), schema)
+        bare = vectors.filter(F.length("ids") == 0).select(
+            "row", F.lit(float(self.without)).alias("score"), F.array().cast("array<bigint>").alias("evidence")
+        )
+        scored = vectors.filter(F.length("ids") > 0).withColumn("_key", F.concat("ids", "weights"))
+        return bare.unionByName(scored.join(self.judged, "_key").select("row", "score", "evidence"))
+
+
 def score_texts(docs: DataFrame, labelled: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """(doc_id, score, evidence) for every row of ``docs`` (doc_id, text), from
     ``labelled`` rows (doc_id, text, toxic)."""
-    context = docs.sparkSession.sparkContext
-    known = labelled.filter(F.col("toxic").isNotNull())
-    terms, rate, _ = choose_terms(known)
-    shared = context.broadcast(terms)  # at most TERMS entries
-    examples = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic"))
-    entries = store(
-        examples.mapInArrow(_vectors(shared), "doc_id bigint, toxic int, ids binary, weights binary")
-        .groupBy("ids", "weights")
-        .agg(
-            F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("neg"),
-            F.sum(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("pos"),
-            F.min("doc_id").alias("example"),
-        ),
-        "toxic-entries",
-    )
-    bare = entries.filter(F.length("ids") == 0).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    without = (bare["p"] or 0) / max((bare["p"] or 0) + (bare["n"] or 0), 1)
-
+    scorer = Scorer(docs, "text", labelled, k)
+    # the ids alone travel with the vectors
+    schema = "doc_id bigint, ids binary, weights binary"
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    vectors = store(rows.mapInArrow(_vectors(shared), "doc_id bigint, ids binary, weights binary"), "toxic-vectors")
-    queries = store(vectors.filter(F.length("ids") > 0).select("ids", "weights").distinct(), "toxic-queries")
-
-    indexed = entries.filter(F.length("ids") > 0)
-    shards = max(1, -(-indexed.count() // SHARD))
-    partial = None
-    for number in range(shards):
-        # hash shards: about SHARD entries each, of at most a text's terms
-        own = indexed.filter(F.pmod(F.xxhash64("ids", "weights"), F.lit(shards)) == number).collect()
-        index = context.broadcast([(r["ids"], r["weights"], r["neg"], r["pos"], r["example"] or 0) for r in own])
-        found = queries.repartition("ids").mapInArrow(
-            _search(index, k),
-            "ids binary, weights binary, near array<struct<cosine: double, pos: bigint, neg: bigint, example: bigint>>",
-        )
-        found = store(found, "toxic-neighbours") if shards > 1 else found
-        partial = found if partial is None else partial.unionByName(found)
-    gathered = partial.groupBy("ids", "weights").agg(F.collect_list("near").alias("near"))  # one list per shard
-    judged = gathered.select(F.concat("ids", "weights").alias("ids"), "near").mapInArrow(
-        _votes(rate, k), "ids binary, score double, evidence array<bigint>"
-    )
-    judged = store(judged, "toxic-scores").withColumnRenamed("ids", "_key")
-    bare_rows = vectors.filter(F.length("ids") == 0).select(
-        "doc_id", F.lit(float(without)).alias("score"), F.array().cast("array<bigint>").alias("evidence")
-    )
-    scored = (
-        vectors.filter(F.length("ids") > 0)
-        .withColumn("_key", F.concat("ids", "weights"))
-        .join(judged, "_key")
-        .select("doc_id", "score", "evidence")
+    vectors = store(rows.mapInArrow(_vectors(scorer.terms), schema), "toxic-vectors")
+    bare = vectors.filter(F.length("ids") == 0).select(
+        "doc_id", F.lit(float(scorer.without)).alias("score"), F.array().cast("array<bigint>").alias("evidence")
     )
-    return bare_rows.unionByName(scored)
+    keyed = vectors.filter(F.length("ids") > 0).withColumn("_key", F.concat("ids", "weights"))
+    return bare.unionByName(keyed.join(scorer.judged, "_key").select("doc_id", "score", "evidence"))
