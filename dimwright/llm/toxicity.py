@@ -40,7 +40,7 @@ from dimwright.llm.common import chunks, store
 
 TERMS = 8192
 SUPPORT = 4
-LOG_ODDS = 1.5
+LOG_ODDS = 3.0
 NEIGHBOURS = 25
 SHARD, BLOCK = 1 << 16, 64
 BAR = 0.3
