@@ -314,9 +314,13 @@ def _pair_uses(shared, groups: int) -> Callable:
     """One row per chunk and group: pairs with the row they are used in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         vocab = shared.value
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in common.chunks(batch, "text", 2 * common.CHUNK_BYTES):
+                chunk += 1
                 tokens = Tokens(part)
                 code, row = tokens.pairs(tokens.classes(vocab), vocab.width)
                 cold = (code // vocab.width >= HOT + FIRST) | (code % vocab.width >= HOT + FIRST)
@@ -327,13 +331,14 @@ def _pair_uses(shared, groups: int) -> Callable:
                 for g, take in _slices(_dealt(code, groups)):
                     used, at = np.unique(row[take], return_inverse=True)
                     out.append(
-                        (g, code[take].astype("<u4").tobytes(), at.astype("<u4").tobytes(),
+                        (g, chunk, code[take].astype("<u4").tobytes(), at.astype("<u4").tobytes(),
                          ids[used].astype("<i8").tobytes(), role[used].tobytes())
                     )
                 if out:
-                    kinds = [pa.int32(), *[pa.binary()] * 4]
+                    kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["g", "code", "at", "ids", "roles"]
+                        [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                        names=["g", "chunk", "code", "at", "ids", "roles"],
                     )
 
     return run
@@ -344,8 +349,9 @@ def pc_fill(ids: pa.Array) -> pa.Array:
 
 
 def _pair_scores(shared, weights: np.ndarray) -> Callable:
-    """Scores of a group of pairs, summed up per document. All uses of a pair
-    are here, so its count is the number of those in training texts."""
+    """Scores of a group of pairs, as one row of sums for each chunk they come
+    from. All uses of a pair are here, so its count is the number of those in
+    training texts."""
 
     def run(table: pa.Table) -> pa.Table:
         vocab = shared.value
@@ -362,14 +368,27 @@ def _pair_scores(shared, weights: np.ndarray) -> Callable:
         counts = np.bincount(kind, weights=train, minlength=len(kinds))
         kinds = kinds.astype(np.int64)
         score = _log_prob(vocab, weights, kinds // vocab.width, kinds % vocab.width, counts)
-        doc = np.concatenate(ids)
-        sums = np.bincount(owner, weights=score[kind], minlength=len(doc))
-        doc, sums = _sum_by(doc, sums)
-        return pa.table({"doc_id": doc, "score": sums})
+        sums = np.bincount(owner, weights=score[kind], minlength=shift).astype("<f8")
+        cuts = np.cumsum([len(i) for i in ids])[:-1]
+        return pa.table(
+            {
+                "chunk": table["chunk"],
+                "ids": pa.array([i.tobytes() for i in ids], pa.binary()),
+                "sums": pa.array([s.tobytes() for s in np.split(sums, cuts)], pa.binary()),
+            }
+        )
 
     return run
 
 
+def _chunk_scores(table: pa.Table) -> pa.Table:
+    """The sums of all groups for the documents of one chunk."""
+    ids = np.concatenate([np.frombuffer(v.as_buffer(), "<i8") for v in table["ids"]])
+    sums = np.concatenate([np.frombuffer(v.as_buffer(), "<f8") for v in table["sums"]])
+    doc, score = _sum_by(ids, sums)
+    return pa.table({"doc_id": doc, "score": score})
+
+
 def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each
     doc_id of ``docs`` (doc_id, text). ``role``: 0 held out, 1 training, 2
@@ -423,9 +442,10 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     )
     rare = store(rare, "lm-rare")
     uses = rows.mapInArrow(
-        _pair_uses(shared, groups), "g int, code binary, at binary, ids binary, roles binary"
+        _pair_uses(shared, groups), "g int, chunk bigint, code binary, at binary, ids binary, roles binary"
     )
-    used = uses.groupBy("g").applyInArrow(_pair_scores(shared, weights), "doc_id bigint, score double")
+    by_chunk = uses.groupBy("g").applyInArrow(_pair_scores(shared, weights), "chunk bigint, ids binary, sums binary")
+    used = by_chunk.groupBy("chunk").applyInArrow(_chunk_scores, "doc_id bigint, score double")
     zero = F.lit(0).cast("bigint")
     used = used.select(
         F.when(F.col("doc_id") != -(1 << 62), F.col("doc_id")).alias("doc_id"),
