@@ -34,11 +34,23 @@ def store(df: DataFrame, label: str) -> DataFrame:
     before = conf.get(CLEANUP, None)
     conf.set(CLEANUP, "true")
     try:
-        return materialise(df, label)
+        stored = materialise(df, label)
+        stored.stored_at = stored.inputFiles()[:1]
+        return stored
     finally:
         conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Deletes tables of ``store`` that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+        for file in getattr(df, "stored_at", []):
+            folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def lower_az(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

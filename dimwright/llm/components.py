@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimwright.llm.common import store
+from dimwright.llm.common import forget, store
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -18,6 +18,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     labels = store(
         links.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("root")), "labels"
     )
+    before = labels
     while True:
         near = (
             links.join(labels, links["b"] == labels["node"])
@@ -34,6 +35,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             ),
             "labels",
         )
-        labels = step.select("node", "root")
-        if step.filter("root != _before").limit(1).count() == 0:
+        changed = step.filter("root != _before").limit(1).count()
+        forget(before)
+        labels, before = step.select("node", "root"), step
+        if not changed:
+            forget(links)
             return labels

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.llm import common
-from dimwright.llm.common import store
+from dimwright.llm.common import forget, store
 from dimwright.llm.components import connected_components
 
 SHINGLE = 5
@@ -47,7 +47,7 @@ MOST_MATCHES = 8
 VERIFY_COST = 4.0
 BLOOM_BITS = 24
 # Rounds in which a list is linked through hubs, and hubs of a list in a round.
-STAR_ROUNDS, HUBS = 2, 3
+STAR_ROUNDS, HUBS = 2, 2
 
 
 def shingle_sets(part: pa.RecordBatch, text: str, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -333,7 +333,9 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     joined = pairs.join(left, ["a", "n_a"]).join(right, ["b", "n_b"])
     shared = F.size(F.array_intersect("_x", "_y"))
     found = joined.filter(_can_reach(F.col("n_a"), F.col("n_b"), shared)).select("a", "b")
-    return store(found.distinct(), "links")
+    links = store(found.distinct(), "links")
+    forget(pairs, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -364,16 +366,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         marked = rows_.withColumn("_low", F.min(part).over(own)).withColumn("_high", F.max(part).over(own))
         return marked.filter("_low != _high").drop("_low", "_high")
 
-    shared = store(spanning(postings, "key").dropDuplicates(["token", "key"]), "shared-postings")
+    # Edits make rare shingles, which come first: where the first shared token of a text stands early,
+    # the text has few of them and is a centre of its group.
+    found = spanning(postings, "key").dropDuplicates(["token", "key"])
+    shared = store(found.withColumn("early", F.min("at").over(Window.partitionBy("key"))), "shared-postings")
     parts = spark.createDataFrame([], "node bigint, root bigint")
     for step in range(STAR_ROUNDS + 1):
         placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left")
         placed = placed.withColumn("part", F.coalesce("root", "key")).drop("root")
-        mixed = store(spanning(placed, "part"), "mixed-postings")
+        listed = mixed = store(spanning(placed, "part"), "mixed-postings")
         if step < STAR_ROUNDS:
-            # Edits make rare shingles, which come first: where a token stands early, the text has few
-            # of them and is a centre of its group.
-            early = Window.partitionBy("token").orderBy("at", "key")
+            early = Window.partitionBy("token").orderBy("early", "key")
             mixed = mixed.withColumn("_rank", F.row_number().over(early))
         else:
             mixed = mixed.withColumn("_rank", F.lit(HUBS))
@@ -385,6 +388,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         links = _verified(_candidates(_ascending(pairs)), rows)
         known = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
         parts = connected_components(known.union(links))
+        forget(listed, links)
     roots = parts
 
     classes = members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("_least"))
