@@ -326,8 +326,9 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     for row in keys.mapInArrow(_bloom_of, "bits binary").collect():  # four rows of fixed size
         bits |= np.frombuffer(row["bits"], dtype=np.uint8)
     bloom = spark.sparkContext.broadcast(bits.tobytes())
-    # a class may come from several tasks; the links are made distinct instead
-    sets = store(rows.mapInArrow(_whole_sets("text", bloom), "key bigint, n int, items array<bigint>"), "shingle-sets")
+    # a class of copies comes from many tasks and is to be joined once
+    whole = rows.mapInArrow(_whole_sets("text", bloom), "key bigint, n int, items array<bigint>")
+    sets = store(whole.dropDuplicates(["key", "n"]), "shingle-sets")
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("items").alias("_x"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("items").alias("_y"))
     joined = pairs.join(left, ["a", "n_a"]).join(right, ["b", "n_b"])
