@@ -32,21 +32,26 @@ def fold_key(c: Column | str) -> Column:
     return F.replace(F.upper(plain), F.lit(_PLACEHOLDER), F.lit(_SHARP_S))
 
 
-def _latin_letters() -> tuple[str, str]:
-    """Accented Latin letters with a one-letter ASCII base, by decomposition."""
-    pairs = []
-    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+def _latin_letters() -> dict[str, str]:
+    """Letters and signs from the Latin blocks whose decomposition has an ASCII
+    part, with that part (one or more characters)."""
+    found = {}
+    for code in [*range(0x80, 0x250), *range(0x1E00, 0x1F00)]:
         base = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode()
-        if len(base) == 1:
-            pairs.append((chr(code), base))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+        if base:
+            found[chr(code)] = base
+    return found
 
 
 def fold_ascii(c: Column | str) -> Column:
-    """Variant for index sheets: folds any accented Latin letter, drops what
-    is still outside ASCII, and trims last."""
-    letters, bases = _latin_letters()
-    plain = F.translate(_as_col(c), letters, bases)
+    """Variant for index sheets: folds any Latin letter to its ASCII base
+    letters, drops what is still outside ASCII, and trims last."""
+    bases = _latin_letters()
+    single = {k: v for k, v in bases.items() if len(v) == 1}
+    plain = F.translate(_as_col(c), "".join(single), "".join(single.values()))
+    for letter, base in bases.items():
+        if len(base) > 1:
+            plain = F.replace(plain, F.lit(letter), F.lit(base))
     return F.trim(F.upper(F.regexp_replace(plain, r"[^\x00-\x7F]", "")))
 
 
@@ -81,8 +86,12 @@ def premium(own: Column | str, market: Column | str) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """Number in a sheet cell; any other text is NULL."""
-    return _as_col(c).try_cast("double")
+    """Number in a sheet cell; any other text, also a type suffix or a name of
+    a value that is not finite, is NULL."""
+    cell = _as_col(c).cast("string")
+    number = cell.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+    value = F.when(number, cell.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def changed(pairs: Iterable[tuple[Column, Column]], null_safe: bool) -> Column:

@@ -9,22 +9,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Size up to which a join side is broadcast, by the planner's own estimate:
-# file sizes below filters, projections and aggregates, the product of both
-# sides for a join. Rows multiplied by a generator are to be stored first.
-BROADCAST_BYTES_CONF = "spark.dimwright.broadcastBytes"
-BROADCAST_BYTES = 16 << 20
 # A key above this share of the rows is hot; at most 1 / share keys can be.
 HOT_SHARE_CONF = "spark.dimwright.hotShare"
 HOT_SHARE = 0.02
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(BROADCAST_BYTES_CONF, str(BROADCAST_BYTES)))
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple]:
     """Keys whose row count reaches the hot share, with their counts.
 
@@ -75,23 +64,18 @@ def balanced_join(
     how: str = "inner",
     size_of: DataFrame | None = None,
     keys_from: DataFrame | None = None,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
-    """Join ``left`` to ``right`` on equal columns.
+    """Join ``left`` to ``right`` on equal columns; no job runs to plan it.
 
-    ``right`` is broadcast only when its size, or that of ``size_of`` where
-    that bounds it, is within the limit. Beyond it both sides are shuffled,
-    with hot keys of ``left`` salted; ``keys_from`` is the table the keys of
-    ``left`` come from, cheaper to scan for hot ones than a joined ``left``.
+    Adaptive execution picks the join by the sizes it meets and splits skewed
+    partitions. A caller that knows hot keys of ``left`` (``hot_keys`` of a
+    stored table, found once) declares them, and these are salted.
     ``how`` is inner, left, left_semi or left_anti; the columns of ``left``
-    keep their order, those ``right`` adds follow.
+    keep their order, those ``right`` adds follow. ``size_of`` and
+    ``keys_from`` are accepted for older callers and not used.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(size_of if size_of is not None else right):
-        joined = left.join(F.broadcast(right), keys, how)
-    else:
-        hot = hot_keys((keys_from if keys_from is not None else left).select(*keys), keys)
-        joined = (
-            salted_join(left, right, keys, how, hot) if hot else left.join(right, keys, how)
-        )
+    joined = salted_join(left, right, keys, how, hot) if hot else left.join(right, keys, how)
     added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)

@@ -41,7 +41,8 @@ def wide_to_long(
     numeric price are dropped; other cells that are no number become NULL.
     Prices are rounded to cents.
     """
-    month = F.col(date_col).try_cast("date")
+    written = F.col(date_col).cast("string")
+    month = F.when(written.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), written.try_cast("date"))
 
     def cell(block: str, i: int) -> Column:
         return parse_number(f"c{blocks[block] + i}")
@@ -195,11 +196,17 @@ def sale_vs_market(
 
 def benchmark_measures(view: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Average premium, own price and market price, and the number of sales
-    with a benchmark; all of them pass over NULLs."""
+    with a benchmark; all of them pass over NULLs. Sums are exact decimals, so
+    no row order shows; the quotient is rounded once, to five decimals."""
+
+    def mean(c: str) -> Column:
+        exact = F.sum(F.col(c).cast("decimal(28,10)")) / F.count(c)
+        return F.round(exact, 5).cast("double")
+
     return view.groupBy(*by).agg(
-        F.avg("agio_vs_mercado").alias("agio_medio"),
-        F.avg("tv_valor_m2").alias("preco_m2_nosso"),
-        F.avg("mk_preco_m2").alias("preco_m2_mercado"),
+        mean("agio_vs_mercado").alias("agio_medio"),
+        mean("tv_valor_m2").alias("preco_m2_nosso"),
+        mean("mk_preco_m2").alias("preco_m2_mercado"),
         F.count("agio_vs_mercado").alias("vendas_com_benchmark"),
     )
 

@@ -134,15 +134,16 @@ _BY_STATE = {
         JOIN cor_dim_f ON cor_cpf = v.funccpf
         JOIN im_dim_f ON im_id = it.imovelid""",
     "link_{s}": """
-        SELECT l.tv_id, l.im_sk, l.dt_sk,
-               (SELECT mk.mk_sk FROM mk_dim_f mk
-                WHERE mk.mk_cidade_norm = FOLD(im.im_cidade)
-                  AND mk.mk_mes = CAST(date_trunc('month', l.dia) AS DATE)
-                  AND mk.mk_dormitorios IN ('Total', CASE WHEN im.im_qtd_quartos >= 1
-                        THEN CAST(least(im.im_qtd_quartos, 4) AS VARCHAR) || 'D' ELSE 'Total' END)
-                ORDER BY (mk.mk_dormitorios = 'Total') LIMIT 1) AS mk_sk
-        FROM lines_{s} l JOIN im_dim_f im USING (im_sk)
-        WHERE im.im_tipo = 'Apartamento'""",
+        WITH flats AS (
+          SELECT l.tv_id, l.im_sk, l.dt_sk, date_trunc('month', l.dia)::DATE AS first_day, FOLD(d.im_cidade) AS place,
+                 CASE WHEN d.im_qtd_quartos > 0 THEN concat(least(d.im_qtd_quartos, 4), 'D') END AS band
+          FROM lines_{s} l JOIN im_dim_f d ON d.im_sk = l.im_sk AND d.im_tipo = 'Apartamento')
+        SELECT f.tv_id, f.im_sk, f.dt_sk, coalesce(own.mk_sk, whole.mk_sk) AS mk_sk
+        FROM flats f
+        LEFT JOIN mk_dim_f own ON own.mk_cidade_norm = f.place AND own.mk_mes = f.first_day
+             AND own.mk_dormitorios = f.band
+        LEFT JOIN mk_dim_f whole ON whole.mk_cidade_norm = f.place AND whole.mk_mes = f.first_day
+             AND whole.mk_dormitorios = 'Total'""",
     "view_{s}": """
         SELECT l.tv_id, l.cor_sk, l.im_sk, l.dt_sk, k.mk_sk,
                CAST((SELECT count(*) FROM clientecompra x WHERE x.transvendaid = l.tv_id) AS INT) AS tv_total_compradores,
@@ -222,10 +223,16 @@ def _second_market(revise: bool) -> str:
 def _measures(by: str) -> str:
     keys, group = (f"{by},", f"GROUP BY {by}") if by else ("", "")
     where = "WHERE mk_mes IS NOT NULL" if by == "mk_mes" else ""
+
+    def mean(column: str) -> str:
+        total = f"CAST(sum(CAST({column} AS DECIMAL(28, 10))) * 10000000000 AS HUGEINT)"
+        half_up = f"(2 * abs({total}) + 100000 * count({column})) // (200000 * count({column}))"
+        return f"CASE WHEN count({column}) > 0 THEN CAST(sign({total}) * ({half_up}) AS DOUBLE) / 100000 END"
+
     return f"""
-    SELECT {keys} floor(avg(agio_vs_mercado) * 100000 + 0.3137) / 100000 AS agio_medio,
-           floor(avg(tv_valor_m2) * 100000 + 0.3137) / 100000 AS preco_m2_nosso,
-           floor(avg(mk_preco_m2) * 100000 + 0.3137) / 100000 AS preco_m2_mercado,
+    SELECT {keys} {mean("agio_vs_mercado")} AS agio_medio,
+           {mean("tv_valor_m2")} AS preco_m2_nosso,
+           {mean("mk_preco_m2")} AS preco_m2_mercado,
            count(agio_vs_mercado) AS vendas_com_benchmark
     FROM view_f {where} {group}"""
 

@@ -439,17 +439,7 @@ def sale_vs_market_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _measures(view: DataFrame, *by: str) -> DataFrame:
-    """Averages of doubles end in digits that depend on row order, so they are
-    cut to five decimals, at a place no quotient of round numbers falls on."""
-    m = benchmark_measures(view, by)
-    return m.select(
-        *by,
-        *[
-            (F.floor(F.col(c) * 100000 + 0.3137) / 100000).alias(c)
-            for c in ("agio_medio", "preco_m2_nosso", "preco_m2_mercado")
-        ],
-        "vendas_com_benchmark",
-    )
+    return benchmark_measures(view, by)
 
 
 @_query

@@ -50,7 +50,7 @@ def sides(spark):
 def test_salted_join_equals_plain_join(shuffled, how):
     left, right = sides(shuffled)
     assert {k for (k,), _, _ in hot_keys(left, ["k"])} == {1, None}
-    got = balanced_join(left, right, "k", how)
+    got = balanced_join(left, right, "k", how, hot=hot_keys(left, ["k"]))
     want = left.join(right, "k", how)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "_salt" in plan and got.columns == want.columns

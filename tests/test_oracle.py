@@ -6,7 +6,8 @@ from decimal import Decimal
 
 import pytest
 
-import __spark_entry__ as driver
+from dimwright.plans.oracle import all_oracles
+from dimwright.plans.queries import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -36,13 +37,13 @@ def plain(v):
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(set(all_queries()) - LONG))
 def test_query_equals_sql(spark, duck, name):
-    got = driver.queries()[name](spark, SF)
-    want = duck.sql(driver.oracle_sql()[name])
+    got = all_queries()[name](spark, SF)
+    want = duck.sql(all_oracles()[name])
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
 
