@@ -177,32 +177,83 @@ def _holders(text: str, sieve_bits) -> Callable:
     return run
 
 
+def _least_holders(text: str, sieve_bits) -> Callable:
+    """(term, n, mask) summed up in the task: the different texts that may hold
+    a candidate, and the classes (of 64) of their digests."""
+
+    def rows(found: dict[str, list[int]]) -> pa.RecordBatch:
+        n, mask = (np.array(c, dtype=np.uint64).view(np.int64) for c in zip(*found.values()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()), pa.array(n), pa.array(mask)], names=["term", "n", "mask"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sieve = _Sieve(sieve_bits.value)
+        if sieve.empty:
+            return
+        seen: set[bytes] = set()
+        found: dict[str, list[int]] = {}
+        for batch in batches:
+            for part in chunks(batch, text):
+                for value in part[text].to_pylist():
+                    digest = hashlib.blake2b((value or "").encode(), digest_size=8).digest()
+                    if not value or digest in seen:
+                        continue
+                    seen.add(digest)
+                    for t in set(RUN.findall(value.lower())):
+                        if sieve(t):
+                            held = found.setdefault(t, [0, 0])
+                            held[0] += 1
+                            held[1] |= 1 << (digest[0] & 63)
+                if len(found) > 300_000:
+                    yield rows(found)
+                    found = {}
+        if found:
+            yield rows(found)
+
+    return run
+
+
+def _scored(joint: DataFrame, n_term: str, total: int) -> DataFrame:
+    """Adds share and bits, and keeps what reaches both bars."""
+    share = F.least(F.lit(1.0), F.col("n_joint") / F.col(n_term))
+    bits = F.log2(F.col("share") * F.lit(float(max(total, 1))) / F.col("n_entity"))
+    scored = joint.withColumn("share", share).withColumn("bits", bits)
+    return scored.filter((F.col("share") >= SHARE) & (F.col("bits") >= BITS))
+
+
 def disclosing_terms(docs: DataFrame, text: str) -> DataFrame:
-    """(term, bits, share): terms that exceed the thresholds for some entity."""
+    """(term, bits, share): terms that exceed the thresholds for some entity.
+
+    The texts of a term are counted in two steps. What single tasks see, and the
+    digest classes of all tasks together, are never more than the true count, so
+    a pair that misses a bar with them misses it for certain. Common words go
+    that way; the texts of the others are counted exactly."""
     rows = docs.select(F.col(text).alias("text"))
     near = store(
         rows.mapInArrow(_mentions("text"), "entity string, term string, context string").distinct(), "pii-contexts"
     )
     joint = near.groupBy("entity", "term").agg(F.count("*").alias("n_joint"))
-    candidates = store(joint.filter(F.col("n_joint") >= CONTEXTS), "pii-candidates")
-    sieve = _term_filter(candidates)
-    held = rows.mapInArrow(_holders("text", sieve), "term string, digest bigint")
+    entities = near.groupBy("entity").agg(F.count_distinct("context").alias("n_entity"))
+    total = near.select("context").distinct().count()
+    often = store(joint.filter(F.col("n_joint") >= CONTEXTS).join(entities, "entity"), "pii-often")
+    least = (
+        rows.mapInArrow(_least_holders("text", _term_filter(often)), "term string, n bigint, mask bigint")
+        .groupBy("term")
+        .agg(F.greatest(F.max("n"), F.bit_count(F.bit_or("mask")).cast("bigint")).alias("n_least"))
+    )
+    candidates = store(
+        _scored(often.join(least, "term"), "n_least", total).select("entity", "term", "n_joint", "n_entity"),
+        "pii-candidates",
+    )
+    held = rows.mapInArrow(_holders("text", _term_filter(candidates)), "term string, digest bigint")
     spread = (
         held.join(candidates.select("term").distinct(), "term", "left_semi")
         .distinct()
         .groupBy("term")
         .agg(F.count("*").alias("n_term"))
     )
-    entities = near.groupBy("entity").agg(F.count_distinct("context").alias("n_entity"))
-    total = near.select("context").distinct().count()
-    share = F.least(F.lit(1.0), F.col("n_joint") / F.col("n_term"))
-    scored = (
-        candidates.join(spread, "term")
-        .join(entities, "entity")
-        .withColumn("share", share)
-        .withColumn("bits", F.log2(F.col("share") * F.lit(float(max(total, 1))) / F.col("n_entity")))
-        .filter((F.col("share") >= SHARE) & (F.col("bits") >= BITS))
-    )
+    scored = _scored(candidates.join(spread, "term"), "n_term", total)
     return store(scored.groupBy("term").agg(F.max("bits").alias("bits"), F.max("share").alias("share")), "pii-terms")
 
 

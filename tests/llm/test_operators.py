@@ -182,6 +182,27 @@ def test_pii_spans_and_disclosing_terms(spark, docs):
     assert "quorvane" not in clean[0] + clean[999] and "<EMAIL>" in clean[0] and clean[100].endswith("the end")
 
 
+def test_disclosing_terms_as_by_brute_force(spark):
+    name = lambda i: f"w{chr(97 + i % 16)}{chr(97 + i % 5)}x"
+    people = [f"{name(i)} quorvane the me{i % 80}@site.example.com zed ulmic{chr(97 + i % 7)}" for i in range(400)]
+    people += [f"the {name(i)} again number {i} here" for i in range(100)] + [None, "", people[0]]
+    got = pii.disclosing_terms(spark.createDataFrame([(t,) for t in people], "text string").repartition(5), "text")
+    near = {r for t in people if t for r in pii.terms_near(t, pii.pattern_spans(t))}
+    texts = [set(pii.RUN.findall(t.lower())) for t in set(people) if t]
+    joint, total = Counter((e, t) for e, t, _ in near), len({c for *_, c in near})
+    entity = Counter(e for e, _ in {(e, c) for e, _, c in near})
+    want: dict = {}
+    for (e, t), n in joint.items():
+        share = min(1.0, n / sum(t in held for held in texts))
+        bits = math.log2(share * total / entity[e])
+        if n >= pii.CONTEXTS and share >= pii.SHARE and bits >= pii.BITS:
+            want[t] = max(want.get(t, (0.0, 0.0)), (bits, share))
+    assert 0 < len(want) < 80 and max(s for _, s in want.values()) < 1
+    assert {r.term: (round(r.bits, 9), r.share) for r in got.collect()} == {
+        t: (round(b, 9), s) for t, (b, s) in want.items()
+    }
+
+
 def test_url_filter(spark):
     urls = ["https://a.example.com/en/1", "http://WWW.example.com/en/2?x", "http://b.net/es/", "http://c.org/p?x=1",
             "https://www.c.org/p/", "http://d.org/q", None, "no scheme", ""]
