@@ -16,6 +16,12 @@ members of different components. A large group of near copies thus costs rows
 in proportion to its size, and no link between different components is lost:
 the last step omits only pairs that are connected already.
 
+Families of texts just under the similarity share many tokens and are never
+connected. In the last step each text of up to ``SIGNED`` shingles therefore
+carries the parities of its shingles over 512 buckets: every differing bit
+stands for a shingle that one text has and the other lacks, so a pair with too
+many differing bits cannot reach the similarity and never becomes a row.
+
 The sketch is a fixed table of counters (a parameter). It steers the order and
 the choice of l, that is the work, never the result.
 
@@ -46,6 +52,10 @@ SKETCH_BITS, SKETCH_PART = 22, 16
 MOST_MATCHES = 8
 VERIFY_COST = 4.0
 BLOOM_BITS = 24
+# Buckets of a signature, in words of 64 bits, and the largest set that gets one: beyond it even
+# texts without a common shingle differ in too few buckets.
+SIGNATURE_WORDS = 8
+SIGNED = SIGNATURE_WORDS * 32 * (DENOMINATOR + NUMERATOR) // (2 * (DENOMINATOR - NUMERATOR))
 # Rounds in which a list is linked through hubs, and hubs of a list in a round.
 STAR_ROUNDS, HUBS = 2, 2
 
@@ -87,8 +97,22 @@ def set_keys(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> np.ndar
     return common.mix(keys + sizes.astype(np.uint64))
 
 
+def signatures(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    """Parities of each set's shingles by bucket; NULL for large and empty sets."""
+    has = (sizes > 0) & (sizes <= SIGNED)
+    place = np.cumsum(has) - 1
+    mine = has[owner]
+    bucket = (common.mix(value[mine]) >> np.uint64(32)) % np.uint64(SIGNATURE_WORDS * 64)
+    words = np.zeros(int(has.sum()) * SIGNATURE_WORDS, dtype=np.uint64)
+    at = place[owner[mine]] * SIGNATURE_WORDS + (bucket >> np.uint64(6)).astype(np.int64)
+    np.bitwise_xor.at(words, at, np.uint64(1) << (bucket & np.uint64(63)))
+    # an entry whose begin is NULL is NULL
+    begin = pa.array(np.concatenate([[0], np.cumsum(has)]) * SIGNATURE_WORDS, pa.int32(), mask=np.append(~has, False))
+    return pa.ListArray.from_arrays(begin, pa.array(common.signed(words)))
+
+
 def _survey(text: str, doc_id: str) -> Callable:
-    """First pass: (doc_id, n, key) of every row, and the task's counters."""
+    """First pass: (doc_id, n, key, signature) of every row, and the task's counters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -110,11 +134,12 @@ def _survey(text: str, doc_id: str) -> Callable:
                         part[doc_id].cast(pa.int64()),
                         pa.array(sizes, pa.int64()),
                         pa.array(common.signed(keys)),
+                        signatures(owner, value, sizes),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.int32()),
                         pa.nulls(n, pa.binary()),
                     ],
-                    names=["doc_id", "n", "key", "part", "task", "counts"],
+                    names=["doc_id", "n", "key", "signature", "part", "task", "counts"],
                 )
         if any_row:
             task = TaskContext.get().partitionId()
@@ -126,11 +151,12 @@ def _survey(text: str, doc_id: str) -> Callable:
                     pa.nulls(n, pa.int64()),
                     pa.nulls(n, pa.int64()),
                     pa.nulls(n, pa.int64()),
+                    pa.nulls(n, pa.list_(pa.int64())),
                     pa.array(range(n), pa.int32()),
                     pa.array([task] * n, pa.int32()),
                     pa.array([b.tobytes() for b in blocks], pa.binary()),
                 ],
-                names=["doc_id", "n", "key", "part", "task", "counts"],
+                names=["doc_id", "n", "key", "signature", "part", "task", "counts"],
             )
 
     return run
@@ -292,6 +318,15 @@ def _sizes_fit():
     )
 
 
+def _may_be_near():
+    """False where the signatures alone show that too many shingles differ."""
+    differ = sum(
+        F.bit_count(F.col("signature_a")[i].bitwiseXOR(F.col("signature_b")[i])) for i in range(SIGNATURE_WORDS)
+    )
+    size = F.col("n_a") + F.col("n_b")
+    return F.coalesce(DENOMINATOR * (size - differ) >= NUMERATOR * (size + differ), F.lit(True))
+
+
 def _candidates(pairs: DataFrame) -> DataFrame:
     """Pairs that share as many prefix tokens as the smaller l asks for."""
     counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(
@@ -300,9 +335,9 @@ def _candidates(pairs: DataFrame) -> DataFrame:
     return counted.filter("_shared >= _need").select("a", "b", "n_a", "n_b")
 
 
-def _side(name: str) -> list:
+def _side(name: str, extra: list[str]) -> list:
     own = [F.col("key").alias(name)]
-    return own + [F.col(c).alias(f"{c}_{name}") for c in ("n", "at", "matches")]
+    return own + [F.col(c).alias(f"{c}_{name}") for c in ("n", "at", "matches", *extra)]
 
 
 def _ascending(pairs: DataFrame) -> DataFrame:
@@ -346,7 +381,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     survey = store(
         rows.mapInArrow(
             _survey("text", "doc_id"),
-            "doc_id bigint, n bigint, key bigint, part int, task int, counts binary",
+            "doc_id bigint, n bigint, key bigint, signature array<bigint>, part int, task int, counts binary",
         ),
         "shingle-survey",
     )
@@ -376,16 +411,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left")
         placed = placed.withColumn("part", F.coalesce("root", "key")).drop("root")
         listed = mixed = store(spanning(placed, "part"), "mixed-postings")
+        fits, extra = _sizes_fit(), []
         if step < STAR_ROUNDS:
             early = Window.partitionBy("token").orderBy("early", "key")
             mixed = mixed.withColumn("_rank", F.row_number().over(early))
         else:
-            mixed = mixed.withColumn("_rank", F.lit(HUBS))
+            signed = survey.filter("signature IS NOT NULL").select("key", "signature").dropDuplicates(["key"])
+            mixed = mixed.withColumn("_rank", F.lit(HUBS)).join(signed, "key", "left")
+            fits, extra = fits & _may_be_near(), ["signature"]
         hubs = mixed.filter(F.col("_rank") <= HUBS)
-        left = hubs.select("token", F.col("part").alias("part_a"), *_side("a"))
-        right = mixed.select("token", "_rank", F.col("part").alias("part_b"), *_side("b"))
+        left = hubs.select("token", F.col("part").alias("part_a"), *_side("a", extra))
+        right = mixed.select("token", "_rank", F.col("part").alias("part_b"), *_side("b", extra))
         apart = (F.col("part_a") != F.col("part_b")) & ((F.col("a") < F.col("b")) | (F.col("_rank") > HUBS))
-        pairs = left.join(right, "token").filter(apart & _sizes_fit())
+        pairs = left.join(right, "token").filter(apart & fits)
         links = _verified(_candidates(_ascending(pairs)), rows)
         known = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
         parts = connected_components(known.union(links))
