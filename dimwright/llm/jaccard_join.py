@@ -6,7 +6,8 @@ hash. If two sets reach the similarity, the prefixes that leave out all but
 ``overlap - l`` tokens of each share l tokens or more. Each text picks its own
 l: a longer prefix is asked for where the estimated list lengths say that a
 single shared token would bring many candidates, and a pair becomes a candidate
-only if it shares the smaller of the two l. Candidates are then verified
+only if it shares the smaller of the two l, within the part of both prefixes that
+the sizes of the two sets leave. Candidates are then verified
 exactly on the whole sets.
 
 Equal sets are one class from the start, so copies are never paired. Within
@@ -310,8 +311,16 @@ def _can_reach(n_a, n_b, shared):
     return DENOMINATOR * shared >= NUMERATOR * (n_a + n_b - shared)
 
 
+def _in_reach():
+    """A pair that reaches the similarity has ``least`` tokens in common, and its first l common
+    tokens stand before the last ``least - l`` of either set: later places need not be paired."""
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * NUMERATOR / (NUMERATOR + DENOMINATOR))
+    beyond = least - F.least("matches_a", "matches_b")
+    return (F.col("at_a") < F.col("n_a") - beyond) & (F.col("at_b") < F.col("n_b") - beyond)
+
+
 def _sizes_fit():
-    return (DENOMINATOR * F.least("n_a", "n_b") >= NUMERATOR * F.greatest("n_a", "n_b")) & _can_reach(
+    return _in_reach() & (DENOMINATOR * F.least("n_a", "n_b") >= NUMERATOR * F.greatest("n_a", "n_b")) & _can_reach(
         F.col("n_a"),
         F.col("n_b"),
         F.least("at_a", "at_b") + F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")),
