@@ -11,10 +11,11 @@ the sizes of the two sets leave. Candidates are then verified
 exactly on the whole sets.
 
 Equal sets are one class from the start, so copies are never paired. Within
-the list of a token, members are first paired with a few hubs only; what these
-links connect is contracted, and all remaining pairs are formed only between
-members of different components. A large group of near copies thus costs rows
-in proportion to its size, and no link between different components is lost:
+the list of a token, members are first paired with a few hubs only, then with
+the next member in order of size, as hubs may belong to another group of texts.
+What these links connect is contracted, and all remaining pairs are formed only
+between members of different components. A large group of near copies is thus mostly
+connected before its members are paired, and no link between different components is lost:
 the last step omits only pairs that are connected already.
 
 Families of texts just under the similarity share many tokens and are never
@@ -57,8 +58,9 @@ BLOOM_BITS = 24
 # texts without a common shingle differ in too few buckets.
 SIGNATURE_WORDS = 8
 SIGNED = SIGNATURE_WORDS * 32 * (DENOMINATOR + NUMERATOR) // (2 * (DENOMINATOR - NUMERATOR))
-# Rounds in which a list is linked through hubs, and hubs of a list in a round.
-STAR_ROUNDS, HUBS = 2, 2
+# A list is linked through hubs, then between neighbours in size, then whatever is apart still.
+STEPS = ("hubs", "neighbours", "rest")
+LAST, HUBS = STEPS[-1], 2
 
 
 def shingle_sets(part: pa.RecordBatch, text: str, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -336,12 +338,14 @@ def _may_be_near():
     return F.coalesce(DENOMINATOR * (size - differ) >= NUMERATOR * (size + differ), F.lit(True))
 
 
-def _candidates(pairs: DataFrame) -> DataFrame:
-    """Pairs that share as many prefix tokens as the smaller l asks for."""
-    counted = pairs.groupBy("a", "b", "n_a", "n_b").agg(
+def _candidates(pairs: DataFrame, counted: bool) -> DataFrame:
+    """Distinct pairs; if counted, those that share as many prefix tokens as the smaller l asks for."""
+    if not counted:
+        return pairs.select("a", "b", "n_a", "n_b").distinct()
+    shared = pairs.groupBy("a", "b", "n_a", "n_b").agg(
         F.count("*").alias("_shared"), F.min(F.least("matches_a", "matches_b")).alias("_need")
     )
-    return counted.filter("_shared >= _need").select("a", "b", "n_a", "n_b")
+    return shared.filter("_shared >= _need").select("a", "b", "n_a", "n_b")
 
 
 def _side(name: str, extra: list[str]) -> list:
@@ -416,24 +420,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     found = spanning(postings, "key").dropDuplicates(["token", "key"])
     shared = store(found.withColumn("early", F.min("at").over(Window.partitionBy("key"))), "shared-postings")
     parts = spark.createDataFrame([], "node bigint, root bigint")
-    for step in range(STAR_ROUNDS + 1):
+    for step in STEPS:
         placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left")
         placed = placed.withColumn("part", F.coalesce("root", "key")).drop("root")
         listed = mixed = store(spanning(placed, "part"), "mixed-postings")
         fits, extra = _sizes_fit(), []
-        if step < STAR_ROUNDS:
-            early = Window.partitionBy("token").orderBy("early", "key")
-            mixed = mixed.withColumn("_rank", F.row_number().over(early))
-        else:
+        if step == LAST:
             signed = survey.filter("signature IS NOT NULL").select("key", "signature").dropDuplicates(["key"])
-            mixed = mixed.withColumn("_rank", F.lit(HUBS)).join(signed, "key", "left")
+            mixed = mixed.join(signed, "key", "left")
             fits, extra = fits & _may_be_near(), ["signature"]
-        hubs = mixed.filter(F.col("_rank") <= HUBS)
-        left = hubs.select("token", F.col("part").alias("part_a"), *_side("a", extra))
-        right = mixed.select("token", "_rank", F.col("part").alias("part_b"), *_side("b", extra))
-        apart = (F.col("part_a") != F.col("part_b")) & ((F.col("a") < F.col("b")) | (F.col("_rank") > HUBS))
-        pairs = left.join(right, "token").filter(apart & fits)
-        links = _verified(_candidates(_ascending(pairs)), rows)
+        order = {"hubs": ("early", "key"), "neighbours": ("n", "key")}.get(step)
+        if order:
+            mixed = mixed.withColumn("_rank", F.row_number().over(Window.partitionBy("token").orderBy(*order)))
+        left, right, on, apart = mixed, mixed, ["token"], F.col("part_a") != F.col("part_b")
+        if step == "hubs":
+            left = mixed.filter(F.col("_rank") <= HUBS)
+            apart &= (F.col("a") < F.col("b")) | (F.col("_rank") > HUBS)
+        elif step == "neighbours":
+            right, on = mixed.withColumn("_rank", F.col("_rank") - 1), ["token", "_rank"]
+        else:
+            apart &= F.col("a") < F.col("b")
+        left = left.select(*on, F.col("part").alias("part_a"), *_side("a", extra))
+        rank = [] if step == LAST else ["_rank"]
+        right = right.select("token", *rank, F.col("part").alias("part_b"), *_side("b", extra))
+        pairs = left.join(right, on).filter(apart & fits)
+        # the linking steps meet a pair at some of its tokens only, so there one is enough
+        links = _verified(_candidates(_ascending(pairs), counted=step == LAST), rows)
         known = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
         parts = connected_components(known.union(links))
         forget(listed, links)
