@@ -1,17 +1,18 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and the first five and four letters of longer words. Only
-terms that tell the labels apart enter the vectors (support and log-odds over
-all labelled training rows, strongest first, at most ``TERMS``); their weight
-is (1 + ln tf) * idf * strength. Labelled rows with the same vector form one entry that
-knows how many of them carry each label, so every labelled row is in the index.
-
-The index is cut into shards of ``SHARD`` entries, each small enough to
-broadcast. Within a shard the entries are sorted and cut into blocks; for each
-term the greatest weight in each block is kept. A query bounds every block by
-its block maxima, opens blocks in falling order of the bound and stops when no
-bound exceeds the k-th similarity found, which is exact. The neighbours of all
-shards are merged per distinct query vector, so copies are searched once.
+Terms are words and the first five and four letters of longer words. Every
+term of a labelled row enters the vectors with (1 + ln tf) * idf over all
+labelled rows; terms of no labelled row are left out. Labelled rows with the
+same vector form one entry that knows how many of them carry each label, so
+every labelled row that has a term is in the index and every text is searched.
+
+The index is cut into shards of about ``SHARD`` entries, each small enough to
+broadcast; their number grows with the labelled rows. A shard keeps its commonest terms as rows of a
+matrix, multiplied with many queries at once, and the others as lists. The
+scores of all entries are known before the nearest are chosen: maxima of
+blocks of scores tell which blocks can hold one of them, and those that can be
+among the nearest are computed again in double precision, which is exact. A
+text is searched once per task, and lists of neighbours are merged per text.
 
 Neighbours vote with weight 1 / (1.05 - cosine), smoothed by the base rate;
 ``evidence`` names the closest ones. Texts without any term get the rate of
@@ -28,27 +29,22 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from math import log
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dimwright.llm.common import chunks, store
 
-TERMS = 8192
-SUPPORT = 4
-LOG_ODDS = 3.0
 NEIGHBOURS = 25
-SHARD, BLOCK = 1 << 16, 64
+SHARD, BLOCK = 1 << 13, 64
+COMMON = 24  # a term of one entry in so many is a row of the matrix
+QUERIES = 256  # searched at a time
 BAR = 0.3
 WORD = re.compile(r"[^\W\d_]{2,}")
 
-Vector = list[tuple[int, float]]
-
-
 def term_counts(text: str | None) -> Counter[str]:
     """Words and their openings, each with how often it occurs."""
     words = Counter(WORD.findall(text.lower())) if text else Counter()
@@ -60,89 +56,77 @@ def term_counts(text: str | None) -> Counter[str]:
     return out
 
 
+def term_code(term: str) -> int:
+    """64-bit hash, the same in every task."""
+    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, positives, negatives) per task: summed before the shuffle."""
-    held: dict[str, list[int]] = {}
+    """(term code, rows that hold it) per task: summed before the shuffle."""
+    held: Counter[str] = Counter()
 
     def flush() -> pa.RecordBatch:
+        codes = np.array([term_code(t) for t in held], dtype=np.uint64).view(np.int64)
         rows = pa.RecordBatch.from_arrays(
-            [
-                pa.array(held.keys(), pa.string()),
-                pa.array([v[1] for v in held.values()], pa.int64()),
-                pa.array([v[0] for v in held.values()], pa.int64()),
-            ],
-            names=["term", "pos", "neg"],
+            [pa.array(codes), pa.array(held.values(), pa.int64())], names=["term", "n"]
         )
         held.clear()
         return rows
 
     for batch in batches:
         for part in chunks(batch, "text"):
-            for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
-                for t in term_counts(text):
-                    held.setdefault(t, [0, 0])[1 if toxic else 0] += 1
+            for text in part["text"].to_pylist():
+                held.update(term_counts(text).keys())
             if len(held) > 400_000:
                 yield flush()
     if held:
         yield flush()
 
 
-def choose_terms(labelled: DataFrame) -> tuple[dict[str, tuple[int, float]], float, int]:
-    """Chosen terms with number and weight, base rate, labelled rows."""
-    totals = labelled.groupBy("toxic").count().collect()
-    n = {int(bool(r["toxic"])): 0 for r in totals}
-    for r in totals:
-        n[int(bool(r["toxic"]))] += r["count"]
-    pos, neg = n.get(1, 0), n.get(0, 0)
-    if not pos:
-        return {}, 0.0, neg
-    counts = labelled.select("text", "toxic").mapInArrow(_terms, "term string, pos bigint, neg bigint")
-    summed = counts.groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    odds = F.log((F.col("pos") + 0.5) / (pos + 1)) - F.log((F.col("neg") + 0.5) / (neg + 1))
-    strong = (
-        summed.withColumn("odds", odds)
-        .filter((F.col("pos") >= SUPPORT) & (F.col("odds") >= LOG_ODDS) & (F.col("pos") > F.col("neg")))
-        .orderBy(F.desc(F.col("odds") * F.col("pos")), "term")
-        .limit(TERMS)
-        .collect()
-    )
-    whole = pos + neg
-    return (
-        {
-            r["term"]: (i, log(1 + whole / (r["pos"] + r["neg"])) * r["odds"])
-            for i, r in enumerate(strong)
-        },
-        pos / whole,
-        whole,
-    )
-
-
-def vector(text: str | None, terms: dict[str, tuple[int, float]]) -> Vector:
-    """Unit vector over the chosen terms, by term number."""
-    found = []
-    for t, n in term_counts(text).items():
-        known = terms.get(t)
-        if known:
-            found.append((known[0], (1 + log(n)) * known[1]))
-    found.sort()
-    norm = sum(w * w for _, w in found) ** 0.5
-    return [(i, w / norm) for i, w in found]
+Terms = tuple[np.ndarray, np.ndarray]
+
+
+def all_terms(labelled: DataFrame) -> tuple[Terms, float]:
+    """Every term of the labelled rows, as its code in rising order and its idf,
+    and the base rate."""
+    n = labelled.agg(F.count("*").alias("whole"), F.count(F.when(F.col("toxic") != 0, 1)).alias("pos")).first()
+    counts = labelled.select("text").mapInArrow(_terms, "term bigint, n bigint")
+    summed = counts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    codes = summed["term"].to_numpy().view(np.uint64)
+    order = np.argsort(codes)
+    idf = np.log1p(n["whole"] / summed["n"].to_numpy()[order]).astype("<f4")
+    return (codes[order], idf), n["pos"] / max(n["whole"], 1)
+
+
+def vector(text: str | None, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vector over the terms, by term number."""
+    codes, idf = terms
+    counts = term_counts(text)
+    if not counts or not len(codes):
+        return np.zeros(0, "<u4"), np.zeros(0, "<f4")
+    asked = np.array([term_code(t) for t in counts], dtype=np.uint64)
+    n = np.fromiter(counts.values(), np.float64, len(counts))
+    at = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
+    known = codes[at] == asked
+    order = np.argsort(at[known])
+    at, n = at[known][order], n[known][order]
+    weight = (1 + np.log(n)) * idf[at]
+    return at.astype("<u4"), (weight / max(np.sqrt(weight @ weight), 1e-30)).astype("<f4")
 
 
 def _vectors(terms) -> Callable:
     """Every column of a row, the text apart, with its vector: numbers and weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = terms.value
         for batch in batches:
             for part in chunks(batch, "text"):
-                vectors = [vector(t, chosen) for t in part["text"].to_pylist()]
+                vectors = [vector(t, terms.value) for t in part["text"].to_pylist()]
                 names = [c for c in part.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part[c] for c in names),
-                        pa.array([np.array([i for i, _ in v], "<u4").tobytes() for v in vectors], pa.binary()),
-                        pa.array([np.array([w for _, w in v], "<f4").tobytes() for v in vectors], pa.binary()),
+                        pa.array([i.tobytes() for i, _ in vectors], pa.binary()),
+                        pa.array([w.tobytes() for _, w in vectors], pa.binary()),
                     ],
                     names=[*names, "ids", "weights"],
                 )
@@ -151,86 +135,123 @@ def _vectors(terms) -> Callable:
 
 
 class BlockMaxIndex:
-    """Inverted index of a shard with the greatest weight per term and block."""
+    """Index of a shard: a matrix of the common terms, lists of the others.
+    The nearest entries are chosen by the maxima of blocks of scores."""
 
     def __init__(self, entries: list[tuple[bytes, bytes, int, int, int]]):
         entries = sorted(entries)
+        self.size = len(entries)
         self.votes = np.array([e[2:4] for e in entries], dtype=np.float64).reshape(-1, 2)
         self.example = [e[4] for e in entries]
-        term = [np.frombuffer(e[0], "<u4") for e in entries]
-        weight = [np.frombuffer(e[1], "<f4") for e in entries]
-        entry = np.repeat(np.arange(len(entries)), [len(t) for t in term])
-        term, weight = np.concatenate(term or [[]]).astype(np.int64), np.concatenate(weight or [[]])
-        order = np.lexsort((entry, term))
-        self.entry, self.weight = entry[order], weight[order].astype(np.float32)
-        names, start = np.unique(term[order], return_index=True)
-        stop = np.append(start[1:], len(order))
-        self.lists = {int(t): (int(a), int(b)) for t, a, b in zip(names, start, stop)}
-        self.blocks = -(-len(entries) // BLOCK)
-        self.maxima: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for t, (a, b) in self.lists.items():
-            block = self.entry[a:b] // BLOCK
-            held, first = np.unique(block, return_index=True)
-            self.maxima[t] = (held, np.maximum.reduceat(self.weight[a:b], first), np.append(first, b - a) + a)
+        terms = [np.frombuffer(e[0], "<u4") for e in entries]
+        self.start = np.concatenate([[0], np.cumsum([len(t) for t in terms])]).astype(np.int64)
+        term = np.concatenate(terms) if terms else np.zeros(0, np.uint32)
+        self.weight = np.concatenate([np.frombuffer(e[1], "<f4") for e in entries]) if terms else np.zeros(0, np.float32)
+        self.names, self.term = np.unique(term, return_inverse=True)
+        self.term = self.term.astype(np.int32)
+        entry = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.start))
+        count = np.bincount(self.term, minlength=len(self.names))
+        # each common term has its row in the matrix, -1 stands for the others
+        common = np.flatnonzero(count * COMMON > self.size)
+        self.row = np.full(len(self.names), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), self.size), np.float32)
+        dense = self.row[self.term] >= 0
+        self.matrix[self.row[self.term[dense]], entry[dense]] = self.weight[dense]
+        order = np.argsort(self.term[~dense], kind="stable")
+        self.list_entry, self.list_weight = entry[~dense][order], self.weight[~dense][order]
+        count[common] = 0
+        self.cut = np.concatenate([[0], np.cumsum(count)])
+        self.asked = np.zeros(len(self.names))  # the query's weights, zero between searches
 
     def search(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the nearest k rows (an entry counts as many)."""
-        bound = np.zeros(self.blocks, dtype=np.float64)
-        for t, q in zip(ids.tolist(), weights.tolist()):
-            if t in self.maxima:
-                held, most, _ = self.maxima[t]
-                bound[held] += q * most
-        touched = np.flatnonzero(bound > 0)
-        touched = touched[np.argsort(-bound[touched], kind="stable")]
-        found_e, found_c, least, seen = [], [], -1.0, 0.0
-        for at, b in enumerate(touched.tolist()):
-            if seen >= k and bound[b] + 1e-6 < least:
-                break
-            score = np.zeros(BLOCK)
-            for t, q in zip(ids.tolist(), weights.tolist()):
-                if t in self.maxima:
-                    held, _, cut = self.maxima[t]
-                    i = int(np.searchsorted(held, b))
-                    if i < len(held) and held[i] == b:
-                        a, z = cut[i], cut[i + 1]
-                        score[self.entry[a:z] - b * BLOCK] += q * self.weight[a:z]
-            hit = np.flatnonzero(score > 0)
-            found_e.append(hit + b * BLOCK)
-            found_c.append(score[hit])
-            e, c = np.concatenate(found_e), np.concatenate(found_c)
-            order = np.lexsort((e, -np.round(c, 6)))
-            upto = np.cumsum(self.votes[e[order]].sum(axis=1))
-            last = int(np.searchsorted(upto, k)) + 1
-            e, c = e[order[:last]], c[order[:last]]
-            found_e, found_c = [e], [c]
-            seen = float(upto[min(last, len(upto)) - 1]) if len(upto) else 0.0
-            least = float(c[-1]) if len(c) else -1.0
-        if not found_e:
+        return self.search_all([(ids, weights)], k)[0]
+
+    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The same for many queries."""
+        if not self.size:
+            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
+        local = []
+        dense = np.zeros((len(queries), len(self.matrix)), np.float32)
+        for i, (ids, weights) in enumerate(queries):
+            at = np.minimum(np.searchsorted(self.names, ids), max(len(self.names) - 1, 0))
+            known = self.names[at] == ids
+            at, w = at[known], np.asarray(weights, np.float64)[known]
+            rows = self.row[at]
+            dense[i, rows[rows >= 0]] = w[rows >= 0]
+            local.append((at, w))
+        scores = dense @ self.matrix
+        return [self._nearest(at, w, score, k) for (at, w), score in zip(local, scores)]
+
+    def _nearest(self, at: np.ndarray, w: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        first, length = self.cut[at], self.cut[at + 1] - self.cut[at]
+        whole = int(length.sum())
+        if whole:
+            place = np.arange(whole) + np.repeat(first - (np.cumsum(length) - length), length)
+            score = score + np.bincount(
+                self.list_entry[place], self.list_weight[place] * np.repeat(w, length), minlength=self.size
+            )
+        # any k entries hold k rows at least; what single precision may hide stays in
+        most = np.maximum.reduceat(score, np.arange(0, self.size, BLOCK))
+        low = np.partition(most, -k)[-k] if len(most) > k else -1.0
+        near = np.flatnonzero(np.repeat(most >= low - 1e-4, BLOCK)[: self.size])
+        if len(near) > k:
+            low = np.partition(score[near], -k)[-k]
+            near = near[score[near] >= low - 1e-4]
+        near = near[score[near] > 0]
+        if not len(near):
             return np.zeros(0, np.int64), np.zeros(0)
-        return found_e[0], found_c[0]
+        self.asked[at] = w
+        length = self.start[near + 1] - self.start[near]
+        begin = np.cumsum(length) - length
+        place = np.arange(int(length.sum())) + np.repeat(self.start[near] - begin, length)
+        cosine = np.add.reduceat(self.weight[place] * self.asked[self.term[place]], begin)
+        self.asked[at] = 0.0
+        order = np.lexsort((near, -np.round(cosine, 6)))
+        upto = np.cumsum(self.votes[near[order]].sum(axis=1))
+        order = order[: int(np.searchsorted(upto, k)) + 1]
+        return near[order], cosine[order]
 
 
-def _search(index, k: int) -> Callable:
-    """(query vector, its neighbours in this shard)."""
+NEAR = pa.list_(
+    pa.struct([("cosine", pa.float64()), ("pos", pa.int64()), ("neg", pa.int64()), ("example", pa.int64())])
+)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = BlockMaxIndex(index.value)
-        near = pa.list_(
-            pa.struct([("cosine", pa.float64()), ("pos", pa.int64()), ("neg", pa.int64()), ("example", pa.int64())])
+
+def _search(terms, index, number: int, k: int) -> Callable:
+    """(text's key, shard, neighbours in it); neighbours are NULL for a text without any term."""
+
+    def found(shard: BlockMaxIndex, keys: list, queries: list) -> pa.RecordBatch:
+        out = [
+            [
+                {"cosine": min(float(x), 1.0), "pos": int(p), "neg": int(n), "example": shard.example[j]}
+                for j, x, (n, p) in zip(e.tolist(), c, shard.votes[e])
+            ]
+            if len(ids)
+            else None
+            for (ids, _), (e, c) in zip(queries, shard.search_all(queries, k))
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(keys, pa.binary()), pa.array([number] * len(keys), pa.int32()), pa.array(out, NEAR)],
+            names=["key", "shard", "near"],
         )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, seen, keys, queries = BlockMaxIndex(index.value), set(), [], []
         for batch in batches:
-            ids, weights, out = batch["ids"].to_pylist(), batch["weights"].to_pylist(), []
-            for i, w in zip(ids, weights):
-                e, c = shard.search(np.frombuffer(i, "<u4"), np.frombuffer(w, "<f4"), k)
-                out.append(
-                    [
-                        {"cosine": min(float(x), 1.0), "pos": int(p), "neg": int(n), "example": shard.example[j]}
-                        for j, x, (n, p) in zip(e.tolist(), c, shard.votes[e])
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays(
-                [batch["ids"], batch["weights"], pa.array(out, near)], names=["ids", "weights", "near"]
-            )
+            for part in chunks(batch, "text"):
+                for key, text in zip(part["key"].to_pylist(), part["text"].to_pylist()):
+                    if key in seen:  # a copy
+                        continue
+                    seen.add(key)
+                    keys.append(key)
+                    queries.append(vector(text, terms.value))
+                    if len(keys) == QUERIES:
+                        yield found(shard, keys, queries)
+                        keys, queries = [], []
+        if keys:
+            yield found(shard, keys, queries)
 
     return run
 
@@ -251,37 +272,43 @@ def vote(near: list[tuple[float, int, int]], rate: float, k: int) -> float:
     return good / total
 
 
-def _votes(rate: float, k: int) -> Callable:
+def _votes(rate: float, without: float, k: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, evidence = [], []
-            for shards in batch["near"].to_pylist():
-                near = sorted((n for s in shards for n in s), key=lambda n: (-round(n["cosine"], 6), n["example"]))
+            for found in batch["found"].to_pylist():
+                shards = {f["shard"]: f["near"] for f in found}  # once each, however many tasks searched the text
+                if None in shards.values():
+                    scores.append(without)
+                    evidence.append([])
+                    continue
+                near = sorted((n for s in shards.values() for n in s), key=lambda n: (-round(n["cosine"], 6), n["example"]))
                 scores.append(vote([(n["cosine"], n["pos"], n["neg"]) for n in near], rate, k))
                 evidence.append([n["example"] for n in near[:3]])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["ids"],
-                    pa.array(scores, pa.float64()),
-                    pa.array(evidence, pa.list_(pa.int64())),
-                ],
-                names=["ids", "score", "evidence"],
+                [batch["key"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
+                names=["key", "score", "evidence"],
             )
 
     return run
 
 
+def text_key(text: str) -> Column:
+    """16 bytes that stand for a text; NULL reads as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
 class Scorer:
-    """Judged query vectors for a table of texts."""
+    """Judged texts of a table, by key."""
 
     def __init__(self, docs: DataFrame, text: str, labelled: DataFrame, k: int = NEIGHBOURS):
         context = docs.sparkSession.sparkContext
         known = labelled.filter(F.col("toxic").isNotNull())
-        terms, rate, _ = choose_terms(known)
-        self.terms = context.broadcast(terms)  # at most TERMS entries
+        terms, rate = all_terms(known)
+        terms = context.broadcast(terms)  # 12 bytes a term of the labelled rows
         examples = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic"))
         entries = store(
-            examples.mapInArrow(_vectors(self.terms), "doc_id bigint, toxic int, ids binary, weights binary")
+            examples.mapInArrow(_vectors(terms), "doc_id bigint, toxic int, ids binary, weights binary")
             .groupBy("ids", "weights")
             .agg(
                 F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("neg"),
@@ -291,52 +318,35 @@ class Scorer:
             "toxic-entries",
         )
         bare = entries.filter(F.length("ids") == 0).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-        self.without = (bare["p"] or 0) / max((bare["p"] or 0) + (bare["n"] or 0), 1)
-        queries = docs.select(F.col(text).alias("text")).mapInArrow(_vectors(self.terms), "ids binary, weights binary")
-        queries = store(queries.filter(F.length("ids") > 0).distinct(), "toxic-queries")
+        without = (bare["p"] or 0) / max((bare["p"] or 0) + (bare["n"] or 0), 1)
+        queries = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
+        if queries.rdd.getNumPartitions() < context.defaultParallelism:
+            queries = queries.repartition(context.defaultParallelism)
 
         indexed = entries.filter(F.length("ids") > 0)
         shards = max(1, -(-indexed.count() // SHARD))
-        schema = "ids binary, weights binary, near array<struct<cosine: double, pos: bigint, neg: bigint, example: bigint>>"
+        schema = "key binary, shard int, near array<struct<cosine: double, pos: bigint, neg: bigint, example: bigint>>"
         partial = None
         for number in range(shards):
             # hash shards: about SHARD entries each, an entry of at most a text's terms
             own = indexed.filter(F.pmod(F.xxhash64("ids", "weights"), F.lit(shards)) == number).collect()
             index = context.broadcast([(r["ids"], r["weights"], r["neg"], r["pos"], r["example"] or 0) for r in own])
-            found = queries.repartition("ids").mapInArrow(_search(index, k), schema)
-            found = store(found, "toxic-neighbours") if shards > 1 else found
+            found = store(queries.mapInArrow(_search(terms, index, number, k), schema), "toxic-neighbours")
+            index.destroy()
             partial = found if partial is None else partial.unionByName(found)
-        gathered = partial.groupBy("ids", "weights").agg(F.collect_list("near").alias("near"))  # one list per shard
-        judged = gathered.select(F.concat("ids", "weights").alias("ids"), "near").mapInArrow(
-            _votes(rate, k), "ids binary, score double, evidence array<bigint>"
-        )
-        self.judged = store(judged, "toxic-scores").withColumnRenamed("ids", "_key")
+        gathered = partial.groupBy("key").agg(F.collect_list(F.struct("shard", "near")).alias("found"))
+        judged = gathered.mapInArrow(_votes(rate, without, k), "key binary, score double, evidence array<bigint>")
+        self.judged = store(judged, "toxic-scores").withColumnRenamed("key", "_key")
 
     def rows(self, docs: DataFrame, text: str) -> DataFrame:
-        """(row, score, evidence) for the rows of ``docs`` as structs. Rows
-        without any term, the bulk, are not shuffled."""
-        schema = T.StructType(
-            [T.StructField("row", docs.schema), T.StructField("ids", T.BinaryType()), T.StructField("weights", T.BinaryType())]
-        )
-        packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), F.col(text).alias("text"))
-        vectors = packed.mapInArrow(_vectors(self.terms), schema)
-        bare = vectors.filter(F.length("ids") == 0).select(
-            "row", F.lit(float(self.without)).alias("score"), F.array().cast("array<bigint>").alias("evidence")
-        )
-        scored = vectors.filter(F.length("ids") > 0).withColumn("_key", F.concat("ids", "weights"))
-        return bare.unionByName(scored.join(self.judged, "_key").select("row", "score", "evidence"))
+        """(row, score, evidence) for the rows of ``docs`` as structs."""
+        packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), text_key(text).alias("_key"))
+        return packed.join(self.judged, "_key").select("row", "score", "evidence")
 
 
 def score_texts(docs: DataFrame, labelled: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """(doc_id, score, evidence) for every row of ``docs`` (doc_id, text), from
     ``labelled`` rows (doc_id, text, toxic)."""
     scorer = Scorer(docs, "text", labelled, k)
-    # the ids alone travel with the vectors
-    schema = "doc_id bigint, ids binary, weights binary"
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    vectors = store(rows.mapInArrow(_vectors(scorer.terms), schema), "toxic-vectors")
-    bare = vectors.filter(F.length("ids") == 0).select(
-        "doc_id", F.lit(float(scorer.without)).alias("score"), F.array().cast("array<bigint>").alias("evidence")
-    )
-    keyed = vectors.filter(F.length("ids") > 0).withColumn("_key", F.concat("ids", "weights"))
-    return bare.unionByName(keyed.join(scorer.judged, "_key").select("doc_id", "score", "evidence"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key("text").alias("_key"))
+    return rows.join(scorer.judged, "_key").select("doc_id", "score", "evidence")

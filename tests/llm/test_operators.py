@@ -154,6 +154,41 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score_texts(asked, labelled.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_searches_texts_without_telling_words(spark):
+    # no word passes a bar of support or odds: each toxic text has words of its own
+    rows = [(i, " ".join(f"{a}{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for a in ("rus", "tel", "mor", "vin")), int(i < 3)) for i in range(60)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    asked = spark.createDataFrame([(1, rows[1][1] + " xyz"), (2, rows[40][1])], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in toxicity.score_texts(asked, labelled, k=1).collect()}
+    assert got[1].score >= 0.9 and list(got[1].evidence) == [1]
+    assert got[2].score < 0.1 and list(got[2].evidence) == [40]
+
+
+def test_toxicity_equals_brute_force_over_shards(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    names = [a + b + c for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    texts = [" ".join(draw.choice(names, size=draw.integers(2, 30))) for _ in range(150)]
+    rows = [(i, t, int(i % 5 == 0)) for i, t in enumerate(texts[:100])]
+    vectors, df = [], Counter()
+    for t in texts:
+        vectors.append(toxicity.term_counts(t))
+    for v in vectors[:100]:
+        df.update(v.keys())
+    vectors = [{t: (1 + math.log(n)) * math.log(1 + 100 / df[t]) for t, n in v.items() if t in df} for v in vectors]
+    norm = [math.sqrt(sum(w * w for w in v.values())) for v in vectors]
+    monkeypatch.setattr(toxicity, "SHARD", 30)
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.score for r in toxicity.score_texts(asked, labelled, k=7).collect()}
+    for i, v in enumerate(vectors):
+        near = sorted(
+            (-sum(w * u.get(t, 0.0) for t, w in v.items()) / norm[i] / norm[j], j % 5 == 0) for j, u in enumerate(vectors[:100])
+        )[:7]
+        votes = [(1 / (1.05 + c), p) for c, p in near if c < 0]
+        want = (0.2 + sum(w for w, p in votes if p)) / (1 + sum(w for w, _ in votes))
+        assert got[i] == pytest.approx(want, abs=1e-4)
+
+
 def test_leaks_with_other_numbers(spark):
     item = "A train leaves Paris at 9 o'clock with 120 people and meets another train of 120 people near the old bridge."
     copy = item.replace("120", "340").replace("9 o", "7 o")
