@@ -6,16 +6,17 @@ frequency (a power of two). The weights are learnt by expectation-maximisation
 on a deleted part of the training texts: counts of the rest give the estimates,
 the events of the deleted part are counted. Then all training texts count.
 
-Words beyond the ``VOCABULARY`` most frequent share one class; such a word has
-the class's probability times its own add-one share of the class. The class
-tables are the only thing broadcast and have that fixed size.
+Every word of the training texts is a class of its own; words of none of them
+share one class without counts. The ``VOCABULARY`` most frequent words have
+numbers and their counts are broadcast, a table of fixed size. Pairs that hold another word
+go by the words' hashes: they are grouped, and the counts of such words are
+joined to them. Which way a pair goes does not change its probability.
 
 Counts of pairs and their uses meet by a hash of the pair. Tasks send arrays
 with one entry per pair, or per pair and text, so a shuffled entry takes a few
 bytes; the number of groups follows the number of tokens, so a group has a
 fixed size. Pairs of two words of the ``HOT`` most frequent are counted and
-scored inside the tasks, so no very frequent pair is dealt to one group. Rare
-words are counted and looked up by plain grouping and joining.
+scored inside the tasks, so no very frequent pair is dealt to one group.
 
 Defined results: NULL reads as empty, a text of one end token. Rows that share a
 doc_id are one document of several texts, each with its end. Without training
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.llm import common
-from dimwright.llm.common import store
+from dimwright.llm.common import forget, store
 
 # (VOCABULARY + 2) ** 2 pairs fit 32 bits.
 VOCABULARY, HOT = 65_000, 256
@@ -62,14 +63,19 @@ class Tokens:
     def pairs(self, classes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Pair number and row of every token: each text begins after an end
         and closes with one."""
+        seq, row = self.closed(classes, END)
+        before = np.concatenate([[END], seq[:-1]]).astype(np.int64)
+        return before * width + seq, row
+
+    def closed(self, classes: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every token with the ends of the texts, and its row."""
         n = np.bincount(self.doc, minlength=self.rows)
         close = np.cumsum(n + 1) - 1
-        seq = np.full(len(classes) + self.rows, END, dtype=np.int64)
+        seq = np.full(len(classes) + self.rows, end, dtype=np.int64)
         inside = np.ones(len(seq), dtype=bool)
         inside[close] = False
         seq[inside] = classes
-        before = np.concatenate([[END], seq[:-1]]).astype(np.int64)
-        return before * width + seq, np.repeat(np.arange(self.rows), n + 1)
+        return seq, np.repeat(np.arange(self.rows), n + 1)
 
 
 class Vocab:
@@ -84,6 +90,13 @@ class Vocab:
         self.counts = np.concatenate([[end[0], total[0] - end[0] - c.sum()], c])
         self.core = self.counts - np.concatenate([[end[1], total[1] - end[1] - d.sum()], d])
 
+    def numbered(self, code: np.ndarray) -> np.ndarray:
+        """Pairs without a word beyond the vocabulary."""
+        return (code // self.width != OTHER) & (code % self.width != OTHER)
+
+    def hot(self, code: np.ndarray) -> np.ndarray:
+        return self.numbered(code) & (code // self.width < HOT + FIRST) & (code % self.width < HOT + FIRST)
+
     def classes(self, words: np.ndarray) -> np.ndarray:
         if not len(self.sorted):
             return np.full(len(words), OTHER, dtype=np.int64)
@@ -165,7 +178,8 @@ def _pair_counts(shared, groups: int) -> Callable:
                 tokens = Tokens(part)
                 code, row = tokens.pairs(tokens.classes(vocab), vocab.width)
                 role = np.asarray(part["role"])[row]
-                code, role = code[role > 0], role[role > 0]
+                own = (role > 0) & vocab.numbered(code)
+                code, role = code[own], role[own]
                 held.append(_sum_by(code, (role == 1).astype(np.int64), (role == 2).astype(np.int64)))
                 size += len(held[-1][0])
                 if size > 3_000_000:
@@ -177,6 +191,14 @@ def _pair_counts(shared, groups: int) -> Callable:
     return run
 
 
+def _event_keys(context: np.ndarray, own: np.ndarray, pair: np.ndarray, total: int) -> np.ndarray:
+    """Bucket of the context and bins of both estimates in one number."""
+    with np.errstate(divide="ignore"):
+        two = np.where(pair > 0, np.round(STEPS * np.log2(pair / np.maximum(context, 1))), -999)
+        one = np.where(own > 0, np.round(STEPS * np.log2(own / max(total, 1))), -999)
+    return (bucket(context) * 2000 + two.astype(np.int64) + 999) * 2000 + one.astype(np.int64) + 999
+
+
 def _events(shared) -> Callable:
     """For a group of pairs: counts of deleted events by bucket and estimates,
     and the totals of the hot pairs."""
@@ -189,15 +211,9 @@ def _events(shared) -> Callable:
         ]
         code, core, dev = _sum_by(*(np.concatenate(c) for c in zip(*parts)))
         before, word = code // vocab.width, code % vocab.width
-        hot = (before < HOT + FIRST) & (word < HOT + FIRST)
+        hot = vocab.hot(code)
         seen = dev > 0
-        context, own = vocab.core[before[seen]], vocab.core[word[seen]]
-        total = max(int(vocab.core.sum()), 1)
-        pair = core[seen]
-        with np.errstate(divide="ignore"):
-            two = np.where(pair > 0, np.round(STEPS * np.log2(pair / np.maximum(context, 1))), -999)
-            one = np.where(own > 0, np.round(STEPS * np.log2(own / total)), -999)
-        key = (bucket(context) * 2000 + two.astype(np.int64) + 999) * 2000 + one.astype(np.int64) + 999
+        key = _event_keys(vocab.core[before[seen]], vocab.core[word[seen]], core[seen], int(vocab.core.sum()))
         key, n = _sum_by(key, dev[seen])
         return pa.table(
             {
@@ -241,20 +257,18 @@ def learn_weights(events: dict[int, int], classes: int) -> np.ndarray:
     return weights
 
 
-def _log_prob(vocab: Vocab, weights: np.ndarray, before: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    context = vocab.counts[before]
+def log_prob(
+    weights: np.ndarray, classes: int, total: int, context: np.ndarray, own: np.ndarray, pair: np.ndarray
+) -> np.ndarray:
+    """log10 P from the counts of context, word and pair."""
     w = weights[np.minimum(bucket(context), BUCKETS - 1)]
-    total = max(int(vocab.counts.sum()), 1)
-    mixed = (
-        w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * vocab.counts[word] / total + w[:, 2] / vocab.width
-    )
-    return np.log10(mixed)
+    return np.log10(w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * own / max(total, 1) + w[:, 2] / classes)
 
 
 PARTS = "doc_id bigint, n_tokens bigint, n_known bigint, base double, score double"
 
 
-def _local(shared, hot_counts, weights: np.ndarray, total: int, distinct: int) -> Callable:
+def _local(shared, hot_counts, weights: np.ndarray, classes: int, total: int, distinct: int) -> Callable:
     """What a task knows itself: tokens, base of vocabulary words, hot pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,10 +281,10 @@ def _local(shared, hot_counts, weights: np.ndarray, total: int, distinct: int) -
                 known = word != OTHER
                 c = vocab.counts[word]
                 base = np.where(known, np.log10((c + 1.0) / (total + distinct + 1)), 0.0)
-                hot = (before < HOT + FIRST) & (word < HOT + FIRST)
+                hot = vocab.hot(code)
                 pair = hot_counts.value[before[hot], word[hot]]
                 score = np.zeros(len(code))
-                score[hot] = _log_prob(vocab, weights, before[hot], word[hot], pair)
+                score[hot] = log_prob(weights, classes, total, vocab.counts[before[hot]], vocab.counts[word[hot]], pair)
                 add = lambda v: np.bincount(row, weights=v, minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -310,6 +324,101 @@ def _rare_words(shared) -> Callable:
     return run
 
 
+def _rare_pairs(shared) -> Callable:
+    """(doc_id, before, word, m, core, dev) of each row's pairs that hold a word
+    outside the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
+        for batch in batches:
+            for part in common.chunks(batch, "text"):
+                tokens = Tokens(part)
+                classes, row = tokens.closed(tokens.classes(vocab), END)
+                words, _ = tokens.closed(tokens.words, END_HASH)
+                earlier = np.concatenate([[END], classes[:-1]]).astype(np.int64)
+                before = np.concatenate([[END_HASH], words[:-1]]).astype(np.int64)
+                rare = np.flatnonzero((earlier == OTHER) | (classes == OTHER))
+                rare = rare[np.lexsort((words[rare], before[rare], row[rare]))]
+                row, before, words = (x[rare] for x in (row, before, words))
+                new = np.ones(len(rare), dtype=bool)
+                new[1:] = (row[1:] != row[:-1]) | (before[1:] != before[:-1]) | (words[1:] != words[:-1])
+                new = np.flatnonzero(new)
+                m = np.diff(np.append(new, len(rare)))
+                role = np.asarray(part["role"])[row[new]]
+                columns = [before[new], words[new], m, m * (role == 1), m * (role == 2)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(pa.array(row[new])), *(pa.array(c.astype(np.int64)) for c in columns)],
+                    names=["doc_id", "before", "word", "m", "core", "dev"],
+                )
+
+    return run
+
+
+RARE = "doc_id bigint, before bigint, word bigint, m bigint, core bigint, dev bigint"
+COUNTED = "before bigint, word bigint, core bigint, dev bigint, n_b bigint, core_b bigint, n_w bigint, core_w bigint"
+
+
+def _listed_counts(shared) -> Callable:
+    """Adds n and core of the context and of the word, -1 where they must be looked up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
+        for batch in batches:
+            listed = []
+            for words in _arrays(batch, "before", "word"):
+                c = np.where(words == END_HASH, END, vocab.classes(words))
+                listed += [np.where(c == OTHER, -1, counts[c]) for counts in (vocab.counts, vocab.core)]
+            columns = [*batch.columns, *(pa.array(c.astype(np.int64)) for c in listed)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in COUNTED.split(", ")])
+
+    return run
+
+
+def _with_counts(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Looks up the counts of the words outside the vocabulary; only pairs that
+    need one are dealt out."""
+    found = words.select(F.col("word").alias("_word"), F.col("n").alias("_n"), (F.col("n") - F.col("dev")).alias("_core"))
+    for own, tag in (("before", "b"), ("word", "w")):
+        asking = pairs.filter(F.col(f"n_{tag}") < 0).join(found, F.col(own) == F.col("_word"), "left")
+        asking = asking.withColumns(
+            {f"n_{tag}": F.coalesce("_n", F.lit(0)), f"core_{tag}": F.coalesce("_core", F.lit(0))}
+        ).select(*pairs.columns)
+        whole = store(pairs.filter(F.col(f"n_{tag}") >= 0).unionByName(asking), "lm-rare-pairs")
+        forget(pairs)
+        pairs = whole
+    return pairs
+
+
+def _arrays(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch[c].to_numpy(zero_copy_only=False) for c in names]
+
+
+def _rare_events(total: int) -> Callable:
+    """The event counts of pairs that hold a word outside the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, own, pair, dev = _arrays(batch, "core_b", "core_w", "core", "dev")
+            key, n = _sum_by(_event_keys(context, own, pair, total), dev)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([False] * len(key), pa.bool_()), pa.array(key), pa.array(n)], names=["hot", "key", "n"]
+            )
+
+    return run
+
+
+def _rare_scores(weights: np.ndarray, classes: int, total: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, own, core, dev = _arrays(batch, "n_b", "n_w", "core", "dev")
+            score = log_prob(weights, classes, total, context, own, core + dev)
+            yield pa.RecordBatch.from_arrays(
+                [batch["before"], batch["word"], pa.array(score)], names=["before", "word", "score"]
+            )
+
+    return run
+
+
 def _pair_uses(shared, groups: int) -> Callable:
     """One row per chunk and group: pairs with the row they are used in."""
 
@@ -323,7 +432,7 @@ def _pair_uses(shared, groups: int) -> Callable:
                 chunk += 1
                 tokens = Tokens(part)
                 code, row = tokens.pairs(tokens.classes(vocab), vocab.width)
-                cold = (code // vocab.width >= HOT + FIRST) | (code % vocab.width >= HOT + FIRST)
+                cold = vocab.numbered(code) & ~vocab.hot(code)
                 code, row = code[cold], row[cold]
                 ids = np.asarray(pc_fill(part["doc_id"]))
                 role = np.asarray(part["role"]).astype(np.uint8)
@@ -348,7 +457,7 @@ def pc_fill(ids: pa.Array) -> pa.Array:
     return common.pc.fill_null(ids, -(1 << 62))
 
 
-def _pair_scores(shared, weights: np.ndarray) -> Callable:
+def _pair_scores(shared, weights: np.ndarray, classes: int, total: int) -> Callable:
     """Scores of a group of pairs, as one row of sums for each chunk they come
     from. All uses of a pair are here, so its count is the number of those in
     training texts."""
@@ -367,7 +476,9 @@ def _pair_scores(shared, weights: np.ndarray) -> Callable:
         kinds, kind = np.unique(code, return_inverse=True)
         counts = np.bincount(kind, weights=train, minlength=len(kinds))
         kinds = kinds.astype(np.int64)
-        score = _log_prob(vocab, weights, kinds // vocab.width, kinds % vocab.width, counts)
+        score = log_prob(
+            weights, classes, total, vocab.counts[kinds // vocab.width], vocab.counts[kinds % vocab.width], counts
+        )
         sums = np.bincount(owner, weights=score[kind], minlength=shift).astype("<f8")
         cuts = np.cumsum([len(i) for i in ids])[:-1]
         return pa.table(
@@ -408,26 +519,32 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     listed = words.filter(F.col("word") != END_HASH).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
     vocab = Vocab([r["word"] for r in listed], [r["n"] for r in listed], [r["dev"] for r in listed], end, (total, deleted))
     shared = context.broadcast(vocab)
-    other_n = int(vocab.counts[OTHER])
-    other_v = distinct - len(listed) - (1 if ends else 0)
+    classes = max(distinct, 1) + 1  # the words, the end, and what no training text holds
 
     groups = max(1, -(-total // GROUP_TOKENS))
     pairs = rows.filter("role > 0").mapInArrow(
         _pair_counts(shared, groups), "g int, code binary, core binary, dev binary"
     )
+    rare_uses = rows.mapInArrow(_rare_pairs(shared), RARE)
+    summed = rare_uses.groupBy("before", "word").agg(
+        F.sum("core").alias("core"), F.sum("dev").alias("dev")
+    )
+    rare_pairs = _with_counts(store(summed.mapInArrow(_listed_counts(shared), COUNTED), "lm-rare-sums"), words)
+    events = "hot boolean, key bigint, n bigint"
     found = store(
-        pairs.groupBy("g").applyInArrow(_events(shared), "hot boolean, key bigint, n bigint")
+        pairs.groupBy("g").applyInArrow(_events(shared), events)
+        .unionByName(rare_pairs.filter("dev > 0").mapInArrow(_rare_events(total - deleted), events))
         .groupBy("hot", "key").agg(F.sum("n").alias("n")),
         "lm-events",
     ).collect()  # bounded: buckets x bins of both estimates, and HOT ** 2 pairs
-    weights = learn_weights({r["key"]: r["n"] for r in found if not r["hot"]}, vocab.width)
+    weights = learn_weights({r["key"]: r["n"] for r in found if not r["hot"]}, classes)
     hot = np.zeros((HOT + FIRST, HOT + FIRST), dtype=np.int64)
     for r in found:
         if r["hot"]:
             hot[r["key"] // vocab.width, r["key"] % vocab.width] = r["n"]
     hot_counts = context.broadcast(hot)
 
-    local = rows.mapInArrow(_local(shared, hot_counts, weights, total, distinct), PARTS)
+    local = rows.mapInArrow(_local(shared, hot_counts, weights, classes, total, distinct), PARTS)
     n = F.coalesce(F.col("n"), F.lit(0))
     rare = (
         rows.mapInArrow(_rare_words(shared), "doc_id bigint, word bigint, m int")
@@ -437,20 +554,29 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
             F.lit(0).cast("bigint").alias("n_tokens"),
             F.sum(F.when(n > 0, F.col("m")).otherwise(0)).cast("bigint").alias("n_known"),
             F.sum(F.col("m") * F.log10((n + 1) / F.lit(float(total + distinct + 1)))).alias("base"),
-            F.sum(F.col("m") * F.log10((n + 1) / F.lit(float(other_n + other_v + 1)))).alias("score"),
+            F.lit(0.0).alias("score"),
         )
     )
     rare = store(rare, "lm-rare")
+    scores = rare_pairs.mapInArrow(
+        _rare_scores(weights, classes, total), "before bigint, word bigint, score double"
+    )
+    rare_used = rare_uses.select("doc_id", "before", "word", "m").join(scores, ["before", "word"])
+    rare_used = store(rare_used.groupBy("doc_id").agg(F.sum(F.col("m") * F.col("score")).alias("score")), "lm-rare-used")
+    forget(rare_pairs)
     uses = rows.mapInArrow(
         _pair_uses(shared, groups), "g int, chunk bigint, code binary, at binary, ids binary, roles binary"
     )
-    by_chunk = uses.groupBy("g").applyInArrow(_pair_scores(shared, weights), "chunk bigint, ids binary, sums binary")
+    by_chunk = uses.groupBy("g").applyInArrow(_pair_scores(shared, weights, classes, total), "chunk bigint, ids binary, sums binary")
     used = by_chunk.groupBy("chunk").applyInArrow(_chunk_scores, "doc_id bigint, score double")
     zero = F.lit(0).cast("bigint")
     used = used.select(
         F.when(F.col("doc_id") != -(1 << 62), F.col("doc_id")).alias("doc_id"),
-        zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score",
-    )
+        "score",
+    )
+    used = used.unionByName(rare_used).select(
+        "doc_id", zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score"
+    )
     used = store(used.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score"))), "lm-pairs")
     parts = local.unionByName(rare).unionByName(used)
     return parts.groupBy("doc_id").agg(

@@ -108,6 +108,28 @@ def test_interpolation_base_counts_and_probabilities(spark, docs):
     assert interpolation.score_texts(docs.limit(0).select("doc_id", "text"), role).count() == 0
 
 
+def test_interpolation_does_not_depend_on_the_numbered_words(spark, docs, monkeypatch):
+    """Scores from brute-force counts, whichever words are numbered."""
+    role = F.when(F.col("doc_id") % 4 == 0, 0).when(F.col("doc_id") % 4 == 1, 2).otherwise(1)
+    asked = docs.select("doc_id", "text")
+    learn, learnt = interpolation.learn_weights, []
+    monkeypatch.setattr(interpolation, "learn_weights", lambda e, n: learnt.append((dict(e), n, learn(e, n))) or learnt[-1][2])
+    tokens = {i: ["\n", *words(t), "\n"] for i, t in enumerate(TEXTS)}
+    c = Counter(w for i, t in tokens.items() if i % 4 for w in t[1:])
+    pairs = Counter(p for i, t in tokens.items() if i % 4 for p in zip(t, t[1:]))
+    for vocabulary in (65_000, 40, 1):
+        monkeypatch.setattr(interpolation, "VOCABULARY", vocabulary)
+        got = {r.doc_id: r.score for r in interpolation.score_texts(asked, role).collect()}
+        events, classes, weights = learnt[-1]
+        assert (events, classes) == (learnt[0][0], len(c) + 1)
+        for i, t in tokens.items():
+            want = 0.0
+            for h, w in zip(t, t[1:]):
+                a, b, u = weights[int(math.log2(c[h])) + 1 if c[h] else 0]
+                want += math.log10(a * pairs[h, w] / max(c[h], 1) + b * c[w] / sum(c.values()) + u / classes)
+            assert got[i] == pytest.approx(want)
+
+
 def test_weights_follow_the_events():
     key = (5 * 2000 + (-4 + 999)) * 2000 + (-40 + 999)
     weights = interpolation.learn_weights({key: 100}, 1000)
