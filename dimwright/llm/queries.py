@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimwright.llm import (
+    collocations,
     decontaminate,
+    importance,
     interpolation,
     jaccard_join,
     language_id,
@@ -18,6 +20,7 @@ from dimwright.llm import (
     sentencepiece,
     toxicity,
     url_filter,
+    vector_search,
 )
 from dimwright.llm.common import fold, store, table
 
@@ -126,5 +129,21 @@ def op4_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op12_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all other vectors for every hundredth id."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vector_search.top_k(vectors, F.col("id") % 100 == 0)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the longer documents, drawn towards the benchmark's words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
