@@ -1,13 +1,20 @@
 """Collocations: phrases whose words occur together more than their parts suggest.
 
-Phrases are counted in a HAT-trie per task: under a shallow trie of word ids
-hang hash containers that map the rest of a phrase to its count; a container
-that grows past its bound bursts into a node with a container per next word.
-When the trie holds too many entries, whole subtrees leave it, largest first,
-each as a run sorted by phrase. Runs of all tasks are dealt out by lang and
-phrase, sorted, and merged into the counts of the corpus: a merging task sees
-all of a phrase. (A first word may begin a large share of all phrases, so the
-partitions go by the hash of the whole word path rather than of its first word.)
+First it is found out what may reach ``least`` at all, level by level. Tasks
+count 64-bit keys of words and word pairs, write them as runs sorted by key,
+and every prefix of the key space is merged in one task. The keys that reach
+``least`` become a bit filter, and the next pass counts keys of longer phrases
+both of whose parts are in it. A key may stand for two phrases, so a filter
+lets too much through at times and never too little.
+
+The last pass counts exactly, in a HAT-trie per task. Under a shallow trie of
+word ids hang hash containers that map the rest of a phrase to its count; a
+container that grows past its bound bursts into a node with a container per
+next word. Only phrases of the filters enter. When the trie holds too many
+entries, whole subtrees leave it, largest first, as runs sorted by phrase, one
+row for each lang and partition, and every partition's runs are merged in one
+task. (A first word may begin a large share of all phrases, so the partitions
+go by a hash of the whole word path.)
 
 What follows works on the phrases that reach ``least``: every part of such a
 phrase reaches it too, so the counts of both parts are look-ups in the same
@@ -24,14 +31,29 @@ take part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimwright.llm.common import LOWERED, chunks, store, text_bytes
+from dimwright.llm.common import (
+    LOWERED,
+    chunks,
+    forget,
+    mix,
+    sequence_hashes,
+    signed,
+    store,
+    text_bytes,
+    word_hashes,
+)
 
 LEAST = 10
 MAX_WORDS = 3
@@ -39,10 +61,14 @@ COVERED = 50  # percent of a phrase's count inside a longer one that drops it
 TOP = 2000
 
 BURST = 4096  # entries of a container
-ENTRIES = 1_000_000  # of a task's trie before subtrees leave it
+ENTRIES = 600_000  # of a task's trie before subtrees leave it
 WORDS = 1_000_000  # ids of a task before it starts anew
 RUN_ROWS = 1 << 16
 SALTS = 16
+READ_BYTES = 2 << 20  # of text looked at together
+KEYS = 4_000_000  # of a task before they leave it as a run
+FILTER_BITS = 1 << 29  # at most; 16 a key while they suffice
+FILTER_BLOCK = 1 << 16
 
 _ID_BITS = 32
 _ID = (1 << _ID_BITS) - 1
@@ -154,49 +180,29 @@ class Subtree:
             yield from tree.paths((*prefix, word))
 
 
-class _Counter:
-    """A task's tries, one per lang, and its word ids."""
+@dataclass(frozen=True)
+class _Words:
+    """Words of a batch: place in its bytes, text, piece (a piece ends at its
+    text's end too), number of the lang, and a key of lang and word."""
 
-    def __init__(self, max_words: int, entries: int, burst: int):
-        self.max_words, self.entries, self.burst = max_words, entries, burst
-        self.ids: dict[bytes, int] = {}
-        self.words: list[str] = [""]
-        self.tries: dict[str, HatTrie] = {}
-        self.totals: dict[str, int] = {}
+    data: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    piece: np.ndarray
+    lang: np.ndarray
+    names: list[str]
+    key: np.ndarray
 
-    def read(self, batch: pa.RecordBatch) -> None:
+    @classmethod
+    def of(cls, batch: pa.RecordBatch) -> _Words:
         raw, at = text_bytes(batch["text"])
         raw = LOWERED[raw]
-        word, text, piece = self._words(raw, at)
         langs = batch["lang"].to_pylist()
         names = sorted(set(langs))
-        lang = np.array([names.index(x) for x in langs], dtype=np.int64)[text]
-        for i, n in enumerate(np.bincount(lang, minlength=len(names)).tolist()):
-            self.totals[names[i]] = self.totals.get(names[i], 0) + n
-        # level by level: a path is its shorter path's number and one more word
-        path, rests = (lang << _ID_BITS) | word, None
-        begin = np.arange(len(word))
-        keys, spot, inverse = np.unique(path, return_index=True, return_inverse=True)
-        for level in range(1, self.max_words + 1):
-            counts = np.bincount(inverse, minlength=len(keys))
-            first = begin[spot]
-            rests = [0] * len(first)
-            for k in range(level - 1, 0, -1):
-                rests = [(r << _ID_BITS) | w for r, w in zip(rests, word[first + k].tolist())]
-            self._put(lang[first], word[first], rests, counts, names)
-            if level == self.max_words:
-                break
-            inside = np.flatnonzero(begin + level < len(word))
-            inside = inside[piece[begin[inside]] == piece[begin[inside] + level]]
-            begin, inverse = begin[inside], inverse[inside]
-            keys, spot, inverse = np.unique(
-                (inverse << _ID_BITS) | word[begin + level], return_index=True, return_inverse=True
-            )
-
-    def _words(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Id, text and piece of every word; a piece ends at its text's end too."""
+        number = {name: i for i, name in enumerate(names)}
         if not len(raw):
-            return (np.zeros(0, np.int64),) * 3
+            none = np.zeros(0, np.int64)
+            return cls(raw, none, none, none, none, names, none.astype(np.uint64))
         inside = ~_GAP[raw]
         edge = np.zeros(len(raw) + 1, dtype=bool)
         edge[at] = True
@@ -206,16 +212,181 @@ class _Counter:
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         piece = np.cumsum(_BREAK[raw] | edge[:-1])[start]
         text = np.searchsorted(at, start, side="right") - 1
-        data, ids = raw.tobytes(), self.ids
-        found = []
-        for a, b in zip(start.tolist(), end.tolist()):
+        lang = np.array([number[x] for x in langs], dtype=np.int64)[text]
+        seeds = np.array(
+            [int.from_bytes(hashlib.sha256(x.encode()).digest()[:8], "little") for x in names], dtype=np.uint64
+        )
+        key = mix(word_hashes(raw, start, end) ^ seeds[lang])
+        return cls(raw, start, end, piece, lang, names, key)
+
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Key of every run of ``size`` words of one piece, and its first place."""
+        if size == 1:
+            return self.key, np.arange(len(self.key))
+        return sequence_hashes(self.key, self.piece, size)
+
+    def candidates(self, size: int, shorter: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Of those, the runs whose two shorter runs are marked."""
+        keys, first = self.runs(size)
+        if shorter is None or size == 1:
+            return keys, first
+        both = shorter[first] & shorter[first + 1]
+        return keys[both], first[both]
+
+    def known(self, filters: list[Filter]) -> list[np.ndarray]:
+        """For every size a mark at the places where a run in the filter begins."""
+        marks: list[np.ndarray] = []
+        for size, known in enumerate(filters, 1):
+            keys, first = self.candidates(size, marks[-1] if marks else None)
+            marks.append(np.zeros(len(self.key), dtype=bool))
+            marks[-1][first] = known.has(keys)
+        return marks
+
+
+class Filter:
+    """Two bits a key; knows every key it was made of."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.size = bits, len(bits) * 8
+
+    @staticmethod
+    def places(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        mask = np.uint64(size - 1)
+        return keys & mask, mix(keys + np.uint64(1)) & mask
+
+    def __contains__(self, key: int) -> bool:
+        return bool(self.has(np.array([key], dtype=np.uint64))[0])
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), dtype=bool)
+        for at in self.places(keys, self.size):
+            found &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        return found
+
+
+def frequent_keys(df: DataFrame, least: int, sizes: Sequence[int], shorter: Broadcast | None = None) -> DataFrame:
+    """(key) of the phrases of the given sizes that may occur ``least`` times;
+    ``shorter`` holds the filters of all smaller sizes."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = np.uint8 if least < 256 else np.uint32
+    most = np.iinfo(width).max
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for part in chunks(batch, "text", READ_BYTES):
+                words = _Words.of(part)
+                marks = words.known(shorter.value)[-1] if shorter else None
+                held += [words.candidates(size, marks)[0] for size in sizes]
+                if sum(map(len, held)) > KEYS:
+                    yield run(held)
+                    held = []
+        if held:
+            yield run(held)
+
+    def run(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        counts = np.minimum(counts, most).astype(width)
+        part = (keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        cuts = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+        used = np.flatnonzero(np.diff(cuts))
+        return pa.record_batch(
+            [
+                pa.array(used.astype(np.int32)),
+                pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in used], pa.binary()),
+                pa.array([counts[cuts[i] : cuts[i + 1]].tobytes() for i in used], pa.binary()),
+            ],
+            names=["part", "keys", "counts"],
+        )
+
+    def merge(found: pa.Table) -> pa.Table:
+        keys = np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in found["keys"]])
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), width) for x in found["counts"]])
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order].astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        enough = np.add.reduceat(counts, first) >= least
+        return pa.table({"key": signed(keys[first[enough]])})
+
+    packed = df.mapInArrow(runs, "part int, keys binary, counts binary")
+    return packed.groupBy("part").applyInArrow(merge, "key long")
+
+
+def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> Filter:
+    """The keys' filter, put together from blocks that tasks fill; its size
+    follows their number up to ``bits``."""
+    wanted = max(FILTER_BLOCK, 16 * keys.count())
+    size = min(1 << (wanted - 1).bit_length(), bits)
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(Filter.places(np.asarray(batch["key"]).view(np.uint64), size))
+            at = np.unique(at.astype(np.int64))
+            yield pa.record_batch(
+                [pa.array((at // FILTER_BLOCK).astype(np.int32)), pa.array((at % FILTER_BLOCK).astype(np.int32))],
+                names=["block", "bit"],
+            )
+
+    def fill(found: pa.Table) -> pa.Table:
+        flags = np.zeros(FILTER_BLOCK, dtype=np.uint8)
+        flags[np.asarray(found["bit"])] = 1
+        packed = np.packbits(flags, bitorder="little").tobytes()
+        return pa.table({"block": found["block"].slice(0, 1), "bits": pa.array([packed], pa.binary())})
+
+    out = np.zeros(size // 8, dtype=np.uint8)
+    filled = keys.mapInArrow(marks, "block int, bit int").groupBy("block").applyInArrow(fill, "block int, bits binary")
+    for block, found in filled.collect():  # never more than ``bits``
+        at = block * (FILTER_BLOCK // 8)
+        out[at : at + FILTER_BLOCK // 8] = np.frombuffer(found, np.uint8)
+    return Filter(out)
+
+
+class _Counter:
+    """A task's tries, one per lang, and its word ids."""
+
+    def __init__(self, filters: list[Filter], parts: int, entries: int, burst: int):
+        self.filters, self.parts, self.entries, self.burst = filters, parts, entries, burst
+        self.ids: dict[bytes, int] = {}
+        self.words: list[str] = [""]
+        self.tries: dict[str, HatTrie] = {}
+        self.totals: dict[str, int] = {}
+
+    def read(self, batch: pa.RecordBatch) -> None:
+        found = _Words.of(batch)
+        for i, n in enumerate(np.bincount(found.lang, minlength=len(found.names)).tolist()):
+            self.totals[found.names[i]] = self.totals.get(found.names[i], 0) + n
+        marks = found.known(self.filters)
+        begin = np.flatnonzero(marks[0])
+        word = np.zeros(len(found.key), dtype=np.int64)
+        word[begin] = self._ids(found, begin)
+        # level by level: a path is its shorter path's number and one more word
+        shorter = found.lang
+        for level, mark in enumerate(marks, 1):
+            begin = begin[mark[begin]]
+            last = word[begin + level - 1]
+            _, spot, inverse = np.unique(
+                (shorter[begin] << _ID_BITS) | last, return_index=True, return_inverse=True
+            )
+            at = begin[spot]
+            rests = [0] * len(at)
+            for k in range(level - 1, 0, -1):
+                rests = [(r << _ID_BITS) | w for r, w in zip(rests, word[at + k].tolist())]
+            counts = np.bincount(inverse, minlength=len(at))
+            self._put(found.lang[at], word[at], rests, counts, found.names)
+            shorter = np.zeros(len(word), dtype=np.int64)
+            shorter[begin] = inverse
+
+    def _ids(self, found: _Words, at: np.ndarray) -> list[int]:
+        data, ids, out = found.data.tobytes(), self.ids, []
+        for a, b in zip(found.start[at].tolist(), found.end[at].tolist()):
             w = data[a:b]
             n = ids.get(w)
             if n is None:
                 n = ids[w] = len(self.words)
                 self.words.append(w.decode())
-            found.append(n)
-        return np.array(found, dtype=np.int64), text, piece
+            out.append(n)
+        return out
 
     def _put(self, lang, first, rests: list[int], counts, names: list[str]) -> None:
         """Paths in order of lang and first word, a subtree at a time."""
@@ -244,26 +415,32 @@ class _Counter:
                 run.sort()
                 lines += run
                 if len(lines) >= RUN_ROWS:
-                    yield _run(lang, lines)
+                    yield self._run(lang, lines)
                     lines = []
             if lines:
-                yield _run(lang, lines)
+                yield self._run(lang, lines)
         if anew:
             self.ids, self.words, self.tries = {}, [""], {}
         if everything:
             for lang, n in self.totals.items():
-                yield _run(lang, [("", n)])
-
-
-def _run(lang: str, lines: list[tuple[str, int]]) -> pa.RecordBatch:
-    return pa.record_batch(
-        [
-            pa.array([lang] * len(lines), pa.string()),
-            pa.array([p for p, _ in lines], pa.string()),
-            pa.array([n for _, n in lines], pa.int64()),
-        ],
-        names=["lang", "phrase", "n"],
-    )
+                yield self._run(lang, [("", n)])
+
+    def _run(self, lang: str, lines: list[tuple[str, int]]) -> pa.RecordBatch:
+        """Sorted lines, a row for each partition."""
+        dealt: dict[int, tuple[list[str], list[int]]] = {}
+        for phrase, n in lines:
+            phrases, counts = dealt.setdefault(crc32(phrase.encode()) % self.parts, ([], []))
+            phrases.append(phrase)
+            counts.append(n)
+        return pa.record_batch(
+            [
+                pa.array(list(dealt), pa.int32()),
+                pa.array([lang] * len(dealt), pa.string()),
+                pa.array([p for p, _ in dealt.values()], pa.list_(pa.string())),
+                pa.array([n for _, n in dealt.values()], pa.list_(pa.int64())),
+            ],
+            names=["part", "lang", "phrases", "counts"],
+        )
 
 
 def phrase_counts(
@@ -272,20 +449,40 @@ def phrase_counts(
     """(lang, phrase, n) of all word sequences that occur ``least`` times, and
     every lang's number of words under the empty phrase."""
 
+    rows = df.select(F.col(text).alias("text"), lang.alias("lang"))
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    filters: list[Filter] = []
+    known = None
+    for sizes in [range(1, min(2, max_words) + 1), *([size] for size in range(3, max_words + 1))]:
+        keys = store(frequent_keys(rows, least, sizes, known), "keys")
+        # words and pairs share one filter
+        filters += [key_filter(keys)] * len(sizes)
+        forget(keys)
+        known = spark.sparkContext.broadcast(list(filters))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(max_words, entries, burst)
+        counter = _Counter(known.value, parts, entries, burst)
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", READ_BYTES):
                 counter.read(part)
                 yield from counter.runs()
         yield from counter.runs(everything=True)
 
-    runs = df.select(F.col(text).alias("text"), lang.alias("lang")).mapInArrow(
-        count, "lang string, phrase string, n long"
-    )
-    # dealt out before they are summed up: a task's rows are distinct already
-    merged = runs.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return merged.filter((F.col("n") >= least) | (F.col("phrase") == ""))
+    def merge(runs: pa.Table) -> pa.Table:
+        runs = runs.combine_chunks()
+        lines = pa.table(
+            {
+                "lang": runs["lang"].take(pc.list_parent_indices(runs["phrases"])),
+                "phrase": pc.list_flatten(runs["phrases"]),
+                "n": pc.list_flatten(runs["counts"]),
+            }
+        )
+        summed = lines.group_by(["lang", "phrase"]).aggregate([("n", "sum")]).rename_columns(["lang", "phrase", "n"])
+        return summed.filter(pc.or_(pc.greater_equal(summed["n"], least), pc.equal(summed["phrase"], "")))
+
+    runs = rows.mapInArrow(count, "part int, lang string, phrases array<string>, counts array<long>")
+    return runs.groupBy("part").applyInArrow(merge, "lang string, phrase string, n long")
 
 
 def _parts(words: str, a: Column, n: Column) -> Column:
