@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,10 +63,10 @@ def _sale_items(
         c.sale,
     )
     brokers = _current_keys(dims.broker, "cor", "cor_cpf", c.broker)
-    lines = balanced_join(lines, brokers, c.broker, keys_from=sale)
+    lines = balanced_join(lines, brokers, c.broker)
     items = _current_keys(dims.item, "im", "im_id", c.item)
-    lines = balanced_join(lines, items, c.item, keys_from=sale_item)
-    return _with_date_key(lines, dims.date, sale, c)
+    lines = balanced_join(lines, items, c.item)
+    return _with_date_key(lines, dims.date, c)
 
 
 def participants(buyers: DataFrame, sellers: DataFrame, c: SaleColumns = COLUMNS) -> DataFrame:
@@ -93,13 +94,17 @@ def participant_fact(
     equally inside a role, and both role totals stand on every row.
 
     With ``new_sales`` (sale ids; repeats count once) only those sales are
-    built, and rows whose (sale, client version, role) ``existing`` holds are
-    left out; the fact is first cut down to the sales in question.
+    built. With ``existing`` as well, sales it holds unchanged are left out;
+    one that has got further participants or items since comes back whole,
+    with new shares, to take the place of its held rows (``replace_sales``).
     """
     everyone = participants(buyers, sellers, c)
     if new_sales is not None:
+        ids = new_sales.select(c.sale).distinct()
+        if existing is not None:
+            ids = due_sales(ids, sale_item, buyers, sellers, existing, c).select(c.sale)
         # as large as the batch, and read five times below
-        ids = materialise(new_sales.select(c.sale).distinct(), "new-sales")
+        ids = materialise(ids, "new-sales")
         sale = balanced_join(sale, ids, c.sale, "left_semi")
         sale_item = balanced_join(sale_item, ids, c.sale, "left_semi")
         everyone = balanced_join(everyone, ids, c.sale, "left_semi")
@@ -109,11 +114,10 @@ def participant_fact(
         F.count(F.when(F.col("tv_tipo_cliente") == SELLER, 1)).cast("int").alias("tv_total_vendedores"),
     )
     lines = _sale_items(sale, sale_item, dims, c)
-    lines = balanced_join(lines, totals, c.sale, size_of=everyone, keys_from=sale_item)
-    # a line is a sale item with eight further numbers
-    rows = balanced_join(everyone, lines, c.sale, size_of=_widened(sale_item.select(c.sale)))
+    lines = balanced_join(lines, totals, c.sale)
+    rows = balanced_join(everyone, lines, c.sale)
     clients = _current_keys(dims.client, "cl", "cl_cpf", c.client)
-    rows = balanced_join(rows, clients, c.client, keys_from=everyone)
+    rows = balanced_join(rows, clients, c.client)
 
     peers = F.when(
         F.col("tv_tipo_cliente") == BUYER, F.col("tv_total_compradores")
@@ -132,14 +136,109 @@ def participant_fact(
         "cl_sk",
         "dt_sk",
     )
-    if existing is None:
-        return fact
-    held = existing.select("tv_id", "cl_sk", "tv_tipo_cliente")
-    if new_sales is not None:
-        held = balanced_join(
-            held, ids.select(F.col(c.sale).alias("tv_id")), "tv_id", "left_semi"
+    return fact
+
+
+def due_sales(
+    named: DataFrame,
+    sale_item: DataFrame,
+    buyers: DataFrame,
+    sellers: DataFrame,
+    existing: DataFrame,
+    c: SaleColumns = COLUMNS,
+) -> DataFrame:
+    """(sale, is_held) of the named sales that ``existing`` lacks, or holds
+    with other numbers of buyers, sellers or items than the source has now.
+
+    A held sale that is named again unchanged keeps its rows, and with them
+    the versions it was bound to. All sides are cut to the named sales and
+    counted per sale before they meet.
+    """
+    ids = named.select(c.sale).distinct()
+
+    def per_sale(df: DataFrame, name: str) -> DataFrame:
+        return (
+            balanced_join(df.select(c.sale), ids, c.sale, "left_semi")
+            .groupBy(c.sale)
+            .agg(F.count("*").alias(name))
+        )
+
+    held = (
+        balanced_join(existing.withColumnRenamed("tv_id", c.sale), ids, c.sale, "left_semi")
+        .groupBy(c.sale)
+        .agg(
+            F.max("tv_total_compradores").alias("_held_buyers"),
+            F.max("tv_total_vendedores").alias("_held_sellers"),
+            F.count_distinct("im_sk").alias("_held_items"),
+        )
+    )
+    found = ids
+    for df, name in ((buyers, "_buyers"), (sellers, "_sellers"), (sale_item, "_items")):
+        found = balanced_join(found, per_sale(df, name), c.sale, "left")
+    found = balanced_join(found, held, c.sale, "left")
+    is_held = F.col("_held_items").isNotNull()
+    same = reduce(
+        lambda a, b: a & b,
+        [F.coalesce(f"_{x}", F.lit(0)) == F.col(f"_held_{x}") for x in ("buyers", "sellers", "items")],
+    )
+    return found.filter(~is_held | ~same).select(c.sale, is_held.alias("is_held"))
+
+
+def replace_sales(fact: DataFrame, rows: DataFrame) -> DataFrame:
+    """Snapshot of ``fact`` in which the sales of ``rows`` consist of these."""
+    kept = balanced_join(fact, rows.select("tv_id").distinct(), "tv_id", "left_anti")
+    return kept.unionByName(rows, allowMissingColumns=True)
+
+
+def unresolved_sales(
+    ids: DataFrame | None,
+    sale: DataFrame,
+    sale_item: DataFrame,
+    buyers: DataFrame,
+    sellers: DataFrame,
+    dims: SaleDims,
+    c: SaleColumns = COLUMNS,
+) -> DataFrame:
+    """(sale, missing) of the given sales that cannot become fact rows yet;
+    without ``ids`` all sales are looked at.
+
+    ``missing`` names what has not arrived, in order: the broker's, client's
+    or item's dimension row, any item or participant of the sale, or the sale
+    itself. Foreign keys are made distinct before they are looked up, so a
+    broker with very many sales costs one row, and only the sales of unknown
+    keys go on.
+    """
+    everyone = participants(buyers, sellers, c)
+    every_sale = ids is None
+    if every_sale:
+        ids = sale.select(c.sale)
+    else:
+        ids = ids.select(c.sale).distinct()
+        sale, sale_item, everyone = (
+            balanced_join(df, ids, c.sale, "left_semi") for df in (sale, sale_item, everyone)
         )
-    return balanced_join(fact, held, ["tv_id", "cl_sk", "tv_tipo_cliente"], "left_anti")
+
+    def lacking(df: DataFrame, key: str, dim: DataFrame, prefix: str, nk: str) -> DataFrame:
+        known = _current_keys(dim, prefix, nk, key).select(key)
+        unknown = balanced_join(df.select(key).distinct(), known, key, "left_anti")
+        # a NULL key is unknown too, and meets nothing in a join
+        hits = balanced_join(df, unknown, key, "left_semi").unionByName(df.filter(F.col(key).isNull()))
+        return hits.select(c.sale)
+
+    found = [
+        ("broker", lacking(sale, c.broker, dims.broker, "cor", "cor_cpf")),
+        ("client", lacking(everyone, c.client, dims.client, "cl", "cl_cpf")),
+        ("item", lacking(sale_item, c.item, dims.item, "im", "im_id")),
+        ("items", balanced_join(ids, sale_item.select(c.sale), c.sale, "left_anti")),
+        ("participants", balanced_join(ids, everyone.select(c.sale), c.sale, "left_anti")),
+    ]
+    if not every_sale:
+        found.append(("sale", balanced_join(ids, sale.select(c.sale), c.sale, "left_anti")))
+    lost = reduce(DataFrame.unionByName, [df.withColumn("what", F.lit(what)) for what, df in found])
+    if every_sale:  # links may name sales that are not there
+        lost = balanced_join(lost, ids, c.sale, "left_semi")
+    # at most six names a sale
+    return lost.groupBy(c.sale).agg(F.concat_ws(",", F.array_sort(F.collect_set("what"))).alias("missing"))
 
 
 def sale_fact(
@@ -176,7 +275,7 @@ def bridge(
     keys = fact.select(F.col("tv_id").alias(c.sale), "tv_sk")
     pairs = balanced_join(link.select(c.sale, c.client), keys, c.sale)
     clients = _current_keys(client_dim, "cl", "cl_cpf", c.client)
-    pairs = balanced_join(pairs, clients, c.client, keys_from=link)
+    pairs = balanced_join(pairs, clients, c.client)
     pairs = pairs.select("tv_sk", "cl_sk")
     if existing is None:
         return pairs
@@ -195,8 +294,8 @@ def _item_days(
         sale_item.select(c.sale, c.item), sale.select(c.sale, c.commission, c.date), c.sale
     )
     items = _current_keys(item_dim, "im", "im_id", c.item)
-    lines = balanced_join(lines, items, c.item, keys_from=sale_item)
-    return _with_date_key(lines, date_dim, sale, c)
+    lines = balanced_join(lines, items, c.item)
+    return _with_date_key(lines, date_dim, c)
 
 
 def aggregate_fact(
@@ -228,7 +327,7 @@ def restate_aggregate(
     """Snapshot of ``agg`` with the (item, day) pairs touched by ``new_sales``
     recomputed from the source and all other rows kept."""
     kept, fresh = restate_parts(agg, new_sales, sale, sale_item, item_dim, date_dim, c)
-    return kept.unionByName(fresh)
+    return kept.select("im_sk", "dt_sk", "ra_comissao_total").unionByName(fresh)
 
 
 def restate_parts(
@@ -239,8 +338,10 @@ def restate_parts(
     item_dim: DataFrame,
     date_dim: DataFrame | None = None,
     c: SaleColumns = COLUMNS,
+    held: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Kept and recomputed rows of :func:`restate_aggregate`."""
+    """Kept and recomputed rows of :func:`restate_aggregate`; with ``held``
+    (sale ids) only those sales count."""
     ids = new_sales.select(c.sale).distinct()
     # as large as the batch, and read four times below
     touched = materialise(touched_pairs(ids, sale, sale_item, c), "touched")
@@ -249,6 +350,8 @@ def restate_parts(
     items = touched.select(c.item).distinct()
     near_sales = balanced_join(sale, days, c.date, "left_semi")
     near_items = balanced_join(sale_item, items, c.item, "left_semi")
+    if held is not None:
+        near_sales = balanced_join(near_sales, held, c.sale, "left_semi")
     lines = balanced_join(
         near_items.select(c.sale, c.item),
         near_sales.select(c.sale, c.commission, c.date),
@@ -257,13 +360,13 @@ def restate_parts(
     lines = balanced_join(lines, touched, [c.item, c.date], "left_semi")
     keys = _current_keys(item_dim, "im", "im_id", c.item)
     fresh = (
-        _with_date_key(balanced_join(lines, keys, c.item, keys_from=near_items), date_dim, near_sales, c)
+        _with_date_key(balanced_join(lines, keys, c.item), date_dim, c)
         .groupBy("im_sk", "dt_sk")
         .agg(F.sum(c.commission).cast("double").alias("ra_comissao_total"))
     )
-    stale = _with_date_key(balanced_join(touched, keys, c.item), date_dim, sale, c)
+    stale = _with_date_key(balanced_join(touched, keys, c.item), date_dim, c)
     kept = balanced_join(agg, stale.select("im_sk", "dt_sk"), ["im_sk", "dt_sk"], "left_anti")
-    return kept.select("im_sk", "dt_sk", "ra_comissao_total"), fresh
+    return kept, fresh
 
 
 def touched_pairs(
@@ -275,18 +378,12 @@ def touched_pairs(
     return lines.select(c.item, c.date).distinct()
 
 
-def _with_date_key(
-    df: DataFrame, date_dim: DataFrame | None, sale: DataFrame, c: SaleColumns
-) -> DataFrame:
+def _with_date_key(df: DataFrame, date_dim: DataFrame | None, c: SaleColumns) -> DataFrame:
     """Date key from the dimension, or worked out where none is given."""
     if date_dim is None:
         return df.withColumn("dt_sk", date_key(c.date))
     days = date_dim.select(F.col("dt_data_completa").alias(c.date), "dt_sk")
-    return balanced_join(df, days, c.date, keys_from=sale)
-
-
-def _widened(keys: DataFrame) -> DataFrame:
-    return keys.select("*", *[F.lit(0.0).alias(f"_w{i}") for i in range(8)])
+    return balanced_join(df, days, c.date)
 
 
 def append_aggregate(agg: DataFrame, fresh: DataFrame) -> DataFrame:

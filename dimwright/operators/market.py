@@ -14,6 +14,7 @@ from dimwright.functions import (
     month_of_date_key,
     parse_number,
     premium,
+    unit_price,
 )
 from dimwright.functions.columns import BANDS, TOTAL_BAND
 from dimwright.operators.facts import first_per_key
@@ -42,7 +43,7 @@ def wide_to_long(
     Prices are rounded to cents.
     """
     written = F.col(date_col).cast("string")
-    month = F.when(written.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"), written.try_cast("date"))
+    month = F.when(written.rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$"), written.try_cast("date"))
 
     def cell(block: str, i: int) -> Column:
         return parse_number(f"c{blocks[block] + i}")
@@ -103,30 +104,58 @@ def link_benchmark(
     and month first, so exact band and fallback come out of a single look-up,
     and city and band are worked out per item rather than per sale.
     """
+    return _linked(_with_item(fact, item_dim, kind), market).select(
+        *fact.columns, *(["mk_sk"] if "mk_sk" not in fact.columns else [])
+    )
+
+
+def _with_item(fact: DataFrame, item_dim: DataFrame, kind: str, *more: Column) -> DataFrame:
+    """The fact with what a link needs of its item, and ``more``: one join on
+    ``im_sk`` carries kind, folded city and band as a struct."""
     if "mk_sk" not in fact.columns:
         fact = fact.withColumn("mk_sk", F.lit(None).cast("long"))
-    items = item_dim.filter(F.col("im_tipo") == kind).select(
+    is_kind = F.col("im_tipo") == kind
+    items = item_dim.select(
         "im_sk",
-        fold_key("im_cidade").alias("mk_cidade_norm"),
-        band_of("im_qtd_quartos").alias("_band"),
-    )
-    joined = balanced_join(fact, items, "im_sk", "left").withColumn(
-        "mk_mes", month_of_date_key("dt_sk")
+        F.struct(
+            *more,
+            F.coalesce(is_kind, F.lit(False)).alias("of_kind"),
+            F.when(is_kind, fold_key("im_cidade")).alias("city"),
+            band_of("im_qtd_quartos").alias("band"),
+        ).alias("_item"),
     )
+    return balanced_join(fact, items, "im_sk", "left")
+
+
+def _linked(joined: DataFrame, market: DataFrame) -> DataFrame:
     # rows already linked take no part in the market join
-    joined = joined.withColumn("_open_city", F.when(F.col("mk_sk").isNull(), F.col("mk_cidade_norm")))
+    joined = joined.withColumn("mk_mes", month_of_date_key("dt_sk")).withColumn(
+        "_open_city", F.when(F.col("mk_sk").isNull(), F.col("_item.city"))
+    )
     wide = _bands_in_a_row(market).withColumnRenamed("mk_cidade_norm", "_open_city")
     joined = balanced_join(joined, wide, ["_open_city", "mk_mes"], "left")
     exact = F.coalesce(
-        *[
-            F.when(F.col("_band") == b, F.col(f"_mk_{b}"))
-            for b in BANDS
-            if b != TOTAL_BAND
-        ]
+        *[F.when(F.col("_item.band") == b, F.col(f"_mk_{b}")) for b in BANDS if b != TOTAL_BAND]
+    )
+    return joined.withColumn("mk_sk", F.coalesce("mk_sk", exact, f"_mk_{TOTAL_BAND}"))
+
+
+def price_and_link(
+    fact: DataFrame, item_dim: DataFrame, market: DataFrame, kind: str = "Apartamento"
+) -> DataFrame:
+    """Unit price and benchmark link of a fact in one pass, each filled where
+    it is still NULL, and ``is_settled``: no later load can add anything."""
+    if "tv_valor_m2" not in fact.columns:
+        fact = fact.withColumn("tv_valor_m2", F.lit(None).cast("double"))
+    if "mk_sk" not in fact.columns:
+        fact = fact.withColumn("mk_sk", F.lit(None).cast("long"))
+    joined = _linked(_with_item(fact, item_dim, kind, F.col("im_m2").alias("area")), market)
+    price = F.coalesce("tv_valor_m2", unit_price("tv_valor", "_item.area"))
+    linked = F.col("mk_sk").isNotNull() | ~F.col("_item.of_kind")
+    return joined.withColumn("tv_valor_m2", price).select(
+        *fact.columns,
+        F.coalesce(linked & F.col("tv_valor_m2").isNotNull(), F.lit(False)).alias("is_settled"),
     )
-    return joined.withColumn(
-        "mk_sk", F.coalesce("mk_sk", exact, f"_mk_{TOTAL_BAND}")
-    ).select(*fact.columns)
 
 
 SALE_COLUMNS = (
@@ -164,11 +193,10 @@ def sale_vs_market(
     )
     days = date_dim.select("dt_sk", "dt_data_completa")
     prices = market.select("mk_sk", "mk_preco_m2", "mk_var_12m")
-    # hot keys are looked for in the fact itself, which is stored
-    rows = balanced_join(sales, items, "im_sk", keys_from=fact)
-    rows = balanced_join(rows, days, "dt_sk", keys_from=fact)
-    rows = balanced_join(rows, brokers, "cor_sk", keys_from=fact)
-    rows = balanced_join(rows, prices, "mk_sk", "left", keys_from=fact)
+    rows = balanced_join(sales, items, "im_sk")
+    rows = balanced_join(rows, days, "dt_sk")
+    rows = balanced_join(rows, brokers, "cor_sk")
+    rows = balanced_join(rows, prices, "mk_sk", "left")
     return rows.select(
         "tv_id",
         "cor_sk",

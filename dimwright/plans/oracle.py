@@ -237,6 +237,52 @@ def _measures(by: str) -> str:
     FROM view_f {where} {group}"""
 
 
+def _natural_participants() -> str:
+    return f"""
+    SELECT p.tv_id, cor_cpf, im_id, cl_cpf, p.dt_sk, p.tv_tipo_cliente, p.tv_valor, p.tv_valor_cliente,
+           p.tv_comissao_cliente, p.tv_total_compradores, p.tv_total_vendedores
+    FROM ({_participants("lines_f")}) p JOIN cor_dim_f USING (cor_sk) JOIN im_dim_f USING (im_sk) JOIN cl_dim USING (cl_sk)"""
+
+
+# After the first batch the dimensions are the early ones: clients with a
+# number divisible by 7 are not there, nor brokers without an early sale.
+_WAITING = """
+    , waiting AS (
+        SELECT transvendaid, string_agg(DISTINCT what, ',' ORDER BY what) AS missing FROM (
+            SELECT transvendaid, 'broker' AS what FROM venda_f WHERE funccpf NOT IN (SELECT cor_cpf FROM cor_src_e)
+            UNION ALL
+            SELECT transvendaid, 'client' FROM venda_f JOIN (SELECT * FROM clientecompra UNION ALL SELECT * FROM clientevende) x
+                USING (transvendaid) WHERE CAST(clientecpf AS BIGINT) % 7 = 0
+            UNION ALL
+            SELECT transvendaid, 'items' FROM venda_f WHERE transvendaid NOT IN (SELECT transvendaid FROM imoveltransacao)
+            UNION ALL
+            SELECT transvendaid, 'participants' FROM venda_f WHERE transvendaid NOT IN (
+                SELECT transvendaid FROM clientecompra UNION ALL SELECT transvendaid FROM clientevende)) w
+        GROUP BY transvendaid)"""
+
+
+def _snapshot_feed() -> str:
+    """Every captured table: I for further rows of a key, U for other ones."""
+    sold = "(SELECT transvendaid FROM venda_e)"
+    parts = {
+        "corretor": """SELECT n.cor_cpf, CASE WHEN o.cor_cpf IS NULL THEN 'I' ELSE 'U' END
+            FROM cor_src_f n LEFT JOIN cor_src_e o USING (cor_cpf)
+            WHERE o.cor_cpf IS NULL OR o.cor_registro <> n.cor_registro""",
+        "cliente": """SELECT lpad(CAST(s_suppkey AS VARCHAR), 11, '0'), CASE WHEN s_suppkey % 7 = 0 THEN 'I' ELSE 'U' END
+            FROM supplier JOIN nation ON n_nationkey = s_nationkey
+            WHERE s_suppkey % 7 = 0 OR (s_suppkey % 5 = 0 AND upper(s_name) <> s_name)""",
+        "imovel": """SELECT CAST(im_id AS VARCHAR), 'U' FROM im_extra_f n JOIN im_extra_e o USING (im_id)
+            WHERE o.im_m2 <> n.im_m2""",
+        "anuncio": f"""SELECT DISTINCT CAST(l_partkey AS VARCHAR), 'I' FROM lineitem
+            WHERE l_shipdate >= TIMESTAMP '{CUT}'""",
+        "transvenda": f"SELECT CAST(transvendaid AS VARCHAR), 'I' FROM venda_f WHERE transvendaid NOT IN {sold}",
+        "clientecompra": f"SELECT DISTINCT CAST(transvendaid AS VARCHAR), 'I' FROM clientecompra WHERE transvendaid NOT IN {sold}",
+        "clientevende": f"SELECT DISTINCT CAST(transvendaid AS VARCHAR), 'I' FROM clientevende WHERE transvendaid NOT IN {sold}",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{entity}' AS entity, k AS key, a AS action FROM ({sql}) t(k, a)" for entity, sql in parts.items())
+    return f"SELECT row_number() OVER (ORDER BY entity, key) AS seq, entity, key, action FROM ({rows}) r"
+
+
 _DATE_COLUMNS = """CAST(strftime(dia, '%Y%m%d') AS INT) AS dt_sk, dia AS dt_data_completa,
            CAST(date_part('dow', dia) AS INT) AS dt_dia_semana, CAST(date_part('day', dia) AS INT) AS dt_dia_mes,
            CAST(date_part('month', dia) AS INT) AS dt_mes, CAST(date_part('year', dia) AS INT) AS dt_ano,
@@ -449,6 +495,14 @@ _BODIES = {
     "feed_merge_stream": f"""
         SELECT cor_cpf, cor_registro, cor_nome, cor_sobrenome, cor_is_atual
         FROM (SELECT * FROM ({{scd2_merge_cdc}}) z)""",
+    "feed_snapshots": _snapshot_feed(),
+    "feed_parked_sales": _WAITING + " SELECT transvendaid, missing FROM waiting",
+    "feed_aggregate_held": _WAITING
+    + """
+        SELECT im_id, dt_sk, CAST(sum(comissao) AS DOUBLE) AS ra_comissao_total FROM lines_f
+        WHERE tv_id NOT IN (SELECT transvendaid FROM waiting) GROUP BY im_id, dt_sk""",
+    "feed_out_of_order": _natural_participants(),
+    "participant_fact_late": _natural_participants(),
     "pipeline_equivalence": _equivalence(),
 }
 

@@ -36,7 +36,14 @@ from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_
 from dimwright.session import fresh_path, materialise, together
 from dimwright.sources.lake import MARKET_TABLE, land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
-from dimwright.streaming.feed import changed_keys, consume_feed, follow_feed, latest_change, read_feed
+from dimwright.streaming.feed import (
+    changed_keys,
+    consume_feed,
+    feed_from_snapshots,
+    follow_feed,
+    latest_change,
+    read_feed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -547,6 +554,112 @@ def feed_merge_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.select("cor_cpf", "cor_registro", "cor_nome", "cor_sobrenome", "cor_is_atual")
 
 
+# --- a feed out of order ----------------------------------------------------
+
+
+def _agency(src: Source, early: bool) -> dict[str, DataFrame]:
+    """The source before the cut or now. Before, some clients were not there
+    yet, some had another name, and only the sales up to then had links."""
+    t = dict((src.at(CUT) if early else src).tables())
+    if early:
+        number = F.col("clientecpf").cast("long")
+        t["cliente"] = (
+            t["cliente"]
+            .filter(number % 7 != 0)
+            .withColumn(
+                "clienteprimnome",
+                F.when(number % 5 == 0, F.upper("clienteprimnome")).otherwise(F.col("clienteprimnome")),
+            )
+        )
+        for link in ("clientecompra", "clientevende"):
+            t[link] = balanced_join(t[link], t["transvenda"].select("transvendaid"), "transvendaid", "left_semi")
+    return t
+
+
+@_query
+def feed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed between two landed states of the source."""
+    src = Source(spark, sf_dir)
+    states = []
+    for early in (True, False):
+        tables, out = _agency(src, early), fresh_path(spark, "bronze")
+        land_snapshot(tables, out)
+        states.append({n: read_landed(spark, f"{out}/{n}", df.schema) for n, df in tables.items()})
+    return feed_from_snapshots(*states, TS1).select("seq", "entity", "key", "action")
+
+
+SALE_ENTITIES = ("transvenda", "clientecompra", "clientevende")
+
+
+def _out_of_order(spark: SparkSession, sf_dir: str, batches: int) -> Lake:
+    """A first load, then a batch that names sales whose brokers and clients
+    have not arrived, then one that names everybody else."""
+    src = Source(spark, sf_dir)
+    before, now = _agency(src, True), _agency(src, False)
+    feed = materialise(feed_from_snapshots(before, now, TS1), "feed")
+    ahead = F.col("entity").isin(*SALE_ENTITIES)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    star.load_initial(lake, before, wide_to_long(src.at(CUT).wide_sheet()), TS0)
+    half = {**before, **{n: now[n] for n in (*SALE_ENTITIES, "imoveltransacao")}}
+    for tables, named in ((half, ahead), (now, ~ahead))[:batches]:
+        star.load_incremental(lake, tables, None, TS1, changed_keys(feed.filter(named)))
+    return lake
+
+
+def _natural_fact(lake: Lake) -> DataFrame:
+    fact = lake.table(star.FACT)
+    for dim, sk, nk in (
+        ("corretor_dimension", "cor_sk", "cor_cpf"),
+        ("imovel_dimension", "im_sk", "im_id"),
+        ("cliente_dimension", "cl_sk", "cl_cpf"),
+    ):
+        fact = balanced_join(fact, lake.table(dim).select(sk, nk), sk)
+    return fact.select(
+        "tv_id", "cor_cpf", "im_id", "cl_cpf", "dt_sk", "tv_tipo_cliente", "tv_valor", "tv_valor_cliente",
+        "tv_comissao_cliente", "tv_total_compradores", "tv_total_vendedores",
+    )
+
+
+@_query
+def feed_parked_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What waits after the first batch, and for what."""
+    return _out_of_order(spark, sf_dir, 1).table(star.PARKED).select("transvendaid", "missing")
+
+
+@_query
+def feed_aggregate_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate after the first batch: only of sales the fact holds."""
+    lake = _out_of_order(spark, sf_dir, 1)
+    items = lake.table("imovel_dimension").select("im_sk", "im_id")
+    agg = balanced_join(lake.table(star.AGGREGATE), items, "im_sk")
+    return agg.select("im_id", "dt_sk", "ra_comissao_total")
+
+
+@_query
+def feed_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after both batches: what one load of the final state gives."""
+    return _natural_fact(_out_of_order(spark, sf_dir, 2))
+
+
+@_query
+def participant_fact_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buyers and sellers written after their sale's load replace its rows."""
+    src = Source(spark, sf_dir)
+    now = dict(src.tables())
+    before = dict(now)
+    for link in ("clientecompra", "clientevende"):
+        last = now[link].groupBy("transvendaid").agg(
+            F.max("clientecpf").alias("clientecpf"), F.count("*").alias("n")
+        )
+        late = last.filter("n > 1").drop("n")
+        before[link] = balanced_join(now[link], late, ["transvendaid", "clientecpf"], "left_anti")
+    feed = feed_from_snapshots(before, now, TS1)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    star.load_initial(lake, before, wide_to_long(src.wide_sheet()), TS0)
+    star.load_incremental(lake, now, None, TS1, changed_keys(feed))
+    return _natural_fact(lake)
+
+
 # --- whole loads -----------------------------------------------------------
 
 

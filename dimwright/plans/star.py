@@ -21,13 +21,14 @@ from dimwright.operators.facts import (
     aggregate_fact,
     append_aggregate,
     bridge,
-    derive_unit_price,
+    due_sales,
     participant_fact,
     restate_parts,
     sale_fact,
+    unresolved_sales,
 )
 from dimwright.operators.joins import balanced_join
-from dimwright.operators.market import link_benchmark, sale_vs_market
+from dimwright.operators.market import price_and_link, sale_vs_market
 from dimwright.operators.scd1 import scd1_upsert
 from dimwright.operators.scd2 import (
     Merge,
@@ -64,6 +65,13 @@ ITEM_EXTRA = ["im_tipo", "im_qtd_quartos", "im_m2"]
 MARKET_KEY = ["mk_cidade_norm", "mk_mes", "mk_dormitorios"]
 KIND = "Apartamento"
 
+# Settled sale rows lie in parts by hash of the sale id, so that replacing a
+# sale rewrites one of them. The number is fixed by a lake's first load.
+BUCKETS_CONF = "spark.dimwright.saleBuckets"
+BUCKETS = 64
+
+FACT, AGGREGATE, PARKED = "trans_venda_fact", "receita_agregada_fact", "venda_pendente"
+
 
 def broker_source(t: Tables) -> DataFrame:
     # one row per person on both sides
@@ -167,27 +175,49 @@ def _month_part(df: DataFrame) -> DataFrame:
     return df.withColumn("_month", (F.col("dt_sk") / 100).cast("int"))
 
 
-def _put_sales(load: Load, rows: DataFrame) -> None:
-    """Enrich new and still open sale rows, then keep the ones a later load
-    can add nothing to apart from the open ones: only these are rewritten."""
-    fact = derive_unit_price(rows, load.read("imovel_dimension"))
-    fact = link_benchmark(fact, load.read("imovel_dimension"), load.read(MARKET_TABLE), KIND)
-    kinds = load.read("imovel_dimension").select("im_sk", F.col("im_tipo").alias("_kind"))
-    linked = F.col("mk_sk").isNotNull() | (F.col("_kind") != KIND)
-    settled = F.coalesce(linked & F.col("tv_valor_m2").isNotNull(), F.lit(False))
-    split = (
-        balanced_join(fact, kinds, "im_sk")
-        .withColumn("_state", F.when(settled, "done").otherwise("open"))
-        .drop("_kind")
-    )
-    if load.has("trans_venda_fact"):
-        load.drop_part("trans_venda_fact", "open")
-    load.put_split(
-        "trans_venda_fact",
-        split,
-        "_state",
-        lambda state: "open" if state == "open" else f"done-{load.version:08d}",
-    )
+def _buckets(load: Load) -> int:
+    """Number of parts the fact was begun with."""
+    if load.has(FACT):
+        for part in load.state[FACT].parts:
+            if part.startswith("done-"):
+                return int(part.split("-")[1])
+    return int(load.lake.spark.conf.get(BUCKETS_CONF, str(BUCKETS)))
+
+
+def _put_sales(load: Load, rows: DataFrame, replaced: DataFrame | None = None) -> None:
+    """Store new sale rows and enrich those still open.
+
+    Rows a later load can add nothing to are appended to their bucket, so only
+    the open ones are read again. The rows held of ``replaced`` sales (tv_id)
+    give way: of the settled parts only the buckets such sales lie in are
+    written anew.
+    """
+    count = _buckets(load)
+    bucket = F.pmod(F.xxhash64(F.col("tv_id").cast("long")), F.lit(count)).cast("int")
+    kept = None
+    if load.has(FACT):
+        still_open = load.read(FACT, "open")
+        if replaced is not None:
+            still_open = balanced_join(still_open, replaced, "tv_id", "left_anti")
+            touched = [r[0] for r in replaced.select(bucket.alias("b")).distinct().collect()]
+            stale = [
+                part for part in load.state[FACT].parts
+                for b in touched if part.startswith(f"done-{count:04d}-{b:04d}-")
+            ]
+            if stale:
+                paths = [load.state[FACT].parts[part] for part in stale]
+                held = load.lake.spark.read.schema(load.state[FACT].schema).parquet(*paths)
+                kept = balanced_join(held, replaced, "tv_id", "left_anti")
+                for part in stale:
+                    load.drop_part(FACT, part)
+        load.drop_part(FACT, "open")
+        rows = still_open.unionByName(rows, allowMissingColumns=True)
+    fact = price_and_link(rows, load.read("imovel_dimension"), load.read(MARKET_TABLE), KIND)
+    done = F.format_string(f"done-{count:04d}-%04d-{load.version:08d}", bucket)
+    out = fact.withColumn("_part", F.when(F.col("is_settled"), done).otherwise("open")).drop("is_settled")
+    if kept is not None:
+        out = out.unionByName(kept.withColumn("_part", done))
+    load.put_split(FACT, out, "_part")
 
 
 def _sale_dims(load: Load) -> SaleDims:
@@ -301,22 +331,35 @@ def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime) ->
         load.put(MARKET_TABLE, load_market(None, market_stage(market_long), ts, "insert_only"))
 
     _load_dims_initial(load, t, ts, market)
-    rows = participant_fact(
-        t["transvenda"], t["imoveltransacao"], t["clientecompra"], t["clientevende"], _sale_dims(load)
-    )
-    agg = aggregate_fact(
-        t["transvenda"], t["imoveltransacao"], load.read("imovel_dimension"), load.read("data_dimension")
-    )
+    dims = _sale_dims(load)
+    parked = _park(load, t, dims, None)
+    # as a rule nothing is parked, and the look-up is of an empty table
+    whole = balanced_join(t["transvenda"], parked.select(COLUMNS.sale), COLUMNS.sale, "left_anti")
+    rows = participant_fact(whole, t["imoveltransacao"], t["clientecompra"], t["clientevende"], dims)
+    agg = aggregate_fact(whole, t["imoveltransacao"], dims.item, dims.date)
     together(
         lake.spark,
         lambda: _put_sales(load, assign_surrogate_keys(rows, "tv_sk")),
-        lambda: load.put_split(
-            "receita_agregada_fact", _month_part(assign_surrogate_keys(agg, "ra_sk")), "_month"
-        ),
+        lambda: load.put_split(AGGREGATE, _month_part(assign_surrogate_keys(agg, "ra_sk")), "_month"),
     )
     return load.commit()
 
 
+def _park(load: Load, t: Tables, dims: SaleDims, ids: DataFrame | None) -> DataFrame:
+    """Stores which of the sales cannot become rows yet, and since when; later
+    loads try these again, whatever their feed names."""
+    parked = unresolved_sales(
+        ids, t["transvenda"], t["imoveltransacao"], t["clientecompra"], t["clientevende"], dims
+    )
+    since = F.lit(load.version).cast("long")
+    if load.has(PARKED):
+        before = load.read(PARKED).select(COLUMNS.sale, F.col("since").alias("_since"))
+        parked = balanced_join(parked, before, COLUMNS.sale, "left")
+        since = F.coalesce("_since", since)
+    load.put(PARKED, parked.select(COLUMNS.sale, "missing", since.alias("since")))
+    return load.read(PARKED)
+
+
 def load_incremental(
     lake: Lake,
     t: Tables,
@@ -341,42 +384,45 @@ def load_incremental(
         load.put(MARKET_TABLE, load_market(load.read(MARKET_TABLE), stage, ts, "upsert"))
 
     _load_dims_incremental(load, t, ts, seen, *([market] if market_long is not None else []))
-    open_sales = load.read("trans_venda_fact", "open")
-    if "transvenda" in seen.entities:
-        held = load.read("trans_venda_fact")
-        new_sales = materialise(_new_sales(t, held, seen).distinct(), "new-sales")
-        rows = participant_fact(
-            t["transvenda"],
-            t["imoveltransacao"],
-            t["clientecompra"],
-            t["clientevende"],
-            _sale_dims(load),
-            new_sales=new_sales,
-            existing=held,
-        )
+    parked = load.read(PARKED).select(COLUMNS.sale)
+    waiting = not parked.isEmpty()
+    if "transvenda" not in seen.entities and not waiting:
+        if market_long is not None or "imovel" in seen.entities:
+            _put_sales(load, empty(lake.spark, load.state[FACT].schema))
+        return load.commit()
+
+    held = load.read(FACT)
+    links = t["imoveltransacao"], t["clientecompra"], t["clientevende"]
+    named = _named_sales(t, seen).unionByName(parked)
+    due = materialise(due_sales(named, *links, held), "due")
+    dims = _sale_dims(load)
+    stay = _park(load, t, dims, due).select(COLUMNS.sale)
+    ready = materialise(balanced_join(due, stay, COLUMNS.sale, "left_anti"), "ready")
+    rows = participant_fact(t["transvenda"], *links, dims, new_sales=ready)
+    replaced = materialise(
+        ready.filter("is_held").select(F.col(COLUMNS.sale).alias("tv_id")), "replaced"
+    )
 
-        def sales() -> None:
-            keyed = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
-            _put_sales(load, open_sales.unionByName(keyed, allowMissingColumns=True))
+    def sales() -> None:
+        keyed = assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk"))
+        _put_sales(load, keyed, replaced)
 
-        together(lake.spark, sales, lambda: _restate_months(load, t, new_sales))
-    elif market_long is not None or "imovel" in seen.entities:
-        _put_sales(load, open_sales)
+    now_held = held.select(F.col("tv_id").alias(COLUMNS.sale)).unionByName(ready.select(COLUMNS.sale))
+    together(lake.spark, sales, lambda: _restate_months(load, t, ready.select(COLUMNS.sale), now_held))
     return load.commit()
 
 
-def _new_sales(t: Tables, held: DataFrame, changes: Changes) -> DataFrame:
+def _named_sales(t: Tables, changes: Changes) -> DataFrame:
+    """Sales the feed names; without a feed all of them."""
     kind = t["transvenda"].schema[COLUMNS.sale].dataType.simpleString()
     told = changes.keys("transvenda", COLUMNS.sale, kind)
-    if told is not None:
-        return told
-    known = held.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
-    return balanced_join(t["transvenda"].select(COLUMNS.sale), known, COLUMNS.sale, "left_anti")
+    return t["transvenda"].select(COLUMNS.sale) if told is None else told
 
 
-def _restate_months(load: Load, t: Tables, new_sales: DataFrame) -> None:
-    """Recompute touched pairs; only the months they lie in are rewritten."""
-    table = "receita_agregada_fact"
+def _restate_months(load: Load, t: Tables, new_sales: DataFrame, held: DataFrame) -> None:
+    """Recompute touched pairs from the sales the fact holds; only the months
+    they lie in are rewritten, each read once and its kept rows found once."""
+    table = AGGREGATE
     sale, lines = t["transvenda"], t["imoveltransacao"]
     agg = load.read(table)
     touched_days = balanced_join(
@@ -393,10 +439,10 @@ def _restate_months(load: Load, t: Tables, new_sales: DataFrame) -> None:
         if near
         else empty(spark, agg.schema)
     )
-    pairs, fresh = restate_parts(
-        near_agg, new_sales, sale, lines, load.read("imovel_dimension"), load.read("data_dimension")
+    # a column more than an aggregate has goes along with the rows that stay
+    kept, fresh = restate_parts(
+        near_agg, new_sales, sale, lines, load.read("imovel_dimension"), load.read("data_dimension"), held=held
     )
-    kept = balanced_join(near_agg, pairs.select("im_sk", "dt_sk"), ["im_sk", "dt_sk"], "left_semi")
     keyed = assign_surrogate_keys(fresh, "ra_sk", start=next_start(agg, "ra_sk"))
     load.put_split(table, _month_part(kept.unionByName(keyed)).select(*agg.columns, "_month"), "_month")
 
@@ -413,7 +459,8 @@ def star_view(lake: Lake) -> DataFrame:
 
 
 def gold_tables(lake: Lake) -> dict[str, DataFrame]:
-    return {n: lake.table(n) for n in lake.tables()} | {"vw_venda_vs_mercado": star_view(lake)}
+    kept = [n for n in lake.tables() if n != PARKED]  # parked sales are state, not star
+    return {n: lake.table(n) for n in kept} | {"vw_venda_vs_mercado": star_view(lake)}
 
 
 # --- bridge model --------------------------------------------------------

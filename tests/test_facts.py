@@ -13,8 +13,10 @@ from dimwright.operators.facts import (
     derive_unit_price,
     first_per_key,
     participant_fact,
+    replace_sales,
     restate_aggregate,
     sale_fact,
+    unresolved_sales,
 )
 from dimwright.operators.quality import reconcile
 from dimwright.operators.scd2 import scd2_fill, scd2_initial, scd2_merge
@@ -100,12 +102,47 @@ def test_incremental_adds_only_new_rows_and_only_named_sales(spark, agency, dims
     assert rows(added.groupBy("tv_id").count()) == [(11, 3)]
 
 
-def test_late_participant_is_added_when_its_sale_is_named(spark, agency, dims):
+def test_late_participant_replaces_the_rows_of_its_sale(spark, agency, dims):
     early = dict(agency, clientecompra=agency["clientecompra"].filter("clientecpf <> '00000000101'"))
     held = build(early, dims)
-    told = frame(spark, [(1,)], "transvendaid int")
+    told = frame(spark, [(1,), (11,)], "transvendaid int")
     added = build(agency, dims, new_sales=told, existing=held)
-    assert rows(added, "tv_id", "tv_valor_cliente", "tv_total_compradores") == [(1, 361327.5, 2)]
+    # sale 11 is as it was, sale 1 comes whole with new shares
+    assert rows(added, "tv_id", "tv_tipo_cliente", "tv_valor_cliente", "tv_total_compradores") == [
+        (1, "COMPRADOR", 361327.5, 2),
+        (1, "COMPRADOR", 361327.5, 2),
+        (1, "VENDEDOR", 722655.0, 2),
+    ]
+    whole = build(agency, dims)
+    assert rows(replace_sales(held, added).select(whole.columns)) == rows(whole)
+
+
+def test_unresolved_sales_name_what_is_missing(spark, agency, dims):
+    lost = dict(
+        agency,
+        transvenda=agency["transvenda"].filter("transvendaid <> 11").unionByName(
+            frame(
+                spark,
+                [(30, 1.0, None, 1.0, "00000000099"), (31, 1.0, None, 1.0, None), (32, 1.0, None, 1.0, "00000000011")],
+                agency["transvenda"].schema,
+            )
+        ),
+        imoveltransacao=agency["imoveltransacao"].unionByName(
+            frame(spark, [(77, 30), (2, 30), (2, 31)], agency["imoveltransacao"].schema)
+        ),
+        clientecompra=agency["clientecompra"].unionByName(
+            frame(spark, [(30, "00000000100"), (31, "nobody")], agency["clientecompra"].schema)
+        ),
+    )
+    ids = frame(spark, [(1,), (1,), (11,), (30,), (31,), (32,)], "transvendaid int")
+    found = unresolved_sales(
+        ids, lost["transvenda"], lost["imoveltransacao"], lost["clientecompra"], lost["clientevende"], dims
+    )
+    assert rows(found) == [(11, "sale"), (30, "broker,item"), (31, "broker,client"), (32, "items,participants")]
+    none = unresolved_sales(
+        ids.limit(0), lost["transvenda"], lost["imoveltransacao"], lost["clientecompra"], lost["clientevende"], dims
+    )
+    assert none.count() == 0
 
 
 def test_sale_fact_and_bridges(spark, agency, dims):

@@ -17,7 +17,13 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 # whole pipelines run in test_star; the driver compares these two
-LONG = {"pipeline_equivalence", "feed_merge_stream"}
+LONG = {
+    "pipeline_equivalence",
+    "feed_merge_stream",
+    "feed_parked_sales",
+    "feed_aggregate_held",
+    "participant_fact_late",
+}
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,14 @@ from dimwright.plans import star
 from dimwright.session import fresh_path
 from dimwright.sources.lake import MARKET_TABLE
 from dimwright.sources.versions import Lake
-from dimwright.streaming.feed import FEED_SCHEMA, changed_keys, follow_feed, read_feed
+from dimwright.streaming.feed import (
+    FEED_SCHEMA,
+    changed_keys,
+    feed_from_snapshots,
+    follow_feed,
+    read_feed,
+    snapshot_changes,
+)
 
 
 def loaded(spark, agency, index):
@@ -208,3 +215,83 @@ def test_restate_rewrites_only_touched_months(spark, agency, index, day):
     assert {m for m in after if before.get(m) != after[m]} == {f"{day:%Y%m}"}
     total = lake.table("receita_agregada_fact").agg(F.sum("ra_comissao_total")).first()[0]
     assert total == pytest.approx(43359.3 + 56526.29 + 2 * 81907.57)
+
+
+def fed(spark, *changes):
+    return frame(spark, list(changes), "entity string, key string")
+
+
+def shares(lake):
+    return rows(
+        lake.table("trans_venda_fact"),
+        "tv_id", "tv_tipo_cliente", "tv_valor_cliente", "tv_total_compradores", "tv_total_vendedores",
+    )
+
+
+def totals(lake):
+    agg = lake.table("receita_agregada_fact").join(lake.table("imovel_dimension").select("im_sk", "im_id"), "im_sk")
+    return rows(agg, "im_id", "dt_sk", "ra_comissao_total")
+
+
+def test_sale_named_before_its_broker_and_client_waits_for_both(spark, agency, index):
+    before = dict(
+        early(agency),
+        corretor=agency["corretor"].filter("funccpf <> '00000000013'"),
+        cliente=agency["cliente"].filter("clientecpf <> '00000000105'"),
+    )
+    lake = loaded(spark, before, index)
+    held = totals(lake)
+    half = dict(before, transvenda=agency["transvenda"])
+    star.load_incremental(lake, half, None, T1, fed(spark, ("transvenda", "26")))
+    assert rows(lake.table(star.PARKED)) == [(26, "broker,client", 2)]
+    # neither the fact nor the aggregate knows the sale yet
+    assert totals(lake) == held and 26 not in {r[0] for r in shares(lake)}
+    # each arrival is named alone, without the sale
+    star.load_incremental(lake, agency, None, T1, fed(spark, ("corretor", "00000000013")))
+    assert rows(lake.table(star.PARKED)) == [(26, "client", 2)]
+    star.load_incremental(lake, agency, None, T2, fed(spark, ("cliente", "00000000105")))
+    assert rows(lake.table(star.PARKED)) == []
+    once = loaded(spark, agency, index)
+    assert shares(lake) == shares(once) and totals(lake) == totals(once)
+
+
+def test_late_participant_rewrites_one_bucket(spark, agency, index):
+    before = dict(agency, clientecompra=agency["clientecompra"].filter("clientecpf <> '00000000101'"))
+    lake = loaded(spark, before, index)
+    parts = dict(lake.begin().state["trans_venda_fact"].parts)
+    star.load_incremental(lake, agency, None, T1, fed(spark, ("transvenda", "1"), ("transvenda", "11")))
+    once = loaded(spark, agency, index)
+    assert shares(lake) == shares(once) and totals(lake) == totals(once)
+    now = lake.begin().state["trans_venda_fact"].parts
+    gone = {k for k in parts if now.get(k) != parts[k] and k.startswith("done")}
+    assert len(gone) == 1  # sale 1 is settled; 11 is as it was
+    keys = lake.table("trans_venda_fact").select("tv_sk")
+    assert keys.count() == keys.distinct().count()
+    # a load that is told the same again changes nothing
+    star.load_incremental(lake, agency, None, T2, fed(spark, ("transvenda", "1")))
+    assert rows(lake.table("trans_venda_fact").select("tv_sk")) == rows(keys)
+
+
+def test_snapshots_name_what_changed(spark):
+    schema = "clientecpf string, name string"
+    before = frame(spark, [("1", "a"), ("2", None), ("3", "c"), ("4", "d"), ("4", "e"), (None, "x")], schema)
+    after = frame(
+        spark, [("1", "a"), ("2", ""), ("4", "e"), ("4", "d"), ("5", "n"), ("6", "p"), ("6", "p"), (None, "y")], schema
+    )
+    found = snapshot_changes(before, after, "cliente", "clientecpf")
+    assert rows(found) == [("cliente", "2", "U"), ("cliente", "5", "I"), ("cliente", "6", "I")]
+    assert rows(snapshot_changes(after, after, "cliente", "clientecpf")) == []
+    assert snapshot_changes(before.limit(0), after, "cliente", "clientecpf").count() == 5
+
+
+def test_feed_from_snapshots_drives_a_load(spark, agency, index):
+    lake = loaded(spark, early(agency), index)
+    feed = feed_from_snapshots(early(agency), agency, T1)
+    assert rows(feed, "entity", "key", "action") == [
+        ("corretor", "00000000012", "U"),
+        ("imovel", "9", "U"),
+        ("transvenda", "26", "I"),
+    ]
+    star.load_incremental(lake, agency, None, T1, changed_keys(feed))
+    once = loaded(spark, agency, index)
+    assert shares(lake) == shares(once)
