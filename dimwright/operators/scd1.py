@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.functions import changed
-from dimwright.operators.joins import balanced_join
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
+from dimwright.session import materialise
 
 
 class DuplicateKeys(ValueError):
@@ -35,6 +35,7 @@ def scd1_upsert(
     loaded_at: str,
     fixed: Sequence[str] = (),
     mode: str = "upsert",
+    start: int | None = None,
 ) -> DataFrame:
     """Snapshot of ``dim`` after loading ``stage``.
 
@@ -42,7 +43,9 @@ def scd1_upsert(
     staged ``cols`` when any of ``compare`` differs (NULL counts as a value);
     ``fixed`` columns are set on insert only. ``insert_only`` leaves held rows
     alone. Inserted and revised rows are stamped with ``ts``.
-    A batch that repeats a key is refused.
+    A batch that repeats a key is refused. ``dim`` may be the slice of a
+    larger dimension the staged keys can lie in; then ``start`` gives the
+    largest key in use.
     """
     if mode not in ("upsert", "insert_only"):
         raise ValueError(mode)
@@ -55,17 +58,25 @@ def scd1_upsert(
         return keyed.withColumn(loaded_at, stamp).select(*order)
 
     require_unique(stage, nk)
-    added = balanced_join(incoming, dim.select(*nk), nk, "left_anti")
-    added = assign_surrogate_keys(added, sk, list(nk), next_start(dim, sk))
+    held = dim.select(*order).withColumn("_held", F.lit(True))
+    staged = incoming.select(
+        *nk, F.lit(True).alias("_staged"), *[F.col(c).alias(f"_new_{c}") for c in [*fixed, *cols]]
+    )
+    # each side holds a key once, so neither can be hot; stored, as held and
+    # new rows both come out of this one join
+    both = materialise(held.join(staged, list(nk), "full"), "upsert")
+    added = both.filter(F.col("_held").isNull()).select(
+        *nk, *[F.col(f"_new_{c}").alias(c) for c in [*fixed, *cols]]
+    )
+    start = next_start(dim, sk) if start is None else start
+    added = assign_surrogate_keys(added, sk, list(nk), start)
     added = added.withColumn(loaded_at, stamp).select(*order)
+    both = both.filter("_held")
     if mode == "insert_only":
-        return dim.select(*order).unionByName(added)
+        return both.select(*order).unionByName(added)
 
-    staged = incoming.select(
-        *nk, F.lit(True).alias("_staged"), *[F.col(c).alias(f"_new_{c}") for c in cols]
-    )
     pairs = [(F.col(c), F.col(f"_new_{c}")) for c in compare]
-    both = balanced_join(dim, staged, nk, "left").withColumn(
+    both = both.withColumn(
         "_revise", F.coalesce(F.col("_staged"), F.lit(False)) & changed(pairs, null_safe=True)
     )
     revised = both.select(

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimwright.functions import changed
 from dimwright.operators.joins import balanced_join
+from dimwright.operators.scd1 import require_unique
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
 
 
@@ -133,6 +135,9 @@ def scd2_merge_parts(
     to those keys; repeated keys count once. The changes are found in one join
     of source and current slice, stored once together with their new
     surrogate keys, and everything else is derived from that small table.
+    A source that repeats a key is refused, as it would open two current
+    versions: the changes are checked, and so is a held key that would meet
+    one changed and one unchanged row.
     """
     incoming, known = src.select(names.nk, *tracked), current(dim, names)
     if changed_keys is not None:
@@ -154,6 +159,8 @@ def scd2_merge_parts(
         .select(names.nk, *tracked, "_closes")
     )
     keyed = assign_surrogate_keys(changes, names.sk, [names.nk], next_start(dim, names.sk))
+    # all rows of a key that changed are in the source, so few are looked at
+    require_unique(balanced_join(incoming.select(names.nk), keyed.select(names.nk).distinct(), names.nk, "left_semi"), [names.nk])
     others = [c for c in dim.columns if c not in keyed.columns]
     for c in others:  # columns this load does not know start empty
         if c not in (names.valid_from, names.valid_to, names.is_current):
@@ -200,6 +207,21 @@ def scd2_fill(
     return filled.unionByName(dim.filter(~F.col(names.is_current)))
 
 
+def scd2_unfilled(
+    dim: DataFrame,
+    src: DataFrame,
+    names: Versioned,
+    new_attrs: Sequence[str],
+    changed_keys: DataFrame | None = None,
+) -> DataFrame:
+    """Keys whose current version a fill would give a value."""
+    known = reduce(lambda a, b: a | b, [F.col(a).isNotNull() for a in new_attrs])
+    blank = current(dim, names).filter(F.col(new_attrs[0]).isNull()).select(names.nk)
+    if changed_keys is not None:
+        blank = balanced_join(blank, changed_keys.select(names.nk), names.nk, "left_semi")
+    return balanced_join(blank, src.filter(known).select(names.nk), names.nk, "left_semi")
+
+
 def scd2_extend_parts(
     dim: DataFrame,
     src: DataFrame,

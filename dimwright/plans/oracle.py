@@ -495,6 +495,15 @@ _BODIES = {
     "feed_merge_stream": f"""
         SELECT cor_cpf, cor_registro, cor_nome, cor_sobrenome, cor_is_atual
         FROM (SELECT * FROM ({{scd2_merge_cdc}}) z)""",
+    "pipeline_paths": """
+        SELECT tv_id, dt_data_completa, corretor, im_cidade, im_estado, im_bairro, im_tipo, im_qtd_quartos,
+               tv_total_compradores, tv_total_vendedores, tv_valor, tv_comissao, mk_preco_m2, mk_var_12m
+        FROM view_f WHERE tv_total_compradores + tv_total_vendedores > 0""",
+    "bridge_pipeline": """
+        SELECT l.tv_id, l.tv_valor, papel, clientecpf AS cl_cpf
+        FROM lines_f l JOIN (SELECT *, 'COMPRADOR' AS papel FROM clientecompra
+                             UNION ALL SELECT *, 'VENDEDOR' FROM clientevende) x ON x.transvendaid = l.tv_id""",
+    "scd1_upsert_months": _second_market(revise=True),
     "feed_snapshots": _snapshot_feed(),
     "feed_parked_sales": _WAITING + " SELECT transvendaid, missing FROM waiting",
     "feed_aggregate_held": _WAITING

@@ -31,7 +31,8 @@ from dimwright.operators.market import (
 from dimwright.operators.quality import ForeignKey, Rules, check_constraints, coverage, reconcile
 from dimwright.operators.scd2 import scd2_extend, scd2_fill, scd2_initial, scd2_merge
 from dimwright.operators.surrogate import assign_surrogate_keys
-from dimwright.plans import star
+from dimwright.plans import pipeline, star
+from dimwright.plans.pipeline import Paths
 from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_feed, read
 from dimwright.session import fresh_path, materialise, together
 from dimwright.sources.lake import MARKET_TABLE, land_snapshot, publish_gold, read_landed
@@ -703,6 +704,68 @@ def _natural(lake: Lake) -> dict[str, DataFrame]:
     }
 
 
+@_query
+def pipeline_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze files and sheet files to gold, run at the cut and once more at
+    the end; the published view is read back."""
+    src = Source(spark, sf_dir)
+    root = fresh_path(spark, "warehouse")
+    paths = Paths(*(f"{root}/{part}" for part in ("bronze", "sheets", "silver", "offsets", "gold")))
+    lake = Lake(spark, f"{root}/lake")
+    for state, ts in ((src.at(CUT), TS0), (src, TS1)):
+        tables = state.tables()
+        land_snapshot(tables, paths.bronze, fmt="csv")
+        sheet = state.wide_sheet()
+        cells = [
+            F.col(c) if c in sheet.columns else F.lit(None).cast("string").alias(c)
+            for c in ("sheet", *(f"c{i}" for i in range(22)))
+        ]
+        sheet.select(*cells).write.mode("append").option("header", True).csv(paths.sheets)
+        pipeline.run(lake, paths, {n: df.schema for n, df in tables.items()}, ts)
+    view = "vw_venda_vs_mercado"
+    back = read_landed(spark, f"{paths.gold}/{view}", star.star_view(lake).schema, fmt="csv")
+    return back.select(
+        "tv_id", "dt_data_completa", "corretor", "im_cidade", "im_estado", "im_bairro", "im_tipo", "im_qtd_quartos",
+        "tv_total_compradores", "tv_total_vendedores", "tv_valor", "tv_comissao", "mk_preco_m2", "mk_var_12m",
+    )
+
+
+@_query
+def bridge_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge model after a first and a second load: who took part in
+    which sale, by natural keys."""
+    src = Source(spark, sf_dir)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    star.load_bridge_initial(lake, src.at(CUT).tables(), TS0)
+    star.load_bridge_incremental(lake, src.tables(), TS1)
+    sales = lake.table(star.FACT).select("tv_sk", "tv_id", "tv_valor")
+    clients = lake.table("cliente_dimension").select("cl_sk", "cl_cpf")
+    pairs = None
+    for table, role in (("comprador_ponte", "COMPRADOR"), ("vendedor_ponte", "VENDEDOR")):
+        found = lake.table(table).withColumn("papel", F.lit(role))
+        pairs = found if pairs is None else pairs.unionByName(found)
+    named = balanced_join(balanced_join(pairs, sales, "tv_sk"), clients, "cl_sk")
+    return named.select("tv_id", "tv_valor", "papel", "cl_cpf")
+
+
+@_query
+def scd1_upsert_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The market after a feed of the cut month and later ones, of which only
+    their parts are read and written."""
+    src = Source(spark, sf_dir)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    for state, since, ts in ((src.at(MID_MONTH_CUT), date(1900, 1, 1), TS0), (src, CUT, TS1)):
+        load = lake.begin()
+        news = wide_to_long(state.wide_sheet()).filter(F.col("mes") >= F.lit(since))
+        star.put_market(load, news, ts)
+        load.commit()
+    return lake.table(MARKET_TABLE).select(*_market_dim_columns())
+
+
+def _market_dim_columns() -> list[str]:
+    return ["mk_sk", "mk_cidade", *star.MARKET_KEY, "mk_preco_m2", "mk_var_mensal", "mk_var_12m", "mk_dt_carga"]
+
+
 @_query
 def pipeline_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load plus an incremental one against a single load of the final

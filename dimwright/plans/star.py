@@ -37,6 +37,7 @@ from dimwright.operators.scd2 import (
     scd2_extend_parts,
     scd2_initial,
     scd2_merge_parts,
+    scd2_unfilled,
 )
 from dimwright.operators.snowflake import Level, Metric, denormalise_snowflake
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
@@ -144,7 +145,9 @@ def market_stage(long: DataFrame) -> DataFrame:
     return long.select(*[F.col(a).alias(b) for a, b in names.items()])
 
 
-def load_market(dim: DataFrame | None, stage: DataFrame, ts: datetime, mode: str) -> DataFrame:
+def load_market(
+    dim: DataFrame | None, stage: DataFrame, ts: datetime, mode: str, start: int | None = None
+) -> DataFrame:
     return scd1_upsert(
         dim,
         stage,
@@ -156,6 +159,7 @@ def load_market(dim: DataFrame | None, stage: DataFrame, ts: datetime, mode: str
         "mk_dt_carga",
         fixed=["mk_cidade"],
         mode=mode,
+        start=start,
     )
 
 
@@ -175,6 +179,31 @@ def _month_part(df: DataFrame) -> DataFrame:
     return df.withColumn("_month", (F.col("dt_sk") / 100).cast("int"))
 
 
+def _market_part(df: DataFrame) -> DataFrame:
+    return df.withColumn("_month", F.year("mk_mes") * 100 + F.month("mk_mes"))
+
+
+def put_market(load: Load, market_long: DataFrame, ts: datetime) -> None:
+    """Upsert of the staged months: only their parts are read, joined and
+    written, one full outer join; of the others not more than the key column
+    is read, for the largest key in use."""
+    stage = materialise(market_stage(market_long), "stage")
+    if not load.has(MARKET_TABLE):
+        first = load_market(None, stage, ts, "insert_only")
+        load.put_split(MARKET_TABLE, _market_part(first), "_month")
+        return
+    # as many numbers as the feed has months
+    months = [str(r[0]) for r in _market_part(stage).select("_month").distinct().collect()]
+    if not months:
+        return
+    table = load.state[MARKET_TABLE]
+    near = [table.parts[m] for m in months if m in table.parts]
+    spark = load.lake.spark
+    held = spark.read.schema(table.schema).parquet(*near) if near else empty(spark, table.schema)
+    start = next_start(load.read(MARKET_TABLE), "mk_sk")
+    load.put_split(MARKET_TABLE, _market_part(load_market(held, stage, ts, "upsert", start)), "_month")
+
+
 def _buckets(load: Load) -> int:
     """Number of parts the fact was begun with."""
     if load.has(FACT):
@@ -314,7 +343,9 @@ def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
     base = scd2_merge_parts(dim, item_source(t), ITEM, ITEM_ATTRS, ts, keys)
     both = scd2_extend_parts(base.whole(), item_extra(t), ITEM, ITEM_EXTRA, ts, keys)
     if base.changes.isEmpty() and both.changes.isEmpty():
-        return
+        # attributes first known now go into the version there is
+        if scd2_unfilled(dim, item_extra(t), ITEM, ITEM_EXTRA, keys).isEmpty():
+            return
     columns = base.closed.columns
     load.put(table, both.kept.unionByName(both.opened).select(*columns), "current")
     load.append(table, base.closed.unionByName(both.closed.select(*columns)), "past")
@@ -323,12 +354,12 @@ def _load_items(load: Load, t: Tables, ts: datetime, changes: Changes) -> None:
 # --- participant model ---------------------------------------------------
 
 
-def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime) -> int:
+def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime, batch: str = "") -> int:
     """Dimensions, facts, aggregate, market, unit prices and links, as one commit."""
-    load = lake.begin()
+    load = lake.begin(batch)
 
     def market() -> None:
-        load.put(MARKET_TABLE, load_market(None, market_stage(market_long), ts, "insert_only"))
+        put_market(load, market_long, ts)
 
     _load_dims_initial(load, t, ts, market)
     dims = _sale_dims(load)
@@ -380,8 +411,7 @@ def load_incremental(
     seen = Changes.of(changes)
 
     def market() -> None:
-        stage = materialise(market_stage(market_long), "stage")
-        load.put(MARKET_TABLE, load_market(load.read(MARKET_TABLE), stage, ts, "upsert"))
+        put_market(load, market_long, ts)
 
     _load_dims_incremental(load, t, ts, seen, *([market] if market_long is not None else []))
     parked = load.read(PARKED).select(COLUMNS.sale)
@@ -490,7 +520,7 @@ def load_bridge_incremental(lake: Lake, t: Tables, ts: datetime) -> int:
         "trans_venda_fact",
         assign_surrogate_keys(rows, "tv_sk", start=next_start(held, "tv_sk")).select(*held.columns),
     )
-    _put_bridges(load, t)
+    _put_bridges(load, t, ts, held)
     agg = load.read("receita_agregada_fact")
     fresh = aggregate_fact(
         t["transvenda"], t["imoveltransacao"], load.read("imovel_dimension"), load.read("data_dimension")
@@ -502,8 +532,20 @@ def load_bridge_incremental(lake: Lake, t: Tables, ts: datetime) -> int:
     return load.commit()
 
 
-def _put_bridges(load: Load, t: Tables) -> None:
+def _put_bridges(load: Load, t: Tables, ts: datetime | None = None, before: DataFrame | None = None) -> None:
+    """Pairs of both roles. A later load looks only at links of sales the fact
+    did not hold ``before`` and of clients that got a version at ``ts``."""
     clients = current(load.read("cliente_dimension"), CLIENT)
+    fact = load.read("trans_venda_fact")
     for table, link in (("vendedor_ponte", "clientevende"), ("comprador_ponte", "clientecompra")):
-        held = load.read(table) if load.has(table) else None
-        load.append(table, bridge(load.read("trans_venda_fact"), t[link], clients, existing=held))
+        links, held = t[link].select(COLUMNS.sale, COLUMNS.client), None
+        if before is not None:
+            held = load.read(table)
+            known = before.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
+            renewed = clients.filter(F.col(CLIENT.valid_from) == F.lit(ts).cast("timestamp_ntz"))
+            renewed = renewed.select(F.col(CLIENT.nk).alias(COLUMNS.client))
+            old = balanced_join(links, known, COLUMNS.sale, "left_semi")
+            links = balanced_join(links, known, COLUMNS.sale, "left_anti").unionByName(
+                balanced_join(old, renewed, COLUMNS.client, "left_semi")
+            )
+        load.append(table, bridge(fact, links, clients, existing=held))

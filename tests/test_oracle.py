@@ -23,6 +23,7 @@ LONG = {
     "feed_parked_sales",
     "feed_aggregate_held",
     "participant_fact_late",
+    "pipeline_paths",
 }
 
 

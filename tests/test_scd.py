@@ -180,3 +180,20 @@ def test_scd1_on_shuffled_path(shuffled):
     dim = upsert(None, frame(shuffled, [mk("A", m, 1.0) for m in range(1, 13)], MK), T0)
     got = upsert(dim, frame(shuffled, [mk("A", 3, 2.0), mk("B", 3, 4.0)], MK), T1)
     assert rows(got.filter("mk_preco_m2 > 1"), "mk_sk", "mk_preco_m2") == [(13, 4.0), (3, 2.0)]
+
+
+def test_merge_refuses_a_repeated_source_key(spark, clients):
+    for twice in ([("01", "Eva", "A"), ("01", "Ida", "A")], [("01", "Eva", "A"), ("01", "Ana", "A")]):
+        with pytest.raises(DuplicateKeys):
+            scd2_merge(clients, frame(spark, twice, SRC), CL, ATTRS, T1)
+    # a key that comes twice as it is opens nothing
+    same = frame(spark, [("01", "Ana", "A")] * 2, SRC)
+    assert scd2_merge(clients, same, CL, ATTRS, T1).count() == 3
+
+
+def test_upsert_of_a_slice_goes_on_from_the_largest_key(spark):
+    schema = "sk long, nk string, price double, loaded timestamp_ntz"
+    part = frame(spark, [(7, "a", 1.0, T0), (3, "b", 2.0, T0)], schema)
+    stage = frame(spark, [("b", 5.0), ("c", 6.0)], "nk string, price double")
+    got = scd1_upsert(part, stage, "sk", ["nk"], ["price"], ["price"], T1, "loaded", start=40)
+    assert rows(got) == [(3, "b", 5.0, T1), (41, "c", 6.0, T1), (7, "a", 1.0, T0)]

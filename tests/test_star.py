@@ -4,9 +4,10 @@ import pytest
 from conftest import T0, T1, T2, frame, rows
 from pyspark.sql import functions as F
 
-from dimwright.plans import star
+from dimwright.plans import pipeline, star
+from dimwright.plans.pipeline import Paths
 from dimwright.session import fresh_path
-from dimwright.sources.lake import MARKET_TABLE
+from dimwright.sources.lake import MARKET_TABLE, land_snapshot, read_landed
 from dimwright.sources.versions import Lake
 from dimwright.streaming.feed import (
     FEED_SCHEMA,
@@ -295,3 +296,62 @@ def test_feed_from_snapshots_drives_a_load(spark, agency, index):
     star.load_incremental(lake, agency, None, T1, changed_keys(feed))
     once = loaded(spark, agency, index)
     assert shares(lake) == shares(once)
+
+
+def test_attributes_first_known_later_reach_the_current_version(spark, agency, index):
+    blank = agency["imovel"].withColumn("imoveltipo", F.lit(None).cast("string"))
+    for column in ("imovelqtdquartos", "imovelm2"):
+        blank = blank.withColumn(column, F.lit(None).cast("int"))
+    lake = loaded(spark, dict(agency, imovel=blank), index)
+    star.load_incremental(lake, agency, None, T1, fed(spark, ("imovel", "9")))
+    got = rows(lake.table("imovel_dimension"), "im_sk", "im_id", "im_tipo", "im_m2", "im_is_atual")
+    assert [r for r in got if r[1] == 9] == [(2, 9, "Sala Comercial", 473, True)]
+    assert len(got) == 3  # no version was opened, and only the named key was filled
+    assert [r[2] for r in got if r[1] != 9] == [None, None]
+
+
+def test_index_feed_writes_its_months_only(spark, agency, index):
+    lake = loaded(spark, agency, index.filter("mes < '2025-05-01'"))
+    before = dict(lake.begin().state[MARKET_TABLE].parts)
+    assert sorted(before) == ["202503", "202504"]
+    news = index.filter("mes >= '2025-04-01'").withColumn("preco_m2", F.col("preco_m2") + 1)
+    star.load_incremental(lake, agency, news, T1, fed(spark))
+    after = lake.begin().state[MARKET_TABLE].parts
+    assert {m for m in after if before.get(m) != after[m]} == {"202504", "202505"}
+    assert rows(lake.table(MARKET_TABLE), "mk_sk", "mk_preco_m2") == [
+        (1, 10367.81), (2, 10000.0), (3, 13001.78), (4, 10401.0),
+    ]
+
+
+def test_pipeline_from_files_to_gold(spark, agency, index):
+    root = fresh_path(spark, "warehouse")
+    paths = Paths(*(f"{root}/{p}" for p in ("bronze", "sheets", "silver", "offsets", "gold")))
+    lake = Lake(spark, f"{root}/lake")
+    schemas = {n: df.schema for n, df in agency.items()}
+
+    def sheet(name, month, *prices):
+        cells = [None, month, *[None] * 5, *["0.01"] * 5, *["0.15"] * 5, *prices]
+        names = ["sheet", *(f"c{i}" for i in range(22))]
+        row = frame(spark, [(name, *cells)], ",".join(f"{n} string" for n in names))
+        row.coalesce(1).write.mode("append").option("header", True).csv(paths.sheets)
+
+    sheet("Vitória", "2025-03-01", "13001.78", ".", ".", ".", ".")
+    land_snapshot(early(agency), paths.bronze, "csv")
+    assert pipeline.run(lake, paths, schemas, T0) == 1
+    land_snapshot(agency, paths.bronze, "csv")
+    # one key in two files of two runs: the later one counts
+    sheet("Rio de Janeiro", "2025-04-01 00:00:00", "1", ".", ".", "2", ".")
+    pipeline.take_sheets(spark, paths)
+    sheet("Rio de Janeiro", "2025-04-01", "9999.0", ".", ".", "10366.81", ".")
+    sheet("Rio de Janeiro", "2025-05-01 total", "5", "5", "5", "5", "5")
+    assert pipeline.run(lake, paths, schemas, T1) == 2
+    view = read_landed(spark, f"{paths.gold}/vw_venda_vs_mercado", star.star_view(lake).schema, "csv")
+    assert rows(view, "tv_id", "corretor", "mk_preco_m2", "agio_vs_mercado") == [
+        (1, "Ana Lima", 13001.78, 0.18257948510683453),
+        (11, "Bia Melo", 10366.81, -0.11769880658066878),
+        (25, "Bia Melo", None, None),
+        (26, "Caio Nunes", None, None),
+    ]
+    # no new sheet: the batch is known, and only the source is compared
+    assert pipeline.run(lake, paths, schemas, T2) == 3
+    assert lake.batches() and rows(lake.table(MARKET_TABLE), "mk_sk") == [(1,), (2,), (3,)]
