@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimwright.llm.common import chunks, store
 
@@ -296,10 +297,9 @@ def find_spans(docs: DataFrame, text: str, keep_text: bool = False) -> DataFrame
     made = {"base_spans", "term_spans", "_maybe", "_row"}
     kept = [c for c in docs.columns if c != text and c.lower() not in made]
     rows = docs.select(*kept, text)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    found = rows.mapInArrow(
-        _base(text, sieve), f"{fields}, base_spans string, _maybe array<struct<term: string, at: int>>"
-    )
+    places = T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("at", T.IntegerType())]))
+    made_fields = [T.StructField("base_spans", T.StringType()), T.StructField("_maybe", places)]
+    found = rows.mapInArrow(_base(text, sieve), T.StructType([*rows.schema.fields, *made_fields]))
     if not keep_text:
         found = found.drop(text)
     found = store(found.withColumn("_row", F.monotonically_increasing_id()), "pii-spans")
@@ -352,7 +352,8 @@ def _hide(text: str) -> Callable:
 def sanitise(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with personal data replaced by its kind, disclosing terms by
     ``<TERM>``, and terms that alone name an entity removed."""
-    found = find_spans(docs, text, keep_text=True)
-    names = [c for c in found.columns if c not in (text, "base_spans", "term_spans")]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found.select(*names, text).schema)
-    return found.mapInArrow(_hide(text), fields).select(*docs.columns)
+    # the row goes along as one struct, so that no column of it can meet one made here
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("body"))
+    found = find_spans(packed, "body", keep_text=True)
+    clean = found.mapInArrow(_hide("body"), found.select("row", "body").schema)
+    return clean.select(*[F.col("body").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

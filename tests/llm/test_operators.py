@@ -296,8 +296,62 @@ def test_fold_is_crc32(spark):
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in got)
 
 
+def test_sanitise_keeps_columns_with_clashing_names(spark):
+    names = ["base_spans", "term_spans", "_maybe", "_row", "row", "body", "doc_id"]
+    schema = ", ".join(f"{n} string" for n in names) + ", text string"
+    df = spark.createDataFrame([(*names, "mail a.b@c.example.com now"), (*names, None), (*names, "")], schema)
+    got = pii.sanitise(df, "text")
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(*names, "mail <EMAIL> now"), (*names, None), (*names, "")], key=str
+    )
+    assert pii.sanitise(df.limit(0), "text").collect() == []
+
+
+COPIES = [
+    (1, BASE), (1, BASE), (None, BASE), (2, BASE.replace("word59", "other")), (2, "quite another text"),
+    (3, None), (3, None), (4, ""), (5, "Quite Another  text"), (None, "alone without an id"),
+]
+
+
+def test_one_document_of_each_group_stays_by_row(spark):
+    import corpus_pipeline
+
+    rows = [(i, t, "en", "s", n, "x") for n, (i, t) in enumerate(COPIES)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string"
+    df = spark.createDataFrame(rows, schema).repartition(3)
+    got = corpus_pipeline.drop_near_copies(spark, df, None)
+    assert got.columns == df.columns
+    # brute force: link all pairs, then the least id of each component, NULL last
+    sets = [shingles(t) for _, t in COPIES]
+    group = list(range(len(COPIES)))
+    for _ in COPIES:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    want = {}
+    for i, (key, text) in enumerate(COPIES):
+        want.setdefault(group[i], []).append((key is None, key or 0, text))
+    best = sorted(min((none, key) for none, key, _ in members) for members in want.values())
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got.collect()) == best
+    texts_left = [r.text for r in got.collect()]
+    assert "quite another text" in texts_left and texts_left.count(None) == 2 and texts_left.count("") == 1
+    assert corpus_pipeline.drop_near_copies(spark, df.limit(0), None).count() == 0
+
+
+def test_leaks_go_by_row(spark):
+    import corpus_pipeline
+
+    item = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first()["text"]
+    rows = [(1, f"before {item} after"), (1, "clean text of the same id"), (None, f"x {item} y"), (None, "no id"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = corpus_pipeline.drop_leaks(spark, df, "/root/testdata/sf0.001")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
 def test_pipeline_keeps_clean_documents(spark):
     import corpus_pipeline
 
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert 100 < out.count() < 200 and "ids" in out.columns
+    assert 100 < out.count() < 200 and {"ids", "decoded_sha256"} <= set(out.columns)
