@@ -3,7 +3,12 @@ personal data is hidden, what stays is encoded.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
 and returns a table; all but the last return the columns of ``documents``.
-An empty table stays empty; NULL texts pass the filters and encode as empty.
+Rows are told apart by their place in the stored table, not by ``doc_id``: of
+rows that repeat an id each is judged by its own text, and rows without an id
+as all others. Of a group of near copies the row with the least ``doc_id``
+stays (NULL last, then the row stored first). An empty table stays empty; NULL
+texts pass the filters and encode as empty; texts of any length are read whole;
+further columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,18 +27,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scorer.rows(docs, "text").filter(F.col("score") < toxicity.BAR).select("row.*")
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """(row, row_id, doc_id, body), stored: a number for each row of ``docs``."""
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("body")
+    )
+    return store(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every component."""
-    groups = jaccard_join.near_duplicates(docs)
-    copies = store(groups.filter("doc_id != component_id").select("doc_id").distinct(), "copies")
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """One row of every component of near copies."""
+    rows = _numbered(docs)
+    groups = jaccard_join.near_duplicates(rows, "row_id", "body").select(
+        F.col("doc_id").alias("row_id"), "component_id"
+    )
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")
+    named = groups.join(rows.select("row_id", "doc_id"), "row_id")
+    best = named.groupBy("component_id").agg(F.min_by("row_id", order).alias("row_id"))
+    kept = store(best.select("row_id"), "kept")
+    return rows.join(kept, "row_id", "left_semi").select("row.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a consistent match of a benchmark item."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    leaks = store(found.filter("consistent").select("doc_id").distinct(), "leaks")
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    """Rows without a consistent match of a benchmark item."""
+    rows = _numbered(docs)
+    found = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"), "row_id", "body")
+    leaks = store(found.filter("consistent").select(F.col("doc_id").alias("row_id")).distinct(), "leaks")
+    return rows.join(leaks, "row_id", "left_anti").select("row.*")
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +66,9 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids in place of the text."""
-    return sentencepiece.encode_texts(docs, "text", public_model()).drop("decoded")
+    """Ids in place of the text, and the digest of what they decode to."""
+    coded = sentencepiece.encode_texts(docs, "text", public_model())
+    return coded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [
