@@ -76,3 +76,17 @@ def balanced_join(
     joined = salted_join(left, right, keys, how, hot) if hot else left.join(right, keys, how)
     added = [] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in keys]
     return joined.select(*left.columns, *added)
+
+
+def collated_join(
+    left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str = "inner", collation: str = "UNICODE_CI_AI"
+) -> DataFrame:
+    """Join of text columns that are equal under a collation; the default
+    passes over case and accents. It is the option beside ``fold_key``, which
+    folds a fixed list of letters: a collation folds any letter the way its
+    script does (é and E, but also Greek and Cyrillic). Both sides shuffle by
+    the collation's sort key; columns come out with their own collation.
+    """
+    a = left.withColumn("_left_key", F.collate(F.col(left_on), collation))
+    b = right.withColumn("_right_key", F.collate(F.col(right_on), collation))
+    return a.join(b, F.col("_left_key") == F.col("_right_key"), how).drop("_left_key", "_right_key")

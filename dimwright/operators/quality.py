@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimwright.operators.facts import BUYER, COLUMNS, SELLER, SaleColumns
@@ -86,6 +86,60 @@ def check_constraints(df: DataFrame, rules: Rules) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+@dataclass(frozen=True)
+class VersionRules:
+    """Columns of a versioned dimension whose history is checked."""
+
+    nk: str
+    sk: str
+    valid_from: str
+    valid_to: str
+    is_current: str
+
+
+def check_versions(dim: DataFrame, names: VersionRules, subject: str) -> DataFrame:
+    """Violations of the rules every history must keep, as a constraint report.
+
+    ``overlap`` and ``gap``: a version ends after, or before, the next one of
+    its key begins. ``one_current``: a key without exactly one current
+    version. ``open_end``: the current flag and a missing end do not agree.
+    ``backwards``: a version ends before it begins. Versions are compared with
+    the next one in order of begin and key only; a key has few versions.
+    """
+    order = Window.partitionBy(names.nk).orderBy(names.valid_from, names.sk)
+    end, is_open = F.col(names.valid_to), F.coalesce(F.col(names.is_current), F.lit(False))
+    rows = dim.select(
+        names.nk, end.alias("_end"), F.col(names.valid_from).alias("_begin"), is_open.alias("_open"),
+        F.lead(names.valid_from).over(order).alias("_next"),
+    )
+
+    def hits(rule: Column) -> Column:
+        return F.count(F.when(rule, 1))
+
+    later = F.col("_next").isNotNull()
+    per_key = rows.groupBy(names.nk).agg(
+        hits(later & (F.col("_end").isNull() | (F.col("_end") > F.col("_next")))).alias("overlap"),
+        hits(later & (F.col("_end") < F.col("_next"))).alias("gap"),
+        (hits(F.col("_open")) != 1).cast("long").alias("one_current"),
+        hits(F.col("_open") != F.col("_end").isNull()).alias("open_end"),
+        hits(F.col("_end") < F.col("_begin")).alias("backwards"),
+    )
+    rules = ("overlap", "gap", "one_current", "open_end", "backwards")
+    report = per_key.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(rule).alias("rule"),
+                    F.lit(subject).alias("subject"),
+                    F.coalesce(F.sum(rule), F.lit(0)).cast("long").alias("violations"),
+                )
+                for rule in rules
+            ]
+        ).alias("r")
+    )
+    return report.select(F.inline("r"))
+
+
 def _exact(c: str) -> Column:
     """Sum that does not depend on row order."""
     return F.sum(F.col(c).cast("decimal(28,10)"))

@@ -261,6 +261,45 @@ _WAITING = """
         GROUP BY transvendaid)"""
 
 
+def _star_constraints() -> str:
+    """Two loads of a sound source leave no fault but the planted ones."""
+    clean = [(t, "not_null", c) for t, cs in {
+        "corretor_dimension": ("cor_sk", "cor_cpf", "cor_dt_inicio", "cor_is_atual"),
+        "cliente_dimension": ("cl_sk", "cl_cpf", "cl_dt_inicio", "cl_is_atual"),
+        "imovel_dimension": ("im_sk", "im_id", "im_dt_inicio", "im_is_atual"),
+        "trans_venda_fact": ("tv_id", "tv_valor", "tv_tipo_cliente"),
+        "mercado_dimension": ("mk_preco_m2",),
+    }.items() for c in cs]
+    clean += [
+        ("corretor_dimension", "unique", "cor_sk"),
+        ("cliente_dimension", "unique", "cl_sk"),
+        ("imovel_dimension", "unique", "im_sk"),
+        ("trans_venda_fact", "unique", "tv_sk"),
+        ("trans_venda_fact", "unique", "tv_id,im_sk,cl_sk,tv_tipo_cliente"),
+        ("receita_agregada_fact", "unique", "im_sk,dt_sk"),
+        ("mercado_dimension", "unique", "mk_sk"),
+        ("mercado_dimension", "unique", "mk_cidade_norm,mk_mes,mk_dormitorios"),
+        *[("trans_venda_fact", "foreign_key", c) for c in ("cor_sk", "cl_sk", "im_sk", "mk_sk")],
+        ("receita_agregada_fact", "foreign_key", "im_sk"),
+        ("receita_agregada_fact", "foreign_key", "dt_sk"),
+    ]
+    for table, key in (("corretor_dimension", "cor_cpf"), ("cliente_dimension", "cl_cpf"), ("imovel_dimension", "im_id")):
+        clean += [(table, rule, key) for rule in ("overlap", "gap", "one_current", "open_end", "backwards")]
+    rows = ", ".join(f"('{t}', '{r}', '{c}', CAST(0 AS BIGINT))" for t, r, c in clean)
+    facts = _participants("lines_f")
+    # two rows of a sale that only differed in the role are one after the fault
+    return f"""
+        , clean(table_name, rule, subject, violations) AS (VALUES {rows})
+        , fact AS ({facts})
+        , twice AS (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS v FROM (
+              SELECT count(*) AS n FROM fact WHERE tv_id % 10 = 0 GROUP BY tv_id, im_sk, cl_sk))
+        SELECT table_name, rule, subject,
+               CASE WHEN subject = 'tv_id,im_sk,cl_sk,tv_tipo_cliente' THEN (SELECT v FROM twice) ELSE violations END AS violations
+        FROM clean
+        UNION ALL SELECT 'trans_venda_fact', 'domain', 'tv_tipo_cliente', (SELECT count(*) FROM fact WHERE tv_id % 10 = 0)
+        UNION ALL SELECT 'trans_venda_fact', 'foreign_key', 'dt_sk', (SELECT count(*) FROM fact WHERE tv_id % 13 = 0)"""
+
+
 def _snapshot_feed() -> str:
     """Every captured table: I for further rows of a key, U for other ones."""
     sold = "(SELECT transvendaid FROM venda_e)"
@@ -495,6 +534,38 @@ _BODIES = {
     "feed_merge_stream": f"""
         SELECT cor_cpf, cor_registro, cor_nome, cor_sobrenome, cor_is_atual
         FROM (SELECT * FROM ({{scd2_merge_cdc}}) z)""",
+    "version_rules": f"""
+        , merged AS (SELECT * FROM ({{MERGED}}) z)
+        , planted AS (
+            SELECT cor_cpf, cor_sk, cor_dt_inicio AS b, CASE WHEN CAST(cor_cpf AS BIGINT) % 10 = 5 THEN FALSE ELSE cor_is_atual END AS o,
+                   CASE WHEN CAST(cor_cpf AS BIGINT) % 10 = 3 AND NOT cor_is_atual THEN cor_dt_fim + INTERVAL 1 DAY
+                        WHEN CAST(cor_cpf AS BIGINT) % 10 = 4 AND NOT cor_is_atual THEN cor_dt_fim - INTERVAL 1 DAY
+                        ELSE cor_dt_fim END AS e FROM merged)
+        , pairs AS (SELECT x.*, y.b AS nb FROM planted x JOIN planted y ON x.cor_cpf = y.cor_cpf AND y.b > x.b)
+        SELECT 'overlap' AS rule, 'cor_cpf' AS subject, count(*) AS violations FROM pairs WHERE e IS NULL OR e > nb
+        UNION ALL SELECT 'gap', 'cor_cpf', count(*) FROM pairs WHERE e < nb
+        UNION ALL SELECT 'one_current', 'cor_cpf', count(*) FROM (SELECT cor_cpf FROM planted GROUP BY 1 HAVING count(*) FILTER (WHERE o) <> 1)
+        UNION ALL SELECT 'open_end', 'cor_cpf', count(*) FROM planted WHERE o <> (e IS NULL)
+        UNION ALL SELECT 'backwards', 'cor_cpf', count(*) FROM planted WHERE e < b""",
+    "source_constraints": """
+        , sales AS (SELECT transvendaid, CASE WHEN transvendaid % 11 = 0 THEN 'x' ELSE funccpf END AS funccpf FROM venda_f)
+        SELECT * FROM (
+            SELECT 'corretor' AS table_name, 'unique' AS rule, 'funccpf' AS subject,
+                   (SELECT count(*) FROM cor_src_f WHERE CAST(cor_cpf AS BIGINT) % 9 = 0) AS violations
+            UNION ALL SELECT 'transvenda', 'foreign_key', 'transvenda.funccpf',
+                   (SELECT count(*) FROM sales WHERE funccpf NOT IN (SELECT cor_cpf FROM cor_src_f))
+            UNION ALL SELECT 'clientecompra', 'foreign_key', 'clientecompra.clientecpf',
+                   (SELECT count(*) FROM clientecompra WHERE CAST(clientecpf AS BIGINT) % 7 = 0)
+            UNION ALL SELECT 'clientevende', 'foreign_key', 'clientevende.clientecpf',
+                   (SELECT count(*) FROM clientevende WHERE CAST(clientecpf AS BIGINT) % 7 = 0)) r
+        WHERE violations > 0""",
+    "star_constraints": _star_constraints(),
+    "fold_collation": """
+        WITH found AS (SELECT DISTINCT unnest(regexp_extract_all(text, '\\p{L}+')) AS word FROM documents)
+        , folded AS (SELECT word, lower(strip_accents(replace(replace(word, 'ẞ', 'ss'), 'ß', 'ss'))) AS k FROM found)
+        SELECT a.word AS written, count(*) AS n_equal, min(b.word) AS first_form
+        FROM folded a JOIN folded b ON a.k = b.k
+        WHERE regexp_matches(a.word, '[^\\x00-\\x7F]') GROUP BY a.word""",
     "pipeline_paths": """
         SELECT tv_id, dt_data_completa, corretor, im_cidade, im_estado, im_bairro, im_tipo, im_qtd_quartos,
                tv_total_compradores, tv_total_vendedores, tv_valor, tv_comissao, mk_preco_m2, mk_var_12m
@@ -555,6 +626,7 @@ def _statement(body: str) -> str:
 def all_oracles() -> dict[str, str]:
     bodies = dict(_BODIES)
     merged = _statement(bodies["scd2_merge_cdc"])
+    bodies["version_rules"] = bodies["version_rules"].replace("{MERGED}", _statement(bodies["scd2_merge_full"]))
     bodies["feed_merge_stream"] = bodies["feed_merge_stream"].replace("{scd2_merge_cdc}", merged)
     return {
         name: body if name == "feed_merge_stream" else _statement(body)

@@ -20,7 +20,7 @@ from dimwright.operators.facts import (
     restate_aggregate,
     sale_fact,
 )
-from dimwright.operators.joins import balanced_join
+from dimwright.operators.joins import balanced_join, collated_join
 from dimwright.operators.market import (
     benchmark_measures,
     link_benchmark,
@@ -28,10 +28,18 @@ from dimwright.operators.market import (
     sale_vs_market,
     wide_to_long,
 )
-from dimwright.operators.quality import ForeignKey, Rules, check_constraints, coverage, reconcile
+from dimwright.operators.quality import (
+    ForeignKey,
+    Rules,
+    VersionRules,
+    check_constraints,
+    check_versions,
+    coverage,
+    reconcile,
+)
 from dimwright.operators.scd2 import scd2_extend, scd2_fill, scd2_initial, scd2_merge
 from dimwright.operators.surrogate import assign_surrogate_keys
-from dimwright.plans import pipeline, star
+from dimwright.plans import pipeline, rules, star
 from dimwright.plans.pipeline import Paths
 from dimwright.plans.testmap import CUT, MID_MONTH_CUT, TS0, TS1, Source, event_feed, read
 from dimwright.session import fresh_path, materialise, together
@@ -197,6 +205,23 @@ def fold_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def fold_collation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the texts joined under a collation that passes over case and
+    accents: for each written form with a letter beyond ASCII, how many
+    written forms there are that it equals, itself included."""
+    letters = F.regexp_extract_all(F.col("text"), F.lit(r"(\p{L}+)"), F.lit(1))
+    words = materialise(
+        read(spark, sf_dir, "documents").select(F.explode(letters).alias("word")).distinct(), "words"
+    )
+    marked = words.filter(F.col("word").rlike(r"[^\x00-\x7F]")).select(F.col("word").alias("written"))
+    return (
+        collated_join(marked, words, "written", "word")
+        .groupBy("written")
+        .agg(F.count("*").alias("n_equal"), F.min("word").alias("first_form"))
+    )
+
+
 @_query
 def date_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _date_dim(Source(spark, sf_dir))
@@ -495,7 +520,7 @@ def coverage_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {n: read(spark, sf_dir, n) for n in ("lineitem", "orders", "part", "supplier")}
-    rules = Rules(
+    lines = Rules(
         not_null=["l_orderkey", "l_shipdate"],
         unique=[["l_orderkey", "l_linenumber"]],
         foreign_keys={
@@ -506,7 +531,56 @@ def constraint_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         domains={"l_returnflag": ["A", "N"], "l_linestatus": ["O", "F"]},
         max_lengths={"l_returnflag": 1},
     )
-    return check_constraints(t["lineitem"], rules)
+    return check_constraints(t["lineitem"], lines)
+
+
+@_query
+def version_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broker histories after a second load, with planted faults: some closed
+    versions end too late, some too early, some current ones lost their flag."""
+    dim = _merged_brokers(spark, sf_dir, None)
+    number = F.col("cor_cpf").cast("long") % 10
+    moved = (
+        F.when((number == 3) & ~F.col("cor_is_atual"), F.col("cor_dt_fim") + F.expr("INTERVAL 1 DAY"))
+        .when((number == 4) & ~F.col("cor_is_atual"), F.col("cor_dt_fim") - F.expr("INTERVAL 1 DAY"))
+        .otherwise(F.col("cor_dt_fim"))
+    )
+    flag = F.when(number == 5, F.lit(False)).otherwise(F.col("cor_is_atual"))
+    planted = dim.withColumn("cor_dt_fim", moved).withColumn("cor_is_atual", flag)
+    n = star.BROKER
+    return check_versions(planted, VersionRules(n.nk, n.sk, n.valid_from, n.valid_to, n.is_current), "cor_cpf")
+
+
+@_query
+def source_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared rules of the source, with planted faults: clients with a
+    number divisible by 7 are gone, brokers divisible by 9 come twice, and
+    sales of numbers divisible by 11 name a broker nobody knows."""
+    t = dict(Source(spark, sf_dir).tables())
+    t["cliente"] = t["cliente"].filter(F.col("clientecpf").cast("long") % 7 != 0)
+    t["corretor"] = t["corretor"].unionByName(t["corretor"].filter(F.col("funccpf").cast("long") % 9 == 0))
+    unknown = F.when(F.col("transvendaid") % 11 == 0, "x").otherwise(F.col("funccpf"))
+    t["transvenda"] = t["transvenda"].withColumn("funccpf", unknown)
+    return rules.source_report(t).filter("violations > 0")
+
+
+@_query
+def star_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The declared rules of a star after two loads: every rule and its
+    violations, with planted faults in the fact."""
+    src = Source(spark, sf_dir)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    first = src.at(CUT)
+    star.load_initial(lake, first.tables(), wide_to_long(first.wide_sheet()), TS0)
+    star.load_incremental(lake, src.tables(), wide_to_long(src.wide_sheet()), TS1)
+    t = {n: lake.table(n) for n in lake.tables()}
+    sale = F.col("tv_id")
+    t[star.FACT] = (
+        t[star.FACT]
+        .withColumn("tv_tipo_cliente", F.when(sale % 10 == 0, "OUTRO").otherwise(F.col("tv_tipo_cliente")))
+        .withColumn("dt_sk", F.when(sale % 13 == 0, 0).otherwise(F.col("dt_sk")))
+    )
+    return rules.star_report(t).select("table_name", "rule", "subject", "violations")
 
 
 # --- change feed -----------------------------------------------------------

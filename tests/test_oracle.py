@@ -24,6 +24,7 @@ LONG = {
     "feed_aggregate_held",
     "participant_fact_late",
     "pipeline_paths",
+    "star_constraints",
 }
 
 
