@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -210,6 +210,62 @@ def reconcile(
     )
 
 
+def side_measures(role: str | None = None) -> dict[str, Column]:
+    """Rows, sales' value and commission of a fact as it is written; of the
+    rows of one role, or of all where the fact has none."""
+    share = "_cliente" if role else ""
+    mine = F.col("tv_tipo_cliente") == role if role else F.lit(True)
+    tag = f"_{role.lower()}" if role else ""
+    return {
+        f"linhas{tag}": F.count(F.when(mine, 1)),
+        **{
+            f"{m}{tag}": F.sum(F.when(mine, F.col(f"tv_{m}{share}").cast("decimal(28,10)")))
+            for m in ("valor", "comissao")
+        },
+    }
+
+
+def reconcile_counts(
+    sale: DataFrame,
+    sale_item: DataFrame,
+    links: Mapping[str, DataFrame],
+    taken: Mapping[str, object],
+    c: SaleColumns = COLUMNS,
+) -> DataFrame:
+    """(lado, linhas_origem, linhas_fato, valor, comissao) per role: the rows
+    the source calls for, against rows and sums taken while a load wrote its
+    fact (``side_measures``), so the stored fact is not read at all.
+
+    A role's rows are its links times the items of their sale; both are
+    counted per sale before they meet.
+    """
+    per_sale = balanced_join(sale_item, sale.select(c.sale), c.sale, "left_semi").groupBy(c.sale).agg(
+        F.count("*").alias("_items")
+    )
+    sides = []
+    for role, link in links.items():
+        linked = link.groupBy(c.sale).agg(F.count("*").alias("_links"))
+        due = balanced_join(linked, per_sale, c.sale).agg(
+            F.coalesce(F.sum(F.col("_links") * F.col("_items")), F.lit(0)).alias("linhas_origem")
+        )
+        tag = role.lower()
+
+        def number(m: str, tag: str = tag) -> Column:
+            value = taken[f"{m}_{tag}"]
+            return F.round(F.lit(value).cast("double"), 2).alias(m)
+
+        sides.append(
+            due.select(
+                F.lit(role).alias("lado"),
+                "linhas_origem",
+                F.lit(taken[f"linhas_{tag}"]).cast("long").alias("linhas_fato"),
+                number("valor"),
+                number("comissao"),
+            )
+        )
+    return reduce(DataFrame.unionByName, sides)
+
+
 def coverage(view: DataFrame) -> DataFrame:
     """How many sales have a benchmark, as numbers and as the line x/y."""
     return view.agg(

@@ -261,6 +261,27 @@ _WAITING = """
         GROUP BY transvendaid)"""
 
 
+_TEXTS = {
+    "region": ["r_name"], "nation": ["n_name"], "customer": ["c_name", "c_mktsegment"], "supplier": ["s_name"],
+    "part": ["p_name", "p_brand", "p_type"], "orders": ["o_orderstatus", "o_orderpriority"],
+    "lineitem": ["l_returnflag", "l_linestatus"], "events": ["event_type", "props"],
+    "documents": ["text", "lang", "source"], "pages": ["url", "html"], "benchmark": ["text"], "labels": [],
+    "conversations": ["role", "text"], "embeddings": [],
+}
+
+
+def _text_digests() -> str:
+    rows = []
+    for table, columns in _TEXTS.items():
+        for c in columns or [""]:
+            digest = f"coalesce(sum(CAST('0x' || substr(md5({c}), 1, 8) AS BIGINT)), 0)" if c else "0"
+            rows.append(
+                f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
+                f"{f'count(*) - count({c})' if c else '0'}::BIGINT AS n_null, CAST({digest} AS BIGINT) AS digest FROM {table}"
+            )
+    return " UNION ALL ".join(rows)
+
+
 def _star_constraints() -> str:
     """Two loads of a sound source leave no fault but the planted ones."""
     clean = [(t, "not_null", c) for t, cs in {
@@ -534,6 +555,21 @@ _BODIES = {
     "feed_merge_stream": f"""
         SELECT cor_cpf, cor_registro, cor_nome, cor_sobrenome, cor_is_atual
         FROM (SELECT * FROM ({{scd2_merge_cdc}}) z)""",
+    "land_text_digests": _text_digests(),
+    "market_subset_region": """
+        SELECT mk_sk, mk_cidade_norm, mk_mes, mk_dormitorios, mk_preco_m2 FROM mk_dim_f
+        WHERE mk_cidade_norm IN (SELECT FOLD(im_cidade) FROM im_dim_f WHERE im_estado = 'ASIA')""",
+    "wide_to_long_faulty": """
+        SELECT 'São' || substr(cidade, 4) AS cidade, cidade_norm, mes, dormitorios, preco_m2,
+               CASE WHEN dormitorios = 'Total' AND date_part('month', mes) IN (7, 8) THEN NULL ELSE var_mensal END AS var_mensal,
+               var_12m
+        FROM long_f
+        WHERE date_part('month', mes) NOT IN (3, 11) AND NOT (dormitorios = '1D' AND date_part('month', mes) % 2 = 0)""",
+    "reconcile_written": f"""
+        SELECT tv_tipo_cliente AS lado, count(*) AS linhas_origem, count(*) AS linhas_fato,
+               round(CAST(sum(CAST(tv_valor_cliente AS DECIMAL(28, 10))) AS DOUBLE), 2) AS valor,
+               round(CAST(sum(CAST(tv_comissao_cliente AS DECIMAL(28, 10))) AS DOUBLE), 2) AS comissao
+        FROM ({_participants("lines_nn_f")}) GROUP BY tv_tipo_cliente""",
     "version_rules": f"""
         , merged AS (SELECT * FROM ({{MERGED}}) z)
         , planted AS (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from dimwright.functions import fold_key
 from dimwright.operators.dates import date_dimension
 from dimwright.operators.facts import (
+    BUYER,
+    SELLER,
     SaleDims,
     aggregate_fact,
     append_aggregate,
@@ -36,6 +39,8 @@ from dimwright.operators.quality import (
     check_versions,
     coverage,
     reconcile,
+    reconcile_counts,
+    side_measures,
 )
 from dimwright.operators.scd2 import scd2_extend, scd2_fill, scd2_initial, scd2_merge
 from dimwright.operators.surrogate import assign_surrogate_keys
@@ -160,6 +165,58 @@ def land_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "pages", "benchmark", "labels", "conversations", "embeddings",
+)
+
+
+@_query
+def land_text_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table landed and read back: rows, NULLs and a digest of each text
+    column. Tables with a column CSV cannot hold are landed as Parquet."""
+    out = fresh_path(spark, "bronze")
+    reports = []
+    for name in TABLES:
+        source = read(spark, sf_dir, name)
+        kinds = dict(source.dtypes)
+        fmt = "parquet" if any(k.startswith(("array", "map", "struct")) for k in kinds.values()) else "csv"
+        land_snapshot({name: source}, out, fmt)
+        back = read_landed(spark, f"{out}/{name}", source.schema, fmt)
+        texts = [c for c, k in kinds.items() if k == "string"]
+        columns = [
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.count("*").alias("n_rows"),
+                F.count(F.when(F.col(c).isNull(), 1)).alias("n_null"),
+                F.coalesce(
+                    F.sum(F.conv(F.substring(F.md5(F.col(c).cast("binary")), 1, 8), 16, 10).cast("decimal(20,0)")), F.lit(0)
+                ).cast("long").alias("digest"),
+            )
+            for c in texts
+        ] or [
+            F.struct(
+                F.lit("").alias("column_name"), F.count("*").alias("n_rows"),
+                F.lit(0).cast("long").alias("n_null"), F.lit(0).cast("long").alias("digest"),
+            )
+        ]
+        reports.append(back.agg(F.array(*columns).alias("r")).select(F.lit(name).alias("table_name"), F.inline("r")))
+    return reduce(DataFrame.unionByName, reports)
+
+
+@_query
+def market_subset_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Market rows of the cities of one region's properties, as published:
+    the rows of the other regions go."""
+    src = Source(spark, sf_dir)
+    dim, market = together(spark, lambda: _item_dim(src), lambda: _market_dim(src))
+    known = dim.filter(F.col("im_estado") == "ASIA")
+    out = fresh_path(spark, "gold")
+    publish_gold({"imovel_dimension": known, MARKET_TABLE: market}, out, fmt="csv")
+    back = read_landed(spark, f"{out}/{MARKET_TABLE}", market.schema, fmt="csv")
+    return back.select("mk_sk", *star.MARKET_KEY, "mk_preco_m2")
+
+
 @_query
 def market_subset_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market rows of cities where properties have been sold, as exported."""
@@ -196,6 +253,28 @@ def wide_to_long_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide_to_long(Source(spark, sf_dir).wide_sheet())
 
 
+@_query
+def wide_to_long_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sheet with accented names and cells that hold something else: dates
+    with trailing text, prices with a type suffix, words for numbers."""
+    sheet = Source(spark, sf_dir).wide_sheet()
+    month = F.month(F.col("c1").try_cast("date"))
+    faulty = (
+        sheet.withColumn("sheet", F.replace("sheet", F.lit("Sao "), F.lit("São ")))
+        .withColumn("c18", F.when(month % 2 == 0, F.concat("c18", F.lit("D"))).otherwise(F.col("c18")))
+        .withColumn("c7", F.when(month == 7, "Infinity").when(month == 8, "NaN").otherwise(F.col("c7")))
+        .withColumn("c19", F.when(month == 9, F.concat(F.lit(" "), "c19", F.lit(" "))).otherwise(F.col("c19")))
+        .withColumn(
+            "c1",
+            F.when(month == 3, F.concat("c1", F.lit(" total")))
+            .when(month == 5, F.concat("c1", F.lit(" 00:00:00")))
+            .when(month == 11, F.substring("c1", 1, 7))
+            .otherwise(F.col("c1")),
+        )
+    )
+    return wide_to_long(faulty)
+
+
 @_query
 def fold_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts folded; the fold is compared by digest and length."""
@@ -512,6 +591,20 @@ def reconcile_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(t["transvenda"], t["imoveltransacao"], fact, sales)
 
 
+@_query
+def reconcile_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and sums per role, taken while the fact is written, against the
+    rows the source calls for."""
+    src = Source(spark, sf_dir)
+    t = src.tables(many_items=True)
+    load = Lake(spark, fresh_path(spark, "lake")).begin()
+    fact = _participants(src, _dims(src), many_items=True)
+    taken = load.put(star.FACT, fact, **side_measures(BUYER), **side_measures(SELLER))
+    load.commit()
+    links = {BUYER: t["clientecompra"], SELLER: t["clientevende"]}
+    return reconcile_counts(t["transvenda"], t["imoveltransacao"], links, taken)
+
+
 @_query
 def coverage_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage(_view(Source(spark, sf_dir))[0])
