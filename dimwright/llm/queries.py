@@ -22,7 +22,7 @@ from dimwright.llm import (
     url_filter,
     vector_search,
 )
-from dimwright.llm.common import fold, store, table
+from dimwright.llm.common import fold, table
 
 # Fixed values of the query contract.
 URL_RULES = [
@@ -118,8 +118,7 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_toxic_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = store(training_labels(spark, sf_dir), "labelled")
-    found = toxicity.score_texts(table(spark, sf_dir, "documents"), labelled)
+    found = toxicity.score_texts(table(spark, sf_dir, "documents"), training_labels(spark, sf_dir))
     return found.select(
         "doc_id",
         (fold(F.col("doc_id"), 4) == 2).alias("held_out"),

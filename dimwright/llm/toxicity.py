@@ -1,22 +1,30 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and the first five and four letters of longer words. Every
-term of a labelled row enters the vectors with (1 + ln tf) * idf over all
-labelled rows; terms of no labelled row are left out. Labelled rows with the
-same vector form one entry that knows how many of them carry each label, so
-every labelled row that has a term is in the index and every text is searched.
-
-The index is cut into shards of about ``SHARD`` entries, each small enough to
-broadcast; their number grows with the labelled rows. A shard keeps its commonest terms as rows of a
-matrix, multiplied with many queries at once, and the others as lists. The
-scores of all entries are known before the nearest are chosen: maxima of
-blocks of scores tell which blocks can hold one of them, and those that can be
-among the nearest are computed again in double precision, which is exact. A
-text is searched once per task, and lists of neighbours are merged per text.
-
-Neighbours vote with weight 1 / (1.05 - cosine), smoothed by the base rate;
-``evidence`` names the closest ones. Texts without any term get the rate of
-labelled rows without any.
+The examples are at most ``EXAMPLES`` labelled rows, those with the least hash
+of id and text, so all of them where there are no more. Terms are words and
+the first five and four letters of longer words, kept if ``SHARE`` of the
+examples hold them: their number is bounded by the mean number of terms of an
+example over ``SHARE``, whatever the input. A term weighs (1 + ln tf) * idf *
+(1 + log-odds), where the log-odds compare its share in rows of label 1 with
+its share in the others and count only where they speak for label 1. Examples
+with the same vector form one entry that knows how many carry each label.
+
+The index is block-max inverted: entries lie in blocks of ``BLOCK`` similar
+ones, the postings of a term are cut by block, and the greatest weight of each
+term in each block is kept. A query adds up these maxima, which bounds every
+cosine of a block, scores blocks from the highest bound down, and stops where
+the bound cannot reach the k-th nearest row found. The cosines are exact.
+
+Neighbours vote with weight 1 / (1.05 - cosine), smoothed by the base rate.
+With ``CALIBRATED`` examples of each label at least, the vote is mapped to the
+share of label 1 among examples of such votes: every example is voted on by the
+others, and the map is the isotonic regression of their labels. With fewer the
+vote is the score. ``evidence`` names the closest examples. Texts without a
+kept term get the rate of examples without one.
+
+Every text is read once, whole, and scored where it lies, without a shuffle.
+The driver and each task hold the kept terms and the index, both bounded by
+``EXAMPLES`` and the kept terms.
 
 Defined results: NULL and empty texts have no terms. Ties at the k-th place go
 to the entry first in the index. Rows that share a doc_id are scored each for
@@ -29,22 +37,26 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from dimwright.llm.common import chunks, store
 
 NEIGHBOURS = 25
-SHARD, BLOCK = 1 << 13, 64
-COMMON = 24  # a term of one entry in so many is a row of the matrix
-QUERIES = 256  # searched at a time
+EXAMPLES = 4096  # labelled rows searched
+SHARE = 0.003  # of the examples must hold a term
+BLOCK = 64
+CALIBRATED = 30  # examples of each label that a map of votes needs
+REMEMBERED = 1 << 14  # texts of a task whose score is kept for their copies
 BAR = 0.3
+SLACK = 1e-5  # what single precision may take from a bound
 WORD = re.compile(r"[^\W\d_]{2,}")
 
+
 def term_counts(text: str | None) -> Counter[str]:
     """Words and their openings, each with how often it occurs."""
     words = Counter(WORD.findall(text.lower())) if text else Counter()
@@ -56,204 +68,166 @@ def term_counts(text: str | None) -> Counter[str]:
     return out
 
 
-def term_code(term: str) -> int:
-    """64-bit hash, the same in every task."""
-    return int.from_bytes(blake2b(term.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-
-
-def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term code, rows that hold it) per task: summed before the shuffle."""
-    held: Counter[str] = Counter()
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, rows that hold it, those of label 1) per task: summed before the shuffle."""
+    rows, good = Counter(), Counter()
 
     def flush() -> pa.RecordBatch:
-        codes = np.array([term_code(t) for t in held], dtype=np.uint64).view(np.int64)
-        rows = pa.RecordBatch.from_arrays(
-            [pa.array(codes), pa.array(held.values(), pa.int64())], names=["term", "n"]
+        out = pa.RecordBatch.from_arrays(
+            [
+                pa.array(rows.keys(), pa.string()),
+                pa.array(rows.values(), pa.int64()),
+                pa.array([good[t] for t in rows], pa.int64()),
+            ],
+            names=["term", "n", "pos"],
         )
-        held.clear()
-        return rows
+        rows.clear()
+        good.clear()
+        return out
 
     for batch in batches:
         for part in chunks(batch, "text"):
-            for text in part["text"].to_pylist():
-                held.update(term_counts(text).keys())
-            if len(held) > 400_000:
+            for text, toxic in zip(part["text"].to_pylist(), part["toxic"].to_pylist()):
+                terms = term_counts(text).keys()
+                rows.update(terms)
+                if toxic:
+                    good.update(terms)
+            if len(rows) > 400_000:
                 yield flush()
-    if held:
+    if rows:
         yield flush()
 
 
-Terms = tuple[np.ndarray, np.ndarray]
+Terms = dict[str, tuple[int, float]]
 
 
-def all_terms(labelled: DataFrame) -> tuple[Terms, float]:
-    """Every term of the labelled rows, as its code in rising order and its idf,
-    and the base rate."""
-    n = labelled.agg(F.count("*").alias("whole"), F.count(F.when(F.col("toxic") != 0, 1)).alias("pos")).first()
-    counts = labelled.select("text").mapInArrow(_terms, "term bigint, n bigint")
-    summed = counts.groupBy("term").agg(F.sum("n").alias("n")).toArrow()
-    codes = summed["term"].to_numpy().view(np.uint64)
-    order = np.argsort(codes)
-    idf = np.log1p(n["whole"] / summed["n"].to_numpy()[order]).astype("<f4")
-    return (codes[order], idf), n["pos"] / max(n["whole"], 1)
+def kept_terms(examples: DataFrame) -> tuple[Terms, int, int]:
+    """Number and weight of each kept term; rows and rows of label 1."""
+    n = examples.agg(F.count("*").alias("whole"), F.count(F.when(F.col("toxic") != 0, 1)).alias("pos")).first()
+    whole, pos = n["whole"], n["pos"]
+    counts = examples.select("text", "toxic").mapInArrow(_held, "term string, n bigint, pos bigint")
+    summed = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
+    kept = summed.filter(F.col("n") >= SHARE * whole).toArrow().sort_by("term")
+    rows, good = kept["n"].to_numpy().astype(float), kept["pos"].to_numpy().astype(float)
+    odds = np.log((good + 0.5) / (pos + 1)) - np.log((rows - good + 0.5) / (whole - pos + 1))
+    weight = np.log1p(whole / np.maximum(rows, 1)) * (1 + np.maximum(odds, 0))
+    return {t: (i, w) for i, (t, w) in enumerate(zip(kept["term"].to_pylist(), weight.tolist()))}, whole, pos
 
 
 def vector(text: str | None, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
-    """Unit vector over the terms, by term number."""
-    codes, idf = terms
-    counts = term_counts(text)
-    if not counts or not len(codes):
+    """Unit vector over the kept terms, by term number."""
+    found = [(terms[t], n) for t, n in term_counts(text).items() if t in terms]
+    if not found:
         return np.zeros(0, "<u4"), np.zeros(0, "<f4")
-    asked = np.array([term_code(t) for t in counts], dtype=np.uint64)
-    n = np.fromiter(counts.values(), np.float64, len(counts))
-    at = np.minimum(np.searchsorted(codes, asked), len(codes) - 1)
-    known = codes[at] == asked
-    order = np.argsort(at[known])
-    at, n = at[known][order], n[known][order]
-    weight = (1 + np.log(n)) * idf[at]
-    return at.astype("<u4"), (weight / max(np.sqrt(weight @ weight), 1e-30)).astype("<f4")
+    at = np.fromiter((i for (i, _), _ in found), "<u4", len(found))
+    weight = np.fromiter((w for (_, w), _ in found), np.float64, len(found))
+    weight *= 1 + np.log(np.fromiter((n for _, n in found), np.float64, len(found)))
+    order = np.argsort(at)
+    return at[order], (weight[order] / np.sqrt(weight @ weight)).astype("<f4")
 
 
 def _vectors(terms) -> Callable:
-    """Every column of a row, the text apart, with its vector: numbers and weights."""
+    """Examples with their vector in place of the text: numbers and weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = terms.value
         for batch in batches:
             for part in chunks(batch, "text"):
-                vectors = [vector(t, terms.value) for t in part["text"].to_pylist()]
-                names = [c for c in part.schema.names if c != "text"]
+                vectors = [vector(t, known) for t in part["text"].to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part[c] for c in names),
+                        part["doc_id"],
+                        part["toxic"],
                         pa.array([i.tobytes() for i, _ in vectors], pa.binary()),
                         pa.array([w.tobytes() for _, w in vectors], pa.binary()),
                     ],
-                    names=[*names, "ids", "weights"],
+                    names=["doc_id", "toxic", "ids", "weights"],
                 )
 
     return run
 
 
+def _similar(sketch: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """Rows in blocks of similar ones: halved along the direction they differ most in."""
+    if len(rows) <= BLOCK:
+        return [rows]
+    apart = sketch[rows] - sketch[rows].mean(axis=0)
+    axis = apart[np.argmax((apart * apart).sum(axis=1))]
+    for _ in range(8):
+        axis = apart.T @ (apart @ axis)
+        axis /= max(np.linalg.norm(axis), 1e-30)
+    order = rows[np.argsort(apart @ axis, kind="stable")]
+    half = -(-len(rows) // (2 * BLOCK)) * BLOCK  # whole blocks on the left
+    return _similar(sketch, order[:half]) + _similar(sketch, order[half:])
+
+
 class BlockMaxIndex:
-    """Index of a shard: a matrix of the common terms, lists of the others.
-    The nearest entries are chosen by the maxima of blocks of scores."""
+    """Postings by term, cut by block, with the greatest weight of each cut."""
 
     def __init__(self, entries: list[tuple[bytes, bytes, int, int, int]]):
         entries = sorted(entries)
-        self.size = len(entries)
-        self.votes = np.array([e[2:4] for e in entries], dtype=np.float64).reshape(-1, 2)
-        self.example = [e[4] for e in entries]
-        terms = [np.frombuffer(e[0], "<u4") for e in entries]
-        self.start = np.concatenate([[0], np.cumsum([len(t) for t in terms])]).astype(np.int64)
-        term = np.concatenate(terms) if terms else np.zeros(0, np.uint32)
-        self.weight = np.concatenate([np.frombuffer(e[1], "<f4") for e in entries]) if terms else np.zeros(0, np.float32)
-        self.names, self.term = np.unique(term, return_inverse=True)
-        self.term = self.term.astype(np.int32)
-        entry = np.repeat(np.arange(self.size, dtype=np.int32), np.diff(self.start))
-        count = np.bincount(self.term, minlength=len(self.names))
-        # each common term has its row in the matrix, -1 stands for the others
-        common = np.flatnonzero(count * COMMON > self.size)
-        self.row = np.full(len(self.names), -1, np.int32)
-        self.row[common] = np.arange(len(common))
-        self.matrix = np.zeros((len(common), self.size), np.float32)
-        dense = self.row[self.term] >= 0
-        self.matrix[self.row[self.term[dense]], entry[dense]] = self.weight[dense]
-        order = np.argsort(self.term[~dense], kind="stable")
-        self.list_entry, self.list_weight = entry[~dense][order], self.weight[~dense][order]
-        count[common] = 0
-        self.cut = np.concatenate([[0], np.cumsum(count)])
-        self.asked = np.zeros(len(self.names))  # the query's weights, zero between searches
+        self.size, self.scored = len(entries), 0  # blocks scored so far
+        ids = [np.frombuffer(e[0], "<u4").astype(np.int64) for e in entries]
+        entry = np.repeat(np.arange(self.size), [len(i) for i in ids])
+        term = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        weight = np.concatenate([np.frombuffer(e[1], "<f4") for e in entries]) if ids else np.zeros(0, np.float32)
+        # similar entries side by side, by a sketch that adds terms into 128 signed places
+        spread = (term * 0x9E3779B1) >> 7
+        sign = np.where((spread >> 8) & 1, 1.0, -1.0)
+        sketch = np.bincount(entry * 128 + spread % 128, weight * sign, minlength=self.size * 128)
+        place = np.concatenate(_similar(sketch.reshape(-1, 128), np.arange(self.size))).astype(np.int64)
+        self.votes = np.array([entries[i][2:4] for i in place], dtype=np.float64).reshape(-1, 2)
+        self.example = [entries[i][4] for i in place]
+        moved = np.zeros(self.size, np.int64)
+        moved[place] = np.arange(self.size)
+        entry = moved[entry]
+        self.blocks = -(-self.size // BLOCK)
+        self.terms = int(term.max()) + 1 if len(term) else 0
+        order = np.lexsort((entry, term))
+        self.entry, self.weight = entry[order].astype(np.int32), weight[order]
+        cell = term[order] * self.blocks + self.entry // BLOCK
+        held = np.bincount(cell, minlength=self.terms * self.blocks)
+        self.cut = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
+        greatest = np.zeros(self.terms * self.blocks, np.float32)
+        np.maximum.at(greatest, cell, self.weight)
+        self.greatest = greatest.reshape(self.terms, self.blocks)
+
+    def _add(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Cosines of the entries of some blocks; zero elsewhere."""
+        cell = (ids[:, None] * self.blocks + blocks).ravel()
+        first = self.cut[cell]
+        length = self.cut[cell + 1] - first
+        of = np.repeat(weights, len(blocks))
+        some = np.flatnonzero(length)
+        first, length, of = first[some], length[some], of[some]
+        place = np.arange(int(length.sum())) + np.repeat(first - (np.cumsum(length) - length), length)
+        return np.bincount(self.entry[place], self.weight[place] * np.repeat(of, length), minlength=self.size)
 
     def search(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the nearest k rows (an entry counts as many)."""
-        return self.search_all([(ids, weights)], k)[0]
-
-    def search_all(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """The same for many queries."""
-        if not self.size:
-            return [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries]
-        local = []
-        dense = np.zeros((len(queries), len(self.matrix)), np.float32)
-        for i, (ids, weights) in enumerate(queries):
-            at = np.minimum(np.searchsorted(self.names, ids), max(len(self.names) - 1, 0))
-            known = self.names[at] == ids
-            at, w = at[known], np.asarray(weights, np.float64)[known]
-            rows = self.row[at]
-            dense[i, rows[rows >= 0]] = w[rows >= 0]
-            local.append((at, w))
-        scores = dense @ self.matrix
-        return [self._nearest(at, w, score, k) for (at, w), score in zip(local, scores)]
-
-    def _nearest(self, at: np.ndarray, w: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        first, length = self.cut[at], self.cut[at + 1] - self.cut[at]
-        whole = int(length.sum())
-        if whole:
-            place = np.arange(whole) + np.repeat(first - (np.cumsum(length) - length), length)
-            score = score + np.bincount(
-                self.list_entry[place], self.list_weight[place] * np.repeat(w, length), minlength=self.size
-            )
-        # any k entries hold k rows at least; what single precision may hide stays in
-        most = np.maximum.reduceat(score, np.arange(0, self.size, BLOCK))
-        low = np.partition(most, -k)[-k] if len(most) > k else -1.0
-        near = np.flatnonzero(np.repeat(most >= low - 1e-4, BLOCK)[: self.size])
-        if len(near) > k:
-            low = np.partition(score[near], -k)[-k]
-            near = near[score[near] >= low - 1e-4]
-        near = near[score[near] > 0]
-        if not len(near):
+        ids = np.asarray(ids, np.int64)
+        known = ids < self.terms
+        ids, weights = ids[known], np.asarray(weights, np.float64)[known]
+        if not len(ids):
             return np.zeros(0, np.int64), np.zeros(0)
-        self.asked[at] = w
-        length = self.start[near + 1] - self.start[near]
-        begin = np.cumsum(length) - length
-        place = np.arange(int(length.sum())) + np.repeat(self.start[near] - begin, length)
-        cosine = np.add.reduceat(self.weight[place] * self.asked[self.term[place]], begin)
-        self.asked[at] = 0.0
-        order = np.lexsort((near, -np.round(cosine, 6)))
+        bound = weights.astype(np.float32) @ self.greatest[ids] + SLACK
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > SLACK]
+        score, low, at, step = np.zeros(self.size), 0.0, 0, 2
+        while at < len(order) and bound[order[at]] >= low:
+            blocks = order[at : at + step]
+            blocks = blocks[bound[blocks] >= low]
+            score += self._add(ids, weights, blocks)
+            self.scored += len(blocks)
+            at, step = at + step, step * 2
+            # any k entries hold k rows at least
+            if self.size > k:
+                low = np.partition(score, -k)[-k]
+        near = np.flatnonzero((score > 0) & (score >= low - 1e-6))
+        order = np.lexsort((near, -np.round(score[near], 6)))
         upto = np.cumsum(self.votes[near[order]].sum(axis=1))
-        order = order[: int(np.searchsorted(upto, k)) + 1]
-        return near[order], cosine[order]
-
-
-NEAR = pa.list_(
-    pa.struct([("cosine", pa.float64()), ("pos", pa.int64()), ("neg", pa.int64()), ("example", pa.int64())])
-)
-
-
-def _search(terms, index, number: int, k: int) -> Callable:
-    """(text's key, shard, neighbours in it); neighbours are NULL for a text without any term."""
-
-    def found(shard: BlockMaxIndex, keys: list, queries: list) -> pa.RecordBatch:
-        out = [
-            [
-                {"cosine": min(float(x), 1.0), "pos": int(p), "neg": int(n), "example": shard.example[j]}
-                for j, x, (n, p) in zip(e.tolist(), c, shard.votes[e])
-            ]
-            if len(ids)
-            else None
-            for (ids, _), (e, c) in zip(queries, shard.search_all(queries, k))
-        ]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.binary()), pa.array([number] * len(keys), pa.int32()), pa.array(out, NEAR)],
-            names=["key", "shard", "near"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, seen, keys, queries = BlockMaxIndex(index.value), set(), [], []
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                for key, text in zip(part["key"].to_pylist(), part["text"].to_pylist()):
-                    if key in seen:  # a copy
-                        continue
-                    seen.add(key)
-                    keys.append(key)
-                    queries.append(vector(text, terms.value))
-                    if len(keys) == QUERIES:
-                        yield found(shard, keys, queries)
-                        keys, queries = [], []
-        if keys:
-            yield found(shard, keys, queries)
-
-    return run
+        near = near[order[: int(np.searchsorted(upto, k)) + 1]]
+        return near, score[near]
 
 
 def vote(near: list[tuple[float, int, int]], rate: float, k: int) -> float:
@@ -272,81 +246,141 @@ def vote(near: list[tuple[float, int, int]], rate: float, k: int) -> float:
     return good / total
 
 
-def _votes(rate: float, without: float, k: int) -> Callable:
+def _neighbours(index: BlockMaxIndex, ids: np.ndarray, weights: np.ndarray, k: int) -> list[tuple]:
+    """(cosine, rows of label 1, rows of label 0, example) of the nearest entries."""
+    found, cosine = index.search(ids, weights, k)
+    return [
+        (min(c, 1.0), pos, neg, index.example[e])
+        for e, c, (neg, pos) in zip(found.tolist(), cosine.tolist(), index.votes[found].tolist())
+    ]
+
+
+def _votes_of_others(index, rate: float, k: int) -> Callable:
+    """(vote, toxic) of every example, from the other examples."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = index.value
         for batch in batches:
-            scores, evidence = [], []
-            for found in batch["found"].to_pylist():
-                shards = {f["shard"]: f["near"] for f in found}  # once each, however many tasks searched the text
-                if None in shards.values():
-                    scores.append(without)
-                    evidence.append([])
-                    continue
-                near = sorted((n for s in shards.values() for n in s), key=lambda n: (-round(n["cosine"], 6), n["example"]))
-                scores.append(vote([(n["cosine"], n["pos"], n["neg"]) for n in near], rate, k))
-                evidence.append([n["example"] for n in near[:3]])
-            yield pa.RecordBatch.from_arrays(
-                [batch["key"], pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))],
-                names=["key", "score", "evidence"],
-            )
+            votes = []
+            for i, w, toxic in zip(*(batch[c].to_pylist() for c in ("ids", "weights", "toxic"))):
+                near = _neighbours(built, np.frombuffer(i, "<u4"), np.frombuffer(w, "<f4"), k + 1)
+                own, others = True, []
+                for cosine, pos, neg, example in near:
+                    if own and cosine > 1 - 1e-6 and (pos if toxic else neg):
+                        own, pos, neg = False, pos - (toxic != 0), neg - (toxic == 0)
+                    if pos + neg:
+                        others.append((cosine, pos, neg))
+                votes.append(vote(others, rate, k))
+            yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), batch["toxic"]], names=["vote", "toxic"])
 
     return run
 
 
-def text_key(text: str) -> Column:
-    """16 bytes that stand for a text; NULL reads as empty."""
-    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+def isotonic(votes: np.ndarray, good: np.ndarray, rows: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rising map from votes to shares of label 1, by pooling neighbours that
+    fall; a pool counts one more row of the base rate."""
+    pools: list[list[float]] = []  # sum of votes, label 1, rows
+    for i in np.argsort(votes, kind="stable"):
+        pools.append([votes[i] * rows[i], good[i], rows[i]])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
+            last = pools.pop()
+            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
+    total, label, count = np.array(pools, dtype=float).reshape(-1, 3).T
+    return total / count, np.maximum.accumulate((label + rate) / (count + 1))
+
+
+def _score(terms, index, rate: float, without: float, shares, k: int, out: list[str]) -> Callable:
+    """The columns ``out`` of every row with score and evidence."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, built, seen = terms.value, index.value, {}
+
+        def judged(text: str | None) -> tuple[float, list[int]]:
+            ids, weights = vector(text, known)
+            if not len(ids):
+                return without, []
+            near = _neighbours(built, ids, weights, k)
+            raw = vote([n[:3] for n in near], rate, k)
+            return (raw if shares is None else float(np.interp(raw, *shares))), [n[3] for n in near[:3]]
+
+        for batch in batches:
+            for part in chunks(batch, "_text"):
+                found = []
+                for text in part["_text"].to_pylist():
+                    key = hash(text)
+                    if key not in seen or seen[key][0] != text:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        if text is None or len(text) < 4096:
+                            seen[key] = (text, judged(text))
+                        else:
+                            found.append(judged(text))
+                            continue
+                    found.append(seen[key][1])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part[c] for c in out),
+                        pa.array([f[0] for f in found], pa.float64()),
+                        pa.array([f[1] for f in found], pa.list_(pa.int64())),
+                    ],
+                    names=[*out, "score", "evidence"],
+                )
+
+    return run
 
 
 class Scorer:
-    """Judged texts of a table, by key."""
-
-    def __init__(self, docs: DataFrame, text: str, labelled: DataFrame, k: int = NEIGHBOURS):
-        context = docs.sparkSession.sparkContext
-        known = labelled.filter(F.col("toxic").isNotNull())
-        terms, rate = all_terms(known)
-        terms = context.broadcast(terms)  # 12 bytes a term of the labelled rows
-        examples = known.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic"))
-        entries = store(
-            examples.mapInArrow(_vectors(terms), "doc_id bigint, toxic int, ids binary, weights binary")
-            .groupBy("ids", "weights")
-            .agg(
-                F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("neg"),
-                F.sum(F.when(F.col("toxic") != 0, 1).otherwise(0)).alias("pos"),
-                F.min("doc_id").alias("example"),
-            ),
-            "toxic-entries",
+    """Examples, index and map, fitted on labelled rows (doc_id, text, toxic)."""
+
+    def __init__(self, labelled: DataFrame, k: int = NEIGHBOURS):
+        context = labelled.sparkSession.sparkContext
+        known = labelled.filter(F.col("toxic").isNotNull()).select(
+            F.col("doc_id").cast("bigint").alias("doc_id"),
+            "text",
+            F.col("toxic").cast("int").alias("toxic"),
+            F.xxhash64("doc_id", "text").alias("place"),
+        )
+        # the EXAMPLES-th hash; rows of one id and text share theirs and end in one entry
+        last = known.select("place").distinct().orderBy("place").limit(EXAMPLES).agg(F.max("place")).first()[0]
+        examples = store(known.filter(F.col("place") <= F.lit(last)).drop("place"), "toxic-examples")
+        terms, rows, pos = kept_terms(examples)
+        self.terms = context.broadcast(terms)
+        vectors = store(
+            examples.mapInArrow(_vectors(self.terms), "doc_id bigint, toxic int, ids binary, weights binary"),
+            "toxic-vectors",
+        )
+        label = [F.count(F.when(x, 1)).alias(name) for x, name in ((F.col("toxic") == 0, "neg"), (F.col("toxic") != 0, "pos"))]
+        entries = vectors.groupBy("ids", "weights").agg(*label, F.min("doc_id").alias("example")).toArrow().to_pylist()
+        bare = [e for e in entries if not e["ids"]]
+        bare_pos, bare_neg = sum(e["pos"] for e in bare), sum(e["neg"] for e in bare)
+        self.k, self.rate = k, pos / max(rows, 1)
+        self.without = bare_pos / max(bare_pos + bare_neg, 1)
+        self.index = context.broadcast(
+            BlockMaxIndex([(e["ids"], e["weights"], e["neg"], e["pos"], e["example"] or 0) for e in entries if e["ids"]])
         )
-        bare = entries.filter(F.length("ids") == 0).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-        without = (bare["p"] or 0) / max((bare["p"] or 0) + (bare["n"] or 0), 1)
-        queries = docs.select(text_key(text).alias("key"), F.col(text).alias("text"))
-        if queries.rdd.getNumPartitions() < context.defaultParallelism:
-            queries = queries.repartition(context.defaultParallelism)
-
-        indexed = entries.filter(F.length("ids") > 0)
-        shards = max(1, -(-indexed.count() // SHARD))
-        schema = "key binary, shard int, near array<struct<cosine: double, pos: bigint, neg: bigint, example: bigint>>"
-        partial = None
-        for number in range(shards):
-            # hash shards: about SHARD entries each, an entry of at most a text's terms
-            own = indexed.filter(F.pmod(F.xxhash64("ids", "weights"), F.lit(shards)) == number).collect()
-            index = context.broadcast([(r["ids"], r["weights"], r["neg"], r["pos"], r["example"] or 0) for r in own])
-            found = store(queries.mapInArrow(_search(terms, index, number, k), schema), "toxic-neighbours")
-            index.destroy()
-            partial = found if partial is None else partial.unionByName(found)
-        gathered = partial.groupBy("key").agg(F.collect_list(F.struct("shard", "near")).alias("found"))
-        judged = gathered.mapInArrow(_votes(rate, without, k), "key binary, score double, evidence array<bigint>")
-        self.judged = store(judged, "toxic-scores").withColumnRenamed("key", "_key")
+        self.shares = None
+        if min(pos, rows - pos) >= CALIBRATED:
+            others = vectors.filter(F.length("ids") > 0).mapInArrow(
+                _votes_of_others(self.index, self.rate, k), "vote double, toxic int"
+            )
+            seen = others.groupBy("vote").agg(*label).toArrow()
+            votes, good, bad = (seen[c].to_numpy().astype(float) for c in ("vote", "pos", "neg"))
+            if len(votes):
+                self.shares = isotonic(votes, good, good + bad, self.rate)
+
+    def _scored(self, rows: DataFrame, out: list[str]) -> DataFrame:
+        schema = StructType([rows.schema[c] for c in out]).add("score", "double").add("evidence", ArrayType(LongType()))
+        run = _score(self.terms, self.index, self.rate, self.without, self.shares, self.k, out)
+        return rows.mapInArrow(run, schema)
 
     def rows(self, docs: DataFrame, text: str) -> DataFrame:
         """(row, score, evidence) for the rows of ``docs`` as structs."""
-        packed = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), text_key(text).alias("_key"))
-        return packed.join(self.judged, "_key").select("row", "score", "evidence")
+        packed = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+        return self._scored(docs.select(packed, F.col(text).alias("_text")), ["row"])
 
 
 def score_texts(docs: DataFrame, labelled: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     """(doc_id, score, evidence) for every row of ``docs`` (doc_id, text), from
     ``labelled`` rows (doc_id, text, toxic)."""
-    scorer = Scorer(docs, "text", labelled, k)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key("text").alias("_key"))
-    return rows.join(scorer.judged, "_key").select("doc_id", "score", "evidence")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("_text"))
+    return Scorer(labelled, k)._scored(rows, ["doc_id"])

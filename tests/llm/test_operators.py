@@ -186,31 +186,114 @@ def test_toxicity_searches_texts_without_telling_words(spark):
     assert got[2].score < 0.1 and list(got[2].evidence) == [40]
 
 
-def test_toxicity_equals_brute_force_over_shards(spark, monkeypatch):
-    draw = np.random.default_rng(5)
-    names = [a + b + c for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
-    texts = [" ".join(draw.choice(names, size=draw.integers(2, 30))) for _ in range(150)]
-    rows = [(i, t, int(i % 5 == 0)) for i, t in enumerate(texts[:100])]
-    vectors, df = [], Counter()
-    for t in texts:
-        vectors.append(toxicity.term_counts(t))
-    for v in vectors[:100]:
+def _toxic_brute_force(texts, labels, asked, k):
+    """Votes by comparing everything with everything, and nearest examples' places."""
+    share = lambda n, m: (n + 0.5) / (m + 1)
+    held = [toxicity.term_counts(t) for t in texts]
+    n, pos = len(texts), sum(labels)
+    df, good = Counter(), Counter()
+    for v, y in zip(held, labels):
         df.update(v.keys())
-    vectors = [{t: (1 + math.log(n)) * math.log(1 + 100 / df[t]) for t, n in v.items() if t in df} for v in vectors]
-    norm = [math.sqrt(sum(w * w for w in v.values())) for v in vectors]
-    monkeypatch.setattr(toxicity, "SHARD", 30)
+        good.update(v.keys() if y else ())
+    weight = {
+        t: math.log(1 + n / c) * (1 + max(math.log(share(good[t], pos)) - math.log(share(c - good[t], n - pos)), 0))
+        for t, c in df.items()
+    }
+    vec = lambda c: {t: (1 + math.log(x)) * weight[t] for t, x in c.items() if t in weight}
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    base = [vec(c) for c in held]
+    out = []
+    for text in asked:
+        v = vec(toxicity.term_counts(text))
+        near = sorted(
+            (-sum(w * u.get(t, 0.0) for t, w in v.items()) / norm(v) / norm(u), y) for u, y in zip(base, labels)
+        )[:k]
+        votes = [(1 / (1.05 + c), y) for c, y in near if c < 0]
+        out.append((pos / n + sum(w for w, y in votes if y)) / (1 + sum(w for w, _ in votes)))
+    return out
+
+
+def _drawn_texts(n, seed=5):
+    draw = np.random.default_rng(seed)
+    names = [a + b + c for a in "bcdfg" for b in "aeiou" for c in "klmnp"]
+    return [" ".join(draw.choice(names, size=draw.integers(2, 30))) for _ in range(n)]
+
+
+def test_toxicity_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    texts = _drawn_texts(150)
+    labels = [int(i % 5 == 0) for i in range(100)]
+    rows = list(zip(range(100), texts, labels))
     labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
     asked = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: r.score for r in toxicity.score_texts(asked, labelled, k=7).collect()}
-    for i, v in enumerate(vectors):
-        near = sorted(
-            (-sum(w * u.get(t, 0.0) for t, w in v.items()) / norm[i] / norm[j], j % 5 == 0) for j, u in enumerate(vectors[:100])
-        )[:7]
-        votes = [(1 / (1.05 + c), p) for c, p in near if c < 0]
-        want = (0.2 + sum(w for w, p in votes if p)) / (1 + sum(w for w, _ in votes))
+    for i, want in enumerate(_toxic_brute_force(texts[:100], labels, texts, 7)):
         assert got[i] == pytest.approx(want, abs=1e-4)
 
 
+def test_block_max_search_skips_blocks():
+    draw = np.random.default_rng(4)
+    entries = []
+    for i in range(1024):  # eight kinds of texts with few terms in common
+        ids = np.unique(np.append(draw.choice(40, size=12) + 40 * (i % 8), 320)).astype("<u4")
+        w = np.ones(len(ids), "<f4")
+        entries.append((ids.tobytes(), (w / np.linalg.norm(w)).astype("<f4").tobytes(), 1, 0, i))
+    index = toxicity.BlockMaxIndex(entries)
+    dense = np.zeros((1024, 321))
+    for row, e in zip(dense, entries):
+        row[np.frombuffer(e[0], "<u4")] = np.frombuffer(e[1], "<f4")
+    for q in range(0, 1024, 16):
+        found, cosines = index.search(np.flatnonzero(dense[q]), dense[q][dense[q] > 0], 10)
+        assert np.allclose(cosines, np.sort(dense @ dense[q])[::-1][:10], atol=1e-5)
+        assert np.allclose(dense[[index.example[e] for e in found]] @ dense[q], cosines, atol=1e-5)
+    assert index.scored < 0.3 * 64 * index.blocks
+
+
+def test_toxicity_is_calibrated(spark):
+    # a third of the rows that hold telling words carry label 1, none of the others
+    texts = _drawn_texts(400, 8)
+    rows = [(i, t + (" scum trash moron" * 9 if i % 2 else ""), int(i % 6 == 1)) for i, t in enumerate(texts)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    asked = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id bigint, text string")
+    scorer = toxicity.Scorer(labelled)
+    votes, shares = scorer.shares
+    assert all(a <= b for a, b in zip(shares, shares[1:])) and all(a < b for a, b in zip(votes, votes[1:]))
+    got = {r.row.doc_id: r.score for r in scorer.rows(asked, "text").collect()}
+    telling = np.mean([got[i] for i in range(1, 400, 2)])
+    assert 0.2 < telling < 0.45 and np.mean([got[i] for i in range(0, 400, 2)]) < 0.05
+
+
+def test_isotonic_pools_falling_neighbours():
+    x, y = toxicity.isotonic(np.array([0.1, 0.2, 0.3, 0.4]), np.array([0.0, 2, 1, 4]), np.array([4.0, 4, 4, 4]), 0.0)
+    assert np.allclose(x, [0.1, 0.25, 0.4]) and np.allclose(y, [0, 3 / 9, 4 / 5])
+
+
+def test_toxicity_examples_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "EXAMPLES", 40)
+    texts = _drawn_texts(120)
+    rows = [(i, t, int(i % 3 == 0)) for i, t in enumerate(texts)] * 2  # each row twice: one entry of two
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    scorer = toxicity.Scorer(labelled)
+    assert scorer.index.value.size == 40 and scorer.index.value.votes.sum() == 80
+
+
+def test_toxicity_rows_of_any_shape(spark):
+    rows = [(i, f"{'vile' if i % 2 else 'kind'} words here", i % 2) for i in range(20)] + [(99, None, 0), (100, "", 1)]
+    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    scorer = toxicity.Scorer(labelled)
+    asked = spark.createDataFrame(
+        [(1, "vile", 7, "x"), (1, "vile", 7, "x"), (None, "kind " * 200_000, None, None), (2, None, 1, "y"), (3, "", 1, "z")],
+        "doc_id bigint, text string, score int, evidence string",
+    )
+    got = scorer.rows(asked, "text").collect()
+    assert len(got) == 5
+    by = {(r.row.doc_id, r.row.score): r for r in got}
+    assert by[1, 7].score > 0.5 and by[1, 7].row.evidence == "x"
+    assert by[None, None].score < 0.5 and len(by[None, None].row.text) == 1_000_000
+    assert by[2, 1].score == by[3, 1].score == 0.5 and list(by[3, 1].evidence) == []
+    assert scorer.rows(asked.limit(0), "text").collect() == []
+
+
 def test_leaks_with_other_numbers(spark):
     item = "A train leaves Paris at 9 o'clock with 120 people and meets another train of 120 people near the old bridge."
     copy = item.replace("120", "340").replace("9 o", "7 o")
