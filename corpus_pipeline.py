@@ -23,7 +23,7 @@ from dimwright.llm.queries import public_model, training_labels
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score stays under the bar."""
-    scorer = toxicity.Scorer(docs, "text", store(training_labels(spark, sf_dir), "labelled"))
+    scorer = toxicity.Scorer(training_labels(spark, sf_dir))
     return scorer.rows(docs, "text").filter(F.col("score") < toxicity.BAR).select("row.*")
 
 
