@@ -1,13 +1,15 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 The examples are at most ``EXAMPLES`` labelled rows, those with the least hash
-of id and text, so all of them where there are no more. Terms are words and
-the first five and four letters of longer words, kept if ``SHARE`` of the
-examples hold them: their number is bounded by the mean number of terms of an
-example over ``SHARE``, whatever the input. A term weighs (1 + ln tf) * idf *
-(1 + log-odds), where the log-odds compare its share in rows of label 1 with
-its share in the others and count only where they speak for label 1. Examples
-with the same vector form one entry that knows how many carry each label.
+of the id, then of the text, so all of them where there are no more; rows equal
+in both count as one. Terms are words and the first five and four letters of
+longer words, kept if ``SHARE`` of the examples hold them: their number is
+bounded by the mean number of terms of an example over ``SHARE``, whatever the
+input. A term weighs (1 + ln tf) * idf * (1 + log-odds), where the log-odds
+compare its share in rows of label 1 with its share in the others and count only
+where they speak for label 1. Terms of more than ``COMMON`` of the examples, and
+more than ten of them, are stop words unless their log-odds exceed ``TELLING``.
+Examples with the same vector form one entry that knows how many carry each label.
 
 The index is block-max inverted: entries lie in blocks of ``BLOCK`` similar
 ones, the postings of a term are cut by block, and the greatest weight of each
@@ -47,8 +49,9 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 from dimwright.llm.common import chunks, store
 
 NEIGHBOURS = 25
-EXAMPLES = 4096  # labelled rows searched
+EXAMPLES = 3072  # labelled rows searched
 SHARE = 0.003  # of the examples must hold a term
+COMMON, TELLING = 0.1, 0.5  # share beyond which a term is a stop word, log-odds that keep it
 BLOCK = 64
 CALIBRATED = 30  # examples of each label that a map of votes needs
 REMEMBERED = 1 << 14  # texts of a task whose score is kept for their copies
@@ -111,7 +114,9 @@ def kept_terms(examples: DataFrame) -> tuple[Terms, int, int]:
     rows, good = kept["n"].to_numpy().astype(float), kept["pos"].to_numpy().astype(float)
     odds = np.log((good + 0.5) / (pos + 1)) - np.log((rows - good + 0.5) / (whole - pos + 1))
     weight = np.log1p(whole / np.maximum(rows, 1)) * (1 + np.maximum(odds, 0))
-    return {t: (i, w) for i, (t, w) in enumerate(zip(kept["term"].to_pylist(), weight.tolist()))}, whole, pos
+    used = np.flatnonzero((rows <= max(COMMON * whole, 10)) | (odds > TELLING))
+    names = kept["term"].take(used).to_pylist()
+    return {t: (i, w) for i, (t, w) in enumerate(zip(names, weight[used].tolist()))}, whole, pos
 
 
 def vector(text: str | None, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +167,7 @@ def _similar(sketch: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
 
 
 class BlockMaxIndex:
-    """Postings by term, cut by block, with the greatest weight of each cut."""
+    """Postings by term, cut by block, with the number and the greatest weight in each cut."""
 
     def __init__(self, entries: list[tuple[bytes, bytes, int, int, int]]):
         entries = sorted(entries)
@@ -187,7 +192,7 @@ class BlockMaxIndex:
         self.entry, self.weight = entry[order].astype(np.int32), weight[order]
         cell = term[order] * self.blocks + self.entry // BLOCK
         held = np.bincount(cell, minlength=self.terms * self.blocks)
-        self.cut = np.concatenate([[0], np.cumsum(held)]).astype(np.int32)
+        self.held, self.cut = held.astype(np.uint8), (np.cumsum(held) - held).astype(np.int32)
         greatest = np.zeros(self.terms * self.blocks, np.float32)
         np.maximum.at(greatest, cell, self.weight)
         self.greatest = greatest.reshape(self.terms, self.blocks)
@@ -195,13 +200,14 @@ class BlockMaxIndex:
     def _add(self, ids: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> np.ndarray:
         """Cosines of the entries of some blocks; zero elsewhere."""
         cell = (ids[:, None] * self.blocks + blocks).ravel()
-        first = self.cut[cell]
-        length = self.cut[cell + 1] - first
-        of = np.repeat(weights, len(blocks))
-        some = np.flatnonzero(length)
-        first, length, of = first[some], length[some], of[some]
-        place = np.arange(int(length.sum())) + np.repeat(first - (np.cumsum(length) - length), length)
-        return np.bincount(self.entry[place], self.weight[place] * np.repeat(of, length), minlength=self.size)
+        some = np.flatnonzero(self.held[cell])
+        length = self.held[cell[some]].astype(np.int64)
+        end = np.cumsum(length)
+        place = np.repeat(self.cut[cell[some]] - end + length, length)
+        place += np.arange(len(place))
+        of = np.repeat(weights[some // len(blocks)], length)
+        of *= self.weight[place]
+        return np.bincount(self.entry[place], of, minlength=self.size)
 
     def search(self, ids: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines of the nearest k rows (an entry counts as many)."""
@@ -213,13 +219,13 @@ class BlockMaxIndex:
         bound = weights.astype(np.float32) @ self.greatest[ids] + SLACK
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > SLACK]
-        score, low, at, step = np.zeros(self.size), 0.0, 0, 2
+        score, low, at, step = np.zeros(self.size), 0.0, 0, 4
         while at < len(order) and bound[order[at]] >= low:
             blocks = order[at : at + step]
             blocks = blocks[bound[blocks] >= low]
             score += self._add(ids, weights, blocks)
             self.scored += len(blocks)
-            at, step = at + step, step * 2
+            at, step = at + step, step * 3
             # any k entries hold k rows at least
             if self.size > k:
                 low = np.partition(score, -k)[-k]
@@ -338,11 +344,16 @@ class Scorer:
             F.col("doc_id").cast("bigint").alias("doc_id"),
             "text",
             F.col("toxic").cast("int").alias("toxic"),
-            F.xxhash64("doc_id", "text").alias("place"),
+            F.xxhash64("doc_id").alias("place"),
         )
-        # the EXAMPLES-th hash; rows of one id and text share theirs and end in one entry
+        # up to the EXAMPLES-th hash of an id, so that other texts stay unread; where rows share
+        # ids, up to the EXAMPLES-th hash of id and text
         last = known.select("place").distinct().orderBy("place").limit(EXAMPLES).agg(F.max("place")).first()[0]
-        examples = store(known.filter(F.col("place") <= F.lit(last)).drop("place"), "toxic-examples")
+        named = store(known.filter(F.col("place") <= F.lit(last)), "toxic-examples")
+        named = named.withColumn("place", F.struct("place", F.xxhash64("text").alias("body")))
+        last = named.select("place").distinct().orderBy("place").limit(EXAMPLES).agg(F.max("place").alias("p")).first()["p"]
+        at = last or {"place": None, "body": None}
+        examples = named.filter(F.col("place") <= F.struct(F.lit(at["place"]).alias("place"), F.lit(at["body"]).alias("body")))
         terms, rows, pos = kept_terms(examples)
         self.terms = context.broadcast(terms)
         vectors = store(

@@ -198,6 +198,7 @@ def _toxic_brute_force(texts, labels, asked, k):
     weight = {
         t: math.log(1 + n / c) * (1 + max(math.log(share(good[t], pos)) - math.log(share(c - good[t], n - pos)), 0))
         for t, c in df.items()
+        if c <= max(n / 10, 10) or share(good[t], pos) > share(c - good[t], n - pos) * math.exp(0.5)
     }
     vec = lambda c: {t: (1 + math.log(x)) * weight[t] for t, x in c.items() if t in weight}
     norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
@@ -205,8 +206,12 @@ def _toxic_brute_force(texts, labels, asked, k):
     out = []
     for text in asked:
         v = vec(toxicity.term_counts(text))
+        if not v:
+            bare = [y for u, y in zip(base, labels) if not u]
+            out.append(sum(bare) / max(len(bare), 1))
+            continue
         near = sorted(
-            (-sum(w * u.get(t, 0.0) for t, w in v.items()) / norm(v) / norm(u), y) for u, y in zip(base, labels)
+            (-sum(w * u.get(t, 0.0) for t, w in v.items()) / norm(v) / norm(u), y) for u, y in zip(base, labels) if u
         )[:k]
         votes = [(1 / (1.05 + c), y) for c, y in near if c < 0]
         out.append((pos / n + sum(w for w, y in votes if y)) / (1 + sum(w for w, _ in votes)))
@@ -271,10 +276,10 @@ def test_isotonic_pools_falling_neighbours():
 def test_toxicity_examples_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "EXAMPLES", 40)
     texts = _drawn_texts(120)
-    rows = [(i, t, int(i % 3 == 0)) for i, t in enumerate(texts)] * 2  # each row twice: one entry of two
-    labelled = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
-    scorer = toxicity.Scorer(labelled)
-    assert scorer.index.value.size == 40 and scorer.index.value.votes.sum() == 80
+    for ids in (range(120), [1] * 120, [None] * 120):  # each row twice: one entry of two
+        rows = [(i, t, int(t < "g")) for i, t in zip(ids, texts)] * 2
+        scorer = toxicity.Scorer(spark.createDataFrame(rows, "doc_id bigint, text string, toxic int"))
+        assert scorer.index.value.size == 40 and scorer.index.value.votes.sum() == 80
 
 
 def test_toxicity_rows_of_any_shape(spark):
