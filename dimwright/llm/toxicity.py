@@ -54,6 +54,7 @@ SHARE = 0.003  # of the examples must hold a term
 COMMON, TELLING = 0.1, 0.5  # share beyond which a term is a stop word, log-odds that keep it
 BLOCK = 64
 CALIBRATED = 30  # examples of each label that a map of votes needs
+WORDS = 1 << 18  # words of a task whose terms are kept at a time
 REMEMBERED = 1 << 14  # texts of a task whose score is kept for their copies
 BAR = 0.3
 SLACK = 1e-5  # what single precision may take from a bound
@@ -101,11 +102,31 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-Terms = dict[str, tuple[int, float]]
+class Terms:
+    """Kept terms by number, their weights, and the numbers that words stand for."""
+
+    def __init__(self, names: list[str], weights: np.ndarray):
+        self.number = {t: i for i, t in enumerate(names)}
+        self.weights = weights
+        self.of_word: dict[str, tuple[int, ...]] = {}
+
+    def counts(self, text: str | None) -> dict[int, int]:
+        """``term_counts`` of the kept terms, by number."""
+        out: dict[int, int] = {}
+        for word, n in Counter(WORD.findall(text.lower()) if text else ()).items():
+            numbers = self.of_word.get(word)
+            if numbers is None:
+                if len(self.of_word) >= WORDS:
+                    self.of_word.clear()
+                numbers = tuple(self.number[t] for t in term_counts(word) if t in self.number)
+                self.of_word[word] = numbers
+            for i in numbers:
+                out[i] = out.get(i, 0) + n
+        return out
 
 
 def kept_terms(examples: DataFrame) -> tuple[Terms, int, int]:
-    """Number and weight of each kept term; rows and rows of label 1."""
+    """The kept terms; rows and rows of label 1."""
     n = examples.agg(F.count("*").alias("whole"), F.count(F.when(F.col("toxic") != 0, 1)).alias("pos")).first()
     whole, pos = n["whole"], n["pos"]
     counts = examples.select("text", "toxic").mapInArrow(_held, "term string, n bigint, pos bigint")
@@ -116,17 +137,16 @@ def kept_terms(examples: DataFrame) -> tuple[Terms, int, int]:
     weight = np.log1p(whole / np.maximum(rows, 1)) * (1 + np.maximum(odds, 0))
     used = np.flatnonzero((rows <= max(COMMON * whole, 10)) | (odds > TELLING))
     names = kept["term"].take(used).to_pylist()
-    return {t: (i, w) for i, (t, w) in enumerate(zip(names, weight[used].tolist()))}, whole, pos
+    return Terms(names, weight[used]), whole, pos
 
 
 def vector(text: str | None, terms: Terms) -> tuple[np.ndarray, np.ndarray]:
     """Unit vector over the kept terms, by term number."""
-    found = [(terms[t], n) for t, n in term_counts(text).items() if t in terms]
-    if not found:
+    counts = terms.counts(text)
+    if not counts:
         return np.zeros(0, "<u4"), np.zeros(0, "<f4")
-    at = np.fromiter((i for (i, _), _ in found), "<u4", len(found))
-    weight = np.fromiter((w for (_, w), _ in found), np.float64, len(found))
-    weight *= 1 + np.log(np.fromiter((n for _, n in found), np.float64, len(found)))
+    at = np.fromiter(counts.keys(), "<u4", len(counts))
+    weight = terms.weights[at] * (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts))))
     order = np.argsort(at)
     return at[order], (weight[order] / np.sqrt(weight @ weight)).astype("<f4")
 
