@@ -54,8 +54,8 @@ SHARE = 0.003  # of the examples must hold a term
 COMMON, TELLING = 0.1, 0.5  # share beyond which a term is a stop word, log-odds that keep it
 BLOCK = 64
 CALIBRATED = 30  # examples of each label that a map of votes needs
-WORDS = 1 << 18  # words of a task whose terms are kept at a time
-REMEMBERED = 1 << 14  # texts of a task whose score is kept for their copies
+WORDS = 1 << 16  # words of a task whose terms are kept at a time
+REMEMBERED = 1 << 12  # texts of a task whose score is kept for their copies
 BAR = 0.3
 SLACK = 1e-5  # what single precision may take from a bound
 WORD = re.compile(r"[^\W\d_]{2,}")
@@ -351,6 +351,7 @@ def _score(terms, index, rate: float, without: float, shares, k: int, out: list[
                     ],
                     names=[*out, "score", "evidence"],
                 )
+        known.of_word.clear()  # the worker lives on
 
     return run
 
