@@ -28,11 +28,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """(row, row_id, doc_id, body), stored: a number for each row of ``docs``."""
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col("text").alias("body")
-    )
-    return store(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
+    """(row, row_id, doc_id, body): a number for each row of ``docs``, stored with it;
+    every text is stored once."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.monotonically_increasing_id().alias("row_id"))
+    stored = store(rows, "numbered")
+    return stored.select("row", "row_id", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("body"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
