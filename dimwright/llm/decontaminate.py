@@ -1,167 +1,350 @@
 """Benchmark decontamination by templates.
 
 Every text becomes a sequence of template tokens: words in lower case without
-outer punctuation, numbers as ``#num``, units after a number as ``#unit``,
-capitalised words inside a sentence as ``#name``; what a placeholder stands
-for is its slot value. Windows of a fixed number of tokens are hashed and
-joined with the benchmark's; a question that was copied with other numbers or
-names still has the same windows. Then slot consistency decides: within one
-document and item, each value of the item must stand against one value of the
-document only, wherever it occurs.
-
-A Bloom filter of the benchmark's windows, of fixed size, travels to the
-texts; only windows that may be listed leave their task, and the exact hash
-join drops the rest.
+outer punctuation, numbers as ``#num``, units after a number or written onto
+it as ``#unit``, a run of capitalised words inside a sentence as one
+``#name``; what a placeholder stands for is its slot value. Windows of a fixed
+number of tokens are hashed and joined with the benchmark's; a question that
+was copied with other numbers or names still has the same windows. A window
+with too few plain words to tell anything is hashed with its slot values, so
+that an item made of such windows is still found by its copies.
+
+The hits of one text and item are then chained: runs of hits whose places grow
+in both and whose distance drifts by at most ``DRIFT`` tokens, so that words
+put in, left out or replaced do not part a copy. A chain must hold
+``COVERAGE`` of the item's tokens, and ``LEAST`` of them (or all). Slot
+consistency decides: along the chain each value of the item must stand
+against one value of the text only.
+
+A Bloom filter of the benchmark's windows, sized by their number up to
+``2 ** FILTER_BITS`` bits, travels to the texts; only windows that may be
+listed leave their task, and the exact hash join drops the rest.
 
 Defined results: NULL and empty texts and items match nothing. An item shorter
-than a window is one window. Repeated rows of a document add no
-evidence. Empty tables give no rows. Columns of ``documents`` other than id
-and text are not read.
+than a window is one window. An item is listed as it reads at the begin of a
+sentence and inside one. Repeated rows of a document add no evidence; different
+texts under one id are judged each for itself and the best speaks for the id.
+Ties between chains go to the earliest. Empty tables give no rows. Columns of
+``documents`` other than id and text are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
-from dimwright.llm.common import chunks, mix, signed, store
+from dimwright.llm.common import chunks, mix, sequence_hashes, signed, store, text_bytes, word_hashes, word_spans
 
-WINDOW = 8
-# Words of a window that must not be placeholders.
-LITERALS = 4
+WINDOW = 5
+# Plain words that a window needs to stand for its template.
+LITERALS = 3
 COVERAGE = 0.5
+LEAST = 8
+DRIFT = 10
 FILTER_BITS = 24
+# Words of a task whose reading is remembered.
+REMEMBERED = 300_000
 # Units that may follow a number.
 UNITS = frozenset(
     "mm cm m km in ft mi mg g kg t lb oz ml l s sec ms min h hr day days week weeks month months year years "
     "hours minutes seconds meters metres miles feet inches pounds grams kilograms liters litres percent % "
     "degrees dollars euros cents usd eur gbp kb mb gb tb hz khz mhz ghz w kw v a".split()
 )
-WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 EDGE = "\"'()[]{}<>«»“”‘’.,;:!?¡¿…"
-NUMBER = regex.compile(r"[+-]?[$€£]?\p{N}[\p{N}.,:/%-]*")
-
-NUM, NAME, UNIT = "#num", "#name", "#unit"
+CLOSING = "\"')]}>»”’"
+NUMBER = regex.compile(r"([+-]?[$€£]?\p{N}[\p{N}.,:/-]*)(\p{L}+|%)?")
+
+PLAIN, NUM, UNIT, NAME = range(4)
+KIND = ("", "#num", "#unit", "#name")
+KIND_HASH = np.array([xxh64_intdigest(f"slot {k}") for k in KIND], dtype=np.uint64)
+BY_VALUE = np.uint64(xxh64_intdigest("by value"))
+
+
+class Word(NamedTuple):
+    """How a word reads by itself: its form without outer punctuation, in lower
+    case, and what it can be."""
+
+    low: str
+    unit: str  # a unit written onto a number
+    number: bool
+    measure: bool  # a unit, if a number stands before it
+    capital: bool
+    ends: bool  # a sentence
+    breaks: bool  # a run of names
+    low_hash: int
+    unit_hash: int
+
+
+def read_word(word: str) -> Word:
+    core = word.strip(EDGE)
+    found = NUMBER.fullmatch(core)
+    unit = (found[2] or "").lower() if found else ""
+    number = bool(found) and (not unit or unit in UNITS)
+    low = found[1] if number else core.lower()
+    bare = word.rstrip(CLOSING)
+    return Word(
+        low,
+        unit if number else "",
+        number,
+        low in UNITS,
+        bool(core) and core[0].isupper() and (len(core) == 1 or not core.isupper()),
+        bare[-1:] in (".", "!", "?", "…"),
+        bool(core) and word[-1] in EDGE,
+        xxh64_intdigest(low),
+        xxh64_intdigest(unit),
+    )
 
 
-def template(text: str) -> tuple[list[str], list[str]]:
-    """Template tokens and, for each, its slot value (empty for a plain word)."""
-    tokens, values, opening, after_number = [], [], True, False
-    for word in WORD.findall(text):
-        core = word.strip(EDGE)
-        low = core.lower()
-        if not core:
-            opening = opening or word[-1] in ".!?"
-            continue
-        if core[0] in "+-$€£0123456789" and NUMBER.fullmatch(core):
-            tokens.append(NUM)
-            values.append(core)
-            after_number = True
-        elif after_number and low in UNITS:
-            tokens.append(UNIT)
-            values.append(low)
-            after_number = False
+class Templates:
+    """Template tokens of many texts at once, one entry a token in each array."""
+
+    def __init__(self, texts: pa.Array, known: dict[int, Word], opens: bool = True):
+        raw, at = text_bytes(texts)
+        start, end, doc = word_spans(raw, at)
+        _, first, which = np.unique(word_hashes(raw, start, end), return_index=True, return_inverse=True)
+        if len(known) > REMEMBERED:
+            known.clear()
+        self.words = []
+        keys = word_hashes(raw, start, end)[first].tolist()
+        data = raw.tobytes()
+        for key, a, b in zip(keys, start[first].tolist(), end[first].tolist()):
+            word = known.get(key)
+            if word is None:
+                word = known[key] = read_word(data[a:b].decode("utf-8"))
+            self.words.append(word)
+
+        def of(field: str, dtype=bool) -> np.ndarray:
+            return np.array([getattr(w, field) for w in self.words], dtype=dtype)
+
+        # words of punctuation alone are no tokens, but may end a sentence
+        solid = np.array([w.low != "" for w in self.words], dtype=bool)[which]
+        ended = np.concatenate([[0], np.cumsum(of("ends")[which])])
+        place = np.flatnonzero(solid)
+        head_of_text = np.ones(len(place), dtype=bool)
+        head_of_text[1:] = doc[place[1:]] != doc[place[:-1]]
+        opening = np.full(len(place), opens)
+        opening[1:] = np.where(head_of_text[1:], opens, ended[place[1:]] > ended[place[:-1]])
+
+        glued = of("unit", object).astype(bool)[which[place]]
+        part = np.repeat(np.arange(len(place)), 1 + glued)
+        second = np.zeros(len(part), dtype=bool)
+        second[1:] = part[1:] == part[:-1]
+        word = which[place[part]]
+        doc = doc[place[part]]
+        after = np.zeros(len(part), dtype=bool)  # has a token of the same text before it
+        after[1:] = doc[1:] == doc[:-1]
+        number = of("number")[word] & ~second
+        unit = np.zeros(len(part), dtype=bool)
+        unit[1:] = number[:-1] & after[1:] & (second[1:] | of("measure")[word[1:]])
+        name = of("capital")[word] & ~opening[part] & ~number & ~unit & ~second
+        joined = np.zeros(len(part), dtype=bool)
+        joined[1:] = name[1:] & name[:-1] & after[1:] & ~of("breaks")[word[:-1]]
+
+        head = np.flatnonzero(~joined)
+        self.tail = np.append(head[1:], len(part))
+        self.head, self.word, self.second = head, word, second
+        self.kind = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, PLAIN)))[head]
+        self.doc = doc[head]
+        own = np.where(second, of("unit_hash", np.uint64)[word], of("low_hash", np.uint64)[word])
+        if len(head):
+            inside = np.arange(len(part)) - head[np.cumsum(~joined) - 1]
+            spread = mix(own + inside.astype(np.uint64) * KIND_HASH[NAME])
+            self.by_value = np.add.reduceat(spread, head)
         else:
-            after_number = False
-            if not opening and core[0].isupper() and not core.isupper():
-                tokens.append(NAME)
-                values.append(low)
-            else:
-                tokens.append(low)
-                values.append("")
-        opening = word[-1] in ".!?"
-    return tokens, values
-
-
-_hash_of: dict[str, int] = {}
-
-
-def _numbers(words: list[str]) -> np.ndarray:
-    """64-bit numbers of words, remembered for those that recur."""
-    from xxhash import xxh64_intdigest
-
-    if len(_hash_of) > 500_000:
-        _hash_of.clear()
-    out = np.empty(len(words), dtype=np.uint64)
-    for i, w in enumerate(words):
-        h = _hash_of.get(w)
-        if h is None:
-            h = _hash_of[w] = xxh64_intdigest(w)
-        out[i] = h
-    return out
-
-
-def windows(tokens: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the windows with enough plain words."""
-    if len(tokens) < size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    words = _numbers(tokens)
-    n = len(tokens) - size + 1
-    total = np.full(n, size, dtype=np.uint64)
-    for j in range(size):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n]
-    plain = np.cumsum([0, *(t[0] != "#" for t in tokens)])
-    start = np.flatnonzero(plain[size:] - plain[:-size] >= min(LITERALS, size))
-    return mix(total[start]), start
-
-
-def _places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64((1 << FILTER_BITS) - 1)
+            self.by_value = np.zeros(0, np.uint64)
+        self.by_kind = np.where(self.kind == PLAIN, self.by_value, KIND_HASH[self.kind])
+        counts = np.bincount(self.doc, minlength=len(texts))
+        self.counts = counts
+        self.begin = np.cumsum(counts) - counts
+
+    def value(self, token: int) -> str:
+        parts = range(self.head[token], self.tail[token])
+        return " ".join(
+            self.words[self.word[i]].unit if self.second[i] else self.words[self.word[i]].low for i in parts
+        )
+
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and first tokens of all windows of ``size`` tokens."""
+        alike, first = sequence_hashes(self.by_kind, self.doc, size)
+        exact, _ = sequence_hashes(self.by_value, self.doc, size)
+        plain = np.concatenate([[0], np.cumsum(self.kind == PLAIN)])
+        enough = plain[first + size] - plain[first] >= min(LITERALS, size)
+        return np.where(enough, alike, mix(exact ^ BY_VALUE)), first
+
+    def slots(self, first: int, size: int) -> list[str]:
+        return [
+            f"{KIND[self.kind[i]]}:{self.value(i)}" for i in range(first, first + size) if self.kind[i] != PLAIN
+        ]
+
+
+def template(text: str, opens: bool = True) -> list[tuple[str, str]]:
+    """(placeholder or empty, value) of each template token of one text."""
+    found = Templates(pa.array([text]), {}, opens)
+    return [(KIND[k], found.value(i)) for i, k in enumerate(found.kind.tolist())]
+
+
+def _places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64((1 << bits) - 1)
     return (hashes & mask).astype(np.int64), ((hashes >> np.uint64(32)) & mask).astype(np.int64)
 
 
-SCHEMA = "id bigint, size int, window bigint, start int, n_windows int, slots array<string>"
+ITEMS = "item_id bigint, opens boolean, n_tokens int, size int, window bigint, item_start int, item_slots array<string>"
+SEEN = "doc_id bigint, digest bigint, size int, window bigint, start int, slots array<string>"
 
 
-def _windows_of(id_: str, text: str, sizes: list[int] | None, filter_) -> Callable:
-    """Rows of windows; with a filter only those that may be listed, of the
-    listed sizes; without, all windows of an item at its own size."""
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {
+        "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string()),
+        "double": pa.float64(),
+    }
+    names, types = zip(*(f.split() for f in schema.split(", ")))
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(zip(*rows), types)], names=names)
+
+
+def _windows_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All windows of every item, at the window's size or the item's if shorter."""
+    known: dict[int, Word] = {}
+    for batch in batches:
+        for part in chunks(batch, "text"):
+            ids = part["id"].to_pylist()
+            rows: dict[tuple, tuple] = {}
+            for opens in (True, False):
+                found = Templates(part["text"], known, opens)
+                for size in range(1, WINDOW + 1):
+                    hashes, first = found.windows(size)
+                    own = np.minimum(found.counts, WINDOW)[found.doc[first]] == size
+                    for h, t in zip(signed(hashes[own]).tolist(), first[own].tolist()):
+                        d = int(found.doc[t])
+                        rows[d, opens, t] = (ids[d], opens, int(found.counts[d]), size, h,
+                                             t - int(found.begin[d]), found.slots(t, size))
+            if rows:
+                yield _batch(list(rows.values()), ITEMS)
+
+
+def _windows_of_texts(sizes: list[int], bits: int, filter_) -> Callable:
+    """The windows of every text, of the listed sizes, that may be listed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None
-        if filter_ is not None:
-            bits = np.unpackbits(np.frombuffer(filter_.value, dtype=np.uint8)).astype(bool)
+        listed = np.unpackbits(np.frombuffer(filter_.value, dtype=np.uint8), bitorder="little").astype(bool)
+        known: dict[int, Word] = {}
         for batch in batches:
-            for part in chunks(batch, text):
-                out: list[tuple] = []
-                for doc, value in zip(part[id_].to_pylist(), part[text].to_pylist()):
-                    if not value:
-                        continue
-                    tokens, values = template(value)
-                    for size in sizes or [min(WINDOW, len(tokens))]:
-                        if not size or len(tokens) < size:
-                            continue
-                        hashes, starts = windows(tokens, size)
-                        n = len(hashes)
-                        if bits is not None:
-                            a, b = _places(hashes)
-                            hit = bits[a] & bits[b]
-                            hashes, starts = hashes[hit], starts[hit]
-                        for h, s in zip(signed(hashes).tolist(), starts.tolist()):
-                            slots = [f"{tokens[i]}:{values[i]}" for i in range(s, s + size) if values[i]]
-                            out.append((doc, size, h, s, n, slots))
-                if out:
-                    columns = list(zip(*out))
-                    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, k) for c, k in zip(columns, kinds)],
-                        names=["id", "size", "window", "start", "n_windows", "slots"],
-                    )
+            for part in chunks(batch, "text"):
+                found = Templates(part["text"], known)
+                digests: dict[int, int] = {}
+                rows = []
+                for size in sizes:
+                    hashes, first = found.windows(size)
+                    a, b = _places(hashes, bits)
+                    hit = listed[a] & listed[b]
+                    for h, t in zip(signed(hashes[hit]).tolist(), first[hit].tolist()):
+                        d = int(found.doc[t])
+                        if d not in digests:
+                            value = xxh64_intdigest(part["text"][d].as_py())
+                            digests[d] = value - (1 << 64) if value >> 63 else value
+                        rows.append((part["id"][d].as_py(), digests[d], size, h,
+                                     t - int(found.begin[d]), found.slots(t, size)))
+                if rows:
+                    yield _batch(rows, SEEN)
 
     return run
 
 
-def _filter_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    for batch in batches:
-        for places in _places(np.asarray(batch["window"]).view(np.uint64)):
-            bits[places] = True
-    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+def _filter_bits(listed: DataFrame, bits: int) -> bytes:
+    """The Bloom filter, joined by blocks of 64 bits on the executors."""
+    mask = F.lit((1 << bits) - 1)
+    low = F.col("window").bitwiseAND(mask)
+    high = F.shiftrightunsigned("window", 32).bitwiseAND(mask)
+    places = listed.select(F.explode(F.array(low, high)).alias("place"))
+    one = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")
+    blocks = places.groupBy(F.expr("place div 64").alias("block")).agg(F.bit_or(one).alias("mask"))
+    found = blocks.toArrow()  # at most 2 ** FILTER_BITS / 64 rows
+    words = np.zeros((1 << bits) // 64, dtype=np.int64)
+    words[found["block"].to_numpy()] = found["mask"].to_numpy()
+    return words.astype("<i8").tobytes()
+
+
+class Chain(NamedTuple):
+    matched: int
+    start: int
+    n_slots: int
+    changed: int
+    consistent: bool
+
+
+def best_chain(hits: list[tuple[int, int, int, list, list]], n_tokens: int, least: float) -> Chain | None:
+    """The best chain of hits (start, item_start, size, slots, item_slots) that
+    holds ``least`` tokens: consistent before not, then by tokens, then the earliest."""
+    runs: list[list] = []  # [start, end, item_start, item_end, pairs]
+    for start, item_start, size, slots, item_slots in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
+        pairs = set(zip(item_slots, slots))
+        if runs and runs[-1][0] - runs[-1][2] == start - item_start and start <= runs[-1][1]:
+            runs[-1][1], runs[-1][3] = start + size, item_start + size
+            runs[-1][4] |= pairs
+        else:
+            runs.append([start, start + size, item_start, item_start + size, pairs])
+    runs.sort(key=lambda r: (r[0], r[2]))
+    score, before = [], []
+    for k, (d0, d1, i0, i1, _) in enumerate(runs):
+        best, link = d1 - d0, -1
+        for j in range(k - 1, -1, -1):
+            e0, e1, j0, j1, _ = runs[j]
+            if d0 - e0 > 2 * n_tokens + DRIFT:
+                break
+            if e0 < d0 and j0 < i0 and abs((d0 - i0) - (e0 - j0)) <= DRIFT:
+                gain = min(d1 - max(d0, e1), i1 - max(i0, j1))
+                if gain > 0 and score[j] + gain > best:
+                    best, link = score[j] + gain, j
+        score.append(best)
+        before.append(link)
+    used: set[int] = set()
+    first = None
+    for k in sorted(range(len(runs)), key=lambda k: (-score[k], runs[k][0])):
+        if score[k] < least:
+            break
+        if k in used:
+            continue
+        links, at = [], k
+        while at >= 0:
+            links.append(at)
+            at = before[at]
+        used.update(links)
+        pairs = set().union(*(runs[j][4] for j in links))
+        chain = Chain(score[k], runs[links[-1]][0], len(pairs), sum(i != d for i, d in pairs),
+                      len({i for i, _ in pairs}) == len(pairs))
+        if chain.consistent:
+            return chain
+        first = first or chain
+    return first
+
+
+JUDGED = (
+    "doc_id bigint, item_id bigint, n_tokens int, n_matched int, start int, n_slots int, changed int, "
+    "consistent boolean"
+)
+
+
+def _chains(coverage: float) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_pylist():
+                hits = [(h["start"], h["item_start"], h["size"], h["slots"], h["item_slots"]) for h in r["hits"]]
+                n = r["n_tokens"]
+                chain = best_chain(hits, n, max(coverage * n, min(LEAST, n)))
+                if chain:
+                    rows.append((r["doc_id"], r["item_id"], n, chain.matched, chain.start, chain.n_slots,
+                                 chain.changed, chain.consistent))
+            if rows:
+                yield _batch(rows, JUDGED)
+
+    return run
 
 
 def find_leaks(
@@ -173,64 +356,35 @@ def find_leaks(
     item_text: str = "text",
     coverage: float = COVERAGE,
 ) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_matched, coverage, n_slots, consistent,
-    changed) for each document that holds at least ``coverage`` of an item's
-    windows. ``consistent`` says whether the slot values fit; ``changed`` counts
-    values that differ from the item's. A leak is a consistent row."""
+    """(doc_id, item_id, n_tokens, n_matched, coverage, n_slots, consistent,
+    changed) for each document with a chain of at least ``coverage`` of an
+    item's tokens. ``consistent`` says whether the slot values fit; ``changed``
+    counts values that differ from the item's. A leak is a consistent row."""
     spark = docs.sparkSession
     asked = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(item_text).alias("text"))
-    listed = store(
-        asked.mapInArrow(_windows_of("id", "text", None, None), SCHEMA)
-        .withColumnsRenamed({"id": "item_id", "start": "item_start", "slots": "item_slots"})
-        .dropDuplicates(["item_id", "window", "item_start"]),
-        "benchmark-windows",
-    )
-    sizes = sorted(r["size"] for r in listed.select("size").distinct().collect())  # at most WINDOW
-    bits = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for row in listed.select("window").coalesce(4).mapInArrow(_filter_of, "bits binary").collect():
-        bits |= np.frombuffer(row["bits"], dtype=np.uint8)  # four rows of fixed size
-    filter_ = spark.sparkContext.broadcast(bits.tobytes())
+    listed = store(asked.mapInArrow(_windows_of_items, ITEMS).distinct(), "benchmark-windows")
+    known = listed.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()  # sizes up to WINDOW
+    bits = min(FILTER_BITS, max(12, (16 * known["n"]).bit_length()))
+    filter_ = spark.sparkContext.broadcast(_filter_bits(listed, bits))
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text"))
-    seen = rows.mapInArrow(_windows_of("id", "text", sizes or [WINDOW], filter_), SCHEMA)
-    seen = seen.withColumnRenamed("id", "doc_id").drop("n_windows")
+    seen = rows.mapInArrow(_windows_of_texts(sorted(known["sizes"]), bits, filter_), SEEN)
     hits = seen.join(listed, ["size", "window"])
-    counted = _matched(hits).filter(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
-    return counted.select(
+    hit = F.struct("start", "item_start", "size", "slots", "item_slots")
+    # the hits of one text and item, each once: bounded by the text's windows
+    pairs = hits.groupBy("doc_id", "digest", "item_id", "opens", "n_tokens").agg(F.collect_set(hit).alias("hits"))
+    reach = F.size("hits") * F.col("hits")[0]["size"]
+    hopeful = pairs.filter(reach >= F.lit(coverage) * F.col("n_tokens"))
+    judged = hopeful.select("doc_id", "item_id", "n_tokens", "hits").mapInArrow(_chains(coverage), JUDGED)
+    order = F.struct("consistent", "n_matched", -F.col("start"), "n_slots", "changed", "n_tokens")
+    best = judged.groupBy("doc_id", "item_id").agg(F.max(order).alias("b"))
+    return best.select(
         "doc_id",
         "item_id",
-        F.col("n_windows").cast("bigint").alias("n_windows"),
-        "n_matched",
-        F.round(F.col("n_matched") / F.col("n_windows"), 6).alias("coverage"),
-        "n_slots",
-        "consistent",
-        "changed",
-    )
-
-
-def _matched(hits: DataFrame) -> DataFrame:
-    """Per document and item: windows matched and whether slots fit.
-
-    Hits of one alignment (distance between the two starts) are judged
-    together, so a document with two variants of an item has two chances;
-    the best alignment speaks for the pair."""
-    slots: Column = F.zip_with("item_slots", "slots", lambda i, d: F.struct(i.alias("i"), d.alias("d")))
-    shift = F.col("start") - F.col("item_start")
-    one = hits.select("doc_id", "item_id", "n_windows", "item_start", shift.alias("shift"), slots.alias("slots"))
-    # an alignment has at most as many windows as the item, so these sets are bounded by it
-    per = one.groupBy("doc_id", "item_id", "shift").agg(
-        F.first("n_windows").alias("n_windows"),
-        F.countDistinct("item_start").alias("n_matched"),
-        F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"),
-    )
-    fits = F.size(F.array_distinct(F.col("slots.i"))) == F.size("slots")
-    judged = per.select(
-        "*",
-        F.size("slots").cast("bigint").alias("n_slots"),
-        fits.alias("consistent"),
-        F.size(F.filter("slots", lambda s: s["i"] != s["d"])).cast("bigint").alias("changed"),
+        F.col("b.n_tokens").cast("bigint").alias("n_tokens"),
+        F.col("b.n_matched").cast("bigint").alias("n_matched"),
+        F.round(F.col("b.n_matched") / F.col("b.n_tokens"), 6).alias("coverage"),
+        F.col("b.n_slots").cast("bigint").alias("n_slots"),
+        "b.consistent",
+        F.col("b.changed").cast("bigint").alias("changed"),
     )
-    best = F.max(F.struct("consistent", "n_matched", -F.col("shift"), "n_windows", "n_slots", "changed"))
-    return judged.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", "b.n_windows", "b.n_matched", "b.n_slots", "b.consistent", "b.changed"
-    )
