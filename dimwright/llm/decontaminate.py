@@ -40,7 +40,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from dimwright.llm.common import chunks, mix, sequence_hashes, signed, store, text_bytes, word_hashes, word_spans
+from dimwright.llm.common import (
+    LOWERED,
+    chunks,
+    mix,
+    sequence_hashes,
+    signed,
+    store,
+    text_bytes,
+    word_hashes,
+    word_spans,
+)
 
 WINDOW = 5
 # Plain words that a window needs to stand for its template.
@@ -50,7 +60,7 @@ LEAST = 8
 DRIFT = 10
 FILTER_BITS = 24
 # Words of a task whose reading is remembered.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 # Units that may follow a number.
 UNITS = frozenset(
     "mm cm m km in ft mi mg g kg t lb oz ml l s sec ms min h hr day days week weeks month months year years "
@@ -74,12 +84,9 @@ class Word(NamedTuple):
     low: str
     unit: str  # a unit written onto a number
     number: bool
-    measure: bool  # a unit, if a number stands before it
     capital: bool
     ends: bool  # a sentence
     breaks: bool  # a run of names
-    low_hash: int
-    unit_hash: int
 
 
 def read_word(word: str) -> Word:
@@ -87,72 +94,119 @@ def read_word(word: str) -> Word:
     found = NUMBER.fullmatch(core)
     unit = (found[2] or "").lower() if found else ""
     number = bool(found) and (not unit or unit in UNITS)
-    low = found[1] if number else core.lower()
-    bare = word.rstrip(CLOSING)
     return Word(
-        low,
+        found[1] if number else core.lower(),
         unit if number else "",
         number,
-        low in UNITS,
-        bool(core) and core[0].isupper() and (len(core) == 1 or not core.isupper()),
-        bare[-1:] in (".", "!", "?", "…"),
-        bool(core) and word[-1] in EDGE,
-        xxh64_intdigest(low),
-        xxh64_intdigest(unit),
+        bool(core) and core[0].isupper() and not core.isupper(),
+        word.rstrip(CLOSING)[-1:] in (".", "!", "?", "…"),
+        word[-1] in EDGE,
     )
 
 
+def _hashes(words: list[str]) -> np.ndarray:
+    parts = [w.encode("utf-8", "surrogatepass") for w in words]
+    end = np.cumsum([len(p) for p in parts], dtype=np.int64)
+    raw = np.frombuffer(b"".join(parts) + b" ", dtype=np.uint8)
+    return word_hashes(raw, np.concatenate([[0], end[:-1]]).astype(np.int64), end)
+
+
+UNIT_HASHES = _hashes(sorted(UNITS))
+FINAL = np.isin(np.arange(256), list(b".,;:!?"))
+STOP = np.isin(np.arange(256), list(b".!?"))
+A_Z = np.isin(np.arange(256), list(range(65, 91)))
+LOWER_AZ = np.isin(np.arange(256), list(range(97, 123)))
+
+
+class Spelling(NamedTuple):
+    """What the bytes of words say: ``simple`` words are letters of ASCII or
+    Latin-1 with ``.,;:!?`` after them at most; only the others are read one by one."""
+
+    lowered: np.ndarray  # all bytes
+    core: np.ndarray  # where each word ends without punctuation
+    simple: np.ndarray
+    capital: np.ndarray
+    ends: np.ndarray
+    breaks: np.ndarray
+
+
+def spell(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> Spelling:
+    lowered = LOWERED[raw]
+    letter, small, upper = LOWER_AZ[raw] | A_Z[raw], LOWER_AZ[raw], A_Z[raw]
+    # in UTF-8 a letter of Latin-1 is the byte C3 and one more
+    lead = np.flatnonzero((raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] != 0x97) & (raw[1:] != 0xB7))
+    big = lead[raw[lead + 1] <= 0x9E]
+    lowered[big + 1] += 0x20
+    upper[big] = True
+    letter[lead] = letter[lead + 1] = True
+    small[lead + 1] = raw[lead + 1] > 0x9E
+    last = np.maximum.accumulate(np.where(FINAL[raw], -1, np.arange(len(raw))))
+    core = np.maximum(last[end - 1] + 1, start)
+    other = np.concatenate([[0], np.cumsum(~letter)])
+    smalls = np.concatenate([[0], np.cumsum(small)])
+    some = core > start
+    return Spelling(
+        lowered, core, other[core] == other[start], some & upper[start] & (smalls[core] > smalls[start]),
+        STOP[raw[end - 1]], FINAL[raw[end - 1]],
+    )
+
+
 class Templates:
     """Template tokens of many texts at once, one entry a token in each array."""
 
-    def __init__(self, texts: pa.Array, known: dict[int, Word], opens: bool = True):
+    def __init__(self, texts: pa.Array, known: dict[bytes, Word], opens: bool = True):
         raw, at = text_bytes(texts)
         start, end, doc = word_spans(raw, at)
-        _, first, which = np.unique(word_hashes(raw, start, end), return_index=True, return_inverse=True)
+        lowered, core, simple, capital, ends, breaks = spell(raw, start, end)
+        low_hash = word_hashes(lowered, start, core)
+        solid = core > start
+        number, unit_hash = np.zeros(len(start), dtype=bool), np.zeros(len(start), np.uint64)
+        glued = number.copy()
+        self.lowered, self.start, self.core = lowered, start, core
+        self.read: dict[int, Word] = {}
         if len(known) > REMEMBERED:
             known.clear()
-        self.words = []
-        keys = word_hashes(raw, start, end)[first].tolist()
-        data = raw.tobytes()
-        for key, a, b in zip(keys, start[first].tolist(), end[first].tolist()):
-            word = known.get(key)
+        odd = np.flatnonzero(~simple)
+        for i, a, b in zip(odd.tolist(), start[odd].tolist(), end[odd].tolist()):
+            spelt = raw[a:b].tobytes()
+            word = known.get(spelt)
             if word is None:
-                word = known[key] = read_word(data[a:b].decode("utf-8"))
-            self.words.append(word)
-
-        def of(field: str, dtype=bool) -> np.ndarray:
-            return np.array([getattr(w, field) for w in self.words], dtype=dtype)
+                word = known[spelt] = read_word(spelt.decode("utf-8", "replace"))
+            self.read[i] = word
+        if len(odd):
+            low, unit, number[odd], capital[odd], ends[odd], breaks[odd] = zip(*self.read.values())
+            low_hash[odd], unit_hash[odd] = _hashes(low), _hashes(unit)
+            solid[odd], glued[odd] = [w != "" for w in low], [u != "" for u in unit]
+        measure = np.isin(low_hash, UNIT_HASHES)
 
         # words of punctuation alone are no tokens, but may end a sentence
-        solid = np.array([w.low != "" for w in self.words], dtype=bool)[which]
-        ended = np.concatenate([[0], np.cumsum(of("ends")[which])])
+        ended = np.concatenate([[0], np.cumsum(ends)])
         place = np.flatnonzero(solid)
-        head_of_text = np.ones(len(place), dtype=bool)
-        head_of_text[1:] = doc[place[1:]] != doc[place[:-1]]
         opening = np.full(len(place), opens)
-        opening[1:] = np.where(head_of_text[1:], opens, ended[place[1:]] > ended[place[:-1]])
+        opening[1:] = np.where(
+            doc[place[1:]] != doc[place[:-1]], opens, ended[place[1:]] > ended[place[:-1]]
+        )
 
-        glued = of("unit", object).astype(bool)[which[place]]
-        part = np.repeat(np.arange(len(place)), 1 + glued)
+        part = np.repeat(np.arange(len(place)), 1 + glued[place])
         second = np.zeros(len(part), dtype=bool)
         second[1:] = part[1:] == part[:-1]
-        word = which[place[part]]
-        doc = doc[place[part]]
+        word = place[part]
+        doc = doc[word]
         after = np.zeros(len(part), dtype=bool)  # has a token of the same text before it
         after[1:] = doc[1:] == doc[:-1]
-        number = of("number")[word] & ~second
+        number = number[word] & ~second
         unit = np.zeros(len(part), dtype=bool)
-        unit[1:] = number[:-1] & after[1:] & (second[1:] | of("measure")[word[1:]])
-        name = of("capital")[word] & ~opening[part] & ~number & ~unit & ~second
+        unit[1:] = number[:-1] & after[1:] & (second[1:] | measure[word[1:]])
+        name = capital[word] & ~opening[part] & ~number & ~unit & ~second
         joined = np.zeros(len(part), dtype=bool)
-        joined[1:] = name[1:] & name[:-1] & after[1:] & ~of("breaks")[word[:-1]]
+        joined[1:] = name[1:] & name[:-1] & after[1:] & ~breaks[word[:-1]]
 
         head = np.flatnonzero(~joined)
         self.tail = np.append(head[1:], len(part))
         self.head, self.word, self.second = head, word, second
         self.kind = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, PLAIN)))[head]
         self.doc = doc[head]
-        own = np.where(second, of("unit_hash", np.uint64)[word], of("low_hash", np.uint64)[word])
+        own = np.where(second, unit_hash[word], low_hash[word])
         if len(head):
             inside = np.arange(len(part)) - head[np.cumsum(~joined) - 1]
             spread = mix(own + inside.astype(np.uint64) * KIND_HASH[NAME])
@@ -164,11 +218,15 @@ class Templates:
         self.counts = counts
         self.begin = np.cumsum(counts) - counts
 
+    def _form(self, part: int) -> str:
+        place = int(self.word[part])
+        read = self.read.get(place)
+        if read:
+            return read.unit if self.second[part] else read.low
+        return self.lowered[self.start[place] : self.core[place]].tobytes().decode("utf-8")
+
     def value(self, token: int) -> str:
-        parts = range(self.head[token], self.tail[token])
-        return " ".join(
-            self.words[self.word[i]].unit if self.second[i] else self.words[self.word[i]].low for i in parts
-        )
+        return " ".join(self._form(i) for i in range(self.head[token], self.tail[token]))
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes and first tokens of all windows of ``size`` tokens."""
@@ -210,7 +268,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 def _windows_of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All windows of every item, at the window's size or the item's if shorter."""
-    known: dict[int, Word] = {}
+    known: dict[bytes, Word] = {}
     for batch in batches:
         for part in chunks(batch, "text"):
             ids = part["id"].to_pylist()
@@ -233,7 +291,7 @@ def _windows_of_texts(sizes: list[int], bits: int, filter_) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = np.unpackbits(np.frombuffer(filter_.value, dtype=np.uint8), bitorder="little").astype(bool)
-        known: dict[int, Word] = {}
+        known: dict[bytes, Word] = {}
         for batch in batches:
             for part in chunks(batch, "text"):
                 found = Templates(part["text"], known)
