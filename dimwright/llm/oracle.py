@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dimwright.llm.licenses import TEMPLATES, template_bigrams
+from dimwright.llm.licenses import TEMPLATES, template_bigrams, window_bounds
 
 # The method's list: addresses fetched under several URLs. Rules as in the query contract.
 URL_FILTER = r"""
@@ -33,31 +33,35 @@ FROM ruled
 
 
 def license_dice(bar: float = 0.75) -> str:
-    rows = ", ".join(
-        f"({rank}, '{name}', [{', '.join(repr(g) for g in template_bigrams(notice))}])"
-        for rank, (name, notice) in enumerate(sorted(TEMPLATES.items()))
-    )
+    rows = []
+    for rank, (name, notice) in enumerate(sorted(TEMPLATES.items())):
+        grams = template_bigrams(notice)
+        low, high = window_bounds(len(grams), bar)
+        rows += [f"({rank}, '{name}', {len(grams)}, {low}, {high}, '{g}')" for g in grams]
     return rf"""
-WITH lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+WITH words AS (
+  SELECT row_number() OVER () AS id, doc_id, string_split_regex(trim(regexp_replace(regexp_replace(
+      regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}.]+', ' ', 'g'),
+      '\.+( |$)', ' ', 'g'), '\.{{2,}}', ' .', 'g')), ' +') AS w
   FROM documents),
-words AS (
-  SELECT doc_id, pos, list_filter(string_split_regex(trim(regexp_replace(
-      regexp_replace(lower(line), '[^\p{{L}}\p{{N}}.]+', ' ', 'g'), '\.+( |\.|$)', ' ', 'g')), ' +'),
-    lambda w: w <> '') AS w
-  FROM lines),
-grams AS (
-  SELECT doc_id, pos, len(w) - 1 AS n,
-    list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-  FROM words WHERE len(w) BETWEEN 2 AND 60),
-templates(rank, license, t) AS (VALUES {rows}),
-scored AS (
-  SELECT doc_id, pos, rank, license, 2.0 * len(list_intersect(g, t)) / (n + len(t)) AS dice
-  FROM grams, templates)
-SELECT doc_id, CAST(pos AS BIGINT) AS line, arg_max(license, dice * 1000 - rank * 0.001) AS license,
-  round(max(dice), 6) AS dice
-FROM scored GROUP BY doc_id, pos HAVING max(dice) >= {bar}
+places AS (SELECT id, w, unnest(range(0, greatest(len(w) - 1, 0))) AS pos FROM words),
+templates(rank, license, n, low, high, gram) AS (VALUES {", ".join(rows)}),
+hits AS (
+  SELECT p.id, p.pos, t.*, lag(p.pos) OVER (PARTITION BY p.id, t.rank, t.gram ORDER BY p.pos) AS before
+  FROM places p JOIN templates t ON t.gram = w[pos + 1] || ' ' || w[pos + 2]),
+reached AS (
+  SELECT a.id, a.rank, a.license, a.n, a.low, a.pos, b.pos - a.pos + 1 AS m,
+    row_number() OVER (PARTITION BY a.id, a.rank, a.pos ORDER BY b.pos) AS shared
+  FROM hits a JOIN hits b ON a.id = b.id AND a.rank = b.rank AND b.pos BETWEEN a.pos AND a.pos + a.high - 1
+    AND coalesce(b.before, -1) < a.pos),
+best AS (
+  SELECT id, rank, license, n, pos, m, 2e0 * shared / (m + n) AS dice FROM reached
+  WHERE m >= low AND 2e0 * shared / (m + n) >= {bar}
+  QUALIFY row_number() OVER (PARTITION BY id, rank, pos ORDER BY 2e0 * shared / (m + n) DESC, m) = 1)
+SELECT w.doc_id, x.pos + 1 AS first_word, x.m + 1 AS n_words, x.license, round(x.dice, 6) AS dice
+FROM best x JOIN words w ON w.id = x.id
+WHERE NOT EXISTS (SELECT 1 FROM best y WHERE y.id = x.id AND y.pos <= x.pos + x.m AND x.pos <= y.pos + y.m
+  AND (y.dice > x.dice OR y.dice = x.dice AND (y.n > x.n OR y.n = x.n AND (y.pos < x.pos OR y.pos = x.pos AND y.rank < x.rank))))
 """
 
 

@@ -55,7 +55,7 @@ def op8_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.scan_licenses(docs, "text")
-    return found.select("doc_id", "line", "license", F.round("dice", 6).alias("dice"))
+    return found.select("doc_id", "first_word", "n_words", "license", F.round("dice", 6).alias("dice"))
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,6 @@ from dimwright.llm import (
     interpolation,
     jaccard_join,
     language_id,
-    licenses,
     pii,
     quality,
     sentencepiece,
@@ -370,13 +369,6 @@ def test_quality(spark, docs):
     assert not got[10].kept and not got[6].kept
 
 
-def test_licenses(spark):
-    rows = [(1, "intro\nReleased under the MIT License."), (2, "Licensed under the Apache License, version 2.0"), (3, None), (4, "")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {(r.doc_id, r.line, r.license) for r in licenses.scan_licenses(df, "text").collect()}
-    assert got == {(1, 2, "MIT"), (2, 1, "Apache-2.0")}
-
-
 def test_fold_is_crc32(spark):
     from dimwright.llm.common import fold
 
