@@ -20,6 +20,19 @@ def joins(df):
     return len(re.findall(r"^\W*Join ", plan, re.MULTILINE))
 
 
+def test_text_layers_are_compressed(spark):
+    df = frame(spark, [("a,b", None), ("", 1.5), (None, 2.0)], "t string, x double")
+    out = fresh_path(spark, "bronze")
+    land_snapshot({"a": df}, out, "csv")
+    publish_gold({"trans_venda_fact": df}, f"{out}/gold")
+    for folder in (f"{out}/a", f"{out}/gold/trans_venda_fact"):
+        written = [p for p in Path(folder.removeprefix("file:")).iterdir() if p.name.startswith("part-")]
+        assert written and all(p.name.endswith(".csv.gz") for p in written)
+        assert rows(read_landed(spark, folder, df.schema, "csv")) == rows(df)
+    publish_gold({"trans_venda_fact": df}, f"{out}/plain", compression="none")
+    assert rows(read_landed(spark, f"{out}/plain/trans_venda_fact", df.schema, "csv")) == rows(df)
+
+
 def test_differing_rows_counts_repeats_and_nulls(spark):
     kind = "a long, b string"
     there = frame(spark, [(1, "x"), (1, "x"), (2, None), (None, "2"), (3, "z")], kind)
