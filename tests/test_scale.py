@@ -50,3 +50,53 @@ def test_equal_sides_are_compared_without_a_shuffle_of_rows(spark):
     report = differing_rows(many, many)
     assert rows(report) == [(50_000, 0)]
     assert "Exchange" not in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_due_sales_meet_the_named_ones_once(spark):
+    sale = "transvendaid long"
+    named = frame(spark, [(1,), (1,), (2,), (3,), (4,), (None,)], sale)
+    buyers = frame(spark, [(1,), (2,), (2,), (5,), (None,)], sale)
+    sellers = frame(spark, [(1,), (2,), (3,)], sale)
+    items = frame(spark, [(1,), (1,), (2,), (3,)], sale)
+    held = frame(
+        spark,
+        [(1, 7, 1, 1), (1, 8, 1, 1), (1, 8, 1, 1), (2, 7, 1, 1), (5, 7, 1, 0), (None, 7, 1, 1)],
+        "tv_id long, im_sk long, tv_total_compradores int, tv_total_vendedores int",
+    )
+    due = due_sales(named, items, buyers, sellers, held)
+    # 1 is held as it is, 2 got a buyer, 3 and 4 and the one without an id are not held
+    assert rows(due) == [(2, True), (3, False), (4, False), (None, False)]
+    assert joins(due) == 1
+
+
+def unresolved(spark, ids=None):
+    sale = frame(
+        spark,
+        [(1, "b1"), (2, "b9"), (3, "b1"), (4, None), (None, "b1")],
+        "transvendaid long, funccpf string",
+    )
+    items = frame(spark, [(1, 7), (2, 9), (4, 7), (8, 7), (None, 9)], "transvendaid long, imovelid long")
+    link = "transvendaid long, clientecpf string"
+    buyers = frame(spark, [(1, "c1"), (2, "c9"), (8, None), (None, "c9")], link)
+    sellers = frame(spark, [(1, "c1"), (3, None)], link)
+    dims = SaleDims(
+        frame(spark, [("b1", 1, True), ("b9", 2, False)], "cor_cpf string, cor_sk long, cor_is_atual boolean"),
+        frame(spark, [(7, 1, True)], "im_id long, im_sk long, im_is_atual boolean"),
+        frame(spark, [("c1", 1, True)], "cl_cpf string, cl_sk long, cl_is_atual boolean"),
+    )
+    return unresolved_sales(ids, sale, items, buyers, sellers, dims)
+
+
+def test_unresolved_sales_are_marked_in_one_pass(spark):
+    every = unresolved(spark)
+    assert rows(every) == [(2, "broker,client,item"), (3, "client,items"), (4, "broker,participants")]
+    ids = frame(spark, [(1,), (2,), (2,), (8,), (9,), (None,)], "transvendaid long")
+    some = unresolved(spark, ids)
+    assert rows(some) == [
+        (2, "broker,client,item"),
+        (8, "client,sale"),
+        (9, "items,participants,sale"),
+        (None, "items,participants,sale"),
+    ]
+    # look-ups of unknown keys (one per role for clients), one of the sales; few ids cut the tables in one more
+    assert joins(every) <= 5 and joins(some) <= 6
