@@ -534,18 +534,19 @@ def load_bridge_incremental(lake: Lake, t: Tables, ts: datetime) -> int:
 
 def _put_bridges(load: Load, t: Tables, ts: datetime | None = None, before: DataFrame | None = None) -> None:
     """Pairs of both roles. A later load looks only at links of sales the fact
-    did not hold ``before`` and of clients that got a version at ``ts``."""
+    did not hold ``before`` and of clients that got a version at ``ts``: the
+    first meet the fact rows this load added, whose keys no bridge can hold
+    yet; of the pairs held, only those of the second are compared."""
     clients = current(load.read("cliente_dimension"), CLIENT)
-    fact = load.read("trans_venda_fact")
     for table, link in (("vendedor_ponte", "clientevende"), ("comprador_ponte", "clientecompra")):
-        links, held = t[link].select(COLUMNS.sale, COLUMNS.client), None
-        if before is not None:
-            held = load.read(table)
-            known = before.select(F.col("tv_id").alias(COLUMNS.sale)).distinct()
-            renewed = clients.filter(F.col(CLIENT.valid_from) == F.lit(ts).cast("timestamp_ntz"))
-            renewed = renewed.select(F.col(CLIENT.nk).alias(COLUMNS.client))
-            old = balanced_join(links, known, COLUMNS.sale, "left_semi")
-            links = balanced_join(links, known, COLUMNS.sale, "left_anti").unionByName(
-                balanced_join(old, renewed, COLUMNS.client, "left_semi")
-            )
-        load.append(table, bridge(fact, links, clients, existing=held))
+        links = t[link].select(COLUMNS.sale, COLUMNS.client)
+        if before is None:
+            load.append(table, bridge(load.read(FACT), links, clients))
+            continue
+        added = load.read(FACT, f"seg-{load.version:08d}")
+        renewed = clients.filter(F.col(CLIENT.valid_from) == F.lit(ts).cast("timestamp_ntz"))
+        names = renewed.select(F.col(CLIENT.nk).alias(COLUMNS.client))
+        old = balanced_join(links, names, COLUMNS.client, "left_semi")
+        held = balanced_join(load.read(table), renewed.select("cl_sk"), "cl_sk", "left_semi")
+        pairs = bridge(added, links, clients).unionByName(bridge(before, old, clients, existing=held))
+        load.append(table, pairs)

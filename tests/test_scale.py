@@ -100,3 +100,21 @@ def test_unresolved_sales_are_marked_in_one_pass(spark):
     ]
     # look-ups of unknown keys (one per role for clients), one of the sales; few ids cut the tables in one more
     assert joins(every) <= 5 and joins(some) <= 6
+
+
+def test_new_sales_are_not_compared_with_the_bridges(spark, agency, monkeypatch):
+    seen = []
+
+    def noted(fact, link, clients, *more, existing=None):
+        seen.append((rows(fact.select("tv_id").distinct()), None if existing is None else existing.count()))
+        return real(fact, link, clients, *more, existing=existing)
+
+    real = star.bridge
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    star.load_bridge_initial(lake, early(agency), T0)
+    first = rows(lake.table("trans_venda_fact").select("tv_id").distinct())
+    monkeypatch.setattr(star, "bridge", noted)
+    star.load_bridge_incremental(lake, agency, T1)
+    new = [sales for sales, held in seen if held is None]
+    assert len(seen) == 4 and len(new) == 2
+    assert all(not set(sales) & set(first) for sales in new)
