@@ -118,3 +118,28 @@ def test_new_sales_are_not_compared_with_the_bridges(spark, agency, monkeypatch)
     new = [sales for sales, held in seen if held is None]
     assert len(seen) == 4 and len(new) == 2
     assert all(not set(sales) & set(first) for sales in new)
+
+
+def test_early_links_are_stored_once(spark, tmp_path):
+    from dimwright.plans.testmap import Source
+
+    day = "timestamp_ntz'1999-05-01 00:00:00'"
+    small = {
+        "region": "0L r_regionkey, 'R' r_name",
+        "nation": "0L n_nationkey, 'N' n_name, 0L n_regionkey",
+        "customer": "1L c_custkey, 'C' c_name, 0L c_nationkey",
+        "supplier": "1L s_suppkey, 'S' s_name, 0L s_nationkey",
+        "part": "1L p_partkey, 'B' p_brand, 'PROMO' p_type, 5 p_size",
+        "orders": f"1L o_orderkey, 1L o_custkey, 9.0D o_totalprice, {day} o_orderdate, '1-URGENT' o_orderpriority",
+        "lineitem": "id l_orderkey, 1L l_partkey, 1L l_suppkey, 1.0D l_extendedprice, 'N' l_returnflag, "
+        f"'O' l_linestatus, {day} l_shipdate",
+    }
+    for name, columns in small.items():
+        spark.range(1, 3).selectExpr(*re.split(r", (?=\S)", columns)).limit(2 if name == "lineitem" else 1).write.parquet(
+            f"{tmp_path}/{name}.parquet"
+        )
+    tables = queries._agency(Source(spark, str(tmp_path)), True)
+    # sale 2 has no row yet, so its link is not there either
+    assert rows(tables["clientecompra"]) == [(1, "00000000001")] and rows(tables["clientevende"]) == []
+    for link in ("clientecompra", "clientevende"):
+        assert joins(tables[link]) == 0
