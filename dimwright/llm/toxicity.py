@@ -15,7 +15,9 @@ The index is block-max inverted: entries lie in blocks of ``BLOCK`` similar
 ones, the postings of a term are cut by block, and the greatest weight of each
 term in each block is kept. A query adds up these maxima, which bounds every
 cosine of a block, scores blocks from the highest bound down, and stops where
-the bound cannot reach the k-th nearest row found. The cosines are exact.
+the bound cannot reach the k-th nearest row found. Where the blocks left would
+cut the lists of its terms into many short pieces, the lists are read whole
+instead, which costs less. The cosines are exact.
 
 Neighbours vote with weight 1 / (1.05 - cosine), smoothed by the base rate.
 With ``CALIBRATED`` examples of each label at least, the vote is mapped to the
@@ -53,8 +55,8 @@ EXAMPLES = 3072  # labelled rows searched
 SHARE = 0.003  # of the examples must hold a term
 COMMON, TELLING = 0.1, 0.5  # share beyond which a term is a stop word, log-odds that keep it
 BLOCK = 64
+WHOLE = 0.3  # cuts of postings left to a search, for each posting, beyond which whole lists are read
 CALIBRATED = 30  # examples of each label that a map of votes needs
-WORDS = 1 << 16  # words of a task whose terms are kept at a time
 REMEMBERED = 1 << 12  # texts of a task whose score is kept for their copies
 BAR = 0.3
 SLACK = 1e-5  # what single precision may take from a bound
@@ -103,25 +105,29 @@ def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Terms:
-    """Kept terms by number, their weights, and the numbers that words stand for."""
+    """Kept terms by number, and their weights."""
 
     def __init__(self, names: list[str], weights: np.ndarray):
         self.number = {t: i for i, t in enumerate(names)}
         self.weights = weights
-        self.of_word: dict[str, tuple[int, ...]] = {}
 
     def counts(self, text: str | None) -> dict[int, int]:
-        """``term_counts`` of the kept terms, by number."""
+        """``term_counts`` of the kept terms, by number. A word is cut here, not
+        remembered: most words of a corpus are seen a few times only."""
         out: dict[int, int] = {}
+        number, held = self.number.get, out.get
         for word, n in Counter(WORD.findall(text.lower()) if text else ()).items():
-            numbers = self.of_word.get(word)
-            if numbers is None:
-                if len(self.of_word) >= WORDS:
-                    self.of_word.clear()
-                numbers = tuple(self.number[t] for t in term_counts(word) if t in self.number)
-                self.of_word[word] = numbers
-            for i in numbers:
-                out[i] = out.get(i, 0) + n
+            i = number(word)
+            if i is not None:
+                out[i] = held(i, 0) + n
+            if len(word) > 4:
+                i = number(word[:4] + "*")
+                if i is not None:
+                    out[i] = held(i, 0) + n
+                if len(word) > 5:
+                    i = number(word[:5] + "*")
+                    if i is not None:
+                        out[i] = held(i, 0) + n
         return out
 
 
@@ -209,10 +215,12 @@ class BlockMaxIndex:
         self.blocks = -(-self.size // BLOCK)
         self.terms = int(term.max()) + 1 if len(term) else 0
         order = np.lexsort((entry, term))
-        self.entry, self.weight = entry[order].astype(np.int32), weight[order]
+        self.entry, self.weight = entry[order], weight[order]
         cell = term[order] * self.blocks + self.entry // BLOCK
         held = np.bincount(cell, minlength=self.terms * self.blocks)
         self.held, self.cut = held.astype(np.uint8), (np.cumsum(held) - held).astype(np.int32)
+        self.posted = held.reshape(self.terms, self.blocks).sum(axis=1)
+        self.begin = np.cumsum(self.posted) - self.posted
         greatest = np.zeros(self.terms * self.blocks, np.float32)
         np.maximum.at(greatest, cell, self.weight)
         self.greatest = greatest.reshape(self.terms, self.blocks)
@@ -222,10 +230,13 @@ class BlockMaxIndex:
         cell = (ids[:, None] * self.blocks + blocks).ravel()
         some = np.flatnonzero(self.held[cell])
         length = self.held[cell[some]].astype(np.int64)
-        end = np.cumsum(length)
-        place = np.repeat(self.cut[cell[some]] - end + length, length)
+        return self._sums(self.cut[cell[some]], length, weights[some // len(blocks)])
+
+    def _sums(self, begin: np.ndarray, length: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What runs of postings add to each entry."""
+        place = np.repeat(begin - np.cumsum(length) + length, length)
         place += np.arange(len(place))
-        of = np.repeat(weights[some // len(blocks)], length)
+        of = np.repeat(weights, length)
         of *= self.weight[place]
         return np.bincount(self.entry[place], of, minlength=self.size)
 
@@ -243,9 +254,15 @@ class BlockMaxIndex:
         while at < len(order) and bound[order[at]] >= low:
             blocks = order[at : at + step]
             blocks = blocks[bound[blocks] >= low]
-            score += self._add(ids, weights, blocks)
-            self.scored += len(blocks)
-            at, step = at + step, step * 3
+            left = int(np.count_nonzero(bound[order[at:]] >= low))
+            if left * len(ids) > self.posted[ids].sum() * WHOLE:
+                score = self._sums(self.begin[ids], self.posted[ids], weights)
+                self.scored += left
+                at = len(order)
+            else:
+                score += self._add(ids, weights, blocks)
+                self.scored += len(blocks)
+                at, step = at + step, step * 3
             # any k entries hold k rows at least
             if self.size > k:
                 low = np.partition(score, -k)[-k]
@@ -351,7 +368,6 @@ def _score(terms, index, rate: float, without: float, shares, k: int, out: list[
                     ],
                     names=[*out, "score", "evidence"],
                 )
-        known.of_word.clear()  # the worker lives on
 
     return run
 

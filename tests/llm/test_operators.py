@@ -253,6 +253,33 @@ def test_block_max_search_skips_blocks():
     assert index.scored < 0.3 * 64 * index.blocks
 
 
+def test_search_reads_short_lists_whole(monkeypatch):
+    draw = np.random.default_rng(5)
+    entries = []
+    for i in range(900):  # some two postings of a term in a block
+        ids = np.sort(draw.choice(600, size=20, replace=False)).astype("<u4")
+        w = draw.random(20)
+        entries.append((ids.tobytes(), (w / np.linalg.norm(w)).astype("<f4").tobytes(), 1, 0, i))
+    index = toxicity.BlockMaxIndex(entries)
+    queries = [(np.frombuffer(e[0], "<u4"), np.frombuffer(e[1], "<f4")) for e in entries[::30]]
+    monkeypatch.setattr(toxicity, "WHOLE", math.inf)
+    cut = [index.search(*q, 10) for q in queries]
+    monkeypatch.undo()
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "_add", None)  # no list is cut
+    for q, (found, cosines) in zip(queries, cut):
+        whole = index.search(*q, 10)
+        assert (whole[0] == found).all() and (whole[1] == cosines).all()
+
+
+def test_words_are_not_remembered():
+    terms = toxicity.Terms(["gone", "gone*", "goner*"], np.ones(3))
+    held = {name: len(x) for name, x in vars(terms).items()}
+    text = "Gone goners gones goner gon " + " ".join("x" + "abcdefghij"[i % 10] * (i // 10 + 3) for i in range(500))
+    want = {terms.number[t]: n for t, n in toxicity.term_counts(text).items() if t in terms.number}
+    assert terms.counts(text) == want == {0: 1, 1: 3, 2: 1}
+    assert {name: len(x) for name, x in vars(terms).items()} == held
+
+
 def test_toxicity_is_calibrated(spark):
     # a third of the rows that hold telling words carry label 1, none of the others
     texts = _drawn_texts(400, 8)
