@@ -56,17 +56,17 @@ def _current_keys(dim: DataFrame, prefix: str, nk: str, alias: str) -> DataFrame
 def _sale_items(
     sale: DataFrame, sale_item: DataFrame, dims: SaleDims, c: SaleColumns
 ) -> DataFrame:
-    """Sale x item with broker, item and date keys, before any fan-out."""
-    lines = balanced_join(
-        sale_item.select(c.sale, c.item),
-        sale.select(c.sale, c.value, c.commission, c.date, c.broker),
-        c.sale,
-    )
+    """Sale x item with broker, item and date keys, before any fan-out.
+
+    Each key is looked up on the narrow table that holds it, before sales and
+    items meet: what is joined on the sale is not shuffled by another key again.
+    """
+    sold = sale.select(c.sale, c.value, c.commission, c.date, c.broker)
     brokers = _current_keys(dims.broker, "cor", "cor_cpf", c.broker)
-    lines = balanced_join(lines, brokers, c.broker)
+    sold = _with_date_key(balanced_join(sold, brokers, c.broker).drop(c.broker), dims.date, c)
     items = _current_keys(dims.item, "im", "im_id", c.item)
-    lines = balanced_join(lines, items, c.item)
-    return _with_date_key(lines, dims.date, c)
+    lines = balanced_join(sale_item.select(c.sale, c.item), items, c.item).drop(c.item)
+    return balanced_join(lines, sold.drop(c.date), c.sale)
 
 
 def participants(buyers: DataFrame, sellers: DataFrame, c: SaleColumns = COLUMNS) -> DataFrame:
@@ -114,11 +114,12 @@ def participant_fact(
         F.count(F.when(F.col("tv_tipo_cliente") == BUYER, 1)).cast("int").alias("tv_total_compradores"),
         F.count(F.when(F.col("tv_tipo_cliente") == SELLER, 1)).cast("int").alias("tv_total_vendedores"),
     )
+    # the totals count clients without a version too; the rows need one, found before the fan-out
+    clients = _current_keys(dims.client, "cl", "cl_cpf", c.client)
+    known = balanced_join(everyone, clients, c.client).drop(c.client)
     lines = _sale_items(sale, sale_item, dims, c)
     lines = balanced_join(lines, totals, c.sale)
-    rows = balanced_join(everyone, lines, c.sale)
-    clients = _current_keys(dims.client, "cl", "cl_cpf", c.client)
-    rows = balanced_join(rows, clients, c.client)
+    rows = balanced_join(known, lines, c.sale)
 
     peers = F.when(
         F.col("tv_tipo_cliente") == BUYER, F.col("tv_total_compradores")
@@ -318,13 +319,11 @@ def _item_days(
     date_dim: DataFrame | None,
     c: SaleColumns,
 ) -> DataFrame:
-    """Commission of each sale x item with its keys."""
-    lines = balanced_join(
-        sale_item.select(c.sale, c.item), sale.select(c.sale, c.commission, c.date), c.sale
-    )
+    """Commission of each sale x item with its keys, looked up as for ``_sale_items``."""
+    sold = _with_date_key(sale.select(c.sale, c.commission, c.date), date_dim, c)
     items = _current_keys(item_dim, "im", "im_id", c.item)
-    lines = balanced_join(lines, items, c.item)
-    return _with_date_key(lines, date_dim, c)
+    lines = balanced_join(sale_item.select(c.sale, c.item), items, c.item).drop(c.item)
+    return balanced_join(lines, sold.drop(c.date), c.sale)
 
 
 def aggregate_fact(

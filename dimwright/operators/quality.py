@@ -160,14 +160,18 @@ def reconcile(
     """
     per_sale = sale_item.groupBy(c.sale).agg(F.count("*").alias("_items"))
     sold = sale.select(c.sale, c.value, c.commission).join(per_sale, c.sale)
+    # both sides of the source in one pass over the joined sales
+    sums = {}
+    for m, x in (("valor", c.value), ("comissao", c.commission)):
+        sums[f"{m}_origem"] = _exact(x)
+        sums[f"{m}_origem_itens"] = F.sum(F.col(x).cast("decimal(28,10)") * F.col("_items"))
+    source = sold.agg(*[total.cast("double").alias(name) for name, total in sums.items()])
+    pair = [
+        F.struct(F.lit(side).alias("side"), *[F.col(f"{m}_{side}").alias(m) for m in ("valor", "comissao")])
+        for side in ("origem", "origem_itens")
+    ]
     sides = [
-        sold.agg(_exact(c.value).alias("valor"), _exact(c.commission).alias("comissao")).withColumn(
-            "side", F.lit("origem")
-        ),
-        sold.agg(
-            F.sum(F.col(c.value).cast("decimal(28,10)") * F.col("_items")).alias("valor"),
-            F.sum(F.col(c.commission).cast("decimal(28,10)") * F.col("_items")).alias("comissao"),
-        ).withColumn("side", F.lit("origem_itens")),
+        source.select(F.inline(F.array(*pair))),
         participant_fact.groupBy(
             F.when(F.col("tv_tipo_cliente") == BUYER, "compradores")
             .when(F.col("tv_tipo_cliente") == SELLER, "vendedores")

@@ -6,8 +6,8 @@ from pathlib import Path
 from conftest import T0, T1, frame, rows
 from pyspark.sql import functions as F
 
-from dimwright.operators.facts import SaleDims, due_sales, unresolved_sales
-from dimwright.operators.quality import differing_rows
+from dimwright.operators.facts import SaleDims, aggregate_fact, due_sales, participant_fact, sale_fact, unresolved_sales
+from dimwright.operators.quality import differing_rows, reconcile
 from dimwright.plans import queries, star
 from dimwright.session import fresh_path
 from dimwright.sources.lake import land_snapshot, publish_gold, read_landed
@@ -143,3 +143,64 @@ def test_early_links_are_stored_once(spark, tmp_path):
     assert rows(tables["clientecompra"]) == [(1, "00000000001")] and rows(tables["clientevende"]) == []
     for link in ("clientecompra", "clientevende"):
         assert joins(tables[link]) == 0
+
+
+def agency_tables(spark):
+    sale = frame(
+        spark,
+        [(1, 90.0, 9.0, T0.date(), "b"), (2, 50.0, 5.0, T0.date(), "x"), (3, None, 1.0, T0.date(), "b")],
+        "transvendaid long, transvendavalor double, transcomissao double, transvendadata date, funccpf string",
+    )
+    items = frame(spark, [(1, 7), (1, 8), (1, 9), (2, 7), (3, 8), (None, 8)], "transvendaid long, imovelid long")
+    links = "transvendaid long, clientecpf string"
+    buyers = frame(spark, [(1, "c"), (1, "gone"), (1, None), (3, "c"), (3, "c")], links)
+    sellers = frame(spark, [(1, "d"), (2, "c"), (None, "d")], links)
+    return sale, items, buyers, sellers
+
+
+def known_keys(spark):
+    def dim(prefix, nk, keys, kind):
+        found = [(k, i, i % 5 != 4) for i, k in enumerate(keys)]
+        return frame(spark, found, f"{prefix}_{nk} {kind}, {prefix}_sk long, {prefix}_is_atual boolean")
+
+    return SaleDims(
+        dim("cor", "cpf", ["b"], "string"), dim("im", "id", [7, 8], "long"), dim("cl", "cpf", ["c", "d"], "string")
+    )
+
+
+def lookups_of_joined_rows(df):
+    """Joins on a natural key whose input is a join already."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [re.search(r"[A-Za-z]", line + "z").start() for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if re.match(r"^\W*Join .*(funccpf|imovelid|clientecpf|transvendadata)#", line):
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            found += [line for below in lines[i + 1 : end] if re.match(r"^\W*Join ", below)]
+    return found
+
+
+def test_keys_are_looked_up_before_sales_fan_out(spark):
+    sale, items, buyers, sellers = agency_tables(spark)
+    dims = known_keys(spark)
+    fact = participant_fact(sale, items, buyers, sellers, dims)
+    assert rows(fact, "tv_id", "im_sk", "cl_sk", "tv_valor_cliente", "tv_total_compradores", "tv_total_vendedores") == [
+        (1, 0, 0, 30.0, 3, 1), (1, 0, 1, 90.0, 3, 1), (1, 1, 0, 30.0, 3, 1), (1, 1, 1, 90.0, 3, 1),
+        (3, 1, 0, None, 2, 0), (3, 1, 0, None, 2, 0),
+    ]
+    assert rows(sale_fact(sale, items, dims), "tv_id", "im_sk", "tv_comissao") == [(1, 0, 9.0), (1, 1, 9.0), (3, 1, 1.0)]
+    agg = aggregate_fact(sale, items, dims.item)
+    assert rows(agg, "im_sk", "ra_comissao_total") == [(0, 14.0), (1, 10.0)]
+    for df in (fact, sale_fact(sale, items, dims), agg):
+        assert lookups_of_joined_rows(df) == []
+
+
+def test_source_sides_are_summed_in_one_pass(spark):
+    sale, items, buyers, sellers = agency_tables(spark)
+    fact = participant_fact(sale, items, buyers, sellers, known_keys(spark))
+    report = reconcile(sale, items, fact)
+    assert rows(report, "medida", "origem", "origem_itens", "compradores", "vendedores") == [
+        ("comissao", 15.0, 33.0, 7.0, 18.0), ("valor", 140.0, 320.0, 60.0, 180.0),
+    ]
+    alone = reconcile(sale, items, fact.limit(0))
+    assert joins(alone) <= joins(fact.limit(0)) + 1
