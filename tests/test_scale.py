@@ -2,6 +2,7 @@
 
 import re
 from pathlib import Path
+from threading import Barrier
 
 from conftest import T0, T1, frame, rows
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from dimwright.operators.facts import SaleDims, aggregate_fact, due_sales, parti
 from dimwright.operators.quality import differing_rows, reconcile
 from dimwright.plans import queries, star
 from dimwright.session import fresh_path
+from dimwright.sources import lake as landing
 from dimwright.sources.lake import land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
 from test_star import early
@@ -204,3 +206,15 @@ def test_source_sides_are_summed_in_one_pass(spark):
     ]
     alone = reconcile(sale, items, fact.limit(0))
     assert joins(alone) <= joins(fact.limit(0)) + 1
+
+
+def test_tables_are_landed_side_by_side(spark, monkeypatch):
+    both, write = Barrier(2, timeout=60), landing._write
+    monkeypatch.setattr(landing, "SIDE_BY_SIDE", 2)
+    monkeypatch.setattr(landing, "_write", lambda *args: (both.wait(), write(*args)))
+    tables = {name: frame(spark, [(i, name)], "n long, t string") for i, name in enumerate("dcba")}
+    out = fresh_path(spark, "bronze")
+    assert land_snapshot(tables, out) == ["a", "b", "c", "d"] and land_snapshot({}, out) == []
+    assert {n: rows(read_landed(spark, f"{out}/{n}", df.schema)) for n, df in tables.items()} == {
+        "a": [(3, "a")], "b": [(2, "b")], "c": [(1, "c")], "d": [(0, "d")],
+    }
