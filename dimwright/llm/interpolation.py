@@ -8,8 +8,8 @@ the events of the deleted part are counted. Then all training texts count.
 
 Every word of the training texts is a class of its own; words of none of them
 share one class without counts. The ``VOCABULARY`` most frequent words have
-numbers and their counts are broadcast, a table of fixed size. Pairs that hold another word
-go by the words' hashes: they are grouped, and the counts of such words are
+numbers and their counts are broadcast, a table of bounded size. Pairs that hold another word
+go by the words' hashes: they are stored, grouped, and the counts of such words are
 joined to them. Which way a pair goes does not change its probability.
 
 Counts of pairs and their uses meet by a hash of the pair. Tasks send arrays
@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from dimwright.llm import common
 from dimwright.llm.common import forget, store
 
-# (VOCABULARY + 2) ** 2 pairs fit 32 bits.
-VOCABULARY, HOT = 65_000, 256
+# (VOCABULARY + 2) ** 2 pairs fit PAIR_BYTES.
+VOCABULARY, HOT, PAIR_BYTES = (1 << 20) - 2, 256, 5
 END, OTHER, FIRST = 0, 1, 2  # class numbers; words follow by falling frequency
 END_HASH = -1
-GROUP_TOKENS = 4_000_000
+GROUP_TOKENS, HELD_TOKENS = 2_000_000, 2_000_000
 BUCKETS = 40
 STEPS = 4  # bins per power of two of the estimates in the event counts
 EM_ROUNDS = 60
@@ -81,11 +81,15 @@ class Tokens:
 class Vocab:
     """Class of a word hash, and class counts."""
 
-    def __init__(self, hashes: list[int], counts: list[int], dev: list[int], end: tuple[int, int], total: tuple[int, int]):
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, dev: np.ndarray, end: tuple[int, int], total: tuple[int, int]):
         self.width = len(hashes) + FIRST
         order = np.argsort(np.array(hashes, dtype=np.int64))
         self.sorted = np.array(hashes, dtype=np.int64)[order]
-        self.number = order + FIRST
+        self.number = (order + FIRST).astype(np.int32)
+        # hashes lie evenly: their leading bits lead to a run of about one
+        self.shift = np.uint64(64 - max(1, len(hashes).bit_length()))
+        slots = np.arange((1 << (64 - int(self.shift))) + 1)
+        self.first = np.searchsorted(self._slot(self.sorted), slots).astype(np.int32)
         c, d = np.array(counts, dtype=np.int64), np.array(dev, dtype=np.int64)
         self.counts = np.concatenate([[end[0], total[0] - end[0] - c.sum()], c])
         self.core = self.counts - np.concatenate([[end[1], total[1] - end[1] - d.sum()], d])
@@ -97,11 +101,21 @@ class Vocab:
     def hot(self, code: np.ndarray) -> np.ndarray:
         return self.numbered(code) & (code // self.width < HOT + FIRST) & (code % self.width < HOT + FIRST)
 
+    def _slot(self, words: np.ndarray) -> np.ndarray:
+        return ((words.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).astype(np.int64)
+
     def classes(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.sorted):
-            return np.full(len(words), OTHER, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.sorted, words), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == words, self.number[at], OTHER)
+        out = np.full(len(words), OTHER, dtype=np.int64)
+        slot = self._slot(words)
+        at, end = self.first[slot], self.first[slot + 1]
+        left = np.flatnonzero(at < end)
+        at, end, asked = at[left], end[left], words[left]
+        while len(left):
+            same = self.sorted[at] == asked
+            out[left[same]] = self.number[at[same]]
+            on = ~same & (at + 1 < end)
+            left, at, end, asked = left[on], at[on] + 1, end[on], asked[on]
+        return out
 
 
 def bucket(counts: np.ndarray) -> np.ndarray:
@@ -110,7 +124,7 @@ def bucket(counts: np.ndarray) -> np.ndarray:
 
 def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys and the sums of the values."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     sums = [np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values]
@@ -147,7 +161,21 @@ def _dealt(code: np.ndarray, groups: int) -> np.ndarray:
     return (common.mix(code.astype(np.uint64)) % np.uint64(groups)).astype(np.int64)
 
 
+def _packed(code: np.ndarray) -> bytes:
+    return np.ascontiguousarray(code.astype("<i8").view(np.uint8).reshape(-1, 8)[:, :PAIR_BYTES]).tobytes()
+
+
+def _unpacked(raw: pa.Scalar) -> np.ndarray:
+    short = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, PAIR_BYTES)
+    wide = np.zeros((len(short), 8), dtype=np.uint8)
+    wide[:, :PAIR_BYTES] = short
+    return wide.view("<i8").ravel()
+
+
 def _slices(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Places of each group, in their order."""
+    if len(group) and group.max() < 1 << 16:
+        group = group.astype(np.uint16)
     order = np.argsort(group, kind="stable")
     ranked = group[order]
     for run in np.split(order, np.flatnonzero(np.diff(ranked)) + 1):
@@ -158,11 +186,16 @@ def _slices(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def _pair_counts(shared, groups: int) -> Callable:
     """One row per task part and group: pairs with their core and deleted counts."""
 
-    def pack(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        code, core, dev = _sum_by(*(np.concatenate(c) for c in zip(*held)))
-        out = []
+    def pack(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key = np.sort(np.concatenate(held))
+        held.clear()
+        code = key >> 1
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+        dev = np.add.reduceat(key & 1, first) if len(first) else key
+        core = np.diff(np.append(first, len(key))) - dev
+        code, out = code[first], []
         for g, run in _slices(_dealt(code, groups)):
-            out.append((g, *(x[run].astype("<u4").tobytes() for x in (code, core, dev))))
+            out.append((g, _packed(code[run]), *(x[run].astype("<u4").tobytes() for x in (core, dev))))
         if out:
             kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -171,7 +204,7 @@ def _pair_counts(shared, groups: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = shared.value
-        held: list[tuple[np.ndarray, ...]] = []
+        held: list[np.ndarray] = []
         size = 0
         for batch in batches:
             for part in common.chunks(batch, "text"):
@@ -179,12 +212,11 @@ def _pair_counts(shared, groups: int) -> Callable:
                 code, row = tokens.pairs(tokens.classes(vocab), vocab.width)
                 role = np.asarray(part["role"])[row]
                 own = (role > 0) & vocab.numbered(code)
-                code, role = code[own], role[own]
-                held.append(_sum_by(code, (role == 1).astype(np.int64), (role == 2).astype(np.int64)))
-                size += len(held[-1][0])
-                if size > 3_000_000:
+                held.append(code[own] * 2 + (role[own] == 2))
+                size += len(held[-1])
+                if size > HELD_TOKENS:
                     yield from pack(held)
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from pack(held)
 
@@ -206,8 +238,8 @@ def _events(shared) -> Callable:
     def run(table: pa.Table) -> pa.Table:
         vocab = shared.value
         parts = [
-            tuple(np.frombuffer(row[c].as_buffer(), "<u4").astype(np.int64) for c in ("code", "core", "dev"))
-            for row in (dict(zip(table.column_names, r)) for r in zip(*(table[c] for c in table.column_names)))
+            (_unpacked(c), *(np.frombuffer(x.as_buffer(), "<u4").astype(np.int64) for x in n))
+            for c, *n in zip(*(table[c] for c in ("code", "core", "dev")))
         ]
         code, core, dev = _sum_by(*(np.concatenate(c) for c in zip(*parts)))
         before, word = code // vocab.width, code % vocab.width
@@ -300,30 +332,6 @@ def _local(shared, hot_counts, weights: np.ndarray, classes: int, total: int, di
     return run
 
 
-def _rare_words(shared) -> Callable:
-    """(doc_id, word, m) of the words outside the vocabulary."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = shared.value
-        for batch in batches:
-            for part in common.chunks(batch, "text"):
-                tokens = Tokens(part)
-                rare = tokens.classes(vocab) == OTHER
-                word, doc = tokens.words[rare], tokens.doc[rare]
-                order = common.by_doc(doc, word)
-                word, doc = word[order], doc[order]
-                new = np.flatnonzero(
-                    np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])])[: len(word)]
-                )
-                m = np.diff(np.append(new, len(word)))
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(doc[new])), pa.array(word[new]), pa.array(m.astype(np.int32))],
-                    names=["doc_id", "word", "m"],
-                )
-
-    return run
-
-
 def _rare_pairs(shared) -> Callable:
     """(doc_id, before, word, m, core, dev) of each row's pairs that hold a word
     outside the vocabulary."""
@@ -407,20 +415,34 @@ def _rare_events(total: int) -> Callable:
     return run
 
 
-def _rare_scores(weights: np.ndarray, classes: int, total: int) -> Callable:
+SCORED = "before bigint, word bigint, known bigint, base double, score double"
+
+
+def _rare_scores(shared, weights: np.ndarray, classes: int, total: int, distinct: int) -> Callable:
+    """Score of every pair that holds a word outside the vocabulary; known and
+    base of its word, where that is the one outside."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = shared.value
         for batch in batches:
-            context, own, core, dev = _arrays(batch, "n_b", "n_w", "core", "dev")
-            score = log_prob(weights, classes, total, context, own, core + dev)
+            word, context, own, core, dev = _arrays(batch, "word", "n_b", "n_w", "core", "dev")
+            rare = (vocab.classes(word) == OTHER) & (word != END_HASH)
+            columns = [
+                ((own > 0) & rare).astype(np.int64),
+                np.where(rare, np.log10((own + 1.0) / (total + distinct + 1)), 0.0),
+                log_prob(weights, classes, total, context, own, core + dev),
+            ]
             yield pa.RecordBatch.from_arrays(
-                [batch["before"], batch["word"], pa.array(score)], names=["before", "word", "score"]
+                [batch["before"], batch["word"], *(pa.array(c) for c in columns)],
+                names=[c.split()[0] for c in SCORED.split(", ")],
             )
 
     return run
 
 
 def _pair_uses(shared, groups: int) -> Callable:
-    """One row per chunk and group: pairs with the row they are used in."""
+    """One row per chunk and group: pairs in the order of the rows they are used
+    in, and how many each row uses."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -438,16 +460,18 @@ def _pair_uses(shared, groups: int) -> Callable:
                 role = np.asarray(part["role"]).astype(np.uint8)
                 out = []
                 for g, take in _slices(_dealt(code, groups)):
-                    used, at = np.unique(row[take], return_inverse=True)
+                    mine = row[take]  # ascending
+                    first = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+                    used, many = mine[first], np.diff(np.append(first, len(mine)))
                     out.append(
-                        (g, chunk, code[take].astype("<u4").tobytes(), at.astype("<u4").tobytes(),
+                        (g, chunk, _packed(code[take]), many.astype("<u4").tobytes(),
                          ids[used].astype("<i8").tobytes(), role[used].tobytes())
                     )
                 if out:
                     kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                        names=["g", "chunk", "code", "at", "ids", "roles"],
+                        names=["g", "chunk", "code", "many", "ids", "roles"],
                     )
 
     return run
@@ -464,22 +488,20 @@ def _pair_scores(shared, weights: np.ndarray, classes: int, total: int) -> Calla
 
     def run(table: pa.Table) -> pa.Table:
         vocab = shared.value
-        codes, owners, ids, trains, shift = [], [], [], [], 0
-        for code, at, doc, role in zip(*(table[c] for c in ("code", "at", "ids", "roles"))):
-            where = np.frombuffer(at.as_buffer(), "<u4")
-            codes.append(np.frombuffer(code.as_buffer(), "<u4"))
-            owners.append(where.astype(np.int32) + shift)
-            ids.append(np.frombuffer(doc.as_buffer(), "<i8"))
-            trains.append(np.frombuffer(role.as_buffer(), np.uint8)[where] > 0)
-            shift += len(ids[-1])
-        code, owner, train = np.concatenate(codes), np.concatenate(owners), np.concatenate(trains)
-        kinds, kind = np.unique(code, return_inverse=True)
-        counts = np.bincount(kind, weights=train, minlength=len(kinds))
-        kinds = kinds.astype(np.int64)
+        code = np.concatenate([_unpacked(c) for c in table["code"]])
+        many = np.concatenate([np.frombuffer(m.as_buffer(), "<u4") for m in table["many"]])
+        ids = [np.frombuffer(doc.as_buffer(), "<i8") for doc in table["ids"]]
+        train = np.concatenate([np.frombuffer(role.as_buffer(), np.uint8) for role in table["roles"]]) > 0
+        order = np.argsort(code)
+        code = code[order]
+        owner = np.repeat(np.arange(len(many), dtype=np.int32), many)[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        kinds, counts = code[first], np.add.reduceat(train[owner], first, dtype=np.int64)
         score = log_prob(
             weights, classes, total, vocab.counts[kinds // vocab.width], vocab.counts[kinds % vocab.width], counts
         )
-        sums = np.bincount(owner, weights=score[kind], minlength=shift).astype("<f8")
+        score = np.repeat(score, np.diff(np.append(first, len(code))))
+        sums = np.bincount(owner, weights=score, minlength=len(many)).astype("<f8")
         cuts = np.cumsum([len(i) for i in ids])[:-1]
         return pa.table(
             {
@@ -500,6 +522,22 @@ def _chunk_scores(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": doc, "score": score})
 
 
+def _vocabulary(words: DataFrame, end: tuple[int, int], total: tuple[int, int]) -> Vocab:
+    """The words of the highest counts, as many counts as give ``VOCABULARY`` words at most:
+    no task ranks them all, and the driver gets a table of bounded size."""
+    least, listed = None, 0
+    # few rows: k distinct counts take k * k / 2 tokens
+    for r in sorted(words.groupBy("n").count().toArrow().to_pylist(), key=lambda r: -r["n"]):
+        listed += r["count"]
+        if listed > VOCABULARY:
+            break
+        least = r["n"]
+    found = words.filter(F.lit(False) if least is None else F.col("n") >= least).toArrow()
+    word, n, dev = (np.asarray(found[c].combine_chunks()) for c in ("word", "n", "dev"))
+    order = np.lexsort((word, -n))
+    return Vocab(word[order], n[order], dev[order], end, total)
+
+
 def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) for each
     doc_id of ``docs`` (doc_id, text). ``role``: 0 held out, 1 training, 2
@@ -516,8 +554,7 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     total, deleted, distinct = sums[0] or 0, sums[1] or 0, sums[2]
     ends = words.filter(F.col("word") == END_HASH).first()
     end = (ends["n"], ends["dev"]) if ends else (0, 0)
-    listed = words.filter(F.col("word") != END_HASH).orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    vocab = Vocab([r["word"] for r in listed], [r["n"] for r in listed], [r["dev"] for r in listed], end, (total, deleted))
+    vocab = _vocabulary(words.filter(F.col("word") != END_HASH), end, (total, deleted))
     shared = context.broadcast(vocab)
     classes = max(distinct, 1) + 1  # the words, the end, and what no training text holds
 
@@ -525,7 +562,7 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     pairs = rows.filter("role > 0").mapInArrow(
         _pair_counts(shared, groups), "g int, code binary, core binary, dev binary"
     )
-    rare_uses = rows.mapInArrow(_rare_pairs(shared), RARE)
+    rare_uses = store(rows.mapInArrow(_rare_pairs(shared), RARE), "lm-rare-uses")
     summed = rare_uses.groupBy("before", "word").agg(
         F.sum("core").alias("core"), F.sum("dev").alias("dev")
     )
@@ -545,27 +582,20 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
     hot_counts = context.broadcast(hot)
 
     local = rows.mapInArrow(_local(shared, hot_counts, weights, classes, total, distinct), PARTS)
-    n = F.coalesce(F.col("n"), F.lit(0))
-    rare = (
-        rows.mapInArrow(_rare_words(shared), "doc_id bigint, word bigint, m int")
-        .join(words.select("word", "n"), "word", "left")
-        .groupBy("doc_id")
-        .agg(
+    scores = rare_pairs.mapInArrow(_rare_scores(shared, weights, classes, total, distinct), SCORED)
+    used = rare_uses.select("doc_id", "before", "word", "m").join(scores, ["before", "word"])
+    rare = store(
+        used.groupBy("doc_id").agg(
             F.lit(0).cast("bigint").alias("n_tokens"),
-            F.sum(F.when(n > 0, F.col("m")).otherwise(0)).cast("bigint").alias("n_known"),
-            F.sum(F.col("m") * F.log10((n + 1) / F.lit(float(total + distinct + 1)))).alias("base"),
-            F.lit(0.0).alias("score"),
-        )
-    )
-    rare = store(rare, "lm-rare")
-    scores = rare_pairs.mapInArrow(
-        _rare_scores(weights, classes, total), "before bigint, word bigint, score double"
+            F.sum(F.col("m") * F.col("known")).alias("n_known"),
+            F.sum(F.col("m") * F.col("base")).alias("base"),
+            F.sum(F.col("m") * F.col("score")).alias("score"),
+        ),
+        "lm-rare",
     )
-    rare_used = rare_uses.select("doc_id", "before", "word", "m").join(scores, ["before", "word"])
-    rare_used = store(rare_used.groupBy("doc_id").agg(F.sum(F.col("m") * F.col("score")).alias("score")), "lm-rare-used")
-    forget(rare_pairs)
+    forget(rare_uses, rare_pairs)
     uses = rows.mapInArrow(
-        _pair_uses(shared, groups), "g int, chunk bigint, code binary, at binary, ids binary, roles binary"
+        _pair_uses(shared, groups), "g int, chunk bigint, code binary, many binary, ids binary, roles binary"
     )
     by_chunk = uses.groupBy("g").applyInArrow(_pair_scores(shared, weights, classes, total), "chunk bigint, ids binary, sums binary")
     used = by_chunk.groupBy("chunk").applyInArrow(_chunk_scores, "doc_id bigint, score double")
@@ -574,7 +604,7 @@ def score_texts(docs: DataFrame, role: F.Column) -> DataFrame:
         F.when(F.col("doc_id") != -(1 << 62), F.col("doc_id")).alias("doc_id"),
         "score",
     )
-    used = used.unionByName(rare_used).select(
+    used = used.select(
         "doc_id", zero.alias("n_tokens"), zero.alias("n_known"), F.lit(0.0).alias("base"), "score"
     )
     used = store(used.groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score"))), "lm-pairs")

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,6 +130,23 @@ def test_interpolation_does_not_depend_on_the_numbered_words(spark, docs, monkey
             assert got[i] == pytest.approx(want)
 
 
+def test_interpolation_numbers_as_many_words_as_fit(spark, monkeypatch):
+    """Pairs of more words than 32 bits hold keep their number; equal counts are numbered together or not at all."""
+    draw = np.random.default_rng(3)
+    hashes = np.unique(draw.integers(-(2**63), 2**63 - 1, 200_000))
+    counts = np.arange(len(hashes), 0, -1)
+    vocab = interpolation.Vocab(hashes, counts, counts * 0, (5, 0), (int(counts.sum()) + 5, 0))
+    asked = np.concatenate([hashes[::7], hashes[::5] + 1, [2**63 - 1, -(2**63)]])
+    number = {int(h): i + interpolation.FIRST for i, h in enumerate(hashes)}
+    assert vocab.classes(asked).tolist() == [number.get(int(h), interpolation.OTHER) for h in asked]
+    code = np.array([0, 1, vocab.width**2 - 1, (interpolation.VOCABULARY + 2) ** 2 - 1])
+    assert interpolation._unpacked(pa.scalar(interpolation._packed(code))).tolist() == code.tolist()
+    words = spark.createDataFrame([(i, n, 0) for i, n in enumerate([9, 4, 4, 1, 1, 1])], "word bigint, n bigint, dev bigint")
+    for fit, listed in ((6, 6), (5, 3), (3, 3), (2, 1), (0, 0)):
+        monkeypatch.setattr(interpolation, "VOCABULARY", fit)
+        assert interpolation._vocabulary(words, (0, 0), (20, 0)).width - interpolation.FIRST == listed
+
+
 def test_weights_follow_the_events():
     key = (5 * 2000 + (-4 + 999)) * 2000 + (-40 + 999)
     weights = interpolation.learn_weights({key: 100}, 1000)
