@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +28,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside give up their shuffle files once they have ended."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """``materialise``, after which the shuffle files of the work are given up:
     what follows reads the stored table."""
-    conf = df.sparkSession.conf
-    before = conf.get(CLEANUP, None)
-    conf.set(CLEANUP, "true")
-    try:
+    with dropping_shuffles(df.sparkSession):
         stored = materialise(df, label)
         stored.stored_at = stored.inputFiles()[:1]
         return stored
-    finally:
-        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
 def forget(*tables: DataFrame) -> None:

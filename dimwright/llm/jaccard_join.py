@@ -19,10 +19,11 @@ connected before its members are paired, and no link between different component
 the last step omits only pairs that are connected already.
 
 Families of texts just under the similarity share many tokens and are never
-connected. In the last step each text of up to ``SIGNED`` shingles therefore
-carries the parities of its shingles over 512 buckets: every differing bit
-stands for a shingle that one text has and the other lacks, so a pair with too
-many differing bits cannot reach the similarity and never becomes a row.
+connected. Each text therefore has the parities of its shingles over 512 buckets,
+or more for larger sets: every differing bit stands for a shingle that one text
+has and the other lacks, so a pair with too many differing bits cannot reach
+the similarity, and its whole sets are not compared. In the last step each text
+of up to ``SIGNED`` shingles carries 512 of them, and such a pair never becomes a row.
 
 The sketch is a fixed table of counters (a parameter). It steers the order and
 the choice of l, that is the work, never the result.
@@ -54,8 +55,9 @@ SKETCH_BITS, SKETCH_PART = 22, 16
 MOST_MATCHES = 8
 VERIFY_COST = 4.0
 BLOOM_BITS = 24
-# Buckets of a signature, in words of 64 bits, and the largest set that gets one: beyond it even
-# texts without a common shingle differ in too few buckets.
+# Buckets of a signature, in words of 64 bits, and the largest set that they serve: beyond it even
+# texts without a common shingle differ in too few buckets. Sets above half of it get twice the
+# buckets, and so on.
 SIGNATURE_WORDS = 8
 SIGNED = SIGNATURE_WORDS * 32 * (DENOMINATOR + NUMERATOR) // (2 * (DENOMINATOR - NUMERATOR))
 # A list is linked through hubs, then between neighbours in size, then whatever is apart still.
@@ -101,16 +103,17 @@ def set_keys(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 def signatures(owner: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
-    """Parities of each set's shingles by bucket; NULL for large and empty sets."""
-    has = (sizes > 0) & (sizes <= SIGNED)
-    place = np.cumsum(has) - 1
-    mine = has[owner]
-    bucket = (common.mix(value[mine]) >> np.uint64(32)) % np.uint64(SIGNATURE_WORDS * 64)
-    words = np.zeros(int(has.sum()) * SIGNATURE_WORDS, dtype=np.uint64)
-    at = place[owner[mine]] * SIGNATURE_WORDS + (bucket >> np.uint64(6)).astype(np.int64)
+    """Parities of each set's shingles by bucket; NULL for empty sets."""
+    has = sizes > 0
+    doubled = np.ceil(np.log2(np.maximum(sizes / (SIGNED // 2), 1.0))).astype(np.int64)
+    width = np.where(has, SIGNATURE_WORDS << doubled, 0)
+    begin = np.concatenate([[0], np.cumsum(width)])
+    bucket = (common.mix(value) >> np.uint64(32)) & (width[owner] * 64 - 1).astype(np.uint64)
+    words = np.zeros(begin[-1], dtype=np.uint64)
+    at = begin[owner] + (bucket >> np.uint64(6)).astype(np.int64)
     np.bitwise_xor.at(words, at, np.uint64(1) << (bucket & np.uint64(63)))
     # an entry whose begin is NULL is NULL
-    begin = pa.array(np.concatenate([[0], np.cumsum(has)]) * SIGNATURE_WORDS, pa.int32(), mask=np.append(~has, False))
+    begin = pa.array(begin, pa.int32(), mask=np.append(~has, False))
     return pa.ListArray.from_arrays(begin, pa.array(common.signed(words)))
 
 
@@ -185,14 +188,16 @@ def _sketch(survey: DataFrame, tasks: int) -> np.ndarray:
     """Counters of all tasks, added up 32 tasks at a time: no task ever holds
     more than 32 blocks, and the driver gets one table of fixed size."""
     blocks = survey.filter("part IS NOT NULL").select("part", "task", "counts")
-    while True:
-        grouped = blocks.groupBy("part", F.floor(F.col("task") / 32))
-        blocks = grouped.applyInArrow(_add_counters, "part int, task int, counts binary")
-        tasks = (tasks + 31) // 32
-        if tasks <= 1:
-            break
+    with common.dropping_shuffles(survey.sparkSession):
+        while True:
+            grouped = blocks.groupBy("part", F.floor(F.col("task") / 32))
+            blocks = grouped.applyInArrow(_add_counters, "part int, task int, counts binary")
+            tasks = (tasks + 31) // 32
+            if tasks <= 1:
+                break
+        added = blocks.collect()
     out = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
-    for row in blocks.collect():
+    for row in added:
         at = row["part"] << SKETCH_PART
         out[at : at + (1 << SKETCH_PART)] = np.frombuffer(row["counts"], dtype="<u8")
     return out
@@ -338,6 +343,26 @@ def _may_be_near():
     return F.coalesce(DENOMINATOR * (size - differ) >= NUMERATOR * (size + differ), F.lit(True))
 
 
+def _folded(signature, width):
+    """The signature over half as many buckets, where that is ``width``; NULL where even that is not."""
+    half = F.zip_with(F.slice(signature, 1, width), F.slice(signature, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(signature) == width, signature).when(F.size(signature) == 2 * width, half)
+
+
+def _plausible(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """The pairs that the signatures leave."""
+    joined = pairs
+    for side in ("a", "b"):
+        own = signed.select(F.col("key").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"_{side}"))
+        joined = joined.join(own, [side, f"n_{side}"], "left")
+    width = F.least(F.size("_a"), F.size("_b"))
+    bits = F.zip_with(_folded(F.col("_a"), width), _folded(F.col("_b"), width), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+    size = F.col("n_a") + F.col("n_b")
+    near = F.coalesce(DENOMINATOR * (size - differ) >= NUMERATOR * (size + differ), F.lit(True))
+    return joined.filter(near).select("a", "b", "n_a", "n_b")
+
+
 def _candidates(pairs: DataFrame, counted: bool) -> DataFrame:
     """Distinct pairs; if counted, those that share as many prefix tokens as the smaller l asks for."""
     if not counted:
@@ -387,6 +412,19 @@ def _verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return links
 
 
+def _joined_parts(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after new links: these are brought to the roots first, so the many links
+    between two components count once. Every root is a node of its own."""
+    edges = links
+    for side in ("a", "b"):
+        root = parts.select(F.col("node").alias(side), F.col("root").alias(f"_{side}"))
+        edges = edges.join(root, side, "left").withColumn(side, F.coalesce(f"_{side}", side)).drop(f"_{side}")
+    moved = connected_components(edges.select("a", "b").distinct())
+    new = moved.select(F.col("node").alias("root"), F.col("root").alias("_new"))
+    older = parts.join(new, "root", "left").select("node", F.coalesce("_new", "root").alias("root"))
+    return store(older.unionByName(moved.join(parts.select("node"), "node", "left_anti")), "parts")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     spark = docs.sparkSession
@@ -419,6 +457,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # the text has few of them and is a centre of its group.
     found = spanning(postings, "key").dropDuplicates(["token", "key"])
     shared = store(found.withColumn("early", F.min("at").over(Window.partitionBy("key"))), "shared-postings")
+    # sizes as in the postings
+    classes = survey.filter("signature IS NOT NULL").select("key", F.col("n").cast("int").alias("n"), "signature")
+    signed = store(classes.dropDuplicates(["key", "n"]), "signatures")
     parts = spark.createDataFrame([], "node bigint, root bigint")
     for step in STEPS:
         placed = shared.join(parts.withColumnRenamed("node", "key"), "key", "left")
@@ -426,8 +467,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         listed = mixed = store(spanning(placed, "part"), "mixed-postings")
         fits, extra = _sizes_fit(), []
         if step == LAST:
-            signed = survey.filter("signature IS NOT NULL").select("key", "signature").dropDuplicates(["key"])
-            mixed = mixed.join(signed, "key", "left")
+            short = signed.filter(F.col("n") <= SIGNED).withColumn("signature", _folded(F.col("signature"), F.lit(SIGNATURE_WORDS)))
+            mixed = mixed.join(short, ["key", "n"], "left")
             fits, extra = fits & _may_be_near(), ["signature"]
         order = {"hubs": ("early", "key"), "neighbours": ("n", "key")}.get(step)
         if order:
@@ -445,10 +486,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         right = right.select("token", *rank, F.col("part").alias("part_b"), *_side("b", extra))
         pairs = left.join(right, on).filter(apart & fits)
         # the linking steps meet a pair at some of its tokens only, so there one is enough
-        links = _verified(_candidates(_ascending(pairs), counted=step == LAST), rows)
-        known = parts.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        parts = connected_components(known.union(links))
+        met = _candidates(_ascending(pairs), counted=step == LAST)
+        links = _verified(_plausible(met, signed), rows)
+        parts = _joined_parts(parts, links)
         forget(listed, links)
+    forget(signed, shared)
     roots = parts
 
     classes = members.filter("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("_least"))

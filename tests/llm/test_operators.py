@@ -70,6 +70,33 @@ def test_jaccard_join_equals_brute_force(spark, docs):
     assert jaccard_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_jaccard_signatures_never_part_near_sets(spark):
+    """Sets of all sizes carry a signature; pairs far apart never get to their whole sets."""
+    draw = np.random.default_rng(7)
+    sets, pairs = [], []
+    for size in (1, 5, 100, 448, 449, 900, 5000, 20000):
+        base = draw.integers(0, 2**63, size).astype(np.uint64)
+        for kept in (1.0, 0.9, 0.86, 0.3, 0.0):
+            other = np.concatenate([base[: int(size * kept)], draw.integers(0, 2**63, size - int(size * kept)).astype(np.uint64)])
+            pairs.append((len(sets), len(sets) + 1, size, size, jaccard_join._can_reach(size, size, int(size * kept))))
+            sets += [base, other]
+    sizes = np.array([len(x) for x in sets])
+    signs = jaccard_join.signatures(np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets), sizes).to_pylist()
+    signed = spark.createDataFrame([(i, int(n), x) for i, (n, x) in enumerate(zip(sizes, signs))], "key bigint, n int, signature array<bigint>")
+    asked = spark.createDataFrame([p[:4] for p in pairs], "a bigint, b bigint, n_a int, n_b int")
+    left = {r.a for r in jaccard_join._plausible(asked, signed).collect()}
+    assert {p[0] for p in pairs if p[4]} <= left
+    assert not {p[0] for p, kept in zip(pairs, [1.0, 0.9, 0.86, 0.3, 0.0] * 8) if kept <= 0.3 and p[2] >= 100} & left
+
+
+def test_jaccard_links_join_components(spark):
+    """Links between components, within one and of new nodes, against one search over all."""
+    parts = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (5, 2), (3, 3), (9, 3)], "node bigint, root bigint")
+    links = spark.createDataFrame([(4, 5), (1, 5), (9, 10), (7, 8)], "a bigint, b bigint")
+    got = {(r.node, r.root) for r in jaccard_join._joined_parts(parts, links).collect()}
+    assert got == {(1, 1), (4, 1), (2, 1), (5, 1), (3, 3), (9, 3), (10, 3), (7, 7), (8, 7)}
+
+
 def test_sentencepiece_equals_the_library(spark, docs):
     import public_tokenizers
     import sentencepiece as library
