@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,8 +34,9 @@ from pyspark.sql import DataFrame
 from dimwright.llm.common import chunks
 
 BLANK = "▁"
-# Entries a Python worker remembers; a full memory starts anew.
-CACHE_UNITS, CACHE_PAIRS = 300_000, 600_000
+# Entries a Python worker remembers: of units, the newest so many and as many
+# before them; a full memory of pairs starts anew.
+CACHE_UNITS, CACHE_PAIRS = 150_000, 300_000
 # Kinds of vocabulary entries in the public model format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
@@ -64,6 +66,7 @@ class Vocabulary:
             raise ValueError("pieces must not span a blank inside")
         self.joinable = {c for p in longer for c in p}
         self.units: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self._compatible: dict[tuple[str, str], bool] = {}
         self._finder = None
 
@@ -88,9 +91,22 @@ class Vocabulary:
         if known is None:
             if len(self._compatible) >= CACHE_PAIRS:
                 self._compatible.clear()
+            # under the vocabulary's own strings: a cut of a text would be kept for each pair
+            key = (self.own(left), self.own(right))
             known = self._compatible[key] = self.merged(left + right) == [left, right]
         return known
 
+    def own(self, piece: str) -> str:
+        i = self.ids.get(piece)
+        return piece if i is None else self.pieces[i]
+
+    def recent(self) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Units remembered, and those remembered before; both live as long as
+        the worker, so no task adds to what the last one left."""
+        if len(self.units) > CACHE_UNITS:
+            self.units, self.older = {}, self.units
+        return self.units, self.older
+
     def matches(self, text: str) -> list[list[int]]:
         """For every place the ends of the pieces that start there, ascending;
         a single character always matches, known or not."""
@@ -142,7 +158,7 @@ class Vocabulary:
     def compatible_alone(self, piece: str) -> bool:
         known = self._compatible.get((piece, ""))
         if known is None:
-            known = self._compatible[(piece, "")] = self.merged(piece) == [piece]
+            known = self._compatible[(self.own(piece), "")] = self.merged(piece) == [piece]
         return known
 
     def unit_ids(self, unit: str) -> bytes:
@@ -154,7 +170,7 @@ class Vocabulary:
                 out.extend(self.bytes[b] for b in piece.encode("utf-8"))
             else:
                 out.append(i)
-        return np.array(out, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(out)}I", *out)
 
     def splitter(self) -> re.Pattern[str]:
         """Units: blanks with what follows them, and, apart, runs of characters
@@ -224,14 +240,11 @@ class Encoder:
     def __init__(self, vocab: Vocabulary):
         self.vocab, self.split = vocab, vocab.splitter()
         self.edges = np.array([vocab.begin, vocab.end], dtype="<u4").tobytes()
-        self.known, self.older = vocab.units, {}
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return self.edges
-        if len(self.known) > CACHE_UNITS:
-            self.older, self.known = self.known, {}  # what recurs is taken over again
-        known, older, out = self.known, self.older, []
+        (known, older), out = self.vocab.recent(), []  # what recurs is taken over again
         for unit in self.split.findall(BLANK + text.replace(" ", BLANK)):
             code = known.get(unit)
             if code is None:

@@ -38,6 +38,7 @@ columns are neither inputs nor results.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -350,16 +351,13 @@ def _score(terms, index, rate: float, without: float, shares, k: int, out: list[
             for part in chunks(batch, "_text"):
                 found = []
                 for text in part["_text"].to_pylist():
-                    key = hash(text)
-                    if key not in seen or seen[key][0] != text:
+                    # by digest: the texts themselves would be held twice and more
+                    key = text and hashlib.sha256(text.encode("utf-8")).digest()
+                    if key not in seen:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
-                        if text is None or len(text) < 4096:
-                            seen[key] = (text, judged(text))
-                        else:
-                            found.append(judged(text))
-                            continue
-                    found.append(seen[key][1])
+                        seen[key] = judged(text)
+                    found.append(seen[key])
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part[c] for c in out),

@@ -1,6 +1,7 @@
 """The text operators against brute force on small tables, with hard cases."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -121,6 +122,22 @@ def test_backtracking_equals_merging():
         assert vocab.cover(text) == vocab.merged(text)
 
 
+def test_units_and_pairs_remembered_are_bounded(monkeypatch):
+    """Over all tasks of a worker; pairs share the vocabulary's strings."""
+    monkeypatch.setattr(sentencepiece, "CACHE_UNITS", 100)
+    vocab = sentencepiece.Vocabulary(public_model())
+    unit = ["".join(x) for x in itertools.product("bcdgk", repeat=5)]
+    for task in range(5):
+        encoder = sentencepiece.Encoder(vocab)
+        for i in range(200):
+            encoder.ids(f"{unit[task * 200 + i]} the house")
+    dicts = {id(d): d for x in (encoder, vocab) for d in vars(x).values() if isinstance(d, dict)}
+    kept = [k for d in dicts.values() for k in d if isinstance(k, str) and k[1:] in unit and k not in vocab.ids]
+    assert 100 <= len(kept) <= 2 * 103
+    pairs = [p for pair in vocab._compatible for p in pair if p in vocab.ids and len(p) > 1]
+    assert pairs and all(p is vocab.pieces[vocab.ids[p]] for p in pairs)
+
+
 def test_interpolation_base_counts_and_probabilities(spark, docs):
     role = F.when(F.col("doc_id") % 4 == 0, 0).when(F.col("doc_id") % 4 == 1, 2).otherwise(1)
     got = {r.doc_id: r for r in interpolation.score_texts(docs.select("doc_id", "text"), role).collect()}
@@ -325,6 +342,34 @@ def test_words_are_not_remembered():
     assert {name: len(x) for name, x in vars(terms).items()} == held
 
 
+def test_scored_texts_are_not_kept(spark):
+    """Copies are told by a digest, so a task does not hold thousands of texts."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    terms = toxicity.Terms(["word"], np.ones(1))
+    index = toxicity.BlockMaxIndex([(np.zeros(1, "<u4").tobytes(), np.ones(1, "<f4").tobytes(), 1, 0, 7)])
+    run = toxicity._score(SimpleNamespace(value=terms), SimpleNamespace(value=index), 0.5, 0.25, None, 5, [])
+
+    def batches():
+        for i in range(20):
+            texts = [f"word {i} {j} " * 300 for j in range(50)]
+            yield pa.RecordBatch.from_arrays([pa.array([*texts, None, texts[0]], pa.string())], names=["_text"])
+
+    tracemalloc.start()
+    try:
+        scores = [x for part in run(batches()) for x in part["score"].to_pylist()]
+        out = run(batches())
+        before = tracemalloc.get_traced_memory()[0]
+        for _ in range(20):
+            next(out)
+        grown = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert len(scores) == 20 * 52 and scores[50] == 0.25 and scores[51] == scores[0] != 0.25
+    assert grown < 1_500_000  # 1,000 texts of some 3,000 characters, less the last batch
+
+
 def test_toxicity_is_calibrated(spark):
     # a third of the rows that hold telling words carry label 1, none of the others
     texts = _drawn_texts(400, 8)
