@@ -129,18 +129,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = 0x9E3779B97F4A7C15 | 1
+_STEP = 1 << 13
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"][:n], _powers["down"][:n]
+def _series(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+def _power(name: str, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of a base modulo 2**64, in two tables whose product at
+    (place // _STEP, place % _STEP) is that of the place, for ``n`` places:
+    a table of all places would be as large as the work itself."""
+    if name not in _powers:
+        _powers[name] = _series(base, _STEP)
+    blocks = max(n, CHUNK_BYTES) // _STEP + 1
+    if len(_powers.get(f"{name} blocks", ())) < blocks:
+        _powers[f"{name} blocks"] = _series(pow(base, _STEP, 1 << 64), blocks)
+    return _powers[f"{name} blocks"], _powers[name]
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -148,10 +156,19 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     places of its bytes, taken for all words at once from running sums."""
     if not len(start):
         return np.zeros(0, np.uint64)
-    up, down = _power(len(raw))
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * up, dtype=np.uint64, out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start])
+    block, place = _power("up", _BASE, len(raw))
+    sums = _BYTE[raw]
+    for i, at in enumerate(range(0, len(raw), _STEP)):
+        part = sums[at : at + _STEP]
+        part *= place[: len(part)]
+        part *= block[i]
+    np.cumsum(sums, out=sums)
+    value = sums[end - 1]
+    value -= np.where(start > 0, sums[start - 1], np.uint64(0))
+    block, place = _power("down", pow(_BASE, -1, 1 << 64), len(raw))
+    value *= block[start // _STEP]
+    value *= place[start % _STEP]
+    return mix(value)
 
 
 def sequence_hashes(words: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

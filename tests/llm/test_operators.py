@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimwright.llm import (
+    common,
     decontaminate,
     interpolation,
     jaccard_join,
@@ -138,6 +139,29 @@ def test_units_and_pairs_remembered_are_bounded(monkeypatch):
     assert pairs and all(p is vocab.pieces[vocab.ids[p]] for p in pairs)
 
 
+def test_word_hashes_need_little_beside_the_text():
+    """Equal to the sum over places, without tables as long as the chunk."""
+    import tracemalloc
+
+    raw, at = common.text_bytes(pa.array(["", "ab c", "ab", None, "c " * (common.CHUNK_BYTES // 2)]))
+    start, end, _ = common.word_spans(raw, at)
+    common._powers.clear()
+    tracemalloc.start()
+    try:
+        got = common.word_hashes(raw, start, end)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    inverse = pow(common._BASE, -1, 1 << 64)
+    for i in (0, 1, 2, 3, 9_000, len(start) - 1):
+        places = range(start[i], end[i])
+        total = sum(int(common._BYTE[raw[p]]) * pow(common._BASE, p, 1 << 64) for p in places)
+        value = total * pow(inverse, int(start[i]), 1 << 64) % (1 << 64)
+        assert got[i] == common.mix(np.array([value], dtype=np.uint64))[0]
+    assert got[0] == got[2] and got[1] == got[3] == got[-1]
+    assert peak < 28 * common.CHUNK_BYTES  # the sums, and for each word, of two bytes here, two or three numbers
+
+
 def test_interpolation_base_counts_and_probabilities(spark, docs):
     role = F.when(F.col("doc_id") % 4 == 0, 0).when(F.col("doc_id") % 4 == 1, 2).otherwise(1)
     got = {r.doc_id: r for r in interpolation.score_texts(docs.select("doc_id", "text"), role).collect()}
