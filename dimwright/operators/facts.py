@@ -47,14 +47,14 @@ class SaleDims:
 COLUMNS = SaleColumns()
 
 
-def _current_keys(dim: DataFrame, prefix: str, nk: str, alias: str) -> DataFrame:
+def _current_keys(dim: DataFrame, prefix: str, nk: str, alias: str, *more: Column) -> DataFrame:
     return dim.filter(F.col(f"{prefix}_is_atual")).select(
-        F.col(nk).alias(alias), F.col(f"{prefix}_sk")
+        F.col(nk).alias(alias), F.col(f"{prefix}_sk"), *more
     )
 
 
 def _sale_items(
-    sale: DataFrame, sale_item: DataFrame, dims: SaleDims, c: SaleColumns
+    sale: DataFrame, sale_item: DataFrame, dims: SaleDims, c: SaleColumns, *of_item: Column
 ) -> DataFrame:
     """Sale x item with broker, item and date keys, before any fan-out.
 
@@ -64,7 +64,7 @@ def _sale_items(
     sold = sale.select(c.sale, c.value, c.commission, c.date, c.broker)
     brokers = _current_keys(dims.broker, "cor", "cor_cpf", c.broker)
     sold = _with_date_key(balanced_join(sold, brokers, c.broker).drop(c.broker), dims.date, c)
-    items = _current_keys(dims.item, "im", "im_id", c.item)
+    items = _current_keys(dims.item, "im", "im_id", c.item, *of_item)
     lines = balanced_join(sale_item.select(c.sale, c.item), items, c.item).drop(c.item)
     return balanced_join(lines, sold.drop(c.date), c.sale)
 
@@ -89,6 +89,7 @@ def participant_fact(
     c: SaleColumns = COLUMNS,
     new_sales: DataFrame | None = None,
     existing: DataFrame | None = None,
+    carried: Column | None = None,
 ) -> DataFrame:
     """One row per sale x item x participant; value and commission are shared
     equally inside a role, and both role totals stand on every row.
@@ -97,6 +98,7 @@ def participant_fact(
     built. With ``existing`` as well, sales it holds unchanged are left out;
     one that has got further participants or items since comes back whole,
     with new shares, to take the place of its held rows (``replace_sales``).
+    ``carried``, a struct of the item's row, stands on every row as ``_item``.
     """
     everyone = participants(buyers, sellers, c)
     if new_sales is not None:
@@ -117,7 +119,8 @@ def participant_fact(
     # the totals count clients without a version too; the rows need one, found before the fan-out
     clients = _current_keys(dims.client, "cl", "cl_cpf", c.client)
     known = balanced_join(everyone, clients, c.client).drop(c.client)
-    lines = _sale_items(sale, sale_item, dims, c)
+    more = [] if carried is None else [carried.alias("_item")]
+    lines = _sale_items(sale, sale_item, dims, c, *more)
     lines = balanced_join(lines, totals, c.sale)
     rows = balanced_join(known, lines, c.sale)
 
@@ -137,6 +140,7 @@ def participant_fact(
         "im_sk",
         "cl_sk",
         "dt_sk",
+        *(["_item"] if more else []),
     )
     return fact
 

@@ -104,27 +104,32 @@ def link_benchmark(
     and month first, so exact band and fallback come out of a single look-up,
     and city and band are worked out per item rather than per sale.
     """
-    return _linked(_with_item(fact, item_dim, kind), market).select(
+    return _linked(_with_item(fact, item_dim, of_item(kind)), market).select(
         *fact.columns, *(["mk_sk"] if "mk_sk" not in fact.columns else [])
     )
 
 
-def _with_item(fact: DataFrame, item_dim: DataFrame, kind: str, *more: Column) -> DataFrame:
-    """The fact with what a link needs of its item, and ``more``: one join on
-    ``im_sk`` carries kind, folded city and band as a struct."""
+def of_item(kind: str, *more: Column) -> Column:
+    """What a link needs of an item, and ``more``, as the struct ``_item``."""
+    is_kind = F.col("im_tipo") == kind
+    return F.struct(
+        *more,
+        F.coalesce(is_kind, F.lit(False)).alias("of_kind"),
+        F.when(is_kind, fold_key("im_cidade")).alias("city"),
+        band_of("im_qtd_quartos").alias("band"),
+    ).alias("_item")
+
+
+def price_item(kind: str) -> Column:
+    """``of_item`` with what a unit price needs too."""
+    return of_item(kind, F.col("im_m2").alias("area"))
+
+
+def _with_item(fact: DataFrame, item_dim: DataFrame, item: Column) -> DataFrame:
+    """The fact with ``item``, by one join on ``im_sk``."""
     if "mk_sk" not in fact.columns:
         fact = fact.withColumn("mk_sk", F.lit(None).cast("long"))
-    is_kind = F.col("im_tipo") == kind
-    items = item_dim.select(
-        "im_sk",
-        F.struct(
-            *more,
-            F.coalesce(is_kind, F.lit(False)).alias("of_kind"),
-            F.when(is_kind, fold_key("im_cidade")).alias("city"),
-            band_of("im_qtd_quartos").alias("band"),
-        ).alias("_item"),
-    )
-    return balanced_join(fact, items, "im_sk", "left")
+    return balanced_join(fact, item_dim.select("im_sk", item), "im_sk", "left")
 
 
 def _linked(joined: DataFrame, market: DataFrame) -> DataFrame:
@@ -141,15 +146,26 @@ def _linked(joined: DataFrame, market: DataFrame) -> DataFrame:
 
 
 def price_and_link(
-    fact: DataFrame, item_dim: DataFrame, market: DataFrame, kind: str = "Apartamento"
+    fact: DataFrame,
+    item_dim: DataFrame,
+    market: DataFrame,
+    kind: str = "Apartamento",
+    fresh: DataFrame | None = None,
 ) -> DataFrame:
     """Unit price and benchmark link of a fact in one pass, each filled where
-    it is still NULL, and ``is_settled``: no later load can add anything."""
+    it is still NULL, and ``is_settled``: no later load can add anything.
+
+    ``fresh`` rows that carry their item (``price_item`` as ``_item``, taken
+    where the item was looked up) come in addition and need no join on it.
+    """
     if "tv_valor_m2" not in fact.columns:
         fact = fact.withColumn("tv_valor_m2", F.lit(None).cast("double"))
     if "mk_sk" not in fact.columns:
         fact = fact.withColumn("mk_sk", F.lit(None).cast("long"))
-    joined = _linked(_with_item(fact, item_dim, kind, F.col("im_m2").alias("area")), market)
+    rows = _with_item(fact, item_dim, price_item(kind))
+    if fresh is not None:
+        rows = rows.unionByName(fresh, allowMissingColumns=True)
+    joined = _linked(rows, market)
     price = F.coalesce("tv_valor_m2", unit_price("tv_valor", "_item.area"))
     linked = F.col("mk_sk").isNotNull() | ~F.col("_item.of_kind")
     return joined.withColumn("tv_valor_m2", price).select(

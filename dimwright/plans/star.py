@@ -28,7 +28,7 @@ from dimwright.operators.facts import (
     unresolved_sales,
 )
 from dimwright.operators.joins import balanced_join
-from dimwright.operators.market import price_and_link, sale_vs_market
+from dimwright.operators.market import price_and_link, price_item, sale_vs_market
 from dimwright.operators.scd1 import scd1_upsert
 from dimwright.operators.scd2 import (
     Merge,
@@ -213,8 +213,8 @@ def _buckets(load: Load) -> int:
     return int(load.lake.spark.conf.get(BUCKETS_CONF, str(BUCKETS)))
 
 
-def _put_sales(load: Load, rows: DataFrame, replaced: DataFrame | None = None) -> None:
-    """Store new sale rows and enrich those still open.
+def _put_sales(load: Load, fresh: DataFrame | None, replaced: DataFrame | None = None) -> None:
+    """Store new sale rows, which carry their item, and enrich those still open.
 
     Rows a later load can add nothing to are appended to their bucket, so only
     the open ones are read again. The rows held of ``replaced`` sales (tv_id)
@@ -223,7 +223,7 @@ def _put_sales(load: Load, rows: DataFrame, replaced: DataFrame | None = None) -
     """
     count = _buckets(load)
     bucket = F.pmod(F.xxhash64(F.col("tv_id").cast("long")), F.lit(count)).cast("int")
-    kept = None
+    kept, still_open = None, None
     if load.has(FACT):
         still_open = load.read(FACT, "open")
         if replaced is not None:
@@ -240,8 +240,9 @@ def _put_sales(load: Load, rows: DataFrame, replaced: DataFrame | None = None) -
                 for part in stale:
                     load.drop_part(FACT, part)
         load.drop_part(FACT, "open")
-        rows = still_open.unionByName(rows, allowMissingColumns=True)
-    fact = price_and_link(rows, load.read("imovel_dimension"), load.read(MARKET_TABLE), KIND)
+    if still_open is None:  # a first load has new rows only
+        still_open = empty(load.lake.spark, fresh.drop("_item").schema)
+    fact = price_and_link(still_open, load.read("imovel_dimension"), load.read(MARKET_TABLE), KIND, fresh)
     done = F.format_string(f"done-{count:04d}-%04d-{load.version:08d}", bucket)
     out = fact.withColumn("_part", F.when(F.col("is_settled"), done).otherwise("open")).drop("is_settled")
     if kept is not None:
@@ -366,7 +367,9 @@ def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime, ba
     parked = _park(load, t, dims, None)
     # as a rule nothing is parked, and the look-up is of an empty table
     whole = balanced_join(t["transvenda"], parked.select(COLUMNS.sale), COLUMNS.sale, "left_anti")
-    rows = participant_fact(whole, t["imoveltransacao"], t["clientecompra"], t["clientevende"], dims)
+    rows = participant_fact(
+        whole, t["imoveltransacao"], t["clientecompra"], t["clientevende"], dims, carried=price_item(KIND)
+    )
     agg = aggregate_fact(whole, t["imoveltransacao"], dims.item, dims.date)
     together(
         lake.spark,
@@ -418,7 +421,7 @@ def load_incremental(
     waiting = not parked.isEmpty()
     if "transvenda" not in seen.entities and not waiting:
         if market_long is not None or "imovel" in seen.entities:
-            _put_sales(load, empty(lake.spark, load.state[FACT].schema))
+            _put_sales(load, None)
         return load.commit()
 
     held = load.read(FACT)
@@ -428,7 +431,7 @@ def load_incremental(
     dims = _sale_dims(load)
     stay = _park(load, t, dims, due).select(COLUMNS.sale)
     ready = materialise(balanced_join(due, stay, COLUMNS.sale, "left_anti"), "ready")
-    rows = participant_fact(t["transvenda"], *links, dims, new_sales=ready)
+    rows = participant_fact(t["transvenda"], *links, dims, new_sales=ready, carried=price_item(KIND))
     replaced = materialise(
         ready.filter("is_held").select(F.col(COLUMNS.sale).alias("tv_id")), "replaced"
     )

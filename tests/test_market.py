@@ -2,11 +2,14 @@ from datetime import date
 
 import pytest
 from conftest import T0, frame, rows
+from pyspark.sql import functions as F
 
 from dimwright.operators.market import (
     benchmark_measures,
     link_benchmark,
     market_subset,
+    price_and_link,
+    price_item,
     sale_vs_market,
     wide_to_long,
 )
@@ -166,3 +169,25 @@ def test_market_load_modes_use_the_star_names(spark, index):
         (3, "RIO DE JANEIRO", "3D"),
         (4, "VITORIA", "Total"),
     ]
+
+
+def test_rows_that_carry_their_item_need_no_join_on_it(spark):
+    """New rows are priced and linked as after a look-up by ``im_sk``."""
+    items = spark.createDataFrame(
+        [(1, "Apartamento", "São Paulo", 2, 50), (2, "Casa", "São Paulo", 2, 80), (3, "Apartamento", None, None, None)],
+        "im_sk long, im_tipo string, im_cidade string, im_qtd_quartos int, im_m2 int",
+    )
+    market = spark.createDataFrame(
+        [(7, "sao paulo", date(2000, 1, 1), "2D"), (8, "sao paulo", date(2000, 2, 1), "Total")],
+        "mk_sk long, mk_cidade_norm string, mk_mes date, mk_dormitorios string",
+    )
+    sold = [(i, item, day, 100.0) for i, (item, day) in enumerate((x, d) for x in (1, 2, 3) for d in (20000105, 20000203, 20000301))]
+    fact = spark.createDataFrame(sold, "tv_id long, im_sk long, dt_sk int, tv_valor double")
+    expected = price_and_link(fact, items, market)
+    carried = fact.join(items.select("im_sk", price_item("Apartamento")), "im_sk", "left").localCheckpoint()
+    none = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fact.schema])
+    got = price_and_link(none, items, market, fresh=carried)
+    assert got.columns == expected.columns
+    assert sorted(got.collect(), key=str) == sorted(expected.collect(), key=str)
+    assert {r["mk_sk"] for r in got.collect()} == {None, 7, 8}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # the index
