@@ -178,7 +178,7 @@ def test_rows_that_carry_their_item_need_no_join_on_it(spark):
         "im_sk long, im_tipo string, im_cidade string, im_qtd_quartos int, im_m2 int",
     )
     market = spark.createDataFrame(
-        [(7, "sao paulo", date(2000, 1, 1), "2D"), (8, "sao paulo", date(2000, 2, 1), "Total")],
+        [(7, "SAO PAULO", date(2000, 1, 1), "2D"), (8, "SAO PAULO", date(2000, 2, 1), "Total")],
         "mk_sk long, mk_cidade_norm string, mk_mes date, mk_dormitorios string",
     )
     sold = [(i, item, day, 100.0) for i, (item, day) in enumerate((x, d) for x in (1, 2, 3) for d in (20000105, 20000203, 20000301))]
