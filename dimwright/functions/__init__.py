@@ -4,6 +4,7 @@ from dimwright.functions.columns import (
     date_key,
     fold_ascii,
     fold_key,
+    hash_sums,
     month_of_date_key,
     parse_number,
     premium,
@@ -16,6 +17,7 @@ __all__ = [
     "date_key",
     "fold_ascii",
     "fold_key",
+    "hash_sums",
     "month_of_date_key",
     "parse_number",
     "premium",

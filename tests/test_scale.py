@@ -7,6 +7,7 @@ from threading import Barrier
 from conftest import T0, T1, frame, rows
 from pyspark.sql import functions as F
 
+from dimwright.functions import hash_sums
 from dimwright.operators.facts import SaleDims, aggregate_fact, due_sales, participant_fact, sale_fact, unresolved_sales
 from dimwright.operators.quality import differing_rows, reconcile
 from dimwright.plans import queries, star
@@ -14,6 +15,7 @@ from dimwright.session import fresh_path
 from dimwright.sources import lake as landing
 from dimwright.sources.lake import land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
+from dimwright.streaming.feed import snapshot_changes
 from test_star import early
 
 
@@ -218,3 +220,29 @@ def test_tables_are_landed_side_by_side(spark, monkeypatch):
     assert {n: rows(read_landed(spark, f"{out}/{n}", df.schema)) for n, df in tables.items()} == {
         "a": [(3, "a")], "b": [(2, "b")], "c": [(1, "c")], "d": [(0, "d")],
     }
+
+
+def test_snapshots_meet_without_a_join(spark):
+    before = frame(
+        spark, [(1, "a", 1.0), (1, "b", None), (2, None, 0.0), (3, "x", 1.0), (None, "n", 1.0)], "k int, t string, x double"
+    )
+    after = frame(
+        spark, [(1, "b", None), (1, "a", 1.0), (2, None, -0.0), (4, "y", 1.0), (4, "y", 1.0)], "k long, t string, x double"
+    )
+    found = snapshot_changes(before, after, "cliente", "k")
+    # the key's type differs, so keys and their rows are compared as text
+    assert rows(found) == [("cliente", "2", "U"), ("cliente", "4", "I")]
+    assert joins(found) == 0
+    same = snapshot_changes(after, after.orderBy("t"), "cliente", "k")
+    assert rows(same) == [] and joins(same) == 0
+
+
+def test_hash_sums_hold_for_any_order_and_tell_sets_apart(spark):
+    many = spark.range(1000).select(F.xxhash64("id").alias("h"))
+    sums = [c.alias(f"s{i}") for i, c in enumerate(hash_sums(F.col("h")))]
+    total = many.agg(*sums)
+    assert {f.dataType.simpleString() for f in total.schema} == {"bigint"}
+    whole = total.selectExpr("(s0 + s1 * 4194304 + cast(s2 as decimal(38,0)) * 17592186044416) % 18446744073709551616")
+    exact = many.agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).selectExpr("pmod(s, 18446744073709551616)")
+    assert rows(whole) == rows(exact)
+    assert rows(many.orderBy(F.desc("h")).agg(*sums)) == rows(total) != rows(many.filter("h % 7 <> 0").agg(*sums))
