@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimwright.functions import hash_sums
 from dimwright.operators.facts import BUYER, COLUMNS, SELLER, SaleColumns
 from dimwright.operators.joins import balanced_join
 
@@ -223,7 +224,7 @@ def differing_rows(there: DataFrame, here: DataFrame) -> DataFrame:
     side, repeats counted, the other lacks. Both have the same columns.
 
     Rows are dealt to buckets by their hash, and each bucket is reduced to a
-    count and two sums of hashes per side on the map side, so no row is
+    count and the sums of two hashes per side on the map side, so no row is
     shuffled for it. Only rows of buckets that differ are then compared by
     value; where none does, the sides are not read again.
     """
@@ -234,8 +235,8 @@ def differing_rows(there: DataFrame, here: DataFrame) -> DataFrame:
     def sides(one: DataFrame, other: DataFrame) -> DataFrame:
         return one.withColumn("_side", F.lit(1)).unionByName(other.withColumn("_side", F.lit(-1)))
 
-    def total(seed: int) -> Column:
-        return F.sum(F.xxhash64(F.lit(seed), *row).cast("decimal(20,0)") * F.col("_side"))
+    sums = [total for seed in (1, 2) for total in hash_sums(F.xxhash64(F.lit(seed), *row), F.col("_side"))]
+    names = [f"_sum_{i}" for i in range(len(sums))]
 
     digests = (
         sides(there, here)
@@ -243,14 +244,13 @@ def differing_rows(there: DataFrame, here: DataFrame) -> DataFrame:
         .agg(
             F.count(F.when(F.col("_side") == 1, 1)).alias("n"),
             F.sum("_side").alias("_count"),
-            total(1).alias("_one"),
-            total(2).alias("_two"),
+            *[total.alias(name) for total, name in zip(sums, names)],
         )
     )
     # at most a row per bucket
     found = digests.collect()
     n_rows = sum(r["n"] for r in found)
-    odd = [r["_bucket"] for r in found if r["_count"] or r["_one"] or r["_two"]]
+    odd = [r["_bucket"] for r in found if r["_count"] or any(r[name] for name in names)]
     spark = there.sparkSession
     if not odd:
         return spark.range(1).select(

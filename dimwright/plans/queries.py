@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -943,16 +943,23 @@ def pipeline_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
     state: rows of each current slice, and how many differ."""
     last = Source(spark, sf_dir)
     first = last.at(CUT)
-    steps = Lake(spark, fresh_path(spark, "lake"))
-    star.load_initial(steps, first.tables(), wide_to_long(first.wide_sheet()), TS0)
-    star.load_incremental(steps, last.tables(), wide_to_long(last.wide_sheet()), TS1)
-    once = Lake(spark, fresh_path(spark, "lake"))
-    star.load_initial(once, last.tables(), wide_to_long(last.wide_sheet()), TS1)
-    report = None
+    steps, once = (Lake(spark, fresh_path(spark, "lake")) for _ in range(2))
+
+    def by_steps() -> None:
+        star.load_initial(steps, first.tables(), wide_to_long(first.wide_sheet()), TS0)
+        star.load_incremental(steps, last.tables(), wide_to_long(last.wide_sheet()), TS1)
+
+    # neither lake knows of the other
+    together(
+        spark, by_steps, lambda: star.load_initial(once, last.tables(), wide_to_long(last.wide_sheet()), TS1)
+    )
     there, here = _natural(once), _natural(steps)
-    for name in sorted(there):
-        both = differing_rows(there[name], here[name]).select(
-            F.lit(name).alias("table_name"), "n_rows", "n_differing"
-        )
-        report = both if report is None else report.unionByName(both)
-    return report
+    names = sorted(there)
+    reports = together(spark, *(partial(differing_rows, there[name], here[name]) for name in names))
+    return reduce(
+        DataFrame.unionByName,
+        [
+            report.select(F.lit(name).alias("table_name"), "n_rows", "n_differing")
+            for name, report in zip(names, reports)
+        ],
+    )
