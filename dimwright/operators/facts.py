@@ -152,6 +152,7 @@ def due_sales(
     sellers: DataFrame,
     existing: DataFrame,
     c: SaleColumns = COLUMNS,
+    every: bool = False,
 ) -> DataFrame:
     """(sale, is_held) of the named sales that ``existing`` lacks, or holds
     with other numbers of buyers, sellers or items than the source has now.
@@ -159,46 +160,52 @@ def due_sales(
     A held sale that is named again unchanged keeps its rows, and with them
     the versions it was bound to. Links, items and held rows are stacked, cut
     to the named sales in one join and counted per sale in one pass, so a task
-    sorts two inputs, however many tables there are.
+    sorts two inputs, however many tables there are. Where ``every`` sale of
+    the source is named, a cut would spare nothing: rows are then combined
+    before they are shuffled, and nothing is joined or sorted.
     """
+    kinds = {kind: i for i, kind in enumerate(("named", "buyer", "seller", "item", "held"))}
     ids = named.select(c.sale).distinct()
     stack = [
-        ids.withColumn("_kind", F.lit("named")),
-        buyers.select(c.sale, F.lit("buyer").alias("_kind")),
-        sellers.select(c.sale, F.lit("seller").alias("_kind")),
-        sale_item.select(c.sale, F.lit("item").alias("_kind")),
+        (named.select(c.sale) if every else ids).withColumn("_kind", F.lit(kinds["named"])),
+        buyers.select(c.sale, F.lit(kinds["buyer"]).alias("_kind")),
+        sellers.select(c.sale, F.lit(kinds["seller"]).alias("_kind")),
+        sale_item.select(c.sale, F.lit(kinds["item"]).alias("_kind")),
         existing.select(
-            F.col("tv_id").alias(c.sale), F.lit("held").alias("_kind"), "im_sk", "tv_total_compradores", "tv_total_vendedores"
+            F.col("tv_id").alias(c.sale),
+            F.lit(kinds["held"]).alias("_kind"),
+            "im_sk",
+            "tv_total_compradores",
+            "tv_total_vendedores",
         ),
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stack)
-    is_held = F.max(F.col("_kind") == "held")
 
-    def tally(kind: str) -> Column:
-        return F.count(F.when(F.col("_kind") == kind, 1))
+    def of(kind: str) -> Column:
+        return F.col("_kind") == kinds[kind]
 
+    # a NULL id meets nothing, and is never held
+    # ids are distinct; a semi join would be repeated for every table
+    rows = rows.filter(F.col(c.sale).isNotNull()) if every else balanced_join(rows, ids, c.sale)
     # a row per sale and held item first, so items are counted without a set
-    per_item = (
-        balanced_join(rows, ids, c.sale)  # distinct; a semi join would be repeated for every table
-        .groupBy(c.sale, "im_sk")
-        .agg(
-            *[tally(kind).alias(f"_{kind}s") for kind in ("buyer", "seller", "item")],
-            F.max("tv_total_compradores").alias("_held_buyers"),
-            F.max("tv_total_vendedores").alias("_held_sellers"),
-            is_held.alias("is_held"),
-        )
+    per_item = rows.groupBy(c.sale, "im_sk").agg(
+        *[F.count(F.when(of(kind), 1)).alias(f"_{kind}s") for kind in ("buyer", "seller", "item")],
+        F.max("tv_total_compradores").alias("_held_buyers"),
+        F.max("tv_total_vendedores").alias("_held_sellers"),
+        F.max(of("held")).alias("is_held"),
+        F.max(of("named")).alias("_is_named"),
     )
     found = per_item.groupBy(c.sale).agg(
         *[F.sum(f"_{kind}s").alias(f"_{kind}s") for kind in ("buyer", "seller", "item")],
         *[F.max(f"_held_{kind}s").alias(f"_held_{kind}s") for kind in ("buyer", "seller")],
         F.count("im_sk").alias("_held_items"),
         F.max("is_held").alias("is_held"),
-    )
+        F.max("_is_named").alias("_is_named"),
+    ).filter("_is_named")
     same = reduce(
         lambda a, b: a & b, [F.col(f"_{x}") == F.col(f"_held_{x}") for x in ("buyers", "sellers", "items")]
     )
     due = found.filter(~F.col("is_held") | ~same).select(c.sale, "is_held")
-    # a NULL id meets nothing in the join and is never held
     return due.unionByName(ids.filter(F.col(c.sale).isNull()).withColumn("is_held", F.lit(False)))
 
 
@@ -254,18 +261,23 @@ def unresolved_sales(
     lost = balanced_join(lost, ids, c.sale)  # repeats count once below
 
     arrived = {"items": sale_item, "participants": everyone} | ({} if every_sale else {"sale": sale})
+    bits = {what: 1 << i for i, what in enumerate(("id", *arrived))}
     there = reduce(
         DataFrame.unionByName,
-        [df.select(c.sale, F.lit(what).alias("_what")) for what, df in arrived.items()],
+        [df.select(c.sale, F.lit(bits[what]).alias("_what")) for what, df in arrived.items()],
     )
     if not every_sale:  # few ids cut the tables before anything is shuffled
         there = balanced_join(there, ids, c.sale)
-    there = there.filter(F.col(c.sale).isNotNull()).unionByName(ids.withColumn("_what", F.lit("id")))
-    marks = there.groupBy(c.sale).agg(
-        *[F.max(F.col("_what") == what).alias(f"_{what}") for what in ("id", *arrived)]
-    )
-    absent = marks.filter("_id").select(
-        c.sale, F.explode(F.array(*[F.when(~F.col(f"_{what}"), F.lit(what)) for what in arrived])).alias("what")
+    there = there.filter(F.col(c.sale).isNotNull()).unionByName(ids.withColumn("_what", F.lit(bits["id"])))
+    marks = there.groupBy(c.sale).agg(F.bit_or("_what").alias("_there"))
+
+    def lacks(what: str) -> Column:
+        return F.col("_there").bitwiseAND(F.lit(bits[what])) == 0
+
+    # as a rule no sale lacks anything, so none is taken apart
+    some = marks.filter(~lacks("id") & reduce(lambda a, b: a | b, [lacks(what) for what in arrived]))
+    absent = some.select(
+        c.sale, F.explode(F.array(*[F.when(lacks(what), F.lit(what)) for what in arrived])).alias("what")
     )
     # at most six names a sale
     return (
@@ -371,19 +383,23 @@ def restate_parts(
     date_dim: DataFrame | None = None,
     c: SaleColumns = COLUMNS,
     held: DataFrame | None = None,
+    touched: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Kept and recomputed rows of :func:`restate_aggregate`; with ``held``
-    (sale ids) only those sales count."""
-    ids = new_sales.select(c.sale).distinct()
-    # as large as the batch, and read four times below
-    touched = materialise(touched_pairs(ids, sale, sale_item, c), "touched")
+    (sale ids) only those sales count. ``touched`` are the new sales' pairs,
+    stored, where the caller has found them."""
+    if touched is None:
+        ids = new_sales.select(c.sale).distinct()
+        # as large as the batch, and read four times below
+        touched = materialise(touched_pairs(ids, sale, sale_item, c), "touched")
     # only sales of touched items on touched days are read past this point
     days = touched.select(c.date).distinct()
     items = touched.select(c.item).distinct()
     near_sales = balanced_join(sale, days, c.date, "left_semi")
     near_items = balanced_join(sale_item, items, c.item, "left_semi")
     if held is not None:
-        near_sales = balanced_join(near_sales, held, c.sale, "left_semi")
+        # a fact holds a sale in many rows, which lie together
+        near_sales = balanced_join(near_sales, held.select(c.sale).distinct(), c.sale, "left_semi")
     lines = balanced_join(
         near_items.select(c.sale, c.item),
         near_sales.select(c.sale, c.commission, c.date),

@@ -14,6 +14,7 @@ from dimwright.functions import changed
 from dimwright.operators.joins import balanced_join
 from dimwright.operators.scd1 import require_unique
 from dimwright.operators.surrogate import assign_surrogate_keys, next_start
+from dimwright.session import materialise
 
 
 @dataclass(frozen=True)
@@ -158,7 +159,8 @@ def scd2_merge_parts(
         .filter(differs)
         .select(names.nk, *tracked, "_closes")
     )
-    keyed = assign_surrogate_keys(changes, names.sk, [names.nk], next_start(dim, names.sk))
+    # the order by key reads its rows twice: once stored, the join runs once
+    keyed = assign_surrogate_keys(materialise(changes, "changes"), names.sk, [names.nk], next_start(dim, names.sk))
     # all rows of a key that changed are in the source, so few are looked at
     require_unique(balanced_join(incoming.select(names.nk), keyed.select(names.nk).distinct(), names.nk, "left_semi"), [names.nk])
     others = [c for c in dim.columns if c not in keyed.columns]
@@ -265,7 +267,7 @@ def scd2_extend_parts(
         .withColumn("_closes", F.when(F.col(names.is_current), F.col("_newest")))
         .select(*carried, *new_attrs, "_closes")
     )
-    keyed = assign_surrogate_keys(changes, names.sk, [names.nk], next_start(dim, names.sk))
+    keyed = assign_surrogate_keys(materialise(changes, "changes"), names.sk, [names.nk], next_start(dim, names.sk))
     return Merge(filled, keyed, names, ts)
 
 

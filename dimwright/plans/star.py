@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from dimwright.operators.facts import (
     participant_fact,
     restate_parts,
     sale_fact,
+    touched_pairs,
     unresolved_sales,
 )
 from dimwright.operators.joins import balanced_join
@@ -70,6 +72,7 @@ KIND = "Apartamento"
 # sale rewrites one of them. The number is fixed by a lake's first load.
 BUCKETS_CONF = "spark.dimwright.saleBuckets"
 BUCKETS = 64
+OPEN = -1  # stands for the part of rows a later load may add to
 
 FACT, AGGREGATE, PARKED = "trans_venda_fact", "receita_agregada_fact", "venda_pendente"
 
@@ -243,11 +246,13 @@ def _put_sales(load: Load, fresh: DataFrame | None, replaced: DataFrame | None =
     if still_open is None:  # a first load has new rows only
         still_open = empty(load.lake.spark, fresh.drop("_item").schema)
     fact = price_and_link(still_open, load.read("imovel_dimension"), load.read(MARKET_TABLE), KIND, fresh)
-    done = F.format_string(f"done-{count:04d}-%04d-{load.version:08d}", bucket)
-    out = fact.withColumn("_part", F.when(F.col("is_settled"), done).otherwise("open")).drop("is_settled")
+    # parts are split by number and named once each, not row by row
+    out = fact.withColumn("_part", F.when(F.col("is_settled"), bucket).otherwise(OPEN)).drop("is_settled")
     if kept is not None:
-        out = out.unionByName(kept.withColumn("_part", done))
-    load.put_split(FACT, out, "_part")
+        out = out.unionByName(kept.withColumn("_part", bucket))
+    load.put_split(
+        FACT, out, "_part", lambda b: "open" if b == OPEN else f"done-{count:04d}-{b:04d}-{load.version:08d}"
+    )
 
 
 def _sale_dims(load: Load) -> SaleDims:
@@ -362,7 +367,9 @@ def load_initial(lake: Lake, t: Tables, market_long: DataFrame, ts: datetime, ba
     def market() -> None:
         put_market(load, market_long, ts)
 
-    _load_dims_initial(load, t, ts, market)
+    # a source may draw a table when it is first asked for
+    links = [partial(t.__getitem__, n) for n in ("imoveltransacao", "clientecompra", "clientevende")]
+    _load_dims_initial(load, t, ts, market, *links)
     dims = _sale_dims(load)
     parked = _park(load, t, dims, None)
     # as a rule nothing is parked, and the look-up is of an empty table
@@ -427,11 +434,12 @@ def load_incremental(
     held = load.read(FACT)
     links = t["imoveltransacao"], t["clientecompra"], t["clientevende"]
     named = _named_sales(t, seen).unionByName(parked)
-    due = materialise(due_sales(named, *links, held), "due")
+    due = materialise(due_sales(named, *links, held, every=seen.rows is None), "due")
     dims = _sale_dims(load)
-    stay = _park(load, t, dims, due).select(COLUMNS.sale)
+    near = _of_sales(t, due)
+    stay = _park(load, near, dims, due).select(COLUMNS.sale)
     ready = materialise(balanced_join(due, stay, COLUMNS.sale, "left_anti"), "ready")
-    rows = participant_fact(t["transvenda"], *links, dims, new_sales=ready, carried=price_item(KIND))
+    rows = participant_fact(*near.values(), dims, new_sales=ready, carried=price_item(KIND))
     replaced = materialise(
         ready.filter("is_held").select(F.col(COLUMNS.sale).alias("tv_id")), "replaced"
     )
@@ -441,10 +449,25 @@ def load_incremental(
         _put_sales(load, keyed, replaced)
 
     now_held = held.select(F.col("tv_id").alias(COLUMNS.sale)).unionByName(ready.select(COLUMNS.sale))
-    together(lake.spark, sales, lambda: _restate_months(load, t, ready.select(COLUMNS.sale), now_held))
+    together(lake.spark, sales, lambda: _restate_months(load, t, near, ready.select(COLUMNS.sale), now_held))
     return load.commit()
 
 
+def _of_sales(t: Tables, ids: DataFrame) -> dict[str, DataFrame]:
+    """Sales, items and participants of the given sales, stored: what follows
+    reads each of them several times, and no more than the batch."""
+    c = COLUMNS
+    of = {
+        "transvenda": [c.sale, c.value, c.commission, c.date, c.broker],
+        "imoveltransacao": [c.sale, c.item],
+        "clientecompra": [c.sale, c.client],
+        "clientevende": [c.sale, c.client],
+    }
+    cut = {n: balanced_join(t[n].select(*names), ids.select(c.sale), c.sale, "left_semi") for n, names in of.items()}
+    stored = together(ids.sparkSession, *[partial(materialise, df, n) for n, df in cut.items()])
+    return dict(zip(cut, stored))
+
+
 def _named_sales(t: Tables, changes: Changes) -> DataFrame:
     """Sales the feed names; without a feed all of them."""
     kind = t["transvenda"].schema[COLUMNS.sale].dataType.simpleString()
@@ -452,16 +475,16 @@ def _named_sales(t: Tables, changes: Changes) -> DataFrame:
     return t["transvenda"].select(COLUMNS.sale) if told is None else told
 
 
-def _restate_months(load: Load, t: Tables, new_sales: DataFrame, held: DataFrame) -> None:
+def _restate_months(load: Load, t: Tables, near: Tables, new_sales: DataFrame, held: DataFrame) -> None:
     """Recompute touched pairs from the sales the fact holds; only the months
-    they lie in are rewritten, each read once and its kept rows found once."""
+    they lie in are rewritten, each read once and its kept rows found once.
+    The new sales' own rows are among those of ``near``."""
     table = AGGREGATE
     sale, lines = t["transvenda"], t["imoveltransacao"]
     agg = load.read(table)
-    touched_days = balanced_join(
-        sale.select(COLUMNS.sale, COLUMNS.date), new_sales.distinct(), COLUMNS.sale, "left_semi"
-    ).select((F.year(COLUMNS.date) * 100 + F.month(COLUMNS.date)).alias("_month"))
-    months = [str(r[0]) for r in touched_days.distinct().collect()]
+    touched = materialise(touched_pairs(new_sales, near["transvenda"], near["imoveltransacao"]), "touched")
+    touched_months = touched.select((F.year(COLUMNS.date) * 100 + F.month(COLUMNS.date)).alias("_month"))
+    months = [str(r[0]) for r in touched_months.distinct().collect()]
     if not months:
         return
     parts = load.state[table].parts
@@ -474,8 +497,9 @@ def _restate_months(load: Load, t: Tables, new_sales: DataFrame, held: DataFrame
     )
     # a column more than an aggregate has goes along with the rows that stay
     kept, fresh = restate_parts(
-        near_agg, new_sales, sale, lines, load.read("imovel_dimension"), load.read("data_dimension"), held=held
-    )
+        near_agg, new_sales, sale, lines, load.read("imovel_dimension"), load.read("data_dimension"), held=held,
+        touched=touched,
+    )
     keyed = assign_surrogate_keys(fresh, "ra_sk", start=next_start(agg, "ra_sk"))
     load.put_split(table, _month_part(kept.unionByName(keyed)).select(*agg.columns, "_month"), "_month")
 

@@ -246,3 +246,45 @@ def test_hash_sums_hold_for_any_order_and_tell_sets_apart(spark):
     exact = many.agg(F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).selectExpr("pmod(s, 18446744073709551616)")
     assert rows(whole) == rows(exact)
     assert rows(many.orderBy(F.desc("h")).agg(*sums)) == rows(total) != rows(many.filter("h % 7 <> 0").agg(*sums))
+
+
+def test_due_sales_of_a_whole_source_are_not_joined(spark):
+    sale = "transvendaid long"
+    named = frame(spark, [(1,), (1,), (2,), (3,), (4,), (None,)], sale)
+    links = [frame(spark, data, sale) for data in ([(1,), (1,), (2,), (3,)], [(1,), (2,), (2,), (5,), (None,)], [(1,), (2,), (3,)])]
+    held = frame(
+        spark,
+        [(1, 7, 1, 1), (1, 8, 1, 1), (1, 8, 1, 1), (2, 7, 1, 1), (5, 7, 1, 0), (None, 7, 1, 1)],
+        "tv_id long, im_sk long, tv_total_compradores int, tv_total_vendedores int",
+    )
+    due = due_sales(named, *links, held, every=True)
+    assert rows(due) == rows(due_sales(named, *links, held)) == [(2, True), (3, False), (4, False), (None, False)]
+    assert joins(due) == 0
+
+
+def test_settled_parts_are_split_by_number(spark, agency, index):
+    store = Lake(spark, fresh_path(spark, "lake"))
+    star.load_initial(store, agency, index, T0)
+    parts = store._state(store.version())[star.FACT].parts
+    assert parts and all(re.fullmatch(r"open|done-0064-\d{4}-00000001", name) for name in parts)
+    for name, path in parts.items():
+        assert path.endswith("/_part=-1" if name == "open" else f"/_part={int(name.split('-')[2])}")
+
+
+def test_later_steps_of_a_load_read_the_batch_only(spark, agency, index, monkeypatch):
+    seen = []
+
+    def noted(name, real, sales):
+        def call(*args, **more):
+            seen.append((name, rows(sales(args).select("transvendaid").distinct())))
+            return real(*args, **more)
+
+        monkeypatch.setattr(star, name, call)
+
+    store = Lake(spark, fresh_path(spark, "lake"))
+    star.load_initial(store, early(agency), index, T0)
+    noted("unresolved_sales", star.unresolved_sales, lambda args: args[1])
+    noted("participant_fact", star.participant_fact, lambda args: args[2])
+    noted("touched_pairs", star.touched_pairs, lambda args: args[1])
+    star.load_incremental(store, agency, None, T1)
+    assert sorted(seen) == [(name, [(26,)]) for name in ("participant_fact", "touched_pairs", "unresolved_sales")]
