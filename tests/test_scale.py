@@ -1,6 +1,7 @@
 """What loads shuffle, store and write: each test pins the rows and the saving."""
 
 import re
+from datetime import date, datetime
 from pathlib import Path
 from threading import Barrier
 
@@ -11,7 +12,7 @@ from dimwright.functions import hash_sums
 from dimwright.operators.facts import SaleDims, aggregate_fact, due_sales, participant_fact, sale_fact, unresolved_sales
 from dimwright.operators.quality import differing_rows, reconcile
 from dimwright.plans import queries, star
-from dimwright.session import fresh_path
+from dimwright.session import fresh_path, materialise
 from dimwright.sources import lake as landing
 from dimwright.sources.lake import land_snapshot, publish_gold, read_landed
 from dimwright.sources.versions import Lake
@@ -288,3 +289,49 @@ def test_later_steps_of_a_load_read_the_batch_only(spark, agency, index, monkeyp
     noted("touched_pairs", star.touched_pairs, lambda args: args[1])
     star.load_incremental(store, agency, None, T1)
     assert sorted(seen) == [(name, [(26,)]) for name in ("participant_fact", "touched_pairs", "unresolved_sales")]
+
+
+def test_published_tables_are_written_side_by_side(spark, monkeypatch):
+    both, write = Barrier(2, timeout=60), landing._write
+    monkeypatch.setattr(landing, "_write", lambda *args: (both.wait(), write(*args)))
+    tables = {name: frame(spark, [(1, name)], "n long, t string") for name in ("data_dimension", "cliente_dimension")}
+    out = fresh_path(spark, "gold")
+    assert publish_gold(tables, out, "parquet") == ["cliente_dimension", "data_dimension"] and publish_gold({}, out) == []
+    assert {n: rows(spark.read.parquet(f"{out}/{n}")) for n in tables} == {n: [(1, n)] for n in tables}
+
+
+def test_states_of_the_source_share_what_they_are_drawn_from(spark, tmp_path, monkeypatch):
+    from dimwright.plans import testmap
+
+    def put(name, data, schema):
+        frame(spark, data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    days = [datetime(1999, 12, 31), datetime(2000, 1, 15), datetime(2000, 1, 16), None]
+    put("nation", [(1, "N", 2), (2, "M", 0)], "n_nationkey long, n_name string, n_regionkey long")
+    put("part", [(1, "PROMO", 5), (26, "STANDARD", 10)], "p_partkey long, p_type string, p_size int")
+    put(
+        "orders",
+        [(i, 1, 100.0 * i, day, "1-URGENT") for i, day in enumerate(days)],
+        "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    )
+    put(
+        "lineitem",
+        [(i, 1 if i % 2 else 26, "R", day) for i, day in enumerate(days)],
+        "l_orderkey long, l_partkey long, l_returnflag string, l_shipdate timestamp_ntz",
+    )
+    drawn = []
+    monkeypatch.setattr(testmap, "materialise", lambda df, label: (drawn.append(label), materialise(df, label))[1])
+    last = testmap.Source(spark, str(tmp_path))
+    states = [last.at(until) for until in (testmap.CUT, testmap.MID_MONTH_CUT, None)]
+    # price of the days before the cut over their areas, in ten-thousandths; part 1 has one room, 26 two
+    total = [rows(state.market().filter("dormitorios = 'Total'"), "mes", "p4") for state in states]
+    december, january, nowhen = date(1999, 12, 1), date(2000, 1, 1), None
+    assert total == [
+        [(december, 0)],
+        [(december, 0), (january, 200000)],
+        sorted([(december, 0), (january, 200000), (nowhen, 600000)], key=str),
+    ]
+    for state in states:
+        assert rows(state.imovel()) == rows(state.imovel()) and joins(state.imovel()) == 0
+    assert drawn.count("sold-by-day") == drawn.count("imoveltransacao") == 1
+    assert len([label for label in drawn if label.startswith("imovel-")]) == 3
